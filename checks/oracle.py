@@ -177,7 +177,7 @@ FROM p LEFT JOIN ({answers}) a ON a.customer_id = p.customer_id"""
 
 
 LOG = """WITH g AS (
-  SELECT epoch_ms(ts) AS start_ms, CAST(FLOOR(value * 10) AS BIGINT) AS elapsed,
+  SELECT epoch_us(ts) // 1000 AS start_ms, CAST(FLOOR(value * 10) AS BIGINT) AS elapsed,
          event_type AS label, event_id % 20 = 0 AS failed,
          CASE WHEN event_id % 20 <> 0 THEN '200' WHEN user_id % 3 = 0 THEN '500'
               WHEN user_id % 3 = 1 THEN '502' ELSE '503' END AS response_code,
@@ -301,6 +301,36 @@ SELECT customer_id, CAST(position AS INTEGER) AS position,
 FROM f WHERE position <= 3"""
 
 
+_LINE_JSON = [("line_number", "number"), ("quantity", "number"), ("extended_price", "number"),
+              ("discount", "number"), ("tax", "number"), ("return_flag", "text"),
+              ("line_status", "text"), ("ship_date", "time"), ("commit_date", "time"),
+              ("receipt_date", "time")]
+
+
+def _json_object(fields, *more: str) -> str:
+    parts = ", ".join([_json_field(*f) for f in fields] + list(more))
+    return f"'{{' || array_to_string(list_filter([{parts}], lambda part: part <> ''), ',') || '}}'"
+
+
+DOCUMENT_TEXT = BASE + f""",
+     lj AS (SELECT *, nation_name AS nation, region_name AS region,
+                   {_json_object(_LINE_JSON)} AS line FROM e),
+     oj AS (SELECT customer_id, name, nation, region,
+                   {_json_object(_JSON[4:8], "'\"lineitems\":[' || lines || ']'")} AS json
+            FROM (SELECT customer_id, name, nation, region, order_id, status, total_price,
+                         order_date, string_agg(line, ',') AS lines FROM lj GROUP BY ALL)),
+     dj AS (SELECT customer_id,
+                   {_json_object(_JSON[:4], "'\"orders\":[' || string_agg(json, ',') || ']'")} AS json
+            FROM oj GROUP BY customer_id, name, nation, region)
+SELECT customer_id, CAST(strlen(json) AS INTEGER) AS document_bytes,
+       'document exceeds the size limit' AS reason
+FROM dj WHERE strlen(json) > 16384"""
+
+SHOWN = f"""SELECT customer_id, order_id, {_cents('revenue')} AS revenue,
+       ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY order_id) AS position
+FROM ({K5})"""
+
+
 def statements() -> dict[str, str]:
     return {
         "clean_customer": BASE + " SELECT * FROM c",
@@ -326,6 +356,7 @@ FROM lineitem""",
         "document_shape": _document_shape(False),
         "document_shape_without_empty": _document_shape(True),
         "document_converted": _flat_rows(),
+        "document_rejects": DOCUMENT_TEXT,
         "document_sink": DETAIL,
         "unwind_keep_empty": _flat_rows(),
         "unwind_drop_empty": _flat_rows("WHERE order_id IS NOT NULL AND line_number IS NOT NULL"),
@@ -403,6 +434,16 @@ FROM ({K4})""",
         "text_distinct": WIDE + f"""
 SELECT 'Customer ' || customer_id || ': ' || unique_orders || ' unique orders, ' || total_lines
        || ' total line items' AS response FROM ({K3})""",
+        "text_status": f"""
+SELECT customer_id, '  Status: ' || status || ', Count: ' || order_count || ', Total: '
+       || CAST(total_value AS VARCHAR) AS response FROM ({R3})""",
+        "text_revenue": WIDE + f""", k AS ({K5_TOTAL}), i AS ({SHOWN})
+SELECT k.customer_id, 'Customer ' || k.customer_id || ': ' || ANY_VALUE(orders) || ' orders' || chr(10)
+       || string_agg('  Order ' || order_id || ': '
+                     || CAST(CAST(revenue AS DECIMAL(34,2)) AS VARCHAR), chr(10) ORDER BY position)
+       || chr(10) || 'Grand Total Revenue: '
+       || CAST(CAST(ANY_VALUE(grand_total) AS DECIMAL(34,2)) AS VARCHAR) AS response
+FROM k JOIN i ON i.customer_id = k.customer_id WHERE position <= 5 GROUP BY k.customer_id""",
         "batch_r1": BATCH + _looked_up(R1, "name", "nation", "a.region"),
         "batch_r2": BATCH + _looked_up(R2_SUMMARY, "line_count", "revenue", filled=True),
         "batch_r3": BATCH + f"""

@@ -217,6 +217,10 @@ QUERIES: dict[str, Query] = {
     "text_distinct": _wide(lambda w: wide.k3(w).select(
         text.distinct_text(F.col("customer_id"), F.col("unique_orders"), F.col("total_lines"))
         .alias("response"))),
+    "text_status": _tables(lambda t: relational.r3(t).select(
+        "customer_id", text.status_text(F.col("status"), F.col("order_count"),
+                                        F.col("total_value")).alias("response"))),
+    "text_revenue": _wide(lambda w: wide.k5_text(w).select("customer_id", "response")),
     # batches of lookups
     "batch_r1": _batch_tables(batch.r1),
     "batch_r2": _batch_tables(batch.r2),

@@ -60,6 +60,7 @@ class PipelineConfig:
     wide_options: Mapping[str, str] = field(default_factory=dict)
     truncate_wide: bool = True
     partitions: int | None = None
-    wide_buckets: int = 64
+    wide_buckets: int | None = None
+    input_bytes: int | None = None
     batch_size: int = 5000
     document_limit: int = DOCUMENT_LIMIT_BYTES

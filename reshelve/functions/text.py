@@ -41,3 +41,19 @@ def range_text(region: Column, start: Column, end: Column, customers: Column) ->
     return F.concat(
         F.lit("Region="), region, F.lit(", Range=["), start.cast("string"), F.lit("-"),
         end.cast("string"), F.lit("]: Found "), customers.cast("string"), F.lit(" customers"))
+
+
+def status_text(status: Column, orders: Column, value: Column) -> Column:
+    return F.concat(
+        F.lit("  Status: "), status, F.lit(", Count: "), orders.cast("string"),
+        F.lit(", Total: "), value.cast("double").cast("string"))
+
+
+def revenue_text(customer_id: Column, orders: Column, shown: Column, grand_total: Column) -> Column:
+    """Totals around the lines of the few orders shown (structs of order_id, revenue)."""
+    lines = F.transform(shown, lambda o: F.concat(
+        F.lit("  Order "), o["order_id"].cast("string"), F.lit(": "), two_places(o["revenue"])))
+    return F.concat(
+        F.lit("Customer "), customer_id.cast("string"), F.lit(": "), orders.cast("string"),
+        F.lit(" orders\n"), F.array_join(lines, "\n"), F.lit("\nGrand Total Revenue: "),
+        two_places(grand_total))

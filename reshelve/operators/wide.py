@@ -64,6 +64,11 @@ def bucket_of(key: Column | int, buckets: int) -> Column | int:
     return F.pmod(mixed, F.lit(buckets)).cast("int")
 
 
+def buckets_for(rows: int) -> int:
+    """Number of buckets that leaves some ten million rows, under a gigabyte, in each."""
+    return max(8, -(-rows // 10_000_000))
+
+
 def with_bucket(df: DataFrame, buckets: int) -> DataFrame:
     """Add the bucket column and note the number of buckets in the key's metadata."""
     return (df.withMetadata("customer_id", {"buckets": buckets})

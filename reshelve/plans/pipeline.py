@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reshelve.config import PipelineConfig, SourceConfig
 from reshelve.operators.document import nest_documents
 from reshelve.operators.prepare import enrich
-from reshelve.operators.wide import to_wide
+from reshelve.operators.wide import buckets_for, to_wide
 from reshelve.session import build_session, configure
 from reshelve.sinks.documents import LoadCounts, write_documents
 from reshelve.sinks.staged import stage
@@ -53,7 +53,7 @@ def run(spark: SparkSession, config: PipelineConfig, stages: set[str]) -> LoadCo
     """Run the stages in their fixed order. Without the stage step the transform reads what
     an earlier run staged. Returns the document counts if documents were loaded."""
     check_stages(stages)
-    configure(spark)
+    configure(spark, config.input_bytes)
     tables = read_tables(spark, config.source)
     if "stage" in stages:
         stage(tables, config.staging_path)
@@ -66,8 +66,9 @@ def run(spark: SparkSession, config: PipelineConfig, stages: set[str]) -> LoadCo
             nest_documents(enriched), config.documents_path, config.document_format,
             config.document_limit, config.batch_size)
     if "wide" in stages:
+        buckets = config.wide_buckets or buckets_for(enriched.count())
         write_wide(to_wide(enriched), config.wide_path, config.wide_format,
-                   config.truncate_wide, config.wide_buckets, config.partitions)
+                   config.truncate_wide, buckets, config.partitions)
     return counts
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from reshelve.functions import text
 from reshelve.functions.money import cents, gross_price, net_price, total
 from reshelve.functions.nulls import complete
 from reshelve.schema import RETURN_FLAGS, WIDE_SCHEMA
@@ -92,3 +93,14 @@ def k5_first(wide: DataFrame, customer_id: int | None = None, k: int = 5) -> Dat
             .withColumn("position", F.row_number().over(by_key))
             .where(F.col("position") <= k)
             .select("customer_id", "position", "order_id", cents(F.col("revenue")).alias("revenue")))
+
+
+def k5_text(wide: DataFrame, customer_id: int | None = None, k: int = 5) -> DataFrame:
+    """The response text: the first ``k`` orders of a customer and the totals."""
+    shown = (k5_first(wide, customer_id, k).groupBy("customer_id")
+             .agg(F.sort_array(F.collect_list(F.struct("position", "order_id", "revenue")))
+                  .alias("shown")))
+    return (k5_total(wide, customer_id).join(shown, "customer_id")
+            .select("customer_id", text.revenue_text(
+                F.col("customer_id"), F.col("orders"), F.col("shown"), F.col("grand_total"))
+                .alias("response")))

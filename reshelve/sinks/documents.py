@@ -40,8 +40,8 @@ def write_documents(docs: Documents, path: str, fmt: str = "parquet",
                     connector: Mapping[str, str] | None = None) -> LoadCounts:
     """Replace the collection with these documents.
 
-    The documents are written once as Parquet (``staged``) with their size, which also cuts
-    their lineage, and split from there. ``rejected`` lists what was set aside and why,
+    The documents are written once as Parquet (``staged``) with their size and sorted by
+    customer, which also cuts their lineage, and split from there. ``rejected`` lists what was set aside and why,
     ``rejected_rows`` keeps its order lines. With ``connector`` options the accepted documents
     go to the store the format names, otherwise to files of at most ``batch_size`` documents.
     """
@@ -50,7 +50,7 @@ def write_documents(docs: Documents, path: str, fmt: str = "parquet",
     (measured(convert_values(docs.bounded))
      .observe(seen, F.count(F.lit(1)).alias("documents"),
               F.count_if(F.col(SIZE) > max_bytes).alias("oversize"))
-     .write.mode("overwrite").parquet(staged))
+     .sortWithinPartitions("customer_id").write.mode("overwrite").parquet(staged))
 
     accepted, oversize = split_by_size(spark.read.parquet(staged), max_bytes)
     writer = accepted.write.mode("overwrite").format(fmt)
@@ -62,7 +62,6 @@ def write_documents(docs: Documents, path: str, fmt: str = "parquet",
     rows = unwind_lines(Documents(oversize, None, docs.padded), keep_empty=True)
     rejected = oversize.select("customer_id", SIZE, "reason")
     if docs.overflow is not None:
-        # The rows are written first and the ids taken from what was written.
         rows = rows.unionByName(convert_values(docs.overflow).select(*rows.columns))
         refused = (docs.overflow.select("customer_id").distinct()
                    .withColumns({SIZE: F.lit(None).cast("int"), "reason": F.lit(TOO_MANY_ROWS)}))
