@@ -56,8 +56,7 @@ WITH c AS (SELECT c_custkey AS customer_id, c_name AS name, c_nationkey AS natio
                   LEFT JOIN region ON r_regionkey = n_regionkey)"""
 
 WIDE = BASE + f""",
-     v AS (SELECT CAST(customer_id AS INTEGER) AS customer_id,
-                  CAST(order_id AS INTEGER) AS order_id, name, nation_name AS nation,
+     v AS (SELECT customer_id, order_id, name, nation_name AS nation,
                   region_name AS region, status, CAST(total_price AS {MONEY}) AS total_price,
                   order_date, line_number, CAST(quantity AS {MONEY}) AS quantity,
                   CAST(extended_price AS {MONEY}) AS extended_price,

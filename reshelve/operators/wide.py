@@ -11,11 +11,11 @@ BUCKET = "customer_bucket"
 LOAD = "load_id"
 
 
-def to_wide(enriched: DataFrame) -> DataFrame:
+def to_wide(enriched: DataFrame, schema: T.StructType = WIDE_SCHEMA) -> DataFrame:
     """Type the 18 wide columns and drop rows lacking a part of the key."""
     source = {"nation": "nation_name", "region": "region_name"}
     typed = [F.col(source.get(f.name, f.name)).cast(f.dataType).alias(f.name)
-             for f in WIDE_SCHEMA]
+             for f in schema]
     rows = enriched.select(*typed)
     return rows.where(complete(rows, WIDE_KEY))
 
@@ -53,14 +53,15 @@ def latest(df: DataFrame) -> DataFrame:
 
 
 # The multiplier and modulus that spread neighbouring ids over the buckets.
-SPREAD, SPREAD_MODULUS = 2_654_435_761, 2 ** 32
+SPREAD, SPREAD_MODULUS = 2_654_435_761, 2 ** 31
 
 
 def bucket_of(key: Column | int, buckets: int) -> Column | int:
     """Bucket of a customer id, as a column or for a single id."""
     if isinstance(key, int):
-        return key * SPREAD % SPREAD_MODULUS % buckets
-    mixed = F.pmod(key.cast("bigint") * SPREAD, F.lit(SPREAD_MODULUS))
+        return key % SPREAD_MODULUS * SPREAD % SPREAD_MODULUS % buckets
+    short = F.pmod(key.cast("bigint"), F.lit(SPREAD_MODULUS))
+    mixed = F.pmod(short * SPREAD, F.lit(SPREAD_MODULUS))
     return F.pmod(mixed, F.lit(buckets)).cast("int")
 
 

@@ -66,26 +66,36 @@ MONEY = T.DecimalType(15, 2)
 
 WIDE_KEY = ("customer_id", "order_id", "line_number")
 
-WIDE_SCHEMA = T.StructType([
-    T.StructField("customer_id", T.IntegerType(), False),
-    T.StructField("order_id", T.IntegerType(), False),
-    T.StructField("name", T.StringType()),
-    T.StructField("nation", T.StringType()),
-    T.StructField("region", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("total_price", MONEY),
-    T.StructField("order_date", T.DateType()),
-    T.StructField("line_number", T.IntegerType(), False),
-    T.StructField("quantity", MONEY),
-    T.StructField("extended_price", MONEY),
-    T.StructField("discount", MONEY),
-    T.StructField("tax", MONEY),
-    T.StructField("return_flag", T.StringType()),
-    T.StructField("line_status", T.StringType()),
-    T.StructField("ship_date", T.DateType()),
-    T.StructField("commit_date", T.DateType()),
-    T.StructField("receipt_date", T.DateType()),
-])
+
+def wide_schema(id_type: T.DataType) -> T.StructType:
+    """The 18 columns of the wide table."""
+    return T.StructType([
+        T.StructField("customer_id", id_type, False),
+        T.StructField("order_id", id_type, False),
+        T.StructField("name", T.StringType()),
+        T.StructField("nation", T.StringType()),
+        T.StructField("region", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("total_price", MONEY),
+        T.StructField("order_date", T.DateType()),
+        T.StructField("line_number", T.IntegerType(), False),
+        T.StructField("quantity", MONEY),
+        T.StructField("extended_price", MONEY),
+        T.StructField("discount", MONEY),
+        T.StructField("tax", MONEY),
+        T.StructField("return_flag", T.StringType()),
+        T.StructField("line_status", T.StringType()),
+        T.StructField("ship_date", T.DateType()),
+        T.StructField("commit_date", T.DateType()),
+        T.StructField("receipt_date", T.DateType()),
+    ])
+
+
+# Order keys pass 32 bits at a few hundred gigabytes of orders, so ids are kept in 64 bits.
+# A store whose table declares 32-bit ids takes STORE_SCHEMA, where an id that does not fit
+# is an error.
+WIDE_SCHEMA = wide_schema(T.LongType())
+STORE_SCHEMA = wide_schema(T.IntegerType())
 
 # Request-log header -> (name here, type, value where the column or cell is
 # missing).

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from reshelve.config import DOCUMENT_LIMIT_BYTES
 from reshelve.functions.convert import convert_values
@@ -46,13 +46,12 @@ def write_documents(docs: Documents, path: str, fmt: str = "parquet",
     go to the store the format names, otherwise to files of at most ``batch_size`` documents.
     """
     spark = docs.bounded.sparkSession
-    staged, seen = f"{path}/staged", Observation()
-    (measured(convert_values(docs.bounded))
-     .observe(seen, F.count(F.lit(1)).alias("documents"),
-              F.count_if(F.col(SIZE) > max_bytes).alias("oversize"))
-     .sortWithinPartitions("customer_id").write.mode("overwrite").parquet(staged))
+    staged = f"{path}/staged"
+    (measured(convert_values(docs.bounded)).sortWithinPartitions("customer_id")
+     .write.mode("overwrite").parquet(staged))
+    sized = spark.read.parquet(staged)
 
-    accepted, oversize = split_by_size(spark.read.parquet(staged), max_bytes)
+    accepted, oversize = split_by_size(sized, max_bytes)
     writer = accepted.write.mode("overwrite").format(fmt)
     if connector is None:
         writer.option("maxRecordsPerFile", batch_size).save(f"{path}/accepted")
@@ -67,9 +66,9 @@ def write_documents(docs: Documents, path: str, fmt: str = "parquet",
                    .withColumns({SIZE: F.lit(None).cast("int"), "reason": F.lit(TOO_MANY_ROWS)}))
         rejected = rejected.unionByName(refused)
     rows.write.mode("overwrite").parquet(f"{path}/rejected_rows")
-    refusals = Observation()
-    (rejected.observe(refusals, F.count(F.lit(1)).alias("n"))
-     .write.mode("overwrite").parquet(f"{path}/rejected"))
+    rejected.write.mode("overwrite").parquet(f"{path}/rejected")
 
-    inserted = seen.get["documents"] - seen.get["oversize"]
-    return LoadCounts(inserted + refusals.get["n"], inserted, refusals.get["n"])
+    # Counted from what was written, so tasks that ran twice do not count twice.
+    inserted = sized.agg(F.count_if(F.col(SIZE) <= max_bytes)).first()[0]
+    refused_count = spark.read.parquet(f"{path}/rejected").count()
+    return LoadCounts(inserted + refused_count, inserted, refused_count)

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from reshelve.operators.wide import (
     BUCKET, LOAD, buckets_of, cluster_by, conform, upsert, with_bucket)
-from reshelve.schema import WIDE_KEY
+from reshelve.schema import WIDE_KEY, WIDE_SCHEMA
 from reshelve.sources.tables import read_if_present
 
 
 def write_wide(df: DataFrame, path: str, fmt: str = "parquet", truncate: bool = False,
                buckets: int = 64, partitions: int | None = None,
-               connector: Mapping[str, str] | None = None) -> None:
+               connector: Mapping[str, str] | None = None,
+               schema: T.StructType = WIDE_SCHEMA) -> None:
     """Append rows to the wide table, or replace its content with ``truncate``.
 
     Files are laid out by customer: a folder per bucket of customers, sorted by key inside.
@@ -23,7 +24,7 @@ def write_wide(df: DataFrame, path: str, fmt: str = "parquet", truncate: bool =
     With ``connector`` options the rows go to the store the format names, which does both
     itself.
     """
-    rows = upsert(conform(df))
+    rows = upsert(conform(df, schema))
     if connector is not None:
         (cluster_by(rows, partitions=partitions).write.format(fmt)
          .mode("overwrite" if truncate else "append").options(**connector).save())
