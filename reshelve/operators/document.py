@@ -6,11 +6,20 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
+from reshelve.config import DOCUMENT_LIMIT_BYTES
 from reshelve.schema import CUSTOMER_FIELDS, LINE_FIELDS, ORDER_FIELDS
 
-# A line takes at least 128 bytes as JSON (its field names alone take more than 100), so a
-# customer with more rows than this is above 16 MiB whatever the values are.
-MAX_ROWS = 131_072
+# No order or line takes fewer bytes as JSON; the field names alone take most of them. So a
+# customer with more rows than this is above the size limit whatever the values are.
+MIN_ROW_BYTES = 96
+
+
+def rows_within(limit_bytes: int) -> int:
+    """Number of rows above which no document can be within the limit."""
+    return limit_bytes // MIN_ROW_BYTES
+
+
+MAX_ROWS = rows_within(DOCUMENT_LIMIT_BYTES)
 
 # Above this many oversize customers the ids are joined by shuffle, not broadcast.
 MAX_BROADCAST_IDS = 100_000

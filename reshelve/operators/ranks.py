@@ -9,20 +9,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from reshelve.functions.nulls import complete
+
 SPAN = 4096
 GRID = 1000
 
 
 def count_values(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Count samples per group and distinct value, aggregating before the shuffle."""
-    return (df.groupBy(*by, F.col(value).cast("bigint").alias("value"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    """Count samples per group and distinct value, aggregating before the shuffle. Each value
+    comes with the span it lies in; samples without a group or value are left out."""
+    whole = F.col(value).cast("bigint")
+    keyed = df.select(*by, F.floor(whole / SPAN).alias("span"), whole.alias("value"))
+    return (keyed.where(complete(keyed, [*by, "span"]))
+            .groupBy(*by, "span", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
 def rank_values(counts: DataFrame, by: list[str]) -> DataFrame:
     """Add to each counted value the ranks it covers (``before`` exclusive to ``upto``
-    inclusive), the group's ``total`` and the next greater value."""
-    spanned = counts.withColumn("span", F.floor(F.col("value") / SPAN))
+    inclusive), the group's ``total`` and the next greater value.
+
+    The counts are used twice and joined. Their keys are tested for null beforehand, as the
+    join would test them on one side only; so both uses stay alike and share one shuffle.
+    """
+    spanned = counts.where(complete(counts, [*by, "span"]))
     group = Window.partitionBy(*by)
     along = group.orderBy("span")
     spans = (spanned.groupBy(*by, "span")

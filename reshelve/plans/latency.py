@@ -69,7 +69,7 @@ def percentiles_with_total(log: DataFrame, points: dict[int, str] | None = None)
     """Percentiles per label and over all samples."""
     points = points or PERCENTILES
     counts = _with_total(count_values(log, ["label"], "elapsed"), F.sum("n").alias("n"),
-                         also=("value",))
+                         also=("span", "value"))
     by = ["label", "is_total"]
     return pivoted(interpolated(rank_values(counts, by), by, list(points)), by, points)
 
@@ -264,7 +264,7 @@ def median_by_load(log: DataFrame, value: str = "elapsed", width: int = 1000) ->
     rates = (counted.groupBy("bucket_ms")
              .agg((F.sum("n") * 1000 / width).alias("rate")))
     by = ["rate", "failed"]
-    pooled = (counted.join(rates, "bucket_ms").groupBy(*by, "value")
+    pooled = (counted.join(rates, "bucket_ms").groupBy(*by, "span", "value")
               .agg(F.sum("n").alias("n")))
     median = {500: f"median_{value}"}
     return pivoted(interpolated(rank_values(pooled, by), by, [500]), by, median)

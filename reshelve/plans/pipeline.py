@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from reshelve.config import PipelineConfig, SourceConfig
-from reshelve.operators.document import nest_documents
+from reshelve.operators.document import nest_documents, rows_within
 from reshelve.operators.prepare import enrich
 from reshelve.operators.wide import buckets_for, to_wide
 from reshelve.session import build_session, configure
@@ -63,8 +63,9 @@ def run(spark: SparkSession, config: PipelineConfig, stages: set[str]) -> LoadCo
     counts = None
     if "documents" in stages:
         counts = write_documents(
-            nest_documents(enriched), config.documents_path, config.document_format,
-            config.document_limit, config.batch_size)
+            nest_documents(enriched, max_rows=rows_within(config.document_limit)),
+            config.documents_path, config.document_format, config.document_limit,
+            config.batch_size)
     if "wide" in stages:
         buckets = config.wide_buckets or buckets_for(enriched.count())
         write_wide(to_wide(enriched), config.wide_path, config.wide_format,

@@ -1,0 +1,130 @@
+"""Batches of lookups against one lookup at a time."""
+
+import pytest
+from fixtures import odd_tables
+
+from reshelve.operators.document import nest_documents
+from reshelve.operators.prepare import enrich
+from reshelve.operators.wide import to_wide
+from reshelve.plans import batch, document, relational, wide
+
+PARAMETERS = ("sample_id bigint, customer_id bigint, region string, return_flag string, "
+              "region_start bigint, region_end bigint, revenue_start bigint, revenue_end bigint")
+
+# Repeated, overlapping and unknown customers and ranges.
+SAMPLES = [(0, 1, "ASIA", "R", 1, 3, 1, 2), (1, 1, "ASIA", "A", 1, 3, 1, 4),
+           (2, 2, "EUROPE", "N", 1, 5, 3, 5), (3, 500, "ASIA", "R", 400, 500, 400, 410),
+           (4, 3, "ASIA", "R", 3, 3, 3, 3), (5, 4, "ASIA", "R", 4, 5, 4, 5)]
+
+
+@pytest.fixture(scope="module")
+def params(spark):
+    return spark.createDataFrame(SAMPLES, PARAMETERS)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return {name: df.cache() for name, df in odd_tables(spark).items()}
+
+
+@pytest.fixture(scope="module")
+def docs(odd):
+    return nest_documents(enrich(odd))
+
+
+@pytest.fixture(scope="module")
+def rows(odd):
+    return to_wide(enrich(odd)).cache()
+
+
+def by_sample(df):
+    found = {}
+    for row in df.collect():
+        found.setdefault(row.sample_id, []).append(row)
+    return found
+
+
+@pytest.mark.parametrize("model", ["r", "d", "k"])
+def test_first_question(params, odd, docs, rows, model):
+    run, single = {
+        "r": (batch.r1(params, odd), lambda c: relational.r1(odd, c)),
+        "d": (batch.d1(params, docs), lambda c: document.d1(docs, c)),
+        "k": (batch.k1(params, rows), lambda c: wide.k1(rows, c))}[model]
+    found = by_sample(run)
+    assert set(found) == set(range(6))
+    for sample in SAMPLES:
+        answer = single(sample[1]).first()
+        [row] = found[sample[0]]
+        assert row.found == (answer is not None)
+        if answer is not None:
+            assert (row.customer_id, row.name, row.nation, row.region) == tuple(answer)
+
+
+def test_second_and_third_question(params, odd, docs, rows):
+    r2, d2, k2, k3 = (by_sample(x) for x in (
+        batch.r2(params, odd), batch.d2(params, docs), batch.k2(params, rows),
+        batch.k3(params, rows)))
+    r3, d3 = by_sample(batch.r3(params, odd)), by_sample(batch.d3(params, docs))
+    for sample, customer, *_ in SAMPLES:
+        answer = relational.r2_summary(odd, customer).first()
+        assert (r2[sample][0].line_count, r2[sample][0].revenue) == (
+            tuple(answer[1:]) if answer else (0, 0))
+        assert d2[sample][0].row_count == document.d2(docs, customer).count()
+        answer = wide.k2_summary(rows, customer).first()
+        assert (k2[sample][0].line_count, k2[sample][0].revenue) == (
+            tuple(answer[1:]) if answer else (0, 0))
+        answer = wide.k3(rows, customer).first()
+        assert (k3[sample][0].unique_orders, k3[sample][0].total_lines) == (
+            tuple(answer[1:]) if answer else (0, 0))
+        for run, single in ((r3, relational.r3(odd, customer)), (d3, document.d3(docs, customer))):
+            assert sorted(str((r.status, r.order_count, r.total_value))
+                          for r in run.get(sample, [])) == sorted(
+                str((r.status, r.order_count, r.total_value)) for r in single.collect())
+
+
+def test_fourth_question(params, odd, docs, rows):
+    r4, d4, k4 = (by_sample(x) for x in (
+        batch.r4(params, odd), batch.d4(params, docs), batch.k4(params, rows)))
+    for sample, customer, region, flag, low, high, *_ in SAMPLES:
+        assert r4[sample][0].customers == relational.r4(odd, region, low, high).count()
+        assert d4[sample][0].customers == document.d4(docs, region, low, high).count()
+        answer = wide.k4(rows, customer, (flag,)).first()
+        assert (k4[sample][0].matching_lines, k4[sample][0].total_quantity) == (
+            tuple(answer[2:]) if answer else (0, 0))
+
+
+def test_fifth_question(params, odd, docs, rows):
+    r5, top, d5, k5 = (by_sample(x) for x in (
+        batch.r5(params, odd), batch.r5_top(params, odd, 2), batch.d5(params, docs),
+        batch.k5(params, rows)))
+    for sample, customer, _, _, _, _, low, high in SAMPLES:
+        answer = relational.r5_total(odd, low, high).first()
+        assert (r5[sample][0].orders, r5[sample][0].grand_total) == tuple(answer)
+        best = [(r.customer_id, r.order_id, r.revenue)
+                for r in relational.r5_top(odd, low, high, 2).collect()]
+        assert [(r.customer_id, r.order_id, r.revenue)
+                for r in sorted(top.get(sample, []), key=lambda r: r.place)] == best
+        assert sorted(tuple(r[1:]) for r in d5.get(sample, [])) == sorted(
+            map(tuple, document.d5(docs, low, high).collect()))
+        answer = wide.k5_total(rows, customer).first()
+        assert (k5[sample][0].orders, k5[sample][0].grand_total) == (
+            tuple(answer[1:]) if answer else (0, 0))
+
+
+def test_oversize_customers_are_looked_up_too(params, odd, docs):
+    split = nest_documents(enrich(odd), max_rows=2)
+    assert split.overflow is not None
+    for run in (batch.d1, batch.d2, batch.d3, batch.d4, batch.d5):
+        assert sorted(map(str, run(params, split).collect())) == sorted(
+            map(str, run(params, docs).collect()))
+
+
+def test_parameters_are_repeatable_and_in_range(spark):
+    drawn = batch.parameters(spark, 2000, 150_000)
+    rows = drawn.collect()
+    assert sorted(rows) == sorted(batch.parameters(spark, 2000, 150_000).repartition(7).collect())
+    assert all(1 <= r.customer_id <= 150_000 for r in rows)
+    assert all(r.region_end == r.region_start + 100 <= 149_100 for r in rows)
+    assert all(r.revenue_end == r.revenue_start + 10 <= 149_960 for r in rows)
+    assert len({r.customer_id for r in rows}) > 1900
+    assert len({r.region for r in rows}) == 5 and len({r.return_flag for r in rows}) == 3
