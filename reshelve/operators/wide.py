@@ -25,6 +25,9 @@ def conform(df: DataFrame, schema: T.StructType = WIDE_SCHEMA) -> DataFrame:
 
     A missing or mistyped column fails at once, a null key when the rows are written.
     """
+    missing = [name for name in schema.names if name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing: {', '.join(missing)}")
     keys = {f.name for f in schema if not f.nullable}
     checked = df.select(*[
         F.when(F.col(c).isNull(), F.raise_error(F.lit(f"null in key column {c}")))
