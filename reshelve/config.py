@@ -8,6 +8,9 @@ from dataclasses import dataclass, field
 
 DOCUMENT_LIMIT_BYTES = 16 * 1024 * 1024
 
+# Documents per batch where a loader inserts batch by batch.
+BATCH_SIZE = 5000
+
 
 @dataclass(frozen=True)
 class SourceConfig:
@@ -62,5 +65,5 @@ class PipelineConfig:
     partitions: int | None = None
     wide_buckets: int | None = None
     input_bytes: int | None = None
-    batch_size: int = 5000
+    batch_size: int | None = None
     document_limit: int = DOCUMENT_LIMIT_BYTES

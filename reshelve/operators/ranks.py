@@ -48,8 +48,13 @@ def rank_values(counts: DataFrame, by: list[str]) -> DataFrame:
                     F.coalesce(F.lead("value").over(inside), F.col("span_next")).alias("next")))
 
 
+def _div(numerator: Column, denominator: Column) -> Column:
+    """Integer quotient; dividing as doubles or decimals would round at large counts."""
+    return F.call_function("div", numerator, denominator)
+
+
 def _ceil_div(numerator: Column, denominator: Column) -> Column:
-    return F.ceil(numerator / denominator.cast("decimal(20,0)")).cast("bigint")
+    return _div(numerator + denominator - 1, denominator)
 
 
 def _thousandths(points: list[int] | None, low: Column, high: Column) -> Column:
@@ -68,14 +73,12 @@ def interpolated(ranked: DataFrame, by: list[str], points: list[int]) -> DataFra
     """
     n1 = F.col("total") + 1
     low = F.when(F.col("before") == 0, F.lit(0)).otherwise(
-        _ceil_div((F.col("before") + 1).cast("decimal(20,0)") * GRID, n1))
+        _ceil_div((F.col("before") + 1) * GRID, n1))
     high = F.when(F.col("upto") == F.col("total"), F.lit(GRID)).otherwise(
-        _ceil_div((F.col("upto") + 1).cast("decimal(20,0)") * GRID, n1) - 1)
-    point = F.col("point")
-    # Thousandths of a rank; the decimal product cannot overflow.
-    position = point.cast("decimal(20,0)") * n1
-    rank = F.floor(position / GRID).cast("bigint")
-    fraction = (F.pmod(position, F.lit(GRID)).cast("double") / float(GRID))
+        _ceil_div((F.col("upto") + 1) * GRID, n1) - 1)
+    position = F.col("point") * n1
+    rank = _div(position, F.lit(GRID))
+    fraction = F.pmod(position, F.lit(GRID)) / GRID
     between = (rank >= 1) & (rank < F.col("total")) & (rank == F.col("upto"))
     value = F.col("value").cast("double")
     return (ranked
@@ -91,9 +94,9 @@ def stepped(ranked: DataFrame, by: list[str]) -> DataFrame:
     """For each thousandth the smallest value that more than that share of samples reach,
     without interpolation; the last point is the maximum."""
     total = F.col("total")
-    low = _ceil_div(F.col("before").cast("decimal(20,0)") * GRID, total)
+    low = _ceil_div(F.col("before") * GRID, total)
     high = F.when(F.col("upto") == total, F.lit(GRID).cast("bigint")).otherwise(
-        _ceil_div(F.col("upto").cast("decimal(20,0)") * GRID, total) - 1)
+        _ceil_div(F.col("upto") * GRID, total) - 1)
     return ranked.select(
         *by, F.explode(_thousandths(None, low, high)).alias("point"),
         F.col("value").cast("double").alias("value"))

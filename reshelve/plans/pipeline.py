@@ -7,7 +7,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reshelve.config import PipelineConfig, SourceConfig
+from reshelve.config import BATCH_SIZE, PipelineConfig, SourceConfig
 from reshelve.operators.document import nest_documents, rows_within
 from reshelve.operators.prepare import enrich
 from reshelve.operators.wide import buckets_for, to_wide
@@ -81,9 +81,13 @@ def main(argv=None) -> int:
     parser.add_argument("--staging", default="data/staging")
     parser.add_argument("--documents", default="data/documents")
     parser.add_argument("--wide", default="data/wide")
+    parser.add_argument("--batch-size", type=int, nargs="?", const=BATCH_SIZE,
+                        help=f"documents per file ({BATCH_SIZE} if no number is given)")
+    parser.add_argument("--input-bytes", type=int, help="size of the sources, to size shuffles")
     args = parser.parse_args(argv)
     stages = choose_stages(args.stages, args.skip)
-    config = PipelineConfig(SourceConfig.from_env(), args.staging, args.documents, args.wide)
+    config = PipelineConfig(SourceConfig.from_env(), args.staging, args.documents, args.wide,
+                            batch_size=args.batch_size, input_bytes=args.input_bytes)
     try:
         check_stages(stages)
     except StageError as refused:

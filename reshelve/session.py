@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +47,11 @@ def build_session(app_name: str = "reshelve", master: str | None = None,
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="reshelve-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
@@ -55,8 +61,6 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="reshelve-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if spark.sparkContext.master.startswith("local"):
+        return _local_folder()
+    raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")

@@ -36,14 +36,15 @@ def split_by_size(sized: DataFrame, max_bytes: int) -> tuple[DataFrame, DataFram
 
 
 def write_documents(docs: Documents, path: str, fmt: str = "parquet",
-                    max_bytes: int = DOCUMENT_LIMIT_BYTES, batch_size: int = 5000,
+                    max_bytes: int = DOCUMENT_LIMIT_BYTES, batch_size: int | None = None,
                     connector: Mapping[str, str] | None = None) -> LoadCounts:
     """Replace the collection with these documents.
 
     The documents are written once as Parquet (``staged``) with their size and sorted by
     customer, which also cuts their lineage, and split from there. ``rejected`` lists what was set aside and why,
     ``rejected_rows`` keeps its order lines. With ``connector`` options the accepted documents
-    go to the store the format names, otherwise to files of at most ``batch_size`` documents.
+    go to the store the format names, otherwise to files. A ``batch_size`` limits the documents
+    per file, for loaders that insert file by file.
     """
     spark = docs.bounded.sparkSession
     staged = f"{path}/staged"
@@ -54,7 +55,7 @@ def write_documents(docs: Documents, path: str, fmt: str = "parquet",
     accepted, oversize = split_by_size(sized, max_bytes)
     writer = accepted.write.mode("overwrite").format(fmt)
     if connector is None:
-        writer.option("maxRecordsPerFile", batch_size).save(f"{path}/accepted")
+        writer.option("maxRecordsPerFile", batch_size or 0).save(f"{path}/accepted")
     else:
         writer.options(**connector).save()
 

@@ -38,4 +38,4 @@ def write_wide(df: DataFrame, path: str, fmt: str = "parquet", truncate: bool =
     laid_out = cluster_by(with_bucket(rows.withColumn(LOAD, F.lit(load)), buckets),
                           (BUCKET,), (BUCKET, *WIDE_KEY), partitions)
     (laid_out.write.format(fmt).mode("overwrite" if truncate else "append")
-     .partitionBy(BUCKET).save(path))
+     .option("partitionOverwriteMode", "static").partitionBy(BUCKET).save(path))

@@ -8,6 +8,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from reshelve.functions.rounding import round_binary
+from reshelve.operators import ranks
 from reshelve.plans import compare, latency
 from reshelve.sources.request_log import conform_log, read_log
 
@@ -81,6 +82,30 @@ def test_percentiles_span_boundaries(spark):
         assert row[name] == pytest.approx(legacy_percentile(flat, p))
 
 
+def test_ranks_stay_exact_at_large_counts(spark):
+    """Boundaries one sample off a percentile point, far beyond what six decimals resolve."""
+    total = 10 ** 13
+    sizes = [total // 2 - 1, 2, total // 2 - 1 - total // 100, total // 100]
+    counts = spark.createDataFrame(
+        [("x", value // ranks.SPAN, value, n) for value, n in zip((10, 20, 30, 40), sizes)],
+        "label string, span bigint, value bigint, n bigint")
+    ranked = ranks.rank_values(counts, ["label"])
+    bounds = [sum(sizes[:i + 1]) for i in range(4)]
+
+    def at(rank):
+        return next(v for v, bound in zip((10, 20, 30, 40), bounds) if rank <= bound)
+
+    points = [1, 499, 500, 501, 990, 999, 1000]
+    found = {r.point: r.value for r in ranks.interpolated(ranked, ["label"], points).collect()}
+    for p in points:
+        whole, rest = divmod(p * (total + 1), 1000)
+        low = at(min(max(whole, 1), total))
+        high = at(min(whole + 1, total))
+        assert found[p] == low + rest / 1000 * (high - low)
+    curve = {r.point: r.value for r in ranks.stepped(ranked, ["label"]).collect()}
+    assert curve == {k: at(min(k * total // 1000 + 1, total)) for k in range(1001)}
+
+
 def test_published_interpolation(spark):
     """With 500 samples the 99th percentile lies 0.99 between ranks 495 and 496."""
     values = [1] * 494 + [49, 50, 51, 52, 53, 54]
