@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from reshelve.operators.document import Documents, nest_documents
-from reshelve.operators.prepare import enrich
+from reshelve.operators.prepare import clean, customer_rows, enrich
 from reshelve.operators.wide import to_wide, upsert
 from reshelve.schema import JOINED_TABLES, REGIONS, RETURN_FLAGS
 from reshelve.session import configure, shared_folder
@@ -42,7 +42,8 @@ def enriched(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str, drop_empty: bool = False) -> Documents:
-    return nest_documents(enriched(spark, folder), drop_empty)
+    cleaned = clean(source_tables(spark, folder))
+    return nest_documents(enrich(cleaned, cleaned=True), drop_empty, sizes=customer_rows(cleaned))
 
 
 def wide_table(spark: SparkSession, folder: str) -> DataFrame:

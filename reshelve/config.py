@@ -60,7 +60,8 @@ class PipelineConfig:
     wide_path: str
     document_format: str = "json"
     wide_format: str = "parquet"
-    wide_options: Mapping[str, str] = field(default_factory=dict)
+    document_connector: Mapping[str, str] | None = None
+    wide_connector: Mapping[str, str] | None = None
     truncate_wide: bool = True
     partitions: int | None = None
     wide_buckets: int | None = None

@@ -51,15 +51,17 @@ class Documents:
         return replace(self, bounded=step(self.bounded), overflow=overflow)
 
 
-def split_oversize(df: DataFrame, max_rows: int = MAX_ROWS) -> tuple[DataFrame, DataFrame | None]:
+def split_oversize(df: DataFrame, max_rows: int = MAX_ROWS,
+                   sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Separate the rows of customers having more than ``max_rows`` rows.
 
-    The counts are aggregated before the shuffle, and at most rows / max_rows ids come out.
-    This runs one job over the key column when it is called, so that the usual case of no
-    oversize customer costs no join.
+    The counts (``sizes``, if they are at hand: customer_id, n) are aggregated before the
+    shuffle, and at most rows / max_rows ids come out. This runs one job over the key column
+    when it is called, so that the usual case of no oversize customer costs no join.
     """
-    oversize = (df.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
-                .where(F.col("n") > max_rows).select("customer_id"))
+    if sizes is None:
+        sizes = df.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+    oversize = sizes.where(F.col("n") > max_rows).select("customer_id")
     ids = oversize.limit(MAX_BROADCAST_IDS + 1).collect()
     if not ids:
         return df, None
@@ -104,10 +106,10 @@ def nest(rows: DataFrame, drop_empty: bool = False) -> DataFrame:
     return documents
 
 
-def nest_documents(enriched: DataFrame, drop_empty: bool = False,
-                   max_rows: int = MAX_ROWS) -> Documents:
+def nest_documents(enriched: DataFrame, drop_empty: bool = False, max_rows: int = MAX_ROWS,
+                   sizes: DataFrame | None = None) -> Documents:
     """Turn enriched rows into documents; oversize customers stay as flat rows."""
-    rows, oversize = split_oversize(flat_rows(enriched), max_rows)
+    rows, oversize = split_oversize(flat_rows(enriched), max_rows, sizes)
     return Documents(nest(rows, drop_empty), oversize, not drop_empty)
 
 

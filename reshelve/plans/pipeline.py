@@ -65,11 +65,11 @@ def run(spark: SparkSession, config: PipelineConfig, stages: set[str]) -> LoadCo
         counts = write_documents(
             nest_documents(enriched, max_rows=rows_within(config.document_limit)),
             config.documents_path, config.document_format, config.document_limit,
-            config.batch_size)
+            config.batch_size, config.document_connector)
     if "wide" in stages:
         buckets = config.wide_buckets or buckets_for(enriched.count())
         write_wide(to_wide(enriched), config.wide_path, config.wide_format,
-                   config.truncate_wide, buckets, config.partitions)
+                   config.truncate_wide, buckets, config.partitions, config.wide_connector)
     return counts
 
 

@@ -12,7 +12,7 @@ from conftest import plan
 from reshelve.functions.convert import convert_values
 from reshelve.operators import document as documents
 from reshelve.operators.document import nest_documents, split_oversize, unwind_lines
-from reshelve.operators.prepare import clean, enrich
+from reshelve.operators.prepare import clean, customer_rows, enrich
 from reshelve.operators.wide import cluster_by, conform, to_wide, upsert
 from reshelve.plans import document, relational, wide
 from reshelve.schema import STORE_SCHEMA, WIDE_SCHEMA
@@ -105,6 +105,15 @@ def test_oversize_customers_change_no_answer(enriched, monkeypatch, broadcast_id
             == Counter(map(str, query(whole).collect())), query.__name__
 
 
+def test_customer_rows_equal_the_enriched_rows(odd, enriched):
+    counts = {r.customer_id: r.n for r in customer_rows(clean(odd)).collect()}
+    expected = Counter(r.customer_id for r in enriched.collect())
+    assert {k: n for k, n in counts.items() if k in expected} == {
+        k: n for k, n in expected.items() if k != 2}
+    split = nest_documents(enriched, max_rows=2, sizes=customer_rows(clean(odd)))
+    assert {r.customer_id for r in split.overflow.collect()} == {1}
+
+
 def test_split_is_skipped_when_all_customers_fit(enriched):
     rows, oversize = split_oversize(enriched)
     assert rows is enriched and oversize is None

@@ -107,6 +107,20 @@ def test_documents_go_out_in_batches(spark, enriched, tmp_path):
     assert len(accepted.inputFiles()) == accepted.count() == 5
 
 
+def test_a_connector_says_where_rows_go(spark, enriched, tmp_path):
+    """Connector options are passed on; here they name a folder."""
+    there = f"{tmp_path}/store"
+    counts = write_documents(nest_documents(enriched), f"{tmp_path}/work", "parquet",
+                             connector={"path": f"{there}/documents"})
+    assert counts.inserted == spark.read.parquet(f"{there}/documents").count() == 5
+    rows = to_wide(enriched)
+    for _ in range(2):
+        write_wide(rows, "unused", connector={"path": f"{there}/wide"})
+    assert spark.read.parquet(f"{there}/wide").count() == 2 * rows.count()
+    write_wide(rows, "unused", truncate=True, connector={"path": f"{there}/wide"})
+    assert rows_of(spark.read.parquet(f"{there}/wide")) == rows_of(rows)
+
+
 def test_an_empty_collection(spark, enriched, tmp_path):
     assert write_documents(nest_documents(enriched.limit(0)), str(tmp_path)) == LoadCounts(0, 0, 0)
 
