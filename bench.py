@@ -68,7 +68,8 @@ def main() -> None:
         measure("build_enriched",
                 lambda: enrich(tables).write.mode("overwrite").parquet(enriched_path))
         enriched = spark.read.parquet(enriched_path)
-        measure("build_documents", lambda: write_documents(nest_documents(enriched), documents_path))
+        measure("build_documents",
+                lambda: write_documents(nest_documents(enriched), documents_path))
         measure("build_wide",
                 lambda: write_wide(to_wide(enriched), wide_path, truncate=True, buckets=8))
         docs = read_documents(spark, documents_path)

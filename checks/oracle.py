@@ -24,6 +24,7 @@ REBATE = f"(1 - CAST(l_discount AS {MONEY}))"
 SURTAX = f"(1 + CAST(l_tax AS {MONEY}))"
 NET = f"{PRICE} * {REBATE}"
 GROSS = f"{NET} * {SURTAX}"
+ROW_NET = f"CAST(extended_price AS {MONEY}) * (1 - CAST(discount AS {MONEY}))"
 
 
 def _cents(amount: str) -> str:
@@ -114,8 +115,7 @@ FROM (SELECT DISTINCT customer_id, order_id, status, CAST(total_price AS {MONEY}
       FROM e) GROUP BY customer_id, status"""
 
 D5 = f"""SELECT customer_id, name, COUNT(*) AS total_orders,
-       {_cents(f"COALESCE(SUM(CAST(extended_price AS {MONEY}) * (1 - CAST(discount AS {MONEY}))), 0)")}
-         AS total_revenue
+       {_cents(f"COALESCE(SUM({ROW_NET}), 0)")} AS total_revenue
 FROM e GROUP BY customer_id, name"""
 
 K2 = f"""SELECT customer_id, COUNT(*) AS line_count,
@@ -319,7 +319,8 @@ DOCUMENT_TEXT = BASE + f""",
             FROM (SELECT customer_id, name, nation, region, order_id, status, total_price,
                          order_date, string_agg(line, ',') AS lines FROM lj GROUP BY ALL)),
      dj AS (SELECT customer_id,
-                   {_json_object(_JSON[:4], "'\"orders\":[' || string_agg(json, ',') || ']'")} AS json
+                   {_json_object(_JSON[:4], "'\"orders\":[' || string_agg(json, ',') || ']'")}
+                     AS json
             FROM oj GROUP BY customer_id, name, nation, region)
 SELECT customer_id, CAST(strlen(json) AS INTEGER) AS document_bytes,
        'document exceeds the size limit' AS reason
@@ -333,11 +334,13 @@ FROM ({K5})"""
 def statements() -> dict[str, str]:
     return {
         "clean_customer": BASE + " SELECT * FROM c",
-        "clean_orders": BASE + " SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date) FROM o",
+        "clean_orders": BASE + """
+SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date) FROM o""",
         "clean_lineitem": BASE + _LINES_AS_TEXT + " FROM l",
         "located_customers": BASE + """
 SELECT customer_id, name, n_name AS nation_name, r_name AS region_name
-FROM c LEFT JOIN nation ON n_nationkey = nation_key LEFT JOIN region ON r_regionkey = n_regionkey""",
+FROM c LEFT JOIN nation ON n_nationkey = nation_key
+       LEFT JOIN region ON r_regionkey = n_regionkey""",
         "enriched_rows": BASE + """
 SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date,
                   CAST(ship_date AS VARCHAR) AS ship_date,
@@ -376,7 +379,8 @@ FROM {LOCATED} {LINES}""",
         "r3_status": R3,
         "r4_region": f"""SELECT c_custkey AS customer_id, c_name AS name, r_name AS region
 FROM {LOCATED} WHERE r_name = 'ASIA'""",
-        "r4_count": f"SELECT r_name AS region, COUNT(*) AS customers FROM {LOCATED} GROUP BY r_name",
+        "r4_count": f"""
+SELECT r_name AS region, COUNT(*) AS customers FROM {LOCATED} GROUP BY r_name""",
         "r5_revenue": f"SELECT * REPLACE ({_cents('revenue')} AS revenue) FROM ({ORDER_REVENUE})",
         "r5_top": f"""SELECT * REPLACE ({_cents('revenue')} AS revenue) FROM ({ORDER_REVENUE})
 ORDER BY ROUND(revenue, 2) DESC, order_id LIMIT 5""",
@@ -437,7 +441,8 @@ SELECT 'Customer ' || customer_id || ': ' || unique_orders || ' unique orders, '
 SELECT customer_id, '  Status: ' || status || ', Count: ' || order_count || ', Total: '
        || CAST(total_value AS VARCHAR) AS response FROM ({R3})""",
         "text_revenue": WIDE + f""", k AS ({K5_TOTAL}), i AS ({SHOWN})
-SELECT k.customer_id, 'Customer ' || k.customer_id || ': ' || ANY_VALUE(orders) || ' orders' || chr(10)
+SELECT k.customer_id,
+       'Customer ' || k.customer_id || ': ' || ANY_VALUE(orders) || ' orders' || chr(10)
        || string_agg('  Order ' || order_id || ': '
                      || CAST(CAST(revenue AS DECIMAL(34,2)) AS VARCHAR), chr(10) ORDER BY position)
        || chr(10) || 'Grand Total Revenue: '

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from reshelve.functions.money import cents
 from reshelve.operators.document import Documents
+from reshelve.operators.narrow import lines_of
 from reshelve.plans import document, relational, wide as wide_plan
 from reshelve.schema import REGIONS, RETURN_FLAGS
 
@@ -59,10 +60,8 @@ def narrow_tables(tables: dict[str, DataFrame], wanted: DataFrame) -> dict[str,
         return df.join(wanted.withColumnRenamed("customer_id", column), column, "left_semi")
 
     orders = kept(tables["orders"], "o_custkey")
-    lines = tables["lineitem"].join(
-        orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     return {**tables, "customer": kept(tables["customer"], "c_custkey"), "orders": orders,
-            "lineitem": lines}
+            "lineitem": lines_of(orders, tables["lineitem"])}
 
 
 def lookup(params: DataFrame, answers: DataFrame, fill: tuple[str, ...] = ()) -> DataFrame:

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from reshelve.schema import CATALOGUE, CATALOGUE_COLUMNS
+from reshelve.schema import CATALOGUE, CATALOGUE_SCHEMA
 
 
 def catalogue(spark: SparkSession, rows=None) -> DataFrame:
     """The queries to compare, one row per query and system."""
-    kinds = "query_id string, title string, system string, label string, differs boolean"
-    assert tuple(part.split()[0] for part in kinds.split(", ")) == CATALOGUE_COLUMNS
-    return spark.createDataFrame(CATALOGUE if rows is None else rows, kinds)
+    return spark.createDataFrame(CATALOGUE if rows is None else rows, CATALOGUE_SCHEMA)
 
 
 def compare(stats: DataFrame, queries: DataFrame) -> DataFrame:

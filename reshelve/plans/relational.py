@@ -1,8 +1,9 @@
 """The five questions on the normalised tables.
 
-Each function answers for all customers; a customer id, region or id range narrows it, and
-Catalyst pushes the narrowing to every scan that carries the key. Keys of customer, orders,
-nation and region are primary keys in the source.
+Each function answers for all customers; a customer id, region or id range narrows it.
+Catalyst pushes the narrowing to every scan that carries the customer key, and lines are
+narrowed by the orders left. Keys of customer, orders, nation and region are primary keys in
+the source.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from reshelve.functions.money import cents, gross_price, money, net_price
+from reshelve.operators.narrow import lines_of
 
 Tables = dict[str, DataFrame]
 
@@ -22,6 +24,13 @@ def _pick(df: DataFrame, column: str, customer_id=None, low=None, high=None) ->
     return df
 
 
+def _orders_and_lines(t: Tables, customer_id=None, low=None, high=None):
+    orders = _pick(t["orders"], "o_custkey", customer_id, low, high)
+    if customer_id is None and low is None:
+        return orders, t["lineitem"]
+    return orders, lines_of(orders, t["lineitem"])
+
+
 def _located(t: Tables) -> DataFrame:
     return (t["customer"]
             .join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
@@ -37,10 +46,10 @@ def r1(t: Tables, customer_id: int | None = None) -> DataFrame:
 
 def r2(t: Tables, customer_id: int | None = None) -> DataFrame:
     """Order lines of a customer in 16 columns."""
-    located = _pick(_located(t), "c_custkey", customer_id)
-    return (located
-            .join(t["orders"], F.col("c_custkey") == F.col("o_custkey"))
-            .join(t["lineitem"], F.col("o_orderkey") == F.col("l_orderkey"))
+    orders, lines = _orders_and_lines(t, customer_id)
+    return (_pick(_located(t), "c_custkey", customer_id)
+            .join(orders, F.col("c_custkey") == F.col("o_custkey"))
+            .join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
             .select(
                 F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"),
                 F.col("n_name").alias("nation"), F.col("r_name").alias("region"),
@@ -56,16 +65,16 @@ def r2(t: Tables, customer_id: int | None = None) -> DataFrame:
                 F.col("l_shipdate").alias("ship_date")))
 
 
-def _per_order(t: Tables, amount) -> DataFrame:
-    """Line count and amount per order, summed before any join."""
-    return t["lineitem"].groupBy("l_orderkey").agg(
+def _per_order(lines: DataFrame, amount) -> DataFrame:
+    """Line count and amount per order, summed before the orders are joined."""
+    return lines.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("line_count"), F.sum(amount).alias("amount"))
 
 
 def r2_summary(t: Tables, customer_id: int | None = None) -> DataFrame:
     """Line count and net revenue per customer that has lines."""
-    orders = _pick(t["orders"], "o_custkey", customer_id)
-    per_order = _per_order(t, F.coalesce(net_price("l_extendedprice", "l_discount"), F.lit(0)))
+    orders, lines = _orders_and_lines(t, customer_id)
+    per_order = _per_order(lines, F.coalesce(net_price("l_extendedprice", "l_discount"), F.lit(0)))
     sums = (orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
             .groupBy("o_custkey")
             .agg(F.sum("line_count").alias("line_count"), F.sum("amount").alias("revenue")))
@@ -78,7 +87,8 @@ def r2_summary(t: Tables, customer_id: int | None = None) -> DataFrame:
 def r3(t: Tables, customer_id: int | None = None) -> DataFrame:
     """Order count and value by status."""
     return (_pick(t["orders"], "o_custkey", customer_id)
-            .groupBy(F.col("o_custkey").alias("customer_id"), F.col("o_orderstatus").alias("status"))
+            .groupBy(F.col("o_custkey").alias("customer_id"),
+                     F.col("o_orderstatus").alias("status"))
             .agg(F.count(F.lit(1)).alias("order_count"),
                  F.sum(money("o_totalprice")).alias("total_value")))
 
@@ -100,8 +110,8 @@ def r4_count(t: Tables, low: int | None = None, high: int | None = None) -> Data
 
 def order_revenue(t: Tables, low: int | None = None, high: int | None = None) -> DataFrame:
     """Gross revenue per order, unordered."""
-    per_order = _per_order(t, gross_price("l_extendedprice", "l_discount", "l_tax"))
-    orders = _pick(t["orders"], "o_custkey", None, low, high)
+    orders, lines = _orders_and_lines(t, None, low, high)
+    per_order = _per_order(lines, gross_price("l_extendedprice", "l_discount", "l_tax"))
     return (orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
             .join(_pick(t["customer"], "c_custkey", None, low, high),
                   F.col("o_custkey") == F.col("c_custkey"))

@@ -92,7 +92,8 @@ def k5_first(wide: DataFrame, customer_id: int | None = None, k: int = 5) -> Dat
     return (order_revenue(wide, customer_id)
             .withColumn("position", F.row_number().over(by_key))
             .where(F.col("position") <= k)
-            .select("customer_id", "position", "order_id", cents(F.col("revenue")).alias("revenue")))
+            .select("customer_id", "position", "order_id",
+                    cents(F.col("revenue")).alias("revenue")))
 
 
 def k5_text(wide: DataFrame, customer_id: int | None = None, k: int = 5) -> DataFrame:

@@ -117,7 +117,7 @@ LOG_COLUMNS = {
 }
 
 # The queries being compared. Labels equal those in the request log.
-CATALOGUE_COLUMNS = ("query_id", "title", "system", "label", "differs")
+CATALOGUE_SCHEMA = "query_id string, title string, system string, label string, differs boolean"
 CATALOGUE = [
     ("Q1", "Read customer by ID", "Cassandra", "Cassandra Q1 - Read Customer by ID", False),
     ("Q1", "Read customer by ID", "MongoDB", "MongoDB Q1 - Read Customer by ID", False),

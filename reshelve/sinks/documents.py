@@ -41,10 +41,10 @@ def write_documents(docs: Documents, path: str, fmt: str = "parquet",
     """Replace the collection with these documents.
 
     The documents are written once as Parquet (``staged``) with their size and sorted by
-    customer, which also cuts their lineage, and split from there. ``rejected`` lists what was set aside and why,
-    ``rejected_rows`` keeps its order lines. With ``connector`` options the accepted documents
-    go to the store the format names, otherwise to files. A ``batch_size`` limits the documents
-    per file, for loaders that insert file by file.
+    customer, which also cuts their lineage, and split from there. ``rejected`` lists what was
+    set aside and why, ``rejected_rows`` keeps its order lines. With ``connector`` options the
+    accepted documents go to the store the format names, otherwise to files. A ``batch_size``
+    limits the documents per file, for loaders that insert file by file.
     """
     spark = docs.bounded.sparkSession
     staged = f"{path}/staged"

@@ -10,9 +10,10 @@ from checks import adapters
 from conftest import plan
 from fixtures import line, order, tables
 from reshelve.operators.document import nest_documents
+from reshelve.operators import narrow
 from reshelve.operators.prepare import clean, enrich
 from reshelve.operators.wide import to_wide, upsert
-from reshelve.plans import document, latency, relational, wide
+from reshelve.plans import batch, document, latency, relational, wide
 
 
 @contextlib.contextmanager
@@ -41,24 +42,50 @@ def scans(df) -> list[str]:
     return [text for text in plan(df).split("\n") if "FileScan" in text]
 
 
+def scans_of(df, table) -> list[str]:
+    found = [text for text in scans(df) if f"/{table}.parquet" in text]
+    assert found
+    return found
+
+
 def scan_of(df, table) -> str:
-    [found] = [text for text in scans(df) if f"/{table}.parquet" in text]
+    [found] = scans_of(df, table)
     return found
 
 
 def test_a_customer_id_reaches_every_scan(source):
     for query in (relational.r2, relational.r2_summary):
         df = query(source, 7)
-        assert "EqualTo(c_custkey,7)" in scan_of(df, "customer")
-        assert "EqualTo(o_custkey,7)" in scan_of(df, "orders")
+        assert all("EqualTo(c_custkey,7)" in text for text in scans_of(df, "customer"))
+        assert all("EqualTo(o_custkey,7)" in text for text in scans_of(df, "orders"))
     assert "EqualTo(o_custkey,7)" in scan_of(relational.r3(source, 7), "orders")
 
 
 def test_an_id_range_reaches_both_scans(source):
     df = relational.r5(source, 100, 110)
     for table, key in (("customer", "c_custkey"), ("orders", "o_custkey")):
-        assert f"GreaterThanOrEqual({key},100)" in scan_of(df, table)
-        assert f"LessThanOrEqual({key},110)" in scan_of(df, table)
+        for text in scans_of(df, table):
+            assert f"GreaterThanOrEqual({key},100)" in text
+            assert f"LessThanOrEqual({key},110)" in text
+
+
+def test_lines_are_narrowed_before_their_shuffle(spark, source, monkeypatch):
+    params = spark.createDataFrame([(0, 7, 100, 110)], "sample_id bigint, customer_id bigint, "
+                                                       "revenue_start bigint, revenue_end bigint")
+    queries = [lambda: relational.r2(source, 7), lambda: relational.r2_summary(source, 7),
+               lambda: relational.r5(source, 100, 110), lambda: batch.r2(params, source),
+               lambda: batch.r5(params, source)]
+    answers = []
+    with settings(spark, **NO_BROADCAST):
+        for query in queries:
+            text = plan(query())
+            above_scan = text[:text.index("/lineitem.parquet")].split("Exchange hashpartitioning")[-1]
+            assert "LeftSemi" in above_scan and "BroadcastHashJoin" in above_scan
+            answers.append(sorted(map(str, query().collect())))
+        monkeypatch.setattr(narrow, "BROADCAST_KEYS", 0)
+        for query, answer in zip(queries, answers):
+            assert "BroadcastHashJoin" not in plan(query())
+            assert sorted(map(str, query().collect())) == answer
 
 
 def test_only_the_needed_columns_are_read(source):
@@ -121,7 +148,8 @@ def skewed(spark, tmp_path_factory):
         F.when(F.col("id") % 3 == 0, 5).otherwise(F.xxhash64("id") % 4000 + 4000)
         .alias("l_orderkey"), F.col("id").cast("int").alias("l_linenumber"),
         F.lit(1.0).alias("l_quantity"), (F.col("id") % 977 + 0.25).alias("l_extendedprice"),
-        F.lit(0.1).alias("l_discount"), F.lit(0.05).alias("l_tax"), F.lit("R").alias("l_returnflag"),
+        F.lit(0.1).alias("l_discount"), F.lit(0.05).alias("l_tax"),
+        F.lit("R").alias("l_returnflag"),
         F.lit("O").alias("l_linestatus"), F.lit("1996-03-13").cast("date").alias("l_shipdate"),
         F.lit("1996-03-13").cast("date").alias("l_commitdate"),
         F.lit("1996-03-13").cast("date").alias("l_receiptdate"))

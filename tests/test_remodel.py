@@ -203,7 +203,12 @@ def test_ids_beyond_32_bits(spark, odd):
     assert to_wide(rows).first().order_id == large
     with pytest.raises(Exception, match="OVERFLOW"):
         to_wide(rows, STORE_SCHEMA).collect()
-    assert to_wide(enrich(odd), STORE_SCHEMA).schema["order_id"].dataType.simpleString() == "int"
+    small = to_wide(enrich(odd))
+    for narrow in (to_wide(enrich(odd), STORE_SCHEMA), conform(small, STORE_SCHEMA)):
+        assert narrow.schema["order_id"].dataType.simpleString() == "int"
+        assert keys(narrow) == keys(small)
+    with pytest.raises(Exception, match="OVERFLOW"):
+        conform(to_wide(rows), STORE_SCHEMA).collect()
 
 
 def test_clustering_keeps_rows(enriched):
