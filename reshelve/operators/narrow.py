@@ -14,8 +14,7 @@ def checked_broadcast(keys: DataFrame) -> DataFrame:
     Size estimates know nothing of how few keys a lookup leaves, and by the time adaptive
     execution sees it the large side is already being shuffled.
     """
-    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    return F.broadcast(keys) if few else keys
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
 def lines_of(orders: DataFrame, lineitem: DataFrame) -> DataFrame:

@@ -91,6 +91,33 @@ def wide_schema(id_type: T.DataType) -> T.StructType:
     ])
 
 
+def document_schema(amount: T.DataType = MONEY, key: T.DataType = T.LongType()) -> T.StructType:
+    """The stored customer document. Amounts and ids keep the type they have in the source."""
+    line = T.StructType([
+        T.StructField("line_number", T.IntegerType()),
+        *[T.StructField(name, amount)
+          for name in ("quantity", "extended_price", "discount", "tax")],
+        T.StructField("return_flag", T.StringType()),
+        T.StructField("line_status", T.StringType()),
+        *[T.StructField(name, T.TimestampNTZType())
+          for name in ("ship_date", "commit_date", "receipt_date")],
+    ])
+    order = T.StructType([
+        T.StructField("order_id", key),
+        T.StructField("status", T.StringType()),
+        T.StructField("total_price", amount),
+        T.StructField("order_date", T.TimestampNTZType()),
+        T.StructField("lineitems", T.ArrayType(line)),
+    ])
+    return T.StructType([
+        T.StructField("customer_id", key),
+        T.StructField("name", T.StringType()),
+        T.StructField("nation", T.StringType()),
+        T.StructField("region", T.StringType()),
+        T.StructField("orders", T.ArrayType(order)),
+    ])
+
+
 # Order keys pass 32 bits at a few hundred gigabytes of orders, so ids are kept in 64 bits.
 # A store whose table declares 32-bit ids takes STORE_SCHEMA, where an id that does not fit
 # is an error.

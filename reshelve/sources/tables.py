@@ -15,10 +15,10 @@ Tables = dict[str, DataFrame]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path is there, on any file system Hadoop knows."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    """Whether a path or pattern finds anything, on any file system Hadoop knows."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(target))
 
 
 def read_if_present(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:

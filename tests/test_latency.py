@@ -261,6 +261,13 @@ def test_log_columns_are_matched_by_name(spark, tmp_path):
     assert stats[""].errors == 1
 
 
+def test_a_log_may_be_many_files(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_text(f"label,elapsed\n{name},1\n")
+    assert read_log(spark, f"{tmp_path}/*.csv").count() == 2
+    assert read_log(spark, f"{tmp_path}/*.gone").count() == 0
+
+
 def test_missing_log_is_empty(spark, tmp_path, caplog):
     log = read_log(spark, str(tmp_path / "none.csv"))
     assert "not found" in caplog.text

@@ -4,6 +4,7 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
+from pyspark.sql.types import DoubleType
 from fixtures import line, odd_tables, order, tables
 
 from conftest import plan
@@ -13,6 +14,7 @@ from reshelve.operators.prepare import enrich
 from reshelve.operators.wide import bucket_of, buckets_for, to_wide
 from reshelve.plans import document, pipeline, wide
 from reshelve.plans.pipeline import STAGES, StageError, check_stages, choose_stages
+from reshelve.schema import document_schema
 from reshelve.session import BYTES_PER_SHUFFLE_TASK, configure, shared_folder
 from reshelve.sinks.documents import LoadCounts, write_documents
 from reshelve.sinks.staged import stage, write_report
@@ -75,7 +77,9 @@ def test_documents_are_written_and_read_back(spark, enriched, tmp_path, fmt):
     for _ in range(2):
         counts = write_documents(docs, str(tmp_path), fmt)
     assert counts == LoadCounts(5, 5, 0)
-    schema = spark.read.parquet(f"{tmp_path}/staged").drop("document_bytes").schema
+    schema = document_schema(DoubleType())
+    written = spark.read.parquet(f"{tmp_path}/staged").drop("document_bytes").schema
+    assert written.simpleString() == schema.simpleString()
     stored = read_documents(spark, str(tmp_path), fmt, schema)
     assert rows_of(document.d5(stored)) == rows_of(document.d5(docs))
     assert rows_of(document.d3(stored)) == rows_of(document.d3(docs))
