@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from reshelve.llm.embedding_dedup import op3_embedding_dedup
 from reshelve.llm.fingerprint import op1_fingerprint
+from reshelve.llm.html_text import op8_html_text
+from reshelve.llm.near_dedup import op2_near_dedup
+from reshelve.llm.pieces import op7_pieces
+from reshelve.llm.quality import op5_quality
+
+QUERIES = (op1_fingerprint, op2_near_dedup, op3_embedding_dedup, op5_quality, op7_pieces,
+           op8_html_text)
 
 
 def registered():
-    return {"op1_fingerprint": op1_fingerprint}
+    return {query.__name__: query for query in QUERIES}
 
 
 def statements():
