@@ -1,13 +1,59 @@
-"""The corpus pipeline: from raw documents to shuffled, tokenised training text."""
+"""The corpus pipeline: from raw documents to shuffled, tokenised training text.
+
+Each stage calls one operator over all that the stage before kept. All but the last return the
+columns of `documents`.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from reshelve.llm import line_dedup, mixing, near_dedup, pieces, quality
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    """The columns of documents, with the length of the text as it is now."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.keep(docs, model).select(*COLUMNS)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without chunks of lines that stand in an earlier one."""
+    return _sized(line_dedup.remove_repeated(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_dedup.deduplicate(docs).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated so that sources have their target weights, in a shuffled order."""
+    return mixing.mix(docs).select(*COLUMNS)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the ids of their pieces."""
+    return pieces.encode(docs.select(*COLUMNS), pieces.read_vocabulary())
+
 
-STAGES = []
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("line dedup", drop_repeated_lines),
+    ("SimHash near-dedup", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding", encode_pieces),
+]
 
-# The stages are a trained model, hashing and tokenising, none of which SQL expresses; the
-# tests compare every stage with a brute-force version instead.
+# A trained model, byte comparison of chunks, fingerprints and tokenising are beyond SQL; the
+# tests compare the stages with brute-force versions instead.
 ORACLE_SQL = None
 
 

@@ -26,8 +26,14 @@ def unite(parent: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
             parent[:] = above
 
 
-def _mark(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether every node has one parent at most and no parent has one itself."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above"))))
+        .alias("end")).select("end.*")
+    sums = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return sums.where("below > 1 or below = 1 and above = 1").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -48,21 +54,16 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     """(node, component) of every node that has an edge to another; the least node names it.
 
     Alternates large and small star steps, which link every node to the least one it knows,
-    until nothing changes. Least neighbours are aggregated before they are shuffled and joined
+    until all edges lead to roots. Least neighbours are aggregated before they are shuffled and joined
     back, so a node with very many neighbours is split as a skewed join. Each round is written
     to the shared checkpoint folder.
     """
     edges = edges.where(F.col(left) != F.col(right)).select(
-        F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).distinct()
-    edges = edges.checkpoint()
-    before = _mark(edges)
+        F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).distinct().checkpoint()
     for _ in range(MOST_ROUNDS):
-        edges = _large_star(edges).distinct()
-        edges = _small_star(edges).distinct().checkpoint()
-        now = _mark(edges)
-        if now == before:
+        edges = _small_star(_large_star(edges)).distinct().checkpoint()
+        if _is_settled(edges):
             least = edges.select(F.col("v").alias("node")).distinct()
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 least.select("node", F.col("node").alias("component")))
-        before = now
     raise RuntimeError("the groups did not settle")

@@ -6,6 +6,11 @@ up to `radius` differing bits leave some vector orthogonal to all of them, and u
 two fingerprints are equal. So fingerprints within the radius always meet in some table, and no
 link is lost.
 
+`groups` votes with the hashes of three-word shingles. `deduplicate` is meant for copies with a few
+words changed, five-word shingle similarity of 0.8 and more, which change too many of those: it
+votes with the words themselves, weighted by length and the root of their count, as long words
+are rare, and links two texts when any of three such fingerprints is within four bits.
+
 Results in odd cases:
 
 * A null text is an empty one. Texts without words have the fingerprint zero and link like others.
@@ -20,6 +25,8 @@ Results in odd cases:
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 from itertools import islice
 
@@ -38,6 +45,10 @@ RADIUS = 3
 # Hashes voted on at once, and fingerprints of a bucket that one task compares with as many.
 CHUNK = 1 << 16
 BLOCK = 2048
+# The fingerprints of `deduplicate`: how many, and within how many bits one of them must be.
+PARTS = 3
+NEAR_RADIUS = 4
+STEP = 0x9E3779B97F4A7C15
 
 
 def simhash(text: str, words: int = WORDS, seed: int = SEED) -> int:
@@ -55,10 +66,32 @@ def simhash(text: str, words: int = WORDS, seed: int = SEED) -> int:
     return int(np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0])
 
 
-@F.pandas_udf(T.LongType())
-def simhash_column(texts: pd.Series) -> pd.Series:
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def shingle_prints(texts: pd.Series) -> pd.Series:
     prints = np.fromiter((simhash(t) for t in texts), np.uint64, len(texts))
-    return pd.Series(prints.view(np.int64))
+    return pd.Series([p[None] for p in prints.view(np.int64)], dtype=object)
+
+
+def weighted_simhash(text: str, parts: int = PARTS) -> np.ndarray:
+    """Fingerprints of the words of a text, each from another mixture of the words' hashes."""
+    votes = np.zeros((parts, BITS), np.float64)
+    counts = iter(Counter(text.encode("utf-8", "surrogatepass").lower().split()).items())
+    while chunk := list(islice(counts, CHUNK)):
+        weight = np.array([len(w) * math.sqrt(n) for w, n in chunk], np.float32)
+        own = np.array([xxhash.xxh64_intdigest(w, SEED) for w, _ in chunk], "<u8")
+        for part in range(parts):
+            mixed = own + np.uint64(part * STEP & (1 << 64) - 1)
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                mixed = (mixed ^ mixed >> np.uint64(shift)) * np.uint64(factor)
+            octets = (mixed ^ mixed >> np.uint64(31)).view(np.uint8).reshape(-1, 8)
+            bits = np.unpackbits(octets, axis=1, bitorder="little").astype(np.float32)
+            votes[part] += weight @ (2 * bits - 1)
+    return np.packbits(votes > 0, axis=1, bitorder="little").view("<u8").ravel()
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def word_prints(texts: pd.Series) -> pd.Series:
+    return pd.Series([weighted_simhash(t).view(np.int64) for t in texts], dtype=object)
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:
@@ -93,9 +126,10 @@ def _linker(radius: int):
 
         def linked(rows: pd.DataFrame, run: np.ndarray) -> pd.DataFrame:
             prints = rows["fingerprint"].to_numpy().astype(np.int64)
+            nodes = rows["node"].to_numpy()
             parent = link_runs(run, prints.view(np.uint64), radius)
-            other = parent != np.arange(len(parent))
-            return pd.DataFrame({"a": prints[other], "b": prints[parent[other]]})
+            other = nodes[parent] != nodes
+            return pd.DataFrame({"a": nodes[other], "b": nodes[parent[other]]})
 
         held = None
         for rows in batches:
@@ -115,46 +149,50 @@ def _linker(radius: int):
 
 
 def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) that connect exactly the distinct fingerprints connected within the radius.
+    """Edges (a, b) that connect exactly the nodes connected by some part within the radius.
 
-    Buckets with one fingerprint are dropped by a count. A bucket is cut into blocks, and each
-    pair of blocks is compared where it lands, so no task holds more than two blocks of a bucket
-    however large it is. A task returns a forest of its links, not all pairs.
+    `prints` has a row per node with its `parts`, one fingerprint or several. Buckets with one
+    node are dropped by a count. A bucket is cut into blocks, and each pair of blocks is compared
+    where it lands, so no task holds more than two blocks of a bucket however large it is. A task
+    returns a forest of its links, not all pairs.
     """
-    masks = covering_masks(radius)
-    keyed = prints.select("fingerprint", F.posexplode(F.array(
-        *[F.col("fingerprint").bitwiseAND(F.lit(signed(m))) for m in masks])).alias("t", "k"))
+    masks = [signed(m) for m in covering_masks(radius)]
+    keyed = prints.select("node", F.posexplode("parts").alias("part", "fingerprint")).select(
+        "node", "part", "fingerprint", F.posexplode(F.array(
+            *[F.col("fingerprint").bitwiseAND(F.lit(m)) for m in masks])).alias("t", "k"))
+    keyed = keyed.select("node", "fingerprint", "k", (
+        F.col("part") * len(masks) + F.col("t")).alias("t"))
     shared = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / block).cast("int")
     rows = keyed.join(shared, ["t", "k"]).select(
-        "t", "k", "fingerprint", blocks.alias("blocks"),
-        F.pmod(F.xxhash64("fingerprint"), blocks).cast("int").alias("own"))
-    rows = rows.select("t", "k", "fingerprint", "own", F.explode(
+        "t", "k", "node", "fingerprint", blocks.alias("blocks"),
+        F.pmod(F.xxhash64("node"), blocks).cast("int").alias("own"))
+    rows = rows.select("t", "k", "node", "fingerprint", "own", F.explode(
         F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("t", "k", F.least("own", "other").alias("i"),
-                       F.greatest("own", "other").alias("j"), "fingerprint")
+                       F.greatest("own", "other").alias("j"), "node", "fingerprint")
     return (rows.repartition("t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j")
             .mapInPandas(_linker(radius), "a long, b long"))
 
 
-def groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fingerprint, component_id): the fingerprint as a signed number, the group by
-    its least id."""
-    prints = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                         simhash_column(text_or_empty("text")).alias("fingerprint")).checkpoint()
-    distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-    found = components(links(distinct, radius))
-    named = distinct.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    named = named.select("fingerprint", "least", F.coalesce(
-        "component", "fingerprint").alias("component"))
+def groups(docs: DataFrame, radius: int = RADIUS, prints=shingle_prints) -> DataFrame:
+    """(doc_id, parts, component_id): the fingerprints as signed numbers, the group by its least
+    id. Texts with the same fingerprints are compared once."""
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                        prints(text_or_empty("text")).alias("parts")).checkpoint()
+    distinct = found.groupBy("parts").agg(F.min("doc_id").alias("least"))
+    distinct = distinct.withColumn("node", F.monotonically_increasing_id()).checkpoint()
+    linked = components(links(distinct, radius))
+    named = distinct.join(linked, "node", "left").select(
+        "parts", "least", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = named.join(least, "component").select("parts", "component_id")
+    return found.join(named, "parts").select("doc_id", "parts", "component_id")
 
 
-def deduplicate(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def deduplicate(docs: DataFrame, radius: int = NEAR_RADIUS, prints=word_prints) -> DataFrame:
     """One document of each group, that with the least id, with all its columns."""
-    kept = groups(docs, radius).where("doc_id = component_id").select(
+    kept = groups(docs, radius, prints).where("doc_id = component_id").select(
         F.col("doc_id").alias("__kept")).distinct()
     found = docs.join(kept, docs["doc_id"] == kept["__kept"]).drop("__kept")
     return found.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
@@ -163,5 +201,5 @@ def deduplicate(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The fingerprint and group of every document."""
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    return groups(docs).select("doc_id", hex_of(F.col("fingerprint")).alias("fingerprint"),
+    return groups(docs).select("doc_id", hex_of(F.col("parts")[0]).alias("fingerprint"),
                                "component_id")
