@@ -68,16 +68,21 @@ def _repeatable(text: str) -> Iterator[tuple[int, str]]:
                 yield number, joined
 
 
-def _hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+def _hash(text: str, bits: int) -> int:
+    own = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+    return (own >> (64 - bits)) - (1 << 63)
 
 
-def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in batches:
-        yield pd.DataFrame(
-            [(key, mark, number, _hash(chunk))
-             for key, mark, text in zip(rows["key"], rows["mark"], rows["text"])
-             for number, chunk in _repeatable(text)], columns=["key", "mark", "number", "hash"])
+def _hasher(bits: int):
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield pd.DataFrame(
+                [(key, mark, number, _hash(chunk, bits))
+                 for key, mark, text in zip(rows["key"], rows["mark"], rows["text"])
+                 for number, chunk in _repeatable(text)],
+                columns=["key", "mark", "number", "hash"])
+
+    return hashed
 
 
 def _fetched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -86,9 +91,9 @@ def _fetched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for key, mark, text, wanted in zip(rows["key"], rows["mark"], rows["text"],
                                            rows["numbers"]):
             wanted = set(wanted.tolist())
-            found += [(key, mark, number, _hash(chunk), chunk)
+            found += [(key, mark, number, chunk)
                       for number, chunk in _repeatable(text) if number in wanted]
-        yield pd.DataFrame(found, columns=["key", "mark", "number", "hash", "chunk"])
+        yield pd.DataFrame(found, columns=["key", "mark", "number", "chunk"])
 
 
 @F.pandas_udf(T.StructType().add("text", "string").add("n_lines", "integer")
@@ -107,20 +112,22 @@ def _without(texts: pd.Series, numbers: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["text", "n_lines", "n_removed"])
 
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """(key, mark, numbers): the chunks to remove of each document that has any."""
+def repeated(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
+    """(key, mark, numbers): the chunks to remove of each document that has any.
+
+    Chunks with a hash of their own are dropped by a count. Only the others' texts are fetched
+    and grouped as texts, which is the byte comparison.
+    """
     texts = docs.where("text is not null").select(*_identity(), "text")
-    places = texts.mapInPandas(_hashed, "key long, mark long, number int, hash long")
+    places = texts.mapInPandas(_hasher(hash_bits), "key long, mark long, number int, hash long")
     places = places.distinct().checkpoint()
     shared = places.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     wanted = places.join(shared.select("hash"), "hash").groupBy("key", "mark").agg(
         F.collect_list("number").alias("numbers"))  # no more than the chunks of one document
     fetched = texts.join(wanted, ["key", "mark"]).mapInPandas(
-        _fetched, "key long, mark long, number int, hash long, chunk string").checkpoint()
-    first = fetched.groupBy("hash", "chunk").agg(
-        F.min(F.struct("key", "mark", "number")).alias("first"))
-    gone = fetched.join(first, ["hash", "chunk"]).where(
-        F.struct("key", "mark", "number") != F.col("first"))
+        _fetched, "key long, mark long, number int, chunk string").checkpoint()
+    first = fetched.groupBy("chunk").agg(F.min(F.struct("key", "mark", "number")).alias("first"))
+    gone = fetched.join(first, "chunk").where(F.struct("key", "mark", "number") != F.col("first"))
     return gone.groupBy("key", "mark").agg(F.collect_set("number").alias("numbers"))
 
 
@@ -129,9 +136,9 @@ def _identity():
             F.xxhash64("text").alias("mark"))
 
 
-def remove_repeated(docs: DataFrame) -> DataFrame:
+def remove_repeated(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     """All columns, the text without repeated chunks, and its lines and how many were removed."""
-    gone = repeated(docs).select(F.col("key").alias("__key"), F.col("mark").alias("__mark"),
+    gone = repeated(docs, hash_bits).select(F.col("key").alias("__key"), F.col("mark").alias("__mark"),
                                  F.col("numbers").alias("__numbers"))
     key, mark = _identity()
     rows = docs.drop("n_lines", "n_removed").withColumns({"__key": key, "__mark": mark})

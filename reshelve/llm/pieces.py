@@ -98,6 +98,12 @@ class Transducer:
         self.ids = {v.pieces[i]: i for i in usable}
         self.weight = {v.pieces[i]: -v.scores[i] for i in usable}
         self.longest = max(map(len, self.ids), default=1)
+        self.trie: dict = {}
+        for piece in self.ids:
+            node = self.trie
+            for character in piece:
+                node = node.setdefault(character, {})
+            node[""] = piece
         self.bytes = {int(v.pieces[i][3:-1], 16): i for i, kind in enumerate(v.types)
                       if kind == BYTE}
         self.byte_of = {i: b for b, i in self.bytes.items()}
@@ -151,31 +157,45 @@ class Transducer:
             end -= len(last[end])
         return found[::-1]
 
+    def _arcs(self, text: str, start: int) -> list[str]:
+        """The arcs that leave a position, shortest first; a character without piece has one."""
+        node, found = self.trie, []
+        for character in text[start:start + self.longest]:
+            node = node.get(character)
+            if node is None:
+                break
+            if "" in node:
+                found.append(node[""])
+        if not found or len(found[0]) > 1:
+            found.insert(0, text[start])
+        return found
+
     def _finite(self, text: str) -> list[str]:
         """The pieces of the only finite path: arcs are tried depth first, the longest before
         others, and those that led nowhere are not tried again."""
-        ids, whole, pairs, size = self.ids, self.whole, self.pairs, len(text)
-        path, ends, dead = [""], [0], set()
-        lengths = [min(self.longest, size)]
-        while ends[-1] < size:
-            start, last, length = ends[-1], path[-1], lengths[-1]
-            while length:
-                piece = text[start:start + length]
-                if (piece in ids or length == 1) and (start, length) not in dead and (
-                        pairs[last, piece] if start else whole[piece]):
+        whole, pairs, size = self.whole, self.pairs, len(text)
+        path: list[str] = []
+        at, last, dead = 0, "", set()
+        open_ = [self._arcs(text, 0)]
+        while at < size:
+            arcs = open_[-1]
+            while arcs:
+                piece = arcs.pop()
+                if (pairs[last, piece] if at else whole[piece]) and \
+                        not (dead and (at, piece) in dead):
+                    path.append(piece)
+                    at += len(piece)
+                    last = piece
+                    if at < size:
+                        open_.append(self._arcs(text, at))
                     break
-                length -= 1
-            if length:
-                lengths[-1] = length - 1
-                path.append(piece)
-                ends.append(start + length)
-                lengths.append(min(self.longest, size - start - length))
             else:
-                dead.add((start - len(last), len(last)))
+                open_.pop()
                 path.pop()
-                ends.pop()
-                lengths.pop()
-        return path[1:]
+                at -= len(last)
+                dead.add((at, last))
+                last = path[-1] if path else ""
+        return path
 
     def written(self, piece: str) -> list[int]:
         """The ids an arc writes: that of its piece, else its bytes, else the unknown one."""
