@@ -1,0 +1,108 @@
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from reshelve.llm import fingerprint as fp
+from conftest import plan
+
+MASK = (1 << 64) - 1
+
+
+def spark_hash(words):
+    """XXH64 chained over the strings, as a signed-hash column chains them."""
+    import xxhash
+    seed = 42
+    for w in words:
+        seed = xxhash.xxh64_intdigest(w.encode(), seed)
+    return seed
+
+
+def plain(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
+    hashes = [spark_hash(words[i:i + 2]) for i in range(len(words))]
+    return sum(1 << b for b in range(64)
+               if 2 * sum(h >> b & 1 for h in hashes) > len(hashes) and hashes)
+
+
+def test_fingerprints_equal_plain_votes(spark, given):
+    rows = spark.createDataFrame(given[:40] + [(900, ""), (901, " \t "), (902, "One")],
+                                 "doc_id long, text string")
+    found = {r.doc_id: r.fingerprint & MASK
+             for r in fp.fingerprints(rows, ["doc_id"], "text").collect()}
+    assert found == {i: plain(t) for i, t in given[:40]} | {900: 0, 901: 0, 902: plain("one")}
+
+
+def test_any_differing_bits_leave_a_table_equal():
+    masks = fp.block_masks(3, 6)
+    assert len(masks) == 20
+    pick = random.Random(1)
+    for _ in range(500):
+        bits = sum(1 << b for b in pick.sample(range(64), 3))
+        assert any(not bits & m for m in masks)
+    with pytest.raises(ValueError):
+        fp.block_masks(4, 4)
+
+
+def test_within_radius_equals_all_pairs(spark):
+    pick = random.Random(2)
+    seeds = [pick.getrandbits(64) for _ in range(30)]
+    values = set(seeds)
+    for s in seeds:
+        for n in (1, 3, 3, 4):
+            values.add(s ^ sum(1 << b for b in pick.sample(range(64), n)))
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    rows = spark.createDataFrame([(v,) for v in signed * 2] + [(None,)], "fingerprint long")
+    found = fp.within_radius(rows.where("fingerprint % 2 = 0"), rows)
+    expected = {(a, b, ((a ^ b) & MASK).bit_count()) for a in signed for b in signed
+                if a % 2 == 0 and ((a ^ b) & MASK).bit_count() <= 3}
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(expected) and set(got) == expected
+
+
+def test_query_rows_and_edits(spark, folder, given):
+    rows = {r.doc_id: r for r in fp.op1_fingerprint(spark, folder).collect()}
+    ids = sorted(i for i, _ in given)
+    text = dict(given)
+    assert sorted(rows) == ids
+    for i, following in zip(ids, ids[1:] + ids[:1]):
+        t, n = text[i], text[following]
+        half = len(t) // 2
+        changed = t[:len(t) - half] + n[:half]
+        assert rows[i].n_chars == len(t)
+        assert rows[i].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        prints = [int(rows[i].fingerprint, 16), int(rows[i].edited_fingerprint, 16),
+                  int(rows[following].fingerprint, 16)]
+        assert prints[0] == plain(t) if i < 20 else True
+        assert rows[i].near_edited == 1 - (prints[0] ^ prints[1]).bit_count() / 64
+        assert rows[i].near_next == 1 - (prints[0] ^ prints[2]).bit_count() / 64
+    near = {i: sum((int(r.fingerprint, 16) ^ int(rows[i].fingerprint, 16)).bit_count() <= 3
+                   for r in rows.values()) for i in ids if i % 100 == 0}
+    assert {i: r.n_near for i, r in rows.items() if r.n_near is not None} == near
+
+
+@pytest.mark.parametrize("size", [1, 2, 40])
+def test_next_text_over_bucket_borders(spark, docs_of, monkeypatch, size):
+    monkeypatch.setattr(fp, "BUCKET_ROWS", size)
+    pairs = [(i * i * 7, f"text {i}") for i in range(25)] + [(None, "no id")]
+    rows = [r for r in fp.with_next(docs_of(pairs, bucket=1, place=2)).collect() if not r.guest]
+    found = {r.doc_id: r.next_text for r in rows}
+    ordered = sorted(p for p in pairs if p[0] is not None)
+    assert found == {i: n for (i, _), (_, n) in zip(ordered, ordered[1:] + ordered[:1])} | {
+        None: None}
+
+
+def test_empty_and_single(spark, docs_of):
+    assert fp.with_next(docs_of([])).count() == 0
+    single = [r for r in fp.with_next(docs_of([(5, None)])).collect() if not r.guest]
+    assert [(r.doc_id, r.text, r.next_text) for r in single] == [(5, "", "")]
+
+
+def test_no_python_on_the_way(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    text = plan(fp.fingerprints(fp.with_next(docs), ["bucket", "place"], "text"))
+    assert "Python" not in text and "Cartesian" not in text
+    assert text.count("Exchange hashpartitioning(bucket") == 1
+    assert fp.edited(F.lit("abcde"), F.lit("xyz")) is not None
