@@ -6,7 +6,7 @@ call, by Kahn's method: each round places the calls all of whose references are
 are checked against the schema of their tool, and every row is written as canonical JSON: keys
 sorted, no white space, whole numbers without a fraction.
 
-The result has a row per message, call and result. Within a conversation, `place`, `turn`, `part`
+The result has a row per message, call and result. Within a conversation, `place`, `part`, `turn`
 and `json` give the order; rows are range-partitioned and sorted by them, so a conversation of any
 size is split over tasks.
 
@@ -217,7 +217,7 @@ def format_chat(messages: DataFrame, calls: DataFrame, results: DataFrame,
         F.lit(None).cast("string").alias("call_id"), F.lit("ok").alias("status"),
         none.alias("errors"),
         _json(role=quoted("role"), content=quoted("text")).alias("json"))
-    order = ["conv_id", "place", "turn", "part", "json"]
+    order = ["conv_id", "place", "part", "turn", "json"]
     return plain.union(written).union(answers).repartitionByRange(*order).sortWithinPartitions(
         *order)
 

@@ -63,7 +63,7 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None,
         counts = counts.join(given, F.col("source").eqNullSafe(F.col("key"))).drop("key")
     counts = counts.checkpoint()
     documents, total = counts.agg(F.sum("n"), F.sum("w")).first()
-    if not total:
+    if not total:  # no documents, or none in a source with a weight
         return counts.select("source", F.lit(0.0).alias("rate"))
     size = float(documents if size is None else size)
     return counts.select("source", (F.lit(size) * F.col("w") / F.lit(total) / F.col("n"))
@@ -77,7 +77,8 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None,
     as many as the input has in the sources with a weight unless it is given."""
     found = rates(docs, weights, temperature, size).withColumnRenamed("source", "__source")
     found = found.select("__source", "rate", _steps("rate").alias("__steps")).checkpoint()
-    sources, steps = found.agg(F.count(F.lit(1)), F.sum(F.size("__steps"))).first()
+    sources, steps = found.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.size("__steps")), F.lit(0))).first()
     found = found.drop("rate")
     key = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
     same = F.col("source").eqNullSafe(F.col("__source"))
