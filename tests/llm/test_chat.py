@@ -19,8 +19,7 @@ def tables(spark, messages=(), calls=(), results=()):
 
 def rows(spark, **given):
     found = c.format_chat(*tables(spark, **given), {"find": SCHEMA}).collect()
-    return sorted(found, key=lambda r: (r.conv_id is not None, r.conv_id, r.place, r.turn, r.part,
-                                        r.json))
+    return found
 
 
 @pytest.mark.parametrize("value, text", [
@@ -43,14 +42,16 @@ def test_violations():
 
 
 def test_results_follow_calls_and_references(spark):
-    found = rows(spark, messages=[(1, 0, "user", "hi")], calls=[
+    given = tables(spark, messages=[(1, 0, "user", "hi")], calls=[
         (1, 1, "late", "find", '{"q": "x", "of": {"$result": "early"}}'),
         (1, 3, "early", "find", '{"n": 2.0, "q": "y"}'),
         (1, 2, "last", "find", '{"q": "z", "of": [{"$result": "late"}, {"$result": "early"}]}'),
     ], results=[(1, 0, "early", "r1"), (1, 9, "late", "r2"), (1, 4, "early", "again")])
+    schemas = {"find": SCHEMA}
+    found = c.format_chat(*given, schemas).collect()
     order = [(r.part, r.call_id, r.place) for r in found]
     assert order == [(0, None, 0), (1, "early", 3), (2, "early", 3), (2, "early", 4),
-                     (1, "late", 5), (2, "late", 9), (1, "last", 10)]
+                     (1, "late", 5), (2, "late", 9), (1, "last", 10)]  # also the files' order
     assert [r.status for r in found] == ["ok"] * 6 + ["no_result"]
     assert found[1].json == ('{"role":"assistant","tool_call":{"arguments":{"n":2,"q":"y"},'
                              '"id":"early","name":"find"}}')

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from brute import grouped
+from llm.brute import grouped
 from reshelve.llm import embedding_dedup as ed
 
 

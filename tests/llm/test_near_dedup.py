@@ -4,7 +4,7 @@ import re
 import numpy as np
 import xxhash
 
-from brute import grouped
+from llm.brute import grouped
 from reshelve.llm import near_dedup as nd
 from reshelve.llm.forest import components, unite
 
@@ -70,9 +70,9 @@ def test_odd_rows(spark, docs_of):
     pairs = [(7, text), (3, text), (3, text), (None, text), (9, None), (8, ""), (5, " \n"),
              (None, "quite another text of some words"), (6, "word " * 50_000)]
     rows = docs_of(pairs, parts=1, least=2, component_id=3, node=4)
-    found = sorted((str(r.doc_id), r.component_id) for r in nd.groups(rows).collect())
-    assert found == sorted([("7", 3), ("3", 3), ("3", 3), ("None", 3), ("9", 5), ("8", 5),
-                            ("5", 5), ("None", None), ("6", 6)], key=lambda p: (p[0], str(p[1])))
+    found = sorted(((r.doc_id, r.component_id) for r in nd.groups(rows).collect()), key=str)
+    assert found == sorted([(7, 3), (3, 3), (3, 3), (None, 3), (9, 5), (8, 5), (5, 5),
+                            (None, None), (6, 6)], key=str)
     kept = nd.deduplicate(rows)
     assert kept.columns == rows.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "5", "6", "None", "None"]

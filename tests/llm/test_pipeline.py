@@ -2,7 +2,7 @@ import sentencepiece
 
 import corpus_pipeline as cp
 from reshelve.llm import mixing, near_dedup, pieces
-from test_line_dedup import plain as plain_lines
+from llm.test_line_dedup import plain as plain_lines
 
 
 def test_stages_one_after_another(spark, folder, tmp_path):
@@ -28,7 +28,7 @@ def test_stages_one_after_another(spark, folder, tmp_path):
     near = [(a, b) for a in prints for b in prints if a < b and any(
         (int(x) ^ int(y)).bit_count() <= near_dedup.NEAR_RADIUS
         for x, y in zip(prints[a], prints[b]))]
-    from brute import grouped
+    from llm.brute import grouped
     assert left == set(grouped(prints, near).values())
     counts = {}
     for r in mixed:
