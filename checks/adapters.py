@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from reshelve.operators.document import Documents, nest_documents
 from reshelve.operators.prepare import clean, customer_rows, enrich
 from reshelve.operators.wide import to_wide, upsert
-from reshelve.schema import JOINED_TABLES, REGIONS, RETURN_FLAGS
+from reshelve.schema import JOINED_TABLES, LOG_COLUMNS, REGIONS, RETURN_FLAGS
 from reshelve.session import configure, shared_folder
+from reshelve.sources.request_log import read_log
 from reshelve.sources.tables import Tables, read_parquet_tables
 
 # Labels of the comparison; the last one has no samples.
@@ -72,11 +73,23 @@ def request_log(spark: SparkSession, folder: str) -> DataFrame:
         F.length("event_type").cast("bigint").alias("sent_bytes"),
         (1 + F.col("user_id") % 5).cast("int").alias("group_threads"),
         (1 + F.col("user_id") % 5).cast("int").alias("all_threads"),
-        F.floor(F.col("value") * 5).cast("bigint").alias("latency"),
+        F.when(F.col("event_id") % 7 != 0, F.floor(F.col("value") * 5).cast("bigint"))
+        .alias("latency"),
         F.lit(0).cast("bigint").alias("idle_time"),
         F.floor(F.col("value")).cast("bigint").alias("connect"))
 
 
+def stored_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The request log written as CSV and read back, its messages with quotes, commas and line
+    breaks in them."""
+    log = request_log(spark, folder).withColumn("response_message", F.concat(
+        F.lit('said "'), "response_message", F.lit('",\nwent on')))
+    path = new_folder(spark, "log")
+    headers = [F.col(name).alias(header) for header, (name, _, _) in LOG_COLUMNS.items()]
+    log.select(*headers).write.csv(path, header=True, escape='"', escapeQuotes=True)
+    return read_log(spark, path)
+
+
 def lookups(spark: SparkSession, folder: str) -> DataFrame:
     """The events as lookups: one event asks for one customer and two ranges of customers.
     Some of the customers asked for do not exist."""

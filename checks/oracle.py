@@ -186,7 +186,7 @@ LOG = """WITH g AS (
          'Group ' || event_type AS thread_group,
          CAST(length(props) AS BIGINT) AS bytes, CAST(length(event_type) AS BIGINT) AS sent_bytes,
          CAST(1 + user_id % 5 AS INTEGER) AS all_threads,
-         CAST(FLOOR(value * 5) AS BIGINT) AS latency, CAST(FLOOR(value) AS BIGINT) AS connect
+         CASE WHEN event_id % 7 <> 0 THEN CAST(FLOOR(value * 5) AS BIGINT) END AS latency, CAST(FLOOR(value) AS BIGINT) AS connect
   FROM events),
 x AS (SELECT *, start_ms + elapsed AS end_ms FROM g),
 t AS (SELECT *, FALSE AS is_total FROM x
@@ -257,7 +257,7 @@ y AS (SELECT *, {_bucket(HOUR)} FROM x),
 r AS (SELECT bucket_ms, COUNT(*) * 1000 / {HOUR} AS rate FROM y GROUP BY bucket_ms)
 SELECT rate, failed, {_rank("500")} AS median_{value}
 FROM (SELECT rate, failed, list({value} ORDER BY {value}) AS xs, COUNT(*) AS n
-      FROM y JOIN r USING (bucket_ms) GROUP BY rate, failed)"""
+      FROM y JOIN r USING (bucket_ms) WHERE {value} IS NOT NULL GROUP BY rate, failed)"""
 
 
 def _document_shape(drop_empty: bool) -> str:
@@ -492,6 +492,11 @@ SELECT sample_id, p.customer_id, p.return_flag, COALESCE(matching_lines, 0) AS m
 FROM p LEFT JOIN ({K4}) a ON a.customer_id = p.customer_id AND a.return_flag = p.return_flag""",
         "batch_k5": BATCH_WIDE + " " + _looked_up(K5_TOTAL, "orders", "grand_total", filled=True),
         "log_rollup": LOG + ROLLUP,
+        "log_csv_rollup": LOG + ROLLUP,
+        "log_csv_messages": LOG + """
+SELECT 'said "' || response_message || '",' || chr(10) || 'went on' AS response_message, failed,
+       COUNT(*) AS samples
+FROM x GROUP BY ALL""",
         "log_totals": LOG + TOTALS,
         "log_percentiles": LOG + f"""
 SELECT label, {PERCENTILES}

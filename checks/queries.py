@@ -240,6 +240,10 @@ QUERIES: dict[str, Query] = {
     "batch_k5": _batch_wide(batch.k5),
     # request log
     "log_rollup": _log(latency.rollup),
+    "log_csv_rollup": lambda s, f: latency.rollup(a.stored_log(s, f)),
+    "log_csv_messages": lambda s, f: a.stored_log(s, f).groupBy(
+        "response_message", latency.failed().alias("failed")).agg(
+            F.count(F.lit(1)).alias("samples")),
     "log_totals": _log(latency.totals),
     "log_percentiles": _log(lambda g: latency.percentiles(g, ["label"])),
     "log_statistics": _log(latency.statistics),

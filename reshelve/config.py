@@ -6,6 +6,7 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+# Fixed value: the largest document a collection takes.
 DOCUMENT_LIMIT_BYTES = 16 * 1024 * 1024
 
 # Documents per batch where a loader inserts batch by batch.
@@ -23,8 +24,9 @@ class SourceConfig:
     jdbc_password: str | None = None
     jdbc_driver: str = "com.mysql.cj.jdbc.Driver"
     jdbc_options: Mapping[str, str] = field(default_factory=dict)
-    probe_bounds: bool = False
+    keys_per_stride: int = 300_000
 
+    # Names of the variables, and the driver and cursor setting of a connection.
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> "SourceConfig":
         return cls(

@@ -1,4 +1,4 @@
-"""One-line texts of query results."""
+"""Texts of query results. The wording is a fixed value: clients parse it."""
 
 from __future__ import annotations
 

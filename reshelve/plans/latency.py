@@ -256,13 +256,13 @@ def bytes_over_time(log: DataFrame, width: int = MINUTE) -> DataFrame:
 def median_by_load(log: DataFrame, value: str = "elapsed", width: int = 1000) -> DataFrame:
     """Median of ``value`` against the request rate, successes and failures apart.
 
-    Buckets of equal rate are pooled. Samples are counted per bucket and value first; the
-    rate is a sum over those counts, and only counts are joined.
+    Buckets of equal rate are pooled. The rate counts all samples of a bucket, also those that
+    lack the value. Samples are counted per bucket and value first, and only counts are joined.
     """
     counted = count_values(log.select(value, failed().alias("failed"), bucket(ended(), width)),
                            ["bucket_ms", "failed"], value)
-    rates = (counted.groupBy("bucket_ms")
-             .agg((F.sum("n") * 1000 / width).alias("rate")))
+    rates = (log.groupBy(bucket(ended(), width))
+             .agg((F.count(F.lit(1)) * 1000 / width).alias("rate")))
     by = ["rate", "failed"]
     pooled = (counted.join(rates, "bucket_ms").groupBy(*by, "span", "value")
               .agg(F.sum("n").alias("n")))

@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# The source tables, with the key, bounds and number of the strides in which
-# each is read over JDBC.
-JDBC_STRIDES = {
-    "lineitem": ("l_orderkey", 1, 60_000_000, 200),
-    "orders": ("o_orderkey", 1, 15_000_000, 100),
-    "customer": ("c_custkey", 1, 1_500_000, 50),
-    "part": ("p_partkey", 1, 2_000_000, 50),
-    "supplier": ("s_suppkey", 1, 100_000, 10),
-    "partsupp": ("ps_partkey", 1, 8_000_000, 50),
-    "nation": ("n_nationkey", 0, 25, 1),
-    "region": ("r_regionkey", 0, 5, 1),
+# The source tables, with the key by whose range each is read over JDBC.
+TABLE_KEYS = {
+    "lineitem": "l_orderkey",
+    "orders": "o_orderkey",
+    "customer": "c_custkey",
+    "part": "p_partkey",
+    "supplier": "s_suppkey",
+    "partsupp": "ps_partkey",
+    "nation": "n_nationkey",
+    "region": "r_regionkey",
 }
 
-TABLES = tuple(JDBC_STRIDES)
+TABLES = tuple(TABLE_KEYS)
 JOINED_TABLES = ("customer", "orders", "lineitem", "nation", "region")
 
 # Source column -> business name.

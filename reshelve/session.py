@@ -25,14 +25,14 @@ BYTES_PER_SHUFFLE_TASK = 200 * 1024 * 1024
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply the runtime settings to a session that already exists.
 
-    Adaptive execution merges small shuffle partitions but never adds partitions to a
+    ``input_bytes`` are the bytes of the input files; the pipeline measures them. Adaptive execution merges small shuffle partitions but never adds partitions to a
     balanced shuffle, so the starting number is sized from the input when it is known.
     """
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     if input_bytes is not None:
         wanted = math.ceil(input_bytes / BYTES_PER_SHUFFLE_TASK)
-        spark.conf.set("spark.sql.shuffle.partitions", str(min(max(wanted, 8), 200_000)))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(wanted, 8)))
     return spark
 
 

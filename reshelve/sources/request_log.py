@@ -23,12 +23,23 @@ def conform_log(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Read a log; one that does not exist is reported and read as empty."""
+def read_log(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Read a log; one that does not exist is reported and read as empty.
+
+    Quotes inside a value are doubled, and values may hold line breaks. For the latter a file is
+    read by one task; logs without line breaks in their messages are split with ``multi_line``
+    off, and large ones are best converted once by :func:`convert_log`.
+    """
     if path_exists(spark, path):
-        raw = spark.read.csv(path, header=True)
+        raw = spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
     else:
         log.warning("request log %s not found, going on without samples", path)
         headers = ", ".join(f"`{header}` string" for header in LOG_COLUMNS)
         raw = spark.createDataFrame([], headers)
     return conform_log(raw)
+
+
+def convert_log(spark: SparkSession, path: str, target: str, multi_line: bool = True) -> DataFrame:
+    """Convert a log to Parquet once, and read that."""
+    read_log(spark, path, multi_line).write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)

@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from reshelve.config import SourceConfig
-from reshelve.schema import JDBC_STRIDES, JOINED_TABLES, TABLES
+from reshelve.schema import JOINED_TABLES, TABLE_KEYS, TABLES
 
 log = logging.getLogger(__name__)
 
@@ -21,6 +21,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(target.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(target))
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of all files below some paths; paths that do not exist count as empty."""
+    context, total = spark.sparkContext, 0
+    for path in paths:
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        system = target.getFileSystem(context._jsc.hadoopConfiguration())
+        if system.exists(target):
+            total += system.getContentSummary(target).getLength()
+    return total
+
+
 def read_if_present(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """Read a folder, or give None where there is none."""
     return spark.read.format(fmt).load(path) if path_exists(spark, path) else None
@@ -38,39 +49,39 @@ def read_parquet_tables(spark: SparkSession, path: str, names=TABLES) -> Tables:
     return tables
 
 
-def jdbc_options(config: SourceConfig, table: str) -> dict[str, str]:
-    """Options of a range-partitioned read; the bounds set strides and filter nothing."""
-    key, lower, upper, strides = JDBC_STRIDES[table]
-    return {
-        **config.connection(),
-        "dbtable": table,
-        "partitionColumn": key,
-        "lowerBound": str(lower),
-        "upperBound": str(upper),
-        "numPartitions": str(strides),
-        "fetchsize": "5000",
-    }
-
-
 def probe_options(config: SourceConfig, table: str) -> dict[str, str]:
-    """Options of the one-row query for the real key range, so that strides come out even."""
-    key = JDBC_STRIDES[table][0]
+    """Options of the one-row query for the key range of a table."""
+    key = TABLE_KEYS[table]
     return {
         **config.connection(),
         "query": f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}",
     }
 
 
+def jdbc_options(config: SourceConfig, table: str, low: int | None,
+                 high: int | None) -> dict[str, str]:
+    """Options of a read in strides of the key, of about ``keys_per_stride`` keys each.
+
+    The bounds set strides and filter nothing. An empty table, without a key range, is read as one.
+    """
+    options = {**config.connection(), "dbtable": table, "fetchsize": "5000"}
+    if low is None or high is None:
+        return options
+    strides = max(1, -(-(high + 1 - low) // config.keys_per_stride))
+    return {**options, "partitionColumn": TABLE_KEYS[table], "lowerBound": str(low),
+            "upperBound": str(high + 1), "numPartitions": str(strides)}
+
+
+def key_range(spark: SparkSession, config: SourceConfig, table: str) -> tuple:
+    """Least and greatest key of a table, asked of the database."""
+    found = spark.read.format("jdbc").options(**probe_options(config, table)).load().first()
+    return tuple(None if value is None else int(value) for value in found)
+
+
 def read_jdbc_tables(spark: SparkSession, config: SourceConfig, names=TABLES) -> Tables:
-    tables = {}
-    for name in names:
-        options = jdbc_options(config, name)
-        if config.probe_bounds:
-            found = spark.read.format("jdbc").options(**probe_options(config, name)).load().first()
-            if found.low is not None and found.high is not None:
-                options.update(lowerBound=str(int(found.low)), upperBound=str(int(found.high) + 1))
-        tables[name] = spark.read.format("jdbc").options(**options).load()
-    return tables
+    """Read tables in strides of their real key ranges, so that no stride takes the rest."""
+    return {name: spark.read.format("jdbc").options(
+        **jdbc_options(config, name, *key_range(spark, config, name))).load() for name in names}
 
 
 def read_tables(spark: SparkSession, config: SourceConfig) -> Tables:

@@ -5,11 +5,12 @@ import importlib
 import pytest
 from compare import connect, duck_rows, spark_rows
 
+from checks import oracle, queries as checked
 from conftest import plan
 
 contract = importlib.import_module("__spark_entry__")
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = checked.registered()
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def duck(folder):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 def test_entry_runs(spark):

@@ -55,11 +55,13 @@ def test_source_settings_come_from_the_environment(spark, folder):
     ("jdbc:db://h/t?a=b", "jdbc:db://h/t?a=b&useCursorFetch=true")])
 def test_jdbc_options(url, expected):
     config = SourceConfig(use_jdbc=True, jdbc_url=url, jdbc_user="u", jdbc_password="p")
-    options = jdbc_options(config, "lineitem")
+    options = jdbc_options(config, "lineitem", 1, 60_000_000)
     assert options["url"] == expected
     assert (options["partitionColumn"], options["lowerBound"], options["upperBound"],
             options["numPartitions"], options["fetchsize"]) == (
-        "l_orderkey", "1", "60000000", "200", "5000")
+        "l_orderkey", "1", "60000001", "200", "5000")
+    assert "partitionColumn" not in jdbc_options(config, "part", None, None)
+    assert jdbc_options(config, "nation", 0, 24)["numPartitions"] == "1"
     assert probe_options(config, "part")["query"] == (
         "SELECT MIN(p_partkey) AS low, MAX(p_partkey) AS high FROM part")
 
@@ -225,3 +227,16 @@ def test_stored_documents_are_read_by_column(spark, enriched, tmp_path):
     assert "lineitems" not in scanned.split("ReadSchema")[1].split("\n")[0]
     assert "quantity" not in plan(document.d5(docs)).split("ReadSchema")[1].split("\n")[0]
     assert "EqualTo(customer_id,1)" in plan(document.d2(docs, 1))
+
+
+def test_strides_follow_the_probed_keys(spark, monkeypatch):
+    """A table far above any assumed size gets as many strides as its keys need."""
+    from reshelve.sources import tables as source
+    asked = []
+    monkeypatch.setattr(source, "key_range", lambda s, c, table: asked.append(table) or (
+        5, 6_000_000_004))
+    config = SourceConfig(use_jdbc=True, jdbc_url="jdbc:x", jdbc_user="u", jdbc_password="p")
+    options = jdbc_options(config, "orders", *source.key_range(spark, config, "orders"))
+    assert asked == ["orders"]
+    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
+        "5", "6000000005", "20000")
