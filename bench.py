@@ -96,6 +96,15 @@ def main() -> None:
             "batch_k1": lambda: batch.k1(params, rows), "batch_k2": lambda: batch.k2(params, rows),
             "batch_k3": lambda: batch.k3(params, rows), "batch_k4": lambda: batch.k4(params, rows),
             "batch_k5": lambda: batch.k5(params, rows),
+            "lookup_r1": lambda: relational.r1(tables, 7),
+            "lookup_r2": lambda: relational.r2(tables, 7),
+            "lookup_r3": lambda: relational.r3(tables, 7),
+            "lookup_d1": lambda: document.d1(docs, 7), "lookup_d2": lambda: document.d2(docs, 7),
+            "lookup_d3": lambda: document.d3(docs, 7),
+            "lookup_d5": lambda: document.d5(docs, 100, 110),
+            "lookup_k1": lambda: wide.k1(rows, 7), "lookup_k2": lambda: wide.k2(rows, 7),
+            "lookup_k3": lambda: wide.k3(rows, 7), "lookup_k4": lambda: wide.k4(rows, 7),
+            "lookup_k5": lambda: wide.k5(rows, 7),
             "log_rollup": lambda: latency.rollup(log),
             "log_statistics": lambda: latency.statistics(log),
             "log_apdex": lambda: latency.apdex(log),

@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from reshelve.operators.document import Documents, nest_documents
-from reshelve.operators.prepare import clean, customer_rows, enrich
+from reshelve.operators.document import MAX_ROWS, Documents, nest_documents
+from reshelve.operators.prepare import enrich
 from reshelve.operators.wide import to_wide, upsert
 from reshelve.schema import JOINED_TABLES, LOG_COLUMNS, REGIONS, RETURN_FLAGS
 from reshelve.session import configure, shared_folder
@@ -42,9 +42,12 @@ def enriched(spark: SparkSession, folder: str) -> DataFrame:
     return enrich(source_tables(spark, folder))
 
 
-def documents(spark: SparkSession, folder: str, drop_empty: bool = False) -> Documents:
-    cleaned = clean(source_tables(spark, folder))
-    return nest_documents(enrich(cleaned, cleaned=True), drop_empty, sizes=customer_rows(cleaned))
+def documents(spark: SparkSession, folder: str, drop_empty: bool = False,
+              max_rows: int = MAX_ROWS) -> Documents:
+    """Documents of the enriched rows, which are stored as they are read twice."""
+    path = new_folder(spark, "enriched")
+    enriched(spark, folder).write.parquet(path)
+    return nest_documents(spark.read.parquet(path), drop_empty, max_rows)
 
 
 def wide_table(spark: SparkSession, folder: str) -> DataFrame:

@@ -332,7 +332,7 @@ FROM ({K5})"""
 
 
 def statements() -> dict[str, str]:
-    return {
+    found = {
         "clean_customer": BASE + " SELECT * FROM c",
         "clean_orders": BASE + """
 SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date) FROM o""",
@@ -355,9 +355,22 @@ FROM lineitem""",
         "wide_upsert": WIDE + _wide_rows("w"),
         "wide_clustered": WIDE + _wide_rows("w"),
         "wide_sink": WIDE + _wide_rows("w"),
+        "wide_after_empty_load": WIDE + _wide_rows("w"),
         "document_shape": _document_shape(False),
         "document_shape_without_empty": _document_shape(True),
         "document_converted": _flat_rows(),
+        "document_shape_in_pieces": _document_shape(False),
+        "document_marks": BASE + """
+SELECT customer_id, 1 AS firsts, COUNT(*) <= 20 AS whole, TRUE AS bounded FROM e
+GROUP BY customer_id""",
+        # The second order of an id has the greater status and price, so the first one shows.
+        "document_repeated_orders": BASE + D3,
+        "document_repeated_orders_in_pieces": BASE + D3,
+        "document_load_counts": f"""
+SELECT CAST(a AS BIGINT) AS attempted, CAST(a - r AS BIGINT) AS inserted,
+       CAST(r AS BIGINT) AS rejected
+FROM (SELECT (SELECT COUNT(*) FROM customer WHERE {_complete(*C_COLUMNS)}) AS a,
+             (SELECT COUNT(*) FROM ({DOCUMENT_TEXT.replace("16384", "8192")})) AS r)""",
         "document_rejects": DOCUMENT_TEXT,
         "document_sink": DETAIL,
         "unwind_keep_empty": _flat_rows(),
@@ -469,6 +482,12 @@ WHERE place <= 5""",
         "batch_d1": BATCH_BASE + " " + _looked_up(
             """SELECT DISTINCT customer_id, name, nation_name AS nation, region_name AS region
                FROM e""", "name", "nation", "a.region"),
+        "d2_lookup": f"SELECT * FROM ({DETAIL}) WHERE customer_id = 7",
+        "k2_lookup": f"SELECT * FROM ({WIDE + _wide_rows('w')}) WHERE customer_id = 7",
+        "stored_batch_d2": BATCH_BASE + " " + _looked_up(
+            "SELECT customer_id, COUNT(*) AS row_count FROM e GROUP BY customer_id",
+            "row_count", filled=True),
+        "stored_batch_k2": BATCH_WIDE + " " + _looked_up(K2, "line_count", "revenue", filled=True),
         "batch_d2": BATCH_BASE + " " + _looked_up(
             "SELECT customer_id, COUNT(*) AS row_count FROM e GROUP BY customer_id",
             "row_count", filled=True),
@@ -564,6 +583,8 @@ FROM x GROUP BY 1""",
         "log_comparison": LOG + COMPARISON,
         "log_comparison_sink": LOG + COMPARISON,
     }
+    found["r2_lookup"] = f"SELECT * FROM ({found['r2_detail']}) WHERE customer_id = 7"
+    return found
 
 
 _LINES_AS_TEXT = """

@@ -10,9 +10,9 @@ from checks import adapters as a
 from reshelve.config import PipelineConfig, SourceConfig
 from reshelve.functions import text
 from reshelve.functions.convert import convert_values
-from reshelve.operators.document import Documents, unwind_lines
-from reshelve.operators.prepare import clean, locate
-from reshelve.operators.wide import cluster_by, conform, to_wide
+from reshelve.operators.document import MAX_ROWS, Documents, nest_documents, unwind_lines
+from reshelve.operators.prepare import clean, enrich, locate
+from reshelve.operators.wide import BUCKET, cluster_by, conform, to_wide
 from reshelve.plans import batch, compare, document, latency, relational, wide
 from reshelve.plans.pipeline import STAGES, run
 from reshelve.sinks.documents import measured, split_by_size, write_documents
@@ -26,35 +26,86 @@ Query = Callable[[SparkSession, str], DataFrame]
 HOUR = 3_600_000
 DAY = 24 * HOUR
 REGION = "ASIA"
+CUSTOMER = 7
 
 
-def _document_shape(spark, folder, drop_empty=False):
-    """Counts and totals taken from inside the nested value."""
-    docs = a.documents(spark, folder, drop_empty).bounded
+def _document_shape(spark, folder, drop_empty=False, max_rows=MAX_ROWS):
+    """Counts and totals taken from inside the nested value, summed over the pieces."""
+    docs = a.documents(spark, folder, drop_empty, max_rows).pieces
     lines = F.flatten(F.transform("orders", lambda o: o["lineitems"]))
+    own = F.filter("orders", lambda o: ~F.col("carried"))
 
     def total(values, field):
-        return F.aggregate(
+        return F.sum(F.aggregate(
             F.filter(F.transform(values, lambda v: v[field].cast("decimal(15,2)")),
                      lambda v: v.isNotNull()),
-            F.lit(0).cast("decimal(25,2)"), lambda x, y: (x + y).cast("decimal(25,2)"))
+            F.lit(0).cast("decimal(25,2)"), lambda x, y: (x + y).cast("decimal(25,2)")))
 
-    return docs.select(
-        "customer_id", "name", "nation", "region",
-        F.size("orders").alias("order_elements"), F.size(lines).alias("line_elements"),
-        total(F.col("orders"), "total_price").alias("order_value"),
-        total(lines, "extended_price").alias("line_value"),
-        F.element_at("orders", 1)["order_id"].alias("first_order")
-        if not drop_empty else F.get("orders", F.lit(0))["order_id"].alias("first_order"))
+    first = F.get("orders", F.lit(0))["order_id"]
+    return docs.groupBy("customer_id", "name", "nation", "region").agg(
+        F.sum(F.size(own)).cast("int").alias("order_elements"),
+        F.sum(F.size(lines)).cast("int").alias("line_elements"),
+        total(own, "total_price").alias("order_value"),
+        total(lines, "extended_price").alias("line_value"), F.min(first).alias("first_order"))
+
+
+def _document_marks(spark, folder):
+    """Of customers with up to 20 rows and more: pieces, first pieces, and whether they are whole."""
+    docs = a.documents(spark, folder, max_rows=20).pieces
+    marks = docs.groupBy("customer_id").agg(
+        F.count_if("first").alias("firsts"), F.bool_and("whole").alias("whole"),
+        F.max(F.size(F.flatten(F.transform("orders", lambda o: o["lineitems"])))).alias("most"))
+    return marks.select("customer_id", "firsts", "whole", (F.col("most") <= 60).alias("bounded"))
+
+
+def _repeated_orders(spark, folder, max_rows):
+    """Value by status where every third order id stands for two orders."""
+    tables = a.source_tables(spark, folder)
+    orders = tables["orders"]
+    twice = orders.where("o_orderkey % 3 = 0").withColumns(
+        {"o_orderstatus": F.lit("Z"), "o_totalprice": F.col("o_totalprice") + 1})
+    path = a.new_folder(spark, "enriched")
+    enrich({**tables, "orders": orders.unionByName(twice)}).write.parquet(path)
+    docs = nest_documents(spark.read.parquet(path), max_rows=max_rows)
+    return document.d3(docs)
 
 
 def _document_rejects(spark, folder):
     """Documents above 16 KiB as JSON, with the reason."""
-    docs = a.documents(spark, folder).bounded
+    docs = a.documents(spark, folder).pieces
     _, rejected = split_by_size(measured(convert_values(docs)), 16 * 1024)
     return rejected.select("customer_id", "document_bytes", "reason")
 
 
+def _stored_wide(spark, folder):
+    path = a.new_folder(spark, "wide")
+    write_wide(to_wide(a.enriched(spark, folder)), path, truncate=True, buckets=8)
+    return read_wide(spark, path)
+
+
+def _stored_documents(spark, folder):
+    path = a.new_folder(spark, "documents")
+    write_documents(a.documents(spark, folder), path, "parquet", 8 * 1024, buckets=8)
+    return read_documents(spark, path)
+
+
+def _wide_after_nothing(spark, folder):
+    """A load without rows, then one with."""
+    path = a.new_folder(spark, "wide")
+    rows = to_wide(a.enriched(spark, folder))
+    write_wide(rows.limit(0), path, truncate=True)
+    write_wide(rows, path)
+    return read_wide(spark, path).drop(BUCKET)
+
+
+def _load_counts(spark, folder):
+    """What a load says it did, against the documents there are."""
+    docs = a.documents(spark, folder)
+    counts = write_documents(docs, a.new_folder(spark, "documents"), "parquet", 8 * 1024)
+    return spark.createDataFrame([(counts.attempted, counts.inserted, counts.rejected)],
+                                 "attempted long, inserted long, rejected long")
+
+
 def _staged(spark, folder):
     path = a.new_folder(spark, "staged")
     stage(a.source_tables(spark, folder), path)
@@ -74,7 +125,7 @@ def _wide_sink(spark, folder):
     rows = to_wide(a.enriched(spark, folder))
     write_wide(rows, path, truncate=True, buckets=8)
     write_wide(rows, path)
-    return read_wide(spark, path, merged=True)
+    return read_wide(spark, path).drop(BUCKET)
 
 
 def _pipeline(spark, folder):
@@ -166,12 +217,18 @@ QUERIES: dict[str, Query] = {
     "wide_upsert": a.wide_table,
     "wide_clustered": _wide(lambda w: cluster_by(w)),
     "wide_sink": _wide_sink,
+    "wide_after_empty_load": _wide_after_nothing,
     # document model
     "document_shape": _document_shape,
     "document_shape_without_empty": lambda s, f: _document_shape(s, f, True),
     "document_converted": _docs(
-        lambda d: unwind_lines(Documents(convert_values(d.bounded), d.overflow), keep_empty=True)),
+        lambda d: unwind_lines(Documents(convert_values(d.pieces)), keep_empty=True)),
+    "document_shape_in_pieces": lambda s, f: _document_shape(s, f, max_rows=5),
+    "document_marks": _document_marks,
+    "document_repeated_orders": lambda s, f: _repeated_orders(s, f, MAX_ROWS),
+    "document_repeated_orders_in_pieces": lambda s, f: _repeated_orders(s, f, 3),
     "document_rejects": _document_rejects,
+    "document_load_counts": _load_counts,
     "document_sink": _documents_sink,
     "unwind_keep_empty": lambda s, f: unwind_lines(a.documents(s, f, True), keep_empty=True),
     "unwind_drop_empty": lambda s, f: unwind_lines(a.documents(s, f, True), keep_empty=False),
@@ -205,6 +262,12 @@ QUERIES: dict[str, Query] = {
     "k5_revenue": _wide(wide.k5),
     "k5_total": _wide(wide.k5_total),
     "k5_first": _wide(wide.k5_first),
+    # single lookups on stored models
+    "r2_lookup": _tables(lambda t: relational.r2(t, CUSTOMER)),
+    "d2_lookup": lambda s, f: document.d2(_stored_documents(s, f), CUSTOMER),
+    "k2_lookup": lambda s, f: wide.k2(_stored_wide(s, f), CUSTOMER),
+    "stored_batch_d2": lambda s, f: batch.d2(a.lookups(s, f), _stored_documents(s, f)),
+    "stored_batch_k2": lambda s, f: batch.k2(a.lookups(s, f), _stored_wide(s, f)),
     # texts
     "text_found": _found_text,
     "text_range": _range_text,

@@ -60,7 +60,7 @@ class PipelineConfig:
     staging_path: str
     documents_path: str
     wide_path: str
-    document_format: str = "json"
+    document_format: str = "parquet"
     wide_format: str = "parquet"
     document_connector: Mapping[str, str] | None = None
     wide_connector: Mapping[str, str] | None = None

@@ -1,74 +1,63 @@
-"""Nest enriched rows into customer documents and unwind them again."""
+"""Nest enriched rows into customer documents and unwind them again.
+
+Every customer is nested by the same steps, in pieces of bounded size. A customer of up to
+``max_rows`` rows is one piece, its document. The orders of a larger one are dealt over several
+pieces by a hash of the order, and the lines of an order that is too large by itself over pieces
+of their own by a hash of the line. So neither a hot customer nor a hot order ever meets in one
+task, and no answer depends on where the cuts are: one piece of a customer is marked as its
+first, and pieces that carry on an order are marked, so that orders are counted once.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reshelve.config import DOCUMENT_LIMIT_BYTES
+from reshelve.operators.wide import of_customer, of_customers
 from reshelve.schema import CUSTOMER_FIELDS, LINE_FIELDS, ORDER_FIELDS
 
 # No order or line takes fewer bytes as JSON; the field names alone take most of them. So a
 # customer with more rows than this is above the size limit whatever the values are.
 MIN_ROW_BYTES = 96
 
+# Marks of a piece: it is the whole document, the first piece of its customer, it carries on
+# an order of another piece.
+MARKS = ("whole", "first", "carried")
+
 
 def rows_within(limit_bytes: int) -> int:
     """Number of rows above which no document can be within the limit."""
-    return limit_bytes // MIN_ROW_BYTES
+    return max(1, limit_bytes // MIN_ROW_BYTES)
 
 
 MAX_ROWS = rows_within(DOCUMENT_LIMIT_BYTES)
 
-# Above this many oversize customers the ids are joined by shuffle, not broadcast.
-MAX_BROADCAST_IDS = 100_000
-
 
 @dataclass(frozen=True)
 class Documents:
-    """Customer documents, plus the flat rows of customers too large for one document.
+    """Customer documents as pieces: their fields, orders and the marks of a piece.
 
-    ``bounded`` has one row per customer. ``overflow`` is None where no customer is too
-    large. ``padded`` tells whether a missing order or line is held as an all-null struct
-    (as the joins leave it) or as an empty array.
+    ``padded`` tells whether a missing order or line is held as an all-null struct (as the joins
+    leave it) or as an empty array. Stored documents are laid out in ``buckets`` of customers.
     """
 
-    bounded: DataFrame
-    overflow: DataFrame | None = None
+    pieces: DataFrame
     padded: bool = True
+    buckets: int | None = None
 
     def where(self, condition) -> "Documents":
         """Keep documents by a condition on the top-level fields."""
-        return self._each(lambda df: df.where(condition))
+        return replace(self, pieces=self.pieces.where(condition))
+
+    def of_customer(self, customer_id: int) -> "Documents":
+        """Keep the document of one customer."""
+        return replace(self, pieces=of_customer(self.pieces, customer_id, self.buckets))
 
     def within(self, keys: DataFrame) -> "Documents":
         """Keep the documents of the customers listed in ``keys``."""
-        return self._each(lambda df: df.join(keys, "customer_id", "left_semi"))
-
-    def _each(self, step) -> "Documents":
-        overflow = None if self.overflow is None else step(self.overflow)
-        return replace(self, bounded=step(self.bounded), overflow=overflow)
-
-
-def split_oversize(df: DataFrame, max_rows: int = MAX_ROWS,
-                   sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Separate the rows of customers having more than ``max_rows`` rows.
-
-    The counts (``sizes``, if they are at hand: customer_id, n) are aggregated before the
-    shuffle, and at most rows / max_rows ids come out. This runs one job over the key column
-    when it is called, so that the usual case of no oversize customer costs no join.
-    """
-    if sizes is None:
-        sizes = df.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
-    oversize = sizes.where(F.col("n") > max_rows).select("customer_id")
-    ids = oversize.limit(MAX_BROADCAST_IDS + 1).collect()
-    if not ids:
-        return df, None
-    if len(ids) <= MAX_BROADCAST_IDS:
-        oversize = F.broadcast(df.sparkSession.createDataFrame(ids, oversize.schema))
-    return (df.join(oversize, "customer_id", "left_anti"),
-            df.join(oversize, "customer_id", "left_semi"))
+        return replace(self, pieces=of_customers(self.pieces, keys, self.buckets))
 
 
 def flat_rows(enriched: DataFrame) -> DataFrame:
@@ -78,71 +67,101 @@ def flat_rows(enriched: DataFrame) -> DataFrame:
         F.col("region_name").alias("region"), *ORDER_FIELDS, *LINE_FIELDS)
 
 
-def nest(rows: DataFrame, drop_empty: bool = False) -> DataFrame:
-    """Build one document per customer from flat rows.
+def _slot(hashed: Column, slots: Column) -> Column:
+    """A slot by the size of a hash, so that the least hash is in the first slot in use."""
+    share = hashed.cast("double") / 2.0 ** 64 + 0.5
+    return F.least(F.floor(share * slots), slots - 1).cast("int")
+
+
+def _line_hash() -> Column:
+    return F.xxhash64(*LINE_FIELDS)
 
-    The rows are hash-partitioned on the customer once; both groupings keep to that
-    partitioning. Callers bound the rows of a customer beforehand.
+
+def cuts(rows: DataFrame, max_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The orders and the customers that have more than ``max_rows`` rows, usually none.
+
+    Rows are counted per order before their shuffle, and customers from those counts. A hot
+    order comes with its own fields, as its pieces cannot see each other's.
+    """
+    orders = rows.groupBy("customer_id", "order_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("status").alias("all_status"),
+        F.min("total_price").alias("all_total_price"), F.min("order_date").alias("all_order_date"),
+        F.min(_line_hash()).alias("least"))
+    parts = F.ceil(F.col("n") / max_rows)
+    hot = orders.where(F.col("n") > max_rows).select(
+        "customer_id", "order_id", "all_status", "all_total_price", "all_order_date",
+        parts.alias("parts"), _slot(F.col("least"), parts).alias("first_part"))
+    shelves = F.ceil(F.col("n") / max_rows)
+    large = (orders.groupBy("customer_id")
+             .agg(F.sum("n").alias("n"), F.min(F.xxhash64("order_id")).alias("least"))
+             .where(F.col("n") > max_rows)
+             .select("customer_id", shelves.alias("shelves"),
+                     _slot(F.col("least"), shelves).alias("first_shelf")))
+    return hot, large
+
+
+def nest(rows: DataFrame, drop_empty: bool = False, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Nest flat rows into pieces: lines per order first, then orders per customer.
+
+    Rows are shuffled by order and the nested orders by customer; each grouping keeps to the
+    partitioning of the join before it.
     """
+    hot, large = cuts(rows, max_rows)
     line = F.struct(*LINE_FIELDS)
-    by_order = (rows.repartition("customer_id")
-                .groupBy("customer_id", "order_id", "name", "nation", "region")
-                .agg(F.min("status").alias("status"),
-                     F.min("total_price").alias("total_price"),
-                     F.min("order_date").alias("order_date"),
-                     F.sort_array(F.collect_list(line)).alias("lineitems")))
+    cut = rows.join(hot, ["customer_id", "order_id"], "left")
+    part = F.coalesce(_slot(_line_hash(), F.col("parts")), F.lit(0))
+    cut = cut.withColumn("part", part).withColumn(
+        "carried", F.col("part") != F.coalesce("first_part", F.lit(0)))
+    field = {f: F.min(F.coalesce(f"all_{f}", f)).alias(f)
+             for f in ("status", "total_price", "order_date")}
+    by_order = cut.groupBy("customer_id", "order_id", "name", "nation", "region", "part",
+                           "carried").agg(
+        *field.values(), F.sort_array(F.collect_list(line)).alias("lineitems"))
     if drop_empty:
         by_order = by_order.withColumn(
             "lineitems", F.filter("lineitems", lambda item: item["line_number"].isNotNull()))
-    documents = (by_order.groupBy("customer_id")
-                 .agg(F.min("name").alias("name"),
-                      F.min("nation").alias("nation"),
-                      F.min("region").alias("region"),
-                      F.sort_array(F.collect_list(F.struct(*ORDER_FIELDS, "lineitems")))
-                      .alias("orders")))
+    placed = by_order.join(large, "customer_id", "left")
+    shelf = F.coalesce(_slot(F.xxhash64("order_id"), F.col("shelves")), F.lit(0))
+    placed = placed.withColumn("shelf", shelf)
+    alone = F.when(F.col("carried"), F.struct("order_id", "part"))
+    pieces = (placed.groupBy("customer_id", "shelf", "carried", alone.alias("alone"))
+              .agg(F.min("name").alias("name"), F.min("nation").alias("nation"),
+                   F.min("region").alias("region"),
+                   F.sort_array(F.collect_list(F.struct(*ORDER_FIELDS, "lineitems")))
+                   .alias("orders"),
+                   F.min(F.col("shelves").isNull()).alias("whole"),
+                   F.min(F.col("shelf") == F.coalesce("first_shelf", F.lit(0))).alias("first")))
     if drop_empty:
-        documents = documents.withColumn(
+        pieces = pieces.withColumn(
             "orders", F.filter("orders", lambda item: item["order_id"].isNotNull()))
-    return documents
+    return pieces.select("customer_id", "name", "nation", "region", "orders", "whole",
+                         (F.col("first") & ~F.col("carried")).alias("first"), "carried")
 
 
-def nest_documents(enriched: DataFrame, drop_empty: bool = False, max_rows: int = MAX_ROWS,
-                   sizes: DataFrame | None = None) -> Documents:
-    """Turn enriched rows into documents; oversize customers stay as flat rows."""
-    rows, oversize = split_oversize(flat_rows(enriched), max_rows, sizes)
-    return Documents(nest(rows, drop_empty), oversize, not drop_empty)
+def nest_documents(enriched: DataFrame, drop_empty: bool = False,
+                   max_rows: int = MAX_ROWS) -> Documents:
+    """Turn enriched rows into documents. They are read twice, to count and to nest, so costly
+    ones should be stored before."""
+    return Documents(nest(flat_rows(enriched), drop_empty, max_rows), not drop_empty)
 
 
 def unwind_orders(docs: Documents, keep_empty: bool = False) -> DataFrame:
     """One row per order, without its lines."""
     unwound = F.explode_outer("orders") if keep_empty else F.explode("orders")
-    orders = (docs.bounded.select(*CUSTOMER_FIELDS, unwound.alias("o"))
-              .select(*CUSTOMER_FIELDS, *[F.col(f"o.{f}") for f in ORDER_FIELDS]))
-    if docs.overflow is None:
-        return orders
-    rest = docs.overflow.select(*CUSTOMER_FIELDS, *ORDER_FIELDS).distinct()
-    return orders.unionByName(rest)
+    return (docs.pieces.where("NOT carried").select(*CUSTOMER_FIELDS, unwound.alias("o"))
+            .select(*CUSTOMER_FIELDS, *[F.col(f"o.{f}") for f in ORDER_FIELDS]))
 
 
 def unwind_lines(docs: Documents, keep_empty: bool = False) -> DataFrame:
     """One row per order line, flat."""
     unwind = F.explode_outer if keep_empty else F.explode
-    lines = (docs.bounded.select(*CUSTOMER_FIELDS, unwind("orders").alias("o"))
-             .select(*CUSTOMER_FIELDS, *[F.col(f"o.{f}") for f in ORDER_FIELDS],
-                     unwind("o.lineitems").alias("l"))
-             .select(*CUSTOMER_FIELDS, *ORDER_FIELDS,
-                     *[F.col(f"l.{f}") for f in LINE_FIELDS]))
-    if docs.overflow is None:
-        return lines
-    rest = docs.overflow.select(*lines.columns)
-    if not (keep_empty or docs.padded):
-        rest = rest.where(F.col("line_number").isNotNull())
-    return lines.unionByName(rest)
+    return (docs.pieces.select(*CUSTOMER_FIELDS, unwind("orders").alias("o"))
+            .select(*CUSTOMER_FIELDS, *[F.col(f"o.{f}") for f in ORDER_FIELDS],
+                    unwind("o.lineitems").alias("l"))
+            .select(*CUSTOMER_FIELDS, *ORDER_FIELDS,
+                    *[F.col(f"l.{f}") for f in LINE_FIELDS]))
 
 
 def headers(docs: Documents) -> DataFrame:
     """The top-level fields, one row per customer."""
-    found = docs.bounded.select(*CUSTOMER_FIELDS)
-    if docs.overflow is None:
-        return found
-    return found.unionByName(docs.overflow.select(*CUSTOMER_FIELDS).distinct())
+    return docs.pieces.where("first").select(*CUSTOMER_FIELDS)

@@ -62,10 +62,3 @@ def enrich(tables: dict[str, DataFrame], cleaned: bool = False) -> DataFrame:
     rest = [c for c in enriched.columns if c not in named]
     return enriched.select(*named, *rest)
 
-
-def customer_rows(cleaned: dict[str, DataFrame]) -> DataFrame:
-    """How many enriched rows each customer with orders has, without building them: lines are
-    counted per order before they meet the orders."""
-    lines = cleaned["lineitem"].groupBy("order_id").agg(F.count(F.lit(1)).alias("lines"))
-    return (cleaned["orders"].select("customer_id", "order_id").join(lines, "order_id", "left")
-            .groupBy("customer_id").agg(F.sum(F.coalesce("lines", F.lit(1))).alias("n")))

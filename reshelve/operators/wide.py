@@ -51,8 +51,10 @@ def upsert(df: DataFrame, keys=WIDE_KEY, newest: str | None = None) -> DataFrame
 
 
 def latest(df: DataFrame) -> DataFrame:
-    """Resolve appended loads: the row of the last load wins."""
-    return upsert(df, newest=LOAD) if LOAD in df.columns else upsert(df)
+    """Resolve appended loads: the row of the last load wins. The bucket follows from the key and
+    stays a key, so that a filter on it still reaches the scan."""
+    keys = (BUCKET, *WIDE_KEY) if BUCKET in df.columns else WIDE_KEY
+    return upsert(df, keys, LOAD if LOAD in df.columns else None)
 
 
 # The multiplier and modulus that spread neighbouring ids over the buckets.
@@ -68,9 +70,9 @@ def bucket_of(key: Column | int, buckets: int) -> Column | int:
     return F.pmod(mixed, F.lit(buckets)).cast("int")
 
 
-def buckets_for(rows: int) -> int:
-    """Number of buckets that leaves some ten million rows, under a gigabyte, in each."""
-    return max(8, -(-rows // 10_000_000))
+def buckets_for(rows: int, in_each: int = 10_000_000) -> int:
+    """Number of buckets that leaves so many rows, under a gigabyte, in each."""
+    return max(8, -(-rows // in_each))
 
 
 def with_bucket(df: DataFrame, buckets: int) -> DataFrame:
@@ -79,8 +81,25 @@ def with_bucket(df: DataFrame, buckets: int) -> DataFrame:
             .withColumn(BUCKET, bucket_of(F.col("customer_id"), buckets)))
 
 
-def buckets_of(stored: DataFrame) -> int:
-    return int(stored.schema["customer_id"].metadata["buckets"])
+def of_customer(stored: DataFrame, customer_id: int, buckets: int | None = None) -> DataFrame:
+    """Rows of one customer; of a stored table only the folder of its bucket is read."""
+    found = stored.where(F.col("customer_id") == customer_id)
+    if BUCKET not in stored.columns:
+        return found
+    buckets = buckets or stored.schema["customer_id"].metadata["buckets"]
+    return found.where(F.col(BUCKET) == bucket_of(customer_id, int(buckets)))
+
+
+def of_customers(stored: DataFrame, keys: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Rows of the customers in ``keys``; of a stored table only the folders of their buckets
+    are read. The buckets asked for, a few thousand numbers at most, are looked up first."""
+    if BUCKET in stored.columns:
+        count = int(buckets or stored.schema["customer_id"].metadata["buckets"])
+        asked = keys.select(bucket_of(F.col("customer_id"), count).alias("b")).distinct()
+        wanted = sorted(r.b for r in asked.collect())
+        if len(wanted) < count:
+            stored = stored.where(F.col(BUCKET).isin(wanted))
+    return stored.join(keys, "customer_id", "left_semi")
 
 
 def cluster_by(df: DataFrame, keys=("customer_id",), order=WIDE_KEY,

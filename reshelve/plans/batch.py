@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from reshelve.functions.money import cents
 from reshelve.operators.document import Documents
-from reshelve.operators.narrow import lines_of
+from reshelve.operators.narrow import checked_broadcast, lines_of
+from reshelve.operators.wide import of_customers
 from reshelve.plans import document, relational, wide as wide_plan
 from reshelve.schema import REGIONS, RETURN_FLAGS
 
@@ -54,6 +55,13 @@ def range_keys(params: DataFrame, start: str, end: str) -> DataFrame:
     return params.select(start, end).distinct().select(ids.alias("customer_id")).distinct()
 
 
+def narrow_customers(tables: dict[str, DataFrame], wanted: DataFrame) -> dict[str, DataFrame]:
+    """The customers of the wanted ids. Few ids are broadcast, so that customers are filtered
+    where they are read: the small side of the left join that follows could not be."""
+    few = checked_broadcast(wanted.withColumnRenamed("customer_id", "c_custkey"))
+    return {**tables, "customer": tables["customer"].join(few, "c_custkey", "left_semi")}
+
+
 def narrow_tables(tables: dict[str, DataFrame], wanted: DataFrame) -> dict[str, DataFrame]:
     """The customers and orders of the wanted ids, and the lines of those orders."""
     def kept(df, column):
@@ -107,7 +115,7 @@ def _range_revenue(params: DataFrame, per_customer: DataFrame) -> DataFrame:
 # Relational model
 
 def r1(params: DataFrame, tables) -> DataFrame:
-    return lookup(points(params), relational.r1(tables))
+    return lookup(points(params), relational.r1(narrow_customers(tables, keys(params))))
 
 
 def r2(params: DataFrame, tables) -> DataFrame:
@@ -122,7 +130,8 @@ def r3(params: DataFrame, tables) -> DataFrame:
 
 
 def r4(params: DataFrame, tables) -> DataFrame:
-    return _range_count(params, relational.r4(tables))
+    wanted = range_keys(params, "region_start", "region_end")
+    return _range_count(params, relational.r4(narrow_customers(tables, wanted)))
 
 
 def _order_revenue(params: DataFrame, tables) -> DataFrame:
@@ -170,7 +179,8 @@ def d3(params: DataFrame, docs: Documents) -> DataFrame:
 
 
 def d4(params: DataFrame, docs: Documents) -> DataFrame:
-    return _range_count(params, document.d4(docs))
+    wanted = range_keys(params, "region_start", "region_end")
+    return _range_count(params, document.d4(docs.within(wanted)))
 
 
 def d5(params: DataFrame, docs: Documents) -> DataFrame:
@@ -185,7 +195,7 @@ def d5(params: DataFrame, docs: Documents) -> DataFrame:
 # Wide model
 
 def _rows(params: DataFrame, wide: DataFrame) -> DataFrame:
-    return wide.join(keys(params), "customer_id", "left_semi")
+    return of_customers(wide, keys(params))
 
 
 def k1(params: DataFrame, wide: DataFrame) -> DataFrame:

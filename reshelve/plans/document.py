@@ -14,7 +14,7 @@ DETAIL_FIELDS = ("customer_id", "name", "nation", "region", "order_id", "status"
 
 def _pick(docs: Documents, customer_id=None, low=None, high=None) -> Documents:
     if customer_id is not None:
-        docs = docs.where(F.col("customer_id") == customer_id)
+        docs = docs.of_customer(customer_id)
     if low is not None:
         docs = docs.where(F.col("customer_id").between(low, high))
     return docs

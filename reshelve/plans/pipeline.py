@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import argparse
 import sys
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from reshelve.config import BATCH_SIZE, PipelineConfig, SourceConfig
 from reshelve.operators.document import nest_documents, rows_within
 from reshelve.operators.prepare import enrich
-from reshelve.operators.wide import buckets_for, to_wide
+from reshelve.operators.wide import to_wide
+from reshelve.schema import LINE_FIELDS, ORDER_FIELDS
 from reshelve.session import build_session, configure
 from reshelve.sinks.documents import LoadCounts, write_documents
 from reshelve.sinks.staged import stage
 from reshelve.sinks.wide import write_wide
-from reshelve.sources.tables import read_staged, read_tables
+from reshelve.sources.tables import read_staged, read_tables, stored_bytes
 
+ENRICHED_FIELDS = ("customer_id", "name", "nation_name", "region_name", *ORDER_FIELDS, *LINE_FIELDS)
 STAGES = ("extract", "stage", "transform", "documents", "wide")
 
 
@@ -42,10 +45,11 @@ def check_stages(stages: set[str]) -> None:
 
 
 def write_enriched(spark: SparkSession, config: PipelineConfig) -> DataFrame:
-    """Join the staged tables once and keep the result as a table, from which both models
-    are built and oversize customers counted by reading one column."""
+    """Join the staged tables once and keep the columns both models need as a table, from which
+    they are built and large orders counted."""
     path = f"{config.staging_path}/enriched"
-    enrich(read_staged(spark, config.staging_path)).write.mode("overwrite").parquet(path)
+    rows = enrich(read_staged(spark, config.staging_path)).select(*ENRICHED_FIELDS)
+    rows.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -53,12 +57,17 @@ def run(spark: SparkSession, config: PipelineConfig, stages: set[str]) -> LoadCo
     """Run the stages in their fixed order. Without the stage step the transform reads what
     an earlier run staged. Returns the document counts if documents were loaded."""
     check_stages(stages)
-    configure(spark, config.input_bytes)
+    size = config.input_bytes
+    if size is None and not config.source.use_jdbc and config.source.parquet_path:
+        size = stored_bytes(spark, config.source.parquet_path)
+    configure(spark, size)
     tables = read_tables(spark, config.source)
     if "stage" in stages:
         stage(tables, config.staging_path)
     if "transform" not in stages:
         return None
+    if config.input_bytes is None and config.source.use_jdbc:
+        configure(spark, stored_bytes(spark, config.staging_path))
     enriched = write_enriched(spark, config)
     counts = None
     if "documents" in stages:
@@ -67,27 +76,51 @@ def run(spark: SparkSession, config: PipelineConfig, stages: set[str]) -> LoadCo
             config.documents_path, config.document_format, config.document_limit,
             config.batch_size, config.document_connector)
     if "wide" in stages:
-        buckets = config.wide_buckets or buckets_for(enriched.count())
-        write_wide(to_wide(enriched), config.wide_path, config.wide_format,
-                   config.truncate_wide, buckets, config.partitions, config.wide_connector)
+        write_wide(to_wide(enriched), config.wide_path, config.wide_format, config.truncate_wide,
+                   config.wide_buckets, config.partitions, config.wide_connector)
     return counts
 
 
+def _option(text: str) -> tuple[str, str]:
+    key, separator, value = text.partition("=")
+    if not separator:
+        raise argparse.ArgumentTypeError(f"{text} is not KEY=VALUE")
+    return key, value
+
+
 def main(argv=None) -> int:
     parser = argparse.ArgumentParser(description="Remodel order tables as documents and wide rows.")
-    parser.add_argument("--stages", nargs="+", choices=STAGES, help="run only these")
-    parser.add_argument("--skip", nargs="+", choices=STAGES, help="run all but these")
-    parser.add_argument("--all", action="store_true", default=True, help="run all (the default)")
+    choice = parser.add_mutually_exclusive_group()
+    choice.add_argument("--stages", nargs="+", choices=STAGES, help="run only these")
+    choice.add_argument("--skip", nargs="+", choices=STAGES, help="run all but these")
+    choice.add_argument("--all", action="store_true", help="run all (the default)")
     parser.add_argument("--staging", default="data/staging")
     parser.add_argument("--documents", default="data/documents")
     parser.add_argument("--wide", default="data/wide")
     parser.add_argument("--batch-size", type=int, nargs="?", const=BATCH_SIZE,
                         help=f"documents per file ({BATCH_SIZE} if no number is given)")
-    parser.add_argument("--input-bytes", type=int, help="size of the sources, to size shuffles")
+    parser.add_argument("--input-bytes", type=int,
+                        help="size of the sources, to size shuffles (measured if not given)")
+    parser.add_argument("--document-format", default=PipelineConfig.document_format)
+    parser.add_argument("--document-limit", type=int, default=PipelineConfig.document_limit)
+    parser.add_argument("--document-option", action="append", type=_option, metavar="KEY=VALUE",
+                        help="an option of the document store's connector")
+    parser.add_argument("--wide-format", default=PipelineConfig.wide_format)
+    parser.add_argument("--wide-option", action="append", type=_option, metavar="KEY=VALUE",
+                        help="an option of the wide store's connector")
+    parser.add_argument("--wide-buckets", type=int)
+    parser.add_argument("--append", action="store_true", help="add to the wide table")
+    parser.add_argument("--keys-per-stride", type=int, default=SourceConfig.keys_per_stride)
     args = parser.parse_args(argv)
     stages = choose_stages(args.stages, args.skip)
-    config = PipelineConfig(SourceConfig.from_env(), args.staging, args.documents, args.wide,
-                            batch_size=args.batch_size, input_bytes=args.input_bytes)
+    source = replace(SourceConfig.from_env(), keys_per_stride=args.keys_per_stride)
+    config = PipelineConfig(
+        source, args.staging, args.documents, args.wide, document_format=args.document_format,
+        wide_format=args.wide_format, truncate_wide=not args.append,
+        document_connector=dict(args.document_option) if args.document_option else None,
+        wide_connector=dict(args.wide_option) if args.wide_option else None,
+        wide_buckets=args.wide_buckets, document_limit=args.document_limit,
+        batch_size=args.batch_size, input_bytes=args.input_bytes)
     try:
         check_stages(stages)
     except StageError as refused:

@@ -6,7 +6,7 @@ import math
 import tempfile
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings. Skewed joins are left to adaptive execution, which must be allowed to
 # add a shuffle where a later step wanted to reuse the skewed partitioning.
@@ -64,3 +64,17 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return _local_folder()
     raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of a frame written to the shared folder and read from there.
+
+    This cuts the lineage and survives the loss of executors. The folder is the one the cluster
+    names; a session without one gets it from :func:`shared_folder`.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        context = spark.sparkContext
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(shared_folder(spark))
+    return df.checkpoint()

@@ -4,38 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from reshelve.operators.wide import (
-    BUCKET, LOAD, buckets_of, cluster_by, conform, upsert, with_bucket)
+    BUCKET, LOAD, buckets_for, cluster_by, conform, upsert, with_bucket)
 from reshelve.schema import WIDE_KEY, WIDE_SCHEMA
-from reshelve.sources.tables import read_if_present
+from reshelve.sources.layout import claim_load, read_layout, write_layout
+from reshelve.sources.stores import read_wide
 
 
 def write_wide(df: DataFrame, path: str, fmt: str = "parquet", truncate: bool = False,
-               buckets: int = 64, partitions: int | None = None,
+               buckets: int | None = None, partitions: int | None = None,
                connector: Mapping[str, str] | None = None,
                schema: T.StructType = WIDE_SCHEMA) -> None:
     """Append rows to the wide table, or replace its content with ``truncate``.
 
-    Files are laid out by customer: a folder per bucket of customers, sorted by key inside.
-    About one bucket per gigabyte keeps a lookup to a few files. Every load is numbered, and
-    reading with ``merged=True`` lets the last load win, so repeating a load changes nothing.
-    With ``connector`` options the rows go to the store the format names, which does both
-    itself.
+    Files are laid out by customer: a folder per bucket of customers, sorted by key inside. The
+    number of buckets is set when the table is created, from the number of rows if it is not
+    given, and kept by later loads. Every load takes a number of its own before it writes; the
+    reader lets the last load of a key win, so repeating a load changes nothing. With
+    ``connector`` options the rows go to the store the format names, which does both itself.
     """
     rows = upsert(conform(df, schema))
     if connector is not None:
         (cluster_by(rows, partitions=partitions).write.format(fmt)
          .mode("overwrite" if truncate else "append").options(**connector).save())
         return
-    load = 0
-    if not truncate:
-        stored = read_if_present(df.sparkSession, path, fmt)
-        if stored is not None:
-            buckets = buckets_of(stored)
-            load = stored.agg(F.max(LOAD)).first()[0] + 1
+    spark = df.sparkSession
+    loads = [] if truncate else read_layout(spark, path)
+    buckets = loads[0].buckets if loads else buckets or buckets_for(df.count())
+    load = claim_load(spark, path, buckets, schema.json()) if loads else 0
     laid_out = cluster_by(with_bucket(rows.withColumn(LOAD, F.lit(load)), buckets),
                           (BUCKET,), (BUCKET, *WIDE_KEY), partitions)
-    (laid_out.write.format(fmt).mode("overwrite" if truncate else "append")
+    (laid_out.write.format(fmt).mode("append" if loads else "overwrite")
      .option("partitionOverwriteMode", "static").partitionBy(BUCKET).save(path))
+    if not loads:
+        write_layout(spark, path, buckets, 0, schema.json())
+
+
+def compact_wide(spark: SparkSession, path: str, target: str) -> None:
+    """Write a table of several loads to another folder as one, so that reads need no merging."""
+    found = read_wide(spark, path)
+    buckets = read_layout(spark, path)[0].buckets
+    write_wide(found.drop(BUCKET), target, truncate=True, buckets=buckets)

@@ -2,48 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import json
 
-from reshelve.operators.document import Documents
-from reshelve.operators.wide import BUCKET, bucket_of, latest
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from reshelve.operators.document import MARKS, Documents
+from reshelve.operators.wide import BUCKET, LOAD, latest
 from reshelve.schema import WIDE_SCHEMA
+from reshelve.sources.layout import read_layout
 from reshelve.sources.tables import read_if_present
 
 
 def read_documents(spark: SparkSession, path: str, fmt: str = "parquet", schema=None,
                    padded: bool = True) -> Documents:
-    """Read a collection written by :func:`reshelve.sinks.documents.write_documents`.
+    """Read a collection written by :func:`reshelve.sinks.documents.write_documents`, with what
+    was set aside from it.
 
     JSON carries no types, so its reader is told the schema.
     """
+    rejected = read_if_present(spark, f"{path}/rejected_pieces")
     reader = spark.read.format(fmt)
+    if schema is None and rejected is not None:  # an empty collection has no files to ask
+        schema = rejected.drop(*MARKS, BUCKET).schema
     if schema is not None:
-        reader = reader.schema(schema)
-    return Documents(
-        reader.load(f"{path}/accepted"),
-        read_if_present(spark, f"{path}/rejected_rows"),
-        padded,
-    )
-
-
-def read_wide(spark: SparkSession, path: str, merged: bool = False) -> DataFrame:
-    """Read the wide table. Loads appended since the last truncation need ``merged=True``,
-    which keeps the newest row of each key."""
-    df = spark.read.parquet(path)
-    if merged:
+        reader = reader.schema(T.StructType([*schema, T.StructField(BUCKET, T.IntegerType())]))
+    whole = {"whole": F.lit(True), "first": F.lit(True), "carried": F.lit(False)}
+    pieces = reader.load(f"{path}/accepted").withColumns(whole)
+    layout = read_layout(spark, path)
+    if rejected is not None:
+        pieces = pieces.unionByName(rejected, allowMissingColumns=True)
+    return Documents(pieces, padded, layout[0].buckets if layout else None)
+
+
+def read_wide(spark: SparkSession, path: str, merged: bool | None = None) -> DataFrame:
+    """Read the wide table with the bucket of each row. Where it has several loads the newest row
+    of each key is kept, unless ``merged`` says otherwise."""
+    loads = read_layout(spark, path)
+    if not loads:
+        raise ValueError(f"there is no wide table under {path}")
+    schema = T.StructType.fromJson(json.loads(loads[0].schema))
+    stored = T.StructType([
+        T.StructField(f.name, f.dataType, True, {"buckets": loads[0].buckets})
+        if f.name == "customer_id" else f for f in schema]).add(LOAD, "integer").add(
+        BUCKET, "integer")
+    df = spark.read.schema(stored).parquet(path)
+    if len(loads) > 1 if merged is None else merged:
         df = latest(df)
-    return df.select(*WIDE_SCHEMA.names)
-
-
-def partition_of(spark: SparkSession, path: str, customer_id: int, buckets: int,
-                 merged: bool = False) -> DataFrame:
-    """Rows of one customer. The bucket folder is computed from the id, so only its files
-    are listed, and inside them row-group statistics skip other customers."""
-    folder = f"{path}/{BUCKET}={bucket_of(customer_id, buckets)}"
-    stored = read_if_present(spark, folder)
-    if stored is None:
-        return spark.createDataFrame([], WIDE_SCHEMA)
-    found = stored.where(F.col("customer_id") == customer_id)
-    if merged:
-        found = latest(found)
-    return found.select(*WIDE_SCHEMA.names)
+    return df.select(*WIDE_SCHEMA.names, BUCKET)

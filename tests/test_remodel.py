@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from conftest import plan
 from reshelve.functions.convert import convert_values
-from reshelve.operators import document as documents
-from reshelve.operators.document import nest_documents, split_oversize, unwind_lines
-from reshelve.operators.prepare import clean, customer_rows, enrich
+from reshelve.operators.document import nest_documents, unwind_lines
+from reshelve.operators.prepare import clean, enrich
 from reshelve.operators.wide import cluster_by, conform, to_wide, upsert
 from reshelve.plans import document, relational, wide
 from reshelve.schema import STORE_SCHEMA, WIDE_SCHEMA
@@ -67,7 +66,7 @@ def test_enriched_keeps_padded_rows(enriched):
 
 
 def test_documents_hold_null_structs_for_missing_children(enriched):
-    docs = {r.customer_id: r for r in nest_documents(enriched).bounded.collect()}
+    docs = {r.customer_id: r for r in nest_documents(enriched).pieces.collect()}
     assert len(docs) == 5
     assert [o.order_id for o in docs[1].orders] == [10, 11]
     assert [i.line_number for i in docs[1].orders[0].lineitems] == [1, 2]
@@ -77,7 +76,7 @@ def test_documents_hold_null_structs_for_missing_children(enriched):
 
 
 def test_documents_without_padding_have_empty_arrays(enriched):
-    docs = {r.customer_id: r for r in nest_documents(enriched, drop_empty=True).bounded.collect()}
+    docs = {r.customer_id: r for r in nest_documents(enriched, drop_empty=True).pieces.collect()}
     assert docs[2].orders == []
     assert docs[3].orders[0].lineitems == []
 
@@ -90,43 +89,48 @@ def test_unwinding_restores_the_rows(enriched, drop_empty):
     assert keys(unwind_lines(docs)) == expected
 
 
-@pytest.mark.parametrize("broadcast_ids", [100, 0])
+@pytest.mark.parametrize("max_rows", [1, 2])
 @pytest.mark.parametrize("drop_empty", [False, True])
-def test_oversize_customers_change_no_answer(enriched, monkeypatch, broadcast_ids, drop_empty):
-    monkeypatch.setattr(documents, "MAX_BROADCAST_IDS", broadcast_ids)
+def test_pieces_change_no_answer(enriched, max_rows, drop_empty):
     whole = nest_documents(enriched, drop_empty)
-    split = nest_documents(enriched, drop_empty, max_rows=2)
-    assert whole.overflow is None
-    assert {r.customer_id for r in split.overflow.collect()} == {1}
-    assert split.bounded.where("customer_id = 1").count() == 0
+    split = nest_documents(enriched, drop_empty, max_rows=max_rows)
+    assert whole.pieces.where("NOT (whole AND first) OR carried").count() == 0
+    marks = {(r.customer_id, r.whole) for r in split.pieces.collect()}
+    assert marks == {(1, False), (2, True), (3, True), (4, True), (5, True)}
     for query in (document.d1, document.d2, document.d2_count, document.d2_sample, document.d3,
                   document.d4, document.d5):
         assert Counter(map(str, query(split).collect())) \
             == Counter(map(str, query(whole).collect())), query.__name__
 
 
-def test_customer_rows_equal_the_enriched_rows(odd, enriched):
-    counts = {r.customer_id: r.n for r in customer_rows(clean(odd)).collect()}
-    expected = Counter(r.customer_id for r in enriched.collect())
-    assert {k: n for k, n in counts.items() if k in expected} == {
-        k: n for k, n in expected.items() if k != 2}
-    split = nest_documents(enriched, max_rows=2, sizes=customer_rows(clean(odd)))
-    assert {r.customer_id for r in split.overflow.collect()} == {1}
-
-
-def test_split_is_skipped_when_all_customers_fit(enriched):
-    rows, oversize = split_oversize(enriched)
-    assert rows is enriched and oversize is None
+def test_a_hot_order_is_cut_and_counted_once(spark):
+    """One customer with an order of 500 lines, another order of the same id, and 40 small ones."""
+    lines = [line(10, n, float(n)) for n in range(1, 501)]
+    lines += [line(100 + n, 1, 1.0) for n in range(40)]
+    orders = [order(10, 1, "P", price=2.0), order(10, 1, "A", price=3.0)]
+    orders += [order(100 + n, 1) for n in range(40)]
+    rows = enrich(tables(spark, [(1, "Ann", 1, "x")], orders, lines))
+    whole, split = nest_documents(rows), nest_documents(rows, max_rows=50)
+    sizes = [sum(len(o.lineitems) for o in r.orders) for r in split.pieces.collect()]
+    assert len(sizes) > 10 and max(sizes) <= 150 and sum(sizes) == 1040
+    assert split.pieces.where("first").count() == 1
+    for query in (document.d1, document.d2, document.d3, document.d4, document.d5):
+        assert Counter(map(str, query(split).collect())) \
+            == Counter(map(str, query(whole).collect())), query.__name__
 
 
-def test_nesting_shuffles_rows_once(enriched, spark):
+def test_nesting_shuffles_lines_once(enriched, spark):
     frame = spark.range(10).selectExpr(
         "id AS customer_id", "'n' AS name", "'a' AS nation_name", "'b' AS region_name",
         "id AS order_id", "'O' AS status", "1.0 AS total_price", "current_date() AS order_date",
         "1 AS line_number", "1.0 AS quantity", "1.0 AS extended_price", "0.0 AS discount",
         "0.0 AS tax", "'R' AS return_flag", "'O' AS line_status", "current_date() AS ship_date",
         "current_date() AS commit_date", "current_date() AS receipt_date")
-    assert plan(nest_documents(frame).bounded).count("Exchange") == 1
+    pieces = plan(nest_documents(frame).pieces)
+    lines = [row for row in pieces.split("\n") if "Exchange hashpartitioning" in row]
+    assert "BatchEvalPython" not in pieces and "CartesianProduct" not in pieces
+    # Lines go by order and nested orders by customer; the rest are counts per order.
+    assert sum("part#" not in row and "n#" not in row for row in lines) <= 4
 
 
 def test_document_answers(enriched):

@@ -9,23 +9,25 @@ from fixtures import line, odd_tables, order, tables
 
 from conftest import plan
 from reshelve.config import PipelineConfig, SourceConfig
-from reshelve.operators.document import nest_documents
+from reshelve.operators.document import MARKS, nest_documents
 from reshelve.operators.prepare import enrich
-from reshelve.operators.wide import bucket_of, buckets_for, to_wide
-from reshelve.plans import document, pipeline, wide
+from reshelve.operators.wide import BUCKET, bucket_of, buckets_for, to_wide
+from reshelve.plans import batch, document, pipeline, wide
 from reshelve.plans.pipeline import STAGES, StageError, check_stages, choose_stages
 from reshelve.schema import document_schema
 from reshelve.session import BYTES_PER_SHUFFLE_TASK, configure, shared_folder
 from reshelve.sinks.documents import LoadCounts, write_documents
 from reshelve.sinks.staged import stage, write_report
-from reshelve.sinks.wide import write_wide
-from reshelve.sources.stores import partition_of, read_documents, read_wide
+from reshelve.sinks.wide import compact_wide, write_wide
+from reshelve.sources import layout
+from reshelve.sources.stores import read_documents, read_wide
 from reshelve.sources.tables import (
     jdbc_options, probe_options, read_parquet_tables, read_staged, read_tables)
 
 
 def rows_of(df):
-    return Counter(map(str, df.select(*sorted(df.columns)).collect()))
+    columns = sorted(set(df.columns) - {BUCKET})
+    return Counter(map(str, df.select(*columns).collect()))
 
 
 @pytest.fixture(scope="module")
@@ -80,7 +82,7 @@ def test_documents_are_written_and_read_back(spark, enriched, tmp_path, fmt):
         counts = write_documents(docs, str(tmp_path), fmt)
     assert counts == LoadCounts(5, 5, 0)
     schema = document_schema(DoubleType())
-    written = spark.read.parquet(f"{tmp_path}/staged").drop("document_bytes").schema
+    written = spark.read.parquet(f"{tmp_path}/staged").drop("document_bytes", *MARKS).schema
     assert written.simpleString() == schema.simpleString()
     stored = read_documents(spark, str(tmp_path), fmt, schema)
     assert rows_of(document.d5(stored)) == rows_of(document.d5(docs))
@@ -95,7 +97,8 @@ def test_oversize_documents_are_set_aside(spark, enriched, tmp_path):
     assert rejected.customer_id == 1 and rejected.document_bytes > 600
     assert "size limit" in rejected.reason
     stored = read_documents(spark, str(tmp_path))
-    assert stored.bounded.count() == 4
+    assert spark.read.parquet(f"{tmp_path}/accepted").count() == 4
+    assert stored.pieces.count() == 5
     assert rows_of(document.d5(stored)) == rows_of(document.d5(docs))
 
 
@@ -137,27 +140,63 @@ def test_loads_append_and_the_last_wins(spark, enriched, tmp_path):
     write_wide(rows, path, buckets=4)
     write_wide(rows, path, buckets=9)
     assert spark.read.parquet(path).count() == 2 * rows.count()
-    assert rows_of(read_wide(spark, path, merged=True)) == rows_of(rows)
+    assert rows_of(read_wide(spark, path)) == rows_of(rows)
+    assert read_wide(spark, path, merged=False).count() == 2 * rows.count()
     t = tables(spark, [(1, "Ann", 1, "x")], [order(10, 1, "A")], [line(10, 1, 1.0)])
     write_wide(to_wide(enrich(t)), path)
-    found = read_wide(spark, path, merged=True)
+    found = read_wide(spark, path)
     changed = found.where("order_id = 10 AND line_number = 1").first()
     assert (changed.status, changed.extended_price) == ("A", Decimal("1.00"))
     assert found.count() == rows.count()
+    compact_wide(spark, path, str(tmp_path / "compact"))
+    assert rows_of(read_wide(spark, str(tmp_path / "compact"), merged=False)) == rows_of(found)
     write_wide(rows, path, truncate=True, buckets=4)
     assert rows_of(read_wide(spark, path)) == rows_of(rows)
+    assert "SortAggregate" not in plan(read_wide(spark, path))
 
 
-def test_one_customer_is_read_from_its_bucket(spark, enriched, tmp_path):
+def test_append_after_an_empty_load(spark, enriched, tmp_path):
     path = str(tmp_path / "wide")
     rows = to_wide(enriched)
-    write_wide(rows, path, truncate=True, buckets=4)
-    for customer in (1, 2, 4, 5, 1000):
-        found = partition_of(spark, path, customer, 4)
-        assert rows_of(found) == rows_of(rows.where(f"customer_id = {customer}"))
-    files = partition_of(spark, path, 1, 4).inputFiles()
-    assert files and all(f"customer_bucket={bucket_of(1, 4)}/" in f for f in files)
-    assert wide.k3(partition_of(spark, path, 1, 4)).first()[:] == (1, 2, 3)
+    write_wide(rows.limit(0), path, truncate=True)
+    assert read_wide(spark, path).count() == 0
+    write_wide(rows, path)
+    assert rows_of(read_wide(spark, path)) == rows_of(rows)
+    with pytest.raises(ValueError, match="no wide table"):
+        read_wide(spark, str(tmp_path / "none"))
+
+
+def test_two_writers_take_different_loads(spark, tmp_path, monkeypatch):
+    """Both saw the same loads before they took a number."""
+    path = str(tmp_path)
+    layout.write_layout(spark, path, 8)
+    seen = layout.read_layout(spark, path)
+    monkeypatch.setattr(layout, "read_layout", lambda *a: seen)
+    assert [layout.claim_load(spark, path, 8, "") for _ in range(2)] == [1, 2]
+
+
+def test_a_lookup_reads_one_bucket(spark, enriched, tmp_path):
+    """Of the wide table and of the documents, also where a load was appended."""
+    rows = to_wide(enriched)
+    write_wide(rows, f"{tmp_path}/wide", truncate=True, buckets=4)
+    docs = nest_documents(enriched)
+    write_documents(docs, f"{tmp_path}/documents", max_bytes=600, buckets=4)
+    stored = read_documents(spark, f"{tmp_path}/documents")
+    for _ in range(2):
+        table = read_wide(spark, f"{tmp_path}/wide")
+        for customer in (1, 2, 4, 5, 1000):
+            found = wide.k2(table, customer)
+            assert rows_of(found) == rows_of(rows.where(f"customer_id = {customer}"))
+            assert f"PartitionFilters: [isnotnull({BUCKET}" in plan(found)
+            assert rows_of(document.d2_count(stored, customer)) == rows_of(
+                document.d2_count(docs, customer))
+        assert wide.k3(table, 1).first()[:] == (1, 2, 3)
+        write_wide(rows, f"{tmp_path}/wide")
+    assert f"PartitionFilters: [isnotnull({BUCKET}" in plan(document.d2(stored, 1))
+    asked = spark.createDataFrame([(1, 1), (2, 1)], "sample_id long, customer_id long")
+    for answer in (batch.k2(asked, table), batch.d2(asked, stored)):
+        scan = [row for row in plan(answer).split("\n") if "PartitionFilters" in row]
+        assert any(f"{BUCKET}" in row.split("PartitionFilters")[1].split("]")[0] for row in scan)
 
 
 def test_buckets_agree_between_column_and_value(spark):
