@@ -29,6 +29,8 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from reshelve.session import stored
+
 MESSAGE, CALL, RESULT = range(3)
 
 ANSWER_SCHEMA = {
@@ -136,22 +138,22 @@ def place_calls(calls: DataFrame, results: DataFrame) -> DataFrame:
     """(call_id, place, cycle) of first calls (call_id, turn, refs); one round per level."""
     answered = results.groupBy("call_id").agg(F.max("turn").alias("last"))
     edges = calls.select("call_id", F.explode("refs").alias("ref")).distinct()
-    edges = edges.join(calls.select(F.col("call_id").alias("ref")), "ref").checkpoint()
+    edges = stored(edges.join(calls.select(F.col("call_id").alias("ref")), "ref"))
     turns = calls.select("call_id", "turn")
-    done = turns.join(edges, "call_id", "left_anti").select(
-        "call_id", F.col("turn").alias("place")).checkpoint()
+    done = stored(turns.join(edges, "call_id", "left_anti").select(
+        "call_id", F.col("turn").alias("place")))
     while not edges.isEmpty():
         ends = done.join(answered, "call_id", "left").select(
             F.col("call_id").alias("ref"), F.greatest("place", "last").alias("end"))
-        ready = (edges.join(ends, "ref", "left").groupBy("call_id")
-                 .agg(F.max("end").alias("end"), F.count_if(F.col("end").isNull()).alias("open"))
-                 .where("open = 0").join(turns, "call_id")
-                 .select("call_id", F.greatest("turn", F.col("end") + 1).alias("place"))
-                 .checkpoint())
+        ready = stored(
+            edges.join(ends, "ref", "left").groupBy("call_id")
+            .agg(F.max("end").alias("end"), F.count_if(F.col("end").isNull()).alias("open"))
+            .where("open = 0").join(turns, "call_id")
+            .select("call_id", F.greatest("turn", F.col("end") + 1).alias("place")))
         if ready.isEmpty():
             break
         done = done.union(ready)
-        edges = edges.join(ready, "call_id", "left_anti").checkpoint()
+        edges = stored(edges.join(ready, "call_id", "left_anti"))
     waiting = edges.select("call_id").distinct().join(turns, "call_id")
     return done.withColumn("cycle", F.lit(False)).union(
         waiting.select("call_id", F.col("turn").alias("place"), F.lit(True).alias("cycle")))
@@ -175,13 +177,13 @@ def format_chat(messages: DataFrame, calls: DataFrame, results: DataFrame,
     def quoted(texts: pd.Series) -> pd.Series:
         return pd.Series([canonical("" if t is None else t) for t in texts], dtype=object)
 
-    calls = read_calls(calls.select("conv_id", "turn", "call_id", "name", "arguments").distinct(),
-                       schemas).checkpoint()
+    calls = stored(read_calls(
+        calls.select("conv_id", "turn", "call_id", "name", "arguments").distinct(), schemas))
     results = results.select("conv_id", "turn", "call_id", "text").distinct()
     # Calls of one identifier are few by nature; the window's limit is applied before its shuffle.
     order = Window.partitionBy("call_id").orderBy("conv_id", "turn", "name", "canonical")
-    first = calls.where("call_id is not null").withColumn("nth", F.row_number().over(order)).where(
-        "nth = 1").drop("nth").checkpoint()
+    first = stored(calls.where("call_id is not null").withColumn(
+        "nth", F.row_number().over(order)).where("nth = 1").drop("nth"))
     placed = place_calls(first, results)
     unknown = (first.select("call_id", F.explode("refs").alias("ref"))
                .join(first.select(F.col("call_id").alias("ref")), "ref", "left_anti")

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reshelve.llm.forest import components, unite
+from reshelve.session import stored
 
 COSINE = 0.95
 # The centroids are fitted on the vectors with the least hashes: at most SAMPLE_ROWS of them
@@ -147,13 +148,13 @@ def groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     given = given.withColumn("sound", sound)
     distinct = given.where("sound").groupBy("vector").agg(
         F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
-    distinct = distinct.withColumn("node", F.monotonically_increasing_id()).checkpoint()
+    distinct = stored(distinct.withColumn("node", F.monotonically_increasing_id()))
     sizes = distinct.groupBy(F.size("vector").alias("size")).count().orderBy("size").collect()
     parts = distinct.select("node", F.lit(0).cast("long").alias("links"),
                             F.col("node").alias("root")).limit(0)
     for size, count in sizes:
         parts = parts.union(_linked(distinct.where(F.size("vector") == size), count, size, cosine))
-    parts = parts.checkpoint()
+    parts = stored(parts)
     links = parts.groupBy("node").agg(F.sum("links").alias("links"))
     found = components(parts, "node", "root")
     nodes = distinct.join(links, "node", "left").join(found, "node", "left").select(

@@ -21,6 +21,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from reshelve.llm.columns import SPACE, distance, hex_of, signed, text_or_empty
+from reshelve.session import stored
 
 BITS = 64
 # Two counters of 32 bits share a long, so 32 sums hold the votes of all 64 bits. A counter
@@ -180,7 +181,7 @@ def op1_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     rows = both.withColumn("following", F.when(
         F.col("doc_id").isNotNull(), F.lead("own").over(order))).where("not guest")
     rows = rows.select("doc_id", "n_chars", "sha", "own", "changed", "following")
-    rows = rows.checkpoint()  # read three times below
+    rows = stored(rows)  # read three times below
     copies = rows.groupBy(F.col("own").alias("fingerprint")).agg(F.count(F.lit(1)).alias("n"))
     asked = rows.where("doc_id % 100 = 0").select(F.col("own").alias("fingerprint"))
     near = (within_radius(asked, copies).join(copies, "fingerprint")

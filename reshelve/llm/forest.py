@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from reshelve.session import stored
+
 # Star contraction needs a number of rounds that grows with the logarithm of a group's longest
 # path; more rounds than this means the edges change while they are read.
 MOST_ROUNDS = 60
@@ -54,14 +56,14 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     """(node, component) of every node that has an edge to another; the least node names it.
 
     Alternates large and small star steps, which link every node to the least one it knows,
-    until all edges lead to roots. Least neighbours are aggregated before they are shuffled and joined
-    back, so a node with very many neighbours is split as a skewed join. Each round is written
-    to the shared checkpoint folder.
+    until all edges lead to roots. Least neighbours are aggregated before they are shuffled and
+    joined back, so a node with very many neighbours is split as a skewed join. Each round is
+    written to the shared checkpoint folder.
     """
-    edges = edges.where(F.col(left) != F.col(right)).select(
-        F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).distinct().checkpoint()
+    edges = stored(edges.where(F.col(left) != F.col(right)).select(
+        F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).distinct())
     for _ in range(MOST_ROUNDS):
-        edges = _small_star(_large_star(edges)).distinct().checkpoint()
+        edges = stored(_small_star(_large_star(edges)).distinct())
         if _is_settled(edges):
             least = edges.select(F.col("v").alias("node")).distinct()
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

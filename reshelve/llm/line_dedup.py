@@ -26,6 +26,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from reshelve.session import stored
+
 # Lines under the rolling hash, the share of places where it ends a chunk, lines of a chunk.
 WINDOW = 2
 DIVISOR = 2
@@ -120,12 +122,12 @@ def repeated(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     """
     texts = docs.where("text is not null").select(*_identity(), "text")
     places = texts.mapInPandas(_hasher(hash_bits), "key long, mark long, number int, hash long")
-    places = places.distinct().checkpoint()
+    places = stored(places.distinct())
     shared = places.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     wanted = places.join(shared.select("hash"), "hash").groupBy("key", "mark").agg(
         F.collect_list("number").alias("numbers"))  # no more than the chunks of one document
-    fetched = texts.join(wanted, ["key", "mark"]).mapInPandas(
-        _fetched, "key long, mark long, number int, chunk string").checkpoint()
+    fetched = stored(texts.join(wanted, ["key", "mark"]).mapInPandas(
+        _fetched, "key long, mark long, number int, chunk string"))
     first = fetched.groupBy("chunk").agg(F.min(F.struct("key", "mark", "number")).alias("first"))
     gone = fetched.join(first, "chunk").where(F.struct("key", "mark", "number") != F.col("first"))
     return gone.groupBy("key", "mark").agg(F.collect_set("number").alias("numbers"))

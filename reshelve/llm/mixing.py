@@ -21,6 +21,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from reshelve.session import stored
+
 SEED = 17
 # Weights that are not given follow the number of documents to this power.
 TEMPERATURE = 0.5
@@ -61,7 +63,7 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None,
         given = docs.sparkSession.createDataFrame(
             [(source, float(w)) for source, w in weights.items()], "key string, w double")
         counts = counts.join(given, F.col("source").eqNullSafe(F.col("key"))).drop("key")
-    counts = counts.checkpoint()
+    counts = stored(counts)
     documents, total = counts.agg(F.sum("n"), F.sum("w")).first()
     if not total:  # no documents, or none in a source with a weight
         return counts.select("source", F.lit(0.0).alias("rate"))
@@ -76,7 +78,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None,
     """All columns and `copy`, from 1, in a shuffled order; `size` documents are expected,
     as many as the input has in the sources with a weight unless it is given."""
     found = rates(docs, weights, temperature, size).withColumnRenamed("source", "__source")
-    found = found.select("__source", "rate", _steps("rate").alias("__steps")).checkpoint()
+    found = stored(found.select("__source", "rate", _steps("rate").alias("__steps")))
     sources, steps = found.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.size("__steps")), F.lit(0))).first()
     found = found.drop("rate")

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from reshelve.llm.columns import hex_of, signed, text_or_empty
 from reshelve.llm.forest import components, unite
+from reshelve.session import stored
 
 BITS = 64
 WORDS = 3
@@ -178,10 +179,10 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFr
 def groups(docs: DataFrame, radius: int = RADIUS, prints=shingle_prints) -> DataFrame:
     """(doc_id, parts, component_id): the fingerprints as signed numbers, the group by its least
     id. Texts with the same fingerprints are compared once."""
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        prints(text_or_empty("text")).alias("parts")).checkpoint()
+    found = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                               prints(text_or_empty("text")).alias("parts")))
     distinct = found.groupBy("parts").agg(F.min("doc_id").alias("least"))
-    distinct = distinct.withColumn("node", F.monotonically_increasing_id()).checkpoint()
+    distinct = stored(distinct.withColumn("node", F.monotonically_increasing_id()))
     linked = components(links(distinct, radius))
     named = distinct.join(linked, "node", "left").select(
         "parts", "least", F.coalesce("component", "node").alias("component"))
