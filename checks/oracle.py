@@ -583,6 +583,34 @@ FROM x GROUP BY 1""",
         "log_comparison": LOG + COMPARISON,
         "log_comparison_sink": LOG + COMPARISON,
     }
+    def two(amount: str) -> str:
+        return f"CAST(CAST({amount} AS DECIMAL(34,2)) AS VARCHAR)"
+
+    def head(p: str) -> str:
+        return f"""'Revenue for customers ' || ANY_VALUE({p}.revenue_start) || '-'
+       || ANY_VALUE({p}.revenue_end) || ':' || chr(10)"""
+
+    found["text_rows"] = f"""
+SELECT customer_id, 'Customer ' || customer_id || ': Found ' || ANY_VALUE(row_count)
+       || ' order-lineitem rows.' || chr(10) || 'Sample:' || chr(10)
+       || string_agg(document || chr(10), '' ORDER BY position) AS response
+FROM ({SAMPLE}) s JOIN ({found["d2_count"]}) n USING (customer_id) GROUP BY customer_id"""
+    found["text_customers"] = f"""
+SELECT sample_id, {head("p")} || string_agg('  ' || name || ': revenue='
+         || {two("total_revenue")} || ', items=' || total_orders || chr(10), ''
+         ORDER BY total_revenue DESC, customer_id)
+       || 'Total customers: ' || COUNT(*) AS response
+FROM ({found["batch_d5"]}) a
+JOIN (SELECT event_id AS sample_id, user_id * 10 + event_id % 11 AS revenue_start,
+             user_id * 10 + event_id % 11 + 10 AS revenue_end FROM events) p USING (sample_id)
+GROUP BY sample_id"""
+    found["text_orders"] = f"""
+SELECT sample_id, {head("r")} || string_agg('  ' || name || ', order ' || order_id
+         || ': ' || {two("revenue")} || chr(10), '' ORDER BY place)
+       || 'Total orders: ' || ANY_VALUE(orders) || ', Grand Total: '
+       || {two("ANY_VALUE(grand_total)")} AS response
+FROM ({found["batch_r5_top"]}) t JOIN ({found["batch_r5"]}) r USING (sample_id)
+GROUP BY sample_id"""
     found["r2_lookup"] = f"SELECT * FROM ({found['r2_detail']}) WHERE customer_id = 7"
     return found
 

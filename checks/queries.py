@@ -166,6 +166,36 @@ def _range_text(spark, folder):
         F.col("customers")).alias("response"))
 
 
+def _rows_text(spark, folder):
+    docs = a.documents(spark, folder)
+    sample = document.d2_sample(docs).groupBy("customer_id").agg(
+        F.sort_array(F.collect_list(F.struct("position", "document"))).alias("sample"))
+    return document.d2_count(docs).join(sample, "customer_id").select(
+        "customer_id", text.rows_text(F.col("customer_id"), F.col("row_count"),
+                                      F.col("sample.document")).alias("response"))
+
+
+def _customers_text(spark, folder):
+    """A line per customer of a narrow range, gathered per lookup, greatest revenue first."""
+    params = a.lookups(spark, folder)
+    line = F.struct((-F.col("total_revenue")).alias("order"), "customer_id", "name",
+                    "total_revenue", "total_orders")
+    gathered = batch.d5(params, a.documents(spark, folder)).groupBy("sample_id").agg(
+        F.sort_array(F.collect_list(line)).alias("customers"))
+    return params.join(gathered, "sample_id").select("sample_id", text.customers_text(
+        F.col("revenue_start"), F.col("revenue_end"), F.col("customers")).alias("response"))
+
+
+def _orders_text(spark, folder):
+    """The five greatest orders of a range and its totals; ranges without orders have none."""
+    params, tables = a.lookups(spark, folder), a.source_tables(spark, folder)
+    top = batch.r5_top(params, tables).groupBy("sample_id").agg(F.sort_array(F.collect_list(
+        F.struct("place", "name", "order_id", "revenue"))).alias("shown"))
+    return batch.r5(params, tables).join(top, "sample_id").select("sample_id", text.orders_text(
+        F.col("revenue_start"), F.col("revenue_end"), F.col("shown"), F.col("orders"),
+        F.col("grand_total")).alias("response"))
+
+
 def _enriched_prepared(build):
     return lambda spark, folder: build(a.enriched(spark, folder))
 
@@ -284,6 +314,9 @@ QUERIES: dict[str, Query] = {
         "customer_id", text.status_text(F.col("status"), F.col("order_count"),
                                         F.col("total_value")).alias("response"))),
     "text_revenue": _wide(lambda w: wide.k5_text(w).select("customer_id", "response")),
+    "text_rows": _rows_text,
+    "text_customers": _customers_text,
+    "text_orders": _orders_text,
     # batches of lookups
     "batch_r1": _batch_tables(batch.r1),
     "batch_r2": _batch_tables(batch.r2),

@@ -305,3 +305,20 @@ def test_catalogue_has_fifteen_queries(spark):
     rows = compare.catalogue(spark).collect()
     assert len(rows) == 15 and len({r.label for r in rows}) == 15
     assert sum(r.differs for r in rows) == 2
+
+
+def test_from_log_to_report(spark, tmp_path):
+    """Quotes, commas and line breaks inside a message, and a label of the catalogue."""
+    from reshelve.schema import CATALOGUE
+    label = CATALOGUE[0][3]
+    path = tmp_path / "log.csv"
+    path.write_text('timeStamp,elapsed,label,responseMessage,success\n'
+                    f'1000,40,{label},"said ""no"", and\nleft",false\n1500,60,{label},OK,true\n')
+    read = read_log(spark, str(path)).orderBy("start_ms").collect()
+    assert [r.response_message for r in read] == ['said "no", and\nleft', "OK"]
+    assert [r.success for r in read] == ["false", "true"]
+    compare.report(spark, str(path), f"{tmp_path}/report")
+    rows = spark.read.csv(f"{tmp_path}/report", header=True).collect()
+    assert len(rows) == len(CATALOGUE)
+    assert [(r.label, r.samples, r.avg_ms) for r in rows if r.has_data == "true"] == [
+        (label, "2", "50.0")]
