@@ -6,9 +6,12 @@ columns of `documents`.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reshelve.llm import line_dedup, mixing, near_dedup, pieces, quality
+from reshelve.session import shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -58,8 +61,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents after all stages."""
+    """The documents after all stages. What a stage keeps is written to the shared folder and read
+    by the next, as stages read their input more than once."""
+    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs.write.parquet(f"{folder}/{i}")
+            docs = spark.read.parquet(f"{folder}/{i}")
     return docs

@@ -41,6 +41,11 @@ def test_stages_one_after_another(spark, folder, tmp_path):
     assert all(r.ids == library.encode(r.text) for r in coded)
 
 
+def test_run_gives_the_last_stage(spark, folder):
+    rows = cp.run(spark, folder).collect()
+    assert rows and all(r.exact and r.n_ids == len(r.ids) for r in rows)
+
+
 def test_empty_documents(spark, folder, docs_of):
     docs = docs_of([])
     for _, stage in cp.STAGES:
