@@ -25,20 +25,21 @@ Results in odd cases:
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from reshelve.llm.columns import text_or_empty
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # The vocabulary file must be readable on the driver only; its pieces are sent to the tasks.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-# Segments, pairs and pieces remembered by a task; more are worked out again.
-MAX_CACHED = 400_000
+# Segments, pairs and pieces remembered by a task, twice: those in use and those used before. Texts encoded at once.
+MAX_CACHED = 100_000
+ROWS = 256
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 INFINITY = float("inf")
 
@@ -74,16 +75,22 @@ def read_vocabulary(path: str = MODEL) -> Vocabulary:
 
 
 class _Bounded(dict):
-    """Remembered results of a function, dropped when there are too many."""
+    """Remembered results of a function. When there are too many, those used since the last time
+    are kept and the others forgotten."""
 
     def __init__(self, of):
         super().__init__()
         self.of = of
+        self.older: dict = {}
 
     def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.of(key)
         if len(self) >= MAX_CACHED:
+            self.older = dict(self)
             self.clear()
-        found = self[key] = self.of(key)
+        self[key] = found
         return found
 
 
@@ -106,18 +113,36 @@ class Transducer:
             node[""] = piece
         self.bytes = {int(v.pieces[i][3:-1], 16): i for i, kind in enumerate(v.types)
                       if kind == BYTE}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.silent = {i for i, kind in enumerate(v.types) if kind == CONTROL}
+        self.spelled = [
+            bytes([int(p[3:-1], 16)]) if kind == BYTE else b"" if kind == CONTROL
+            else " ⁇ ".encode() if kind == UNKNOWN else p.encode()
+            for p, kind in zip(v.pieces, v.types)]
         self.worst = max(self.weight.values(), default=0.0) + 10
-        # No piece goes on past a mark that follows another character, so a path always stops
-        # there, and segments can be solved alone.
-        self.cut = all(MARK not in p.lstrip(MARK) for p in self.ids)
-        self.segment = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.segment = self._cuts()
         self.segments = _Bounded(lambda s: tuple(self.shortest_path(s)))
         self.pairs = _Bounded(lambda pair: self.merged(pair[0] + pair[1]) == [*pair]
                               and self.whole[pair[1]])
         self.whole = _Bounded(lambda piece: self.merged(piece) == [piece])
 
+    def _cuts(self) -> re.Pattern | None:
+        """A pattern for segments that can be solved alone, as no piece reaches past their ends.
+
+        A path stops before a mark that follows another character, after a run of letters, and on
+        both sides of a line break, where the vocabulary has no piece that says otherwise;
+        letters that some piece continues with another sign do not count as such.
+        """
+        if any(MARK in p.lstrip(MARK) for p in self.ids):
+            return None
+        letter = re.compile(r"[^\W\d_]")
+        going_on = {a for p in self.ids for a, b in zip(p, p[1:])
+                    if letter.match(a) and not letter.match(b)}
+        breaks = "".join(c for c in "\n\r\t" if all(c not in p for p in self.ids if len(p) > 1))
+        others = re.escape("".join(sorted(going_on)))
+        letters = rf"[^\W\d_{others}]"
+        signs = rf"(?:(?![{MARK}{breaks}])[\W\d_{others}])"
+        lone = f"|[{breaks}]" if breaks else ""
+        return re.compile(f"{MARK}*{signs}*{letters}+|{MARK}*{signs}+|{MARK}+{lone}")
+
     def normalised(self, text: str) -> str:
         if self.vocabulary.squeeze:
             text = re.sub(" +", " ", text).strip(" ")
@@ -207,27 +232,13 @@ class Transducer:
 
     def encode(self, text: str) -> np.ndarray:
         text = self.normalised(text)
-        parts = self.segment.findall(text) if self.cut else [text] if text else []
+        parts = self.segment.findall(text) if self.segment else [text] if text else []
         found = chain.from_iterable(map(self.segments.__getitem__, parts))
         return np.fromiter(found, np.int32)
 
     def decode(self, ids) -> str:
         """The text of ids; the mark put in front by the normaliser is taken off."""
-        pieces, silent, byte_of = self.vocabulary.pieces, self.silent, self.byte_of
-        ids = [int(i) for i in ids]
-        if silent.isdisjoint(ids) and byte_of.keys().isdisjoint(ids) \
-                and self.vocabulary.unknown not in ids:
-            text = "".join(map(pieces.__getitem__, ids))
-        else:
-            parts: list[bytes] = []
-            for i in ids:
-                if i in byte_of:
-                    parts.append(bytes([byte_of[i]]))
-                elif i == self.vocabulary.unknown:
-                    parts.append(" ⁇ ".encode())
-                elif i not in silent:
-                    parts.append(pieces[i].encode())
-            text = b"".join(parts).decode("utf-8", "replace")
+        text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
         if self.vocabulary.prefix and text.startswith(MARK):
             text = text[1:]
         return text.replace(MARK, " ")
@@ -236,19 +247,29 @@ class Transducer:
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
     """All columns with `ids`, their number `n_ids` and whether they decode to the text."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # one vocabulary, megabytes
-
-    @F.pandas_udf("ids array<int>, exact boolean")
-    def coded(texts: pd.Series) -> pd.DataFrame:
+    kept = docs.drop("ids", "n_ids", "exact")
+    at = kept.columns.index(text)
+    schema = T.StructType([*kept.schema, T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("n_ids", T.IntegerType()),
+                           T.StructField("exact", T.BooleanType())])
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A few rows at a time, so that the ids of very long texts do not pile up."""
         transducer = _transducer(sent)
-        ids = [transducer.encode(t) for t in texts]
-        exact = [transducer.decode(i) == t for i, t in zip(ids, texts)]
-        return pd.DataFrame({"ids": pd.Series(ids, dtype=object),
-                             "exact": pd.Series(exact, dtype=bool)})
-
-    rows = docs.withColumn("__coded", coded(text_or_empty(text)))
-    return (rows.withColumn("ids", F.col("__coded.ids"))
-            .withColumn("n_ids", F.size("__coded.ids"))
-            .withColumn("exact", F.col("__coded.exact")).drop("__coded"))
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                ids = [transducer.encode(t) for t in texts]
+                size = np.array([len(i) for i in ids], np.int32)
+                values = pa.array(np.concatenate(ids), pa.int32())
+                ends = np.r_[0, size.cumsum()].astype(np.int32)
+                exact = [transducer.decode(i.tolist()) == t for i, t in zip(ids, texts)]
+                arrays = [*part.columns, pa.ListArray.from_arrays(pa.array(ends), values),
+                          pa.array(size), pa.array(exact)]
+                yield pa.RecordBatch.from_arrays(arrays, [f.name for f in schema])
+
+    return kept.mapInArrow(coded, schema)
 
 
 _TRANSDUCERS: dict[int, Transducer] = {}
