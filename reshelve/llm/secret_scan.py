@@ -20,8 +20,11 @@ Results in odd cases:
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import operator
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
@@ -36,9 +39,7 @@ ASSIGN = re.compile(
     r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-# What a text must match for a pattern to find something in it, for the sample only.
-LIKELY = (r"""AKIA[A-Z0-9]{16}|[0-9a-f]{24}|(?i:password|passwd|secret|token|api_?key)"""
-          r"""["']?\x20*[:=]""")
+NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 TOKEN = re.compile(r"[\w+/.\-]+|[^\w\s]")
 
 SAMPLE_ROWS = 1500
@@ -47,21 +48,24 @@ NUMBERED = 4
 MAX_WORDS = 2000
 MAX_WORD = 24
 LEAST_SEEN = 5
+SIZES = (2, 4, 8, 12, 16, 20, 24, 32)
 OFFSETS = (-3, -2, -1, 0, 1)
 OUTSIDE, BEGIN, INSIDE = range(3)
 ROUNDS, RATE, DECAY, FORGET = 150, 0.2, 1e-4, 0.25
 MAX_CACHED = 300_000
 
 
-def patterns(text: str) -> list[tuple[int, int, int]]:
-    """(start, end, kind) of what the patterns find, by start, then kind."""
+def patterns(text: str, words: set[str] | None = None) -> list[tuple[int, int, int]]:
+    """(start, end, kind) of what the patterns find, by start, then kind; the text's distinct
+    words save a search if they are at hand."""
     found = []
     if "=" in text or ":" in text:
         found += [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     if "AKIA" in text:
         found += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text)
                   if m.end() - m.start() >= 20]
-    found += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
+    if words is None or any(len(w) >= 24 for w in words):  # none is found in shorter words
+        found += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
     return sorted(found, key=lambda s: (s[0], s[2]))
 
 
@@ -69,12 +73,14 @@ def shape(token: str) -> str:
     """Length, kinds of characters, whether all are hex digits, changes of letter and digit."""
     if len(token) == 1 and not token.isalnum():
         return token
+    size = bisect_right(SIZES, len(token))
+    base = "" if token.strip("0123456789abcdef") else "x"
+    if token.isalpha() and (token.islower() or token.isupper()):
+        return f"{size}{'l' if token.islower() else 'u'}{base}0"
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s"
              for c in token]
     digits = [k == "d" for k in kinds if k != "s"]
     changes = sum(a != b for a, b in zip(digits, digits[1:]))
-    size = sum(len(token) >= n for n in (2, 4, 8, 12, 16, 20, 24, 32))
-    base = "x" if re.fullmatch(r"[0-9a-f]+", token) else ""
     return f"{size}{''.join(sorted(set(kinds)))}{base}{min(changes, 4)}"
 
 
@@ -135,9 +141,9 @@ class Field:
     by_file: np.ndarray
     change: np.ndarray
 
-    def numbers(self, token: str) -> tuple[int, int]:
+    def numbers(self, token: str, form: str) -> tuple[int, int]:
         word = self.words.get(token.lower(), 0) if len(token) <= MAX_WORD else 0
-        return word, self.shapes.get(shape(token), 0)
+        return word, self.shapes.get(form, 0)
 
 
 def _placed(numbers: np.ndarray, offset: int) -> np.ndarray:
@@ -227,27 +233,43 @@ def fit(found: list[tuple[list[str], list[str], list[int], int]], seed: int = 0)
 
 
 class Scanner:
-    """Decodes texts with a field; the weights of known tokens are kept by their numbers."""
+    """Decodes texts with a field; what is known of tokens and words is kept."""
 
     def __init__(self, field: Field):
         self.field = field
         self.known: dict[str, int] = {}
+        self.words: dict[str, frozenset[int]] = {}
         self.kinds: dict[tuple[int, int], int] = {(1, 1): 0}
         self.named: list[bool] = [False]
         self.table = np.empty((len(OFFSETS), 0, 3))
         spare = float((field.change - field.change[OUTSIDE, OUTSIDE]).max())
-        # More than a change of tags can add to a token of a span.
-        self.slack = 2 * max(0.0, spare)
+        # More than a change of tags and the file can add to a token of a span.
+        self.slack = 2 * max(0.0, spare) + _excess(field.by_file).max()
 
     def _kind(self, token: str) -> int:
         if len(self.known) >= MAX_CACHED:
             self.known.clear()
-        kind = self.kinds.setdefault(self.field.numbers(token), len(self.kinds))
+        form = shape(token)
+        kind = self.kinds.setdefault(self.field.numbers(token, form), len(self.kinds))
         if kind == len(self.named):
-            self.named.append("d" in shape(token))
+            self.named.append("d" in form)
         self.known[token] = kind
         return kind
 
+    def _word(self, word: str) -> frozenset[int]:
+        if len(self.words) >= MAX_CACHED:
+            self.words.clear()
+        found = self.words[word] = frozenset(map(self._kind, TOKEN.findall(word)))
+        return found
+
+    def _can_hold(self, words: set[str]) -> bool:
+        """Whether a token could outweigh the outside, were the best neighbours of the whole text
+        next to the best token. Exact: a span whose tokens all cannot is never on the best path."""
+        known = self.words
+        kinds = {0}.union(*[known[w] if w in known else self._word(w) for w in words])
+        bound = _excess(self._weights()[:, list(kinds)]).max(axis=1).sum()
+        return bound + self.slack > 0
+
     def _weights(self) -> np.ndarray:
         if self.table.shape[1] < len(self.kinds):
             word, form = np.array(list(self.kinds)).T
@@ -275,14 +297,13 @@ class Scanner:
             found += table[o][placed]
         return found
 
-    def spans(self, text: str) -> list[tuple[int, int]]:
-        """The spans the field tags in a text."""
-        tokens = TOKEN.findall(text)
-        if not tokens:
+    def spans(self, text: str, words: set[str] | None = None) -> list[tuple[int, int]]:
+        """The spans the field tags in a text, whose distinct words may be at hand."""
+        words = set(text.split()) if words is None else words
+        if not words or not self._can_hold(words):
             return []
-        score = self.score(tokens)
-        gain = np.maximum(score[:, BEGIN], score[:, INSIDE]) - score[:, OUTSIDE] + self.slack
-        if gain.max() <= 0:  # no span can outweigh the outside
+        score = self.score(TOKEN.findall(text))
+        if _excess(score).max() + self.slack <= 0:
             return []
         path = viterbi(score, self.field.change)
         found: list[tuple[int, int]] = []
@@ -295,6 +316,11 @@ class Scanner:
         return found
 
 
+def _excess(weights: np.ndarray) -> np.ndarray:
+    """What the better of begin and inside has over the outside."""
+    return np.maximum(weights[..., BEGIN], weights[..., INSIDE]) - weights[..., OUTSIDE]
+
+
 def viterbi(score: np.ndarray, change: np.ndarray) -> list[int]:
     """The best sequence of tags; the lower tag wins a tie."""
     rows, best, back = score.tolist(), None, []
@@ -321,7 +347,11 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field | None:
     """Train the field on a sample of the documents."""
     rows = docs.select("doc_id", text_or_empty("text").alias("text")).where("doc_id is not null")
     order = (F.xxhash64("doc_id"), "doc_id")
-    likely = rows.where(F.col("text").rlike(LIKELY)).select("doc_id").distinct()
+    lower = F.lower("text")
+    named = functools.reduce(operator.or_, [F.contains(lower, F.lit(n)) for n in NAMES])
+    signed = F.contains("text", F.lit("=")) | F.contains("text", F.lit(":"))
+    likely = rows.where(F.contains("text", F.lit("AKIA")) | (signed & named) | F.col("text").rlike(
+        "[0-9a-f]{24}")).select("doc_id").distinct()
     chosen = likely.orderBy(*order).limit(sample_rows).union(
         rows.select("doc_id").distinct().orderBy(*order).limit(sample_rows)).distinct()
 
@@ -350,8 +380,9 @@ def scan(docs: DataFrame, field: Field | None) -> DataFrame:
         scanner = Scanner(field) if field else None
         rows = []
         for text in texts:
-            base = patterns(text)
-            added = [(s, e, 3) for s, e in (scanner.spans(text) if scanner else ())
+            words = set(text.split())
+            base = patterns(text, words)
+            added = [(s, e, 3) for s, e in (scanner.spans(text, words) if scanner else ())
                      if all(e <= b[0] or s >= b[1] for b in base)]
             counts = Counter(kind for *_, kind in base)
             rows.append((counts[0], counts[1], counts[2],
