@@ -8,7 +8,8 @@ Results in odd cases:
 
 * A null text is an empty one. A text without words has the fingerprint zero.
 * Texts with the same words have the same fingerprint, also when rows or ids repeat.
-* Rows with a null id come last among none: they are fingerprinted, but have no next document.
+* Rows with a null id have fingerprints, but no place in the order and so no next document: the
+  second half of their edited text is empty and their likeness to the next is 0.
 * An empty table gives an empty result.
 * Other columns are dropped, so their names cannot clash.
 """
