@@ -4,6 +4,12 @@ Each line is hashed. A rolling hash over the last lines' hashes ends a chunk whe
 are zero, so the same lines are cut the same way wherever they stand, whatever comes before them.
 A chunk of two lines or more whose hash occurs more than once is fetched, and compared as text.
 Of equal chunks the first stays, by document id and place; the others' lines are removed.
+Short passages inside otherwise different documents mostly hold no whole chunk and stay.
+
+With `cut=pairs` every two lines that follow each other are compared instead. A run of two lines
+or more that stands earlier consists of such pairs, so all its lines are removed, however short
+it is and whatever stands around it; only a blank line between two blank lines may stay. Each
+line removed stands in an earlier place, and the first of equal lines is never removed.
 
 Results in odd cases:
 
@@ -60,9 +66,15 @@ def chunks(text: str) -> tuple[list[str], list[tuple[int, int]]]:
     return lines, found
 
 
-def _repeatable(text: str) -> Iterator[tuple[int, str]]:
+def pairs(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """The lines of a text, and every two that follow each other as ranges of lines."""
+    lines = text.split("\n")
+    return lines, [(i, i + LEAST_LINES) for i in range(len(lines) - LEAST_LINES + 1)]
+
+
+def _repeatable(text: str, cut) -> Iterator[tuple[int, str]]:
     """Number and text of the chunks of several lines that are not blank."""
-    lines, found = chunks(text)
+    lines, found = cut(text)
     for number, (start, end) in enumerate(found):
         if end - start >= LEAST_LINES:
             joined = "\n".join(lines[start:end])
@@ -75,59 +87,65 @@ def _hash(text: str, bits: int) -> int:
     return (own >> (64 - bits)) - (1 << 63)
 
 
-def _hasher(bits: int):
+def _hasher(bits: int, cut):
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             yield pd.DataFrame(
                 [(key, mark, number, _hash(chunk, bits))
                  for key, mark, text in zip(rows["key"], rows["mark"], rows["text"])
-                 for number, chunk in _repeatable(text)],
+                 for number, chunk in _repeatable(text, cut)],
                 columns=["key", "mark", "number", "hash"])
 
     return hashed
 
 
-def _fetched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in batches:
+def _fetcher(cut):
+    def fetched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            found = []
+            for key, mark, text, wanted in zip(rows["key"], rows["mark"], rows["text"],
+                                               rows["numbers"]):
+                wanted = set(wanted.tolist())
+                found += [(key, mark, number, chunk)
+                          for number, chunk in _repeatable(text, cut) if number in wanted]
+            yield pd.DataFrame(found, columns=["key", "mark", "number", "chunk"])
+
+    return fetched
+
+
+def _without(cut):
+    @F.pandas_udf(T.StructType().add("text", "string").add("n_lines", "integer")
+                  .add("n_removed", "integer"))
+    def without(texts: pd.Series, numbers: pd.Series) -> pd.DataFrame:
         found = []
-        for key, mark, text, wanted in zip(rows["key"], rows["mark"], rows["text"],
-                                           rows["numbers"]):
-            wanted = set(wanted.tolist())
-            found += [(key, mark, number, chunk)
-                      for number, chunk in _repeatable(text) if number in wanted]
-        yield pd.DataFrame(found, columns=["key", "mark", "number", "chunk"])
-
-
-@F.pandas_udf(T.StructType().add("text", "string").add("n_lines", "integer")
-              .add("n_removed", "integer"))
-def _without(texts: pd.Series, numbers: pd.Series) -> pd.DataFrame:
-    found = []
-    for text, gone in zip(texts, numbers):
-        if text is None:
-            found.append((None, 0, 0))
-            continue
-        lines, parts = chunks(text)
-        gone = set() if gone is None else set(np.asarray(gone).tolist())
-        kept = [line for n, (start, end) in enumerate(parts) if n not in gone
-                for line in lines[start:end]]
-        found.append(("\n".join(kept) if gone else text, len(lines), len(lines) - len(kept)))
-    return pd.DataFrame(found, columns=["text", "n_lines", "n_removed"])
-
-
-def repeated(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
+        for text, gone in zip(texts, numbers):
+            if text is None:
+                found.append((None, 0, 0))
+                continue
+            lines, parts = cut(text)
+            gone = set() if gone is None else {
+                i for n in np.asarray(gone).tolist() for i in range(*parts[n])}
+            kept = [line for i, line in enumerate(lines) if i not in gone]
+            found.append(("\n".join(kept) if gone else text, len(lines), len(gone)))
+        return pd.DataFrame(found, columns=["text", "n_lines", "n_removed"])
+
+    return without
+
+
+def repeated(docs: DataFrame, hash_bits: int = 64, cut=chunks) -> DataFrame:
     """(key, mark, numbers): the chunks to remove of each document that has any.
 
     Chunks with a hash of their own are dropped by a count. Only the others' texts are fetched
     and grouped as texts, which is the byte comparison.
     """
     texts = docs.where("text is not null").select(*_identity(), "text")
-    places = texts.mapInPandas(_hasher(hash_bits), "key long, mark long, number int, hash long")
+    places = texts.mapInPandas(_hasher(hash_bits, cut), "key long, mark long, number int, hash long")
     places = stored(places.distinct())
     shared = places.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     wanted = places.join(shared.select("hash"), "hash").groupBy("key", "mark").agg(
         F.collect_list("number").alias("numbers"))  # no more than the chunks of one document
     fetched = stored(texts.join(wanted, ["key", "mark"]).mapInPandas(
-        _fetched, "key long, mark long, number int, chunk string"))
+        _fetcher(cut), "key long, mark long, number int, chunk string"))
     first = fetched.groupBy("chunk").agg(F.min(F.struct("key", "mark", "number")).alias("first"))
     gone = fetched.join(first, "chunk").where(F.struct("key", "mark", "number") != F.col("first"))
     return gone.groupBy("key", "mark").agg(F.collect_set("number").alias("numbers"))
@@ -138,14 +156,14 @@ def _identity():
             F.xxhash64("text").alias("mark"))
 
 
-def remove_repeated(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
+def remove_repeated(docs: DataFrame, hash_bits: int = 64, cut=chunks) -> DataFrame:
     """All columns, the text without repeated chunks, and its lines and how many were removed."""
-    gone = repeated(docs, hash_bits).select(F.col("key").alias("__key"), F.col("mark").alias("__mark"),
+    gone = repeated(docs, hash_bits, cut).select(F.col("key").alias("__key"), F.col("mark").alias("__mark"),
                                  F.col("numbers").alias("__numbers"))
     key, mark = _identity()
     rows = docs.drop("n_lines", "n_removed").withColumns({"__key": key, "__mark": mark})
     rows = rows.join(gone, ["__key", "__mark"], "left").drop("__key", "__mark")
-    rows = rows.withColumn("__new", _without("text", "__numbers"))
+    rows = rows.withColumn("__new", _without(cut)("text", "__numbers"))
     return rows.withColumns({name: F.col(f"__new.{name}") for name in (
         "text", "n_lines", "n_removed")}).drop("__new", "__numbers")
 
@@ -154,3 +172,9 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the lines that repeat an earlier chunk."""
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     return remove_repeated(docs)
+
+
+def op4_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without any run of two lines or more that stands earlier."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    return remove_repeated(docs, cut=pairs)

@@ -66,3 +66,59 @@ def test_equal_hash_is_not_enough(spark, docs_of):
     result = ld.remove_repeated(docs_of(pairs), hash_bits=1)
     found = {r.doc_id: r.text for r in result.collect()}
     assert found == plain(pairs) and found[9] != pairs[-1][1]
+
+
+def shortened(pairs):
+    """Texts without the lines of runs of two or more that stand earlier, found run by run."""
+    places, found = {}, {}
+    for i, text in sorted(pairs):
+        lines = text.split("\n")
+        gone = set()
+        for at in range(len(lines)):
+            for other, start in places.get(lines[at], ()):
+                end = 0
+                while (at + end < len(lines) and start + end < len(other)
+                       and lines[at + end] == other[start + end]):
+                    end += 1
+                if end > 1 and "".join(lines[at:at + end]).strip():
+                    gone |= set(range(at, at + end))
+            places.setdefault(lines[at], []).append((lines, at))
+        found[i] = "\n".join(line for n, line in enumerate(lines) if n not in gone)
+    return found
+
+
+def test_passages_equal_brute_force(spark, folder, given):
+    found = {r.doc_id: r.text for r in ld.op4_passages(spark, folder).collect()}
+    assert found == shortened(given)
+    assert found != plain(given)
+
+
+def test_short_passages_are_removed_whole(docs_of):
+    """Passages of 2 to 6 lines in two documents each, between lines of their own."""
+    pick = random.Random(2)
+
+    def own(n):
+        return [f"own line {pick.random()}" for _ in range(n)]
+
+    pairs, expected = [], {}
+    for n in (2, 3, 4, 6):
+        for _ in range(15):
+            passage, i = own(n), len(pairs)
+            for j in (i, i + 1):
+                before, after = own(pick.randrange(1, 9)), own(pick.randrange(1, 9))
+                pairs.append((j, "\n".join(before + passage + after)))
+                expected[j] = "\n".join(before + (passage if j == i else []) + after)
+    found = ld.remove_repeated(docs_of(pairs), cut=ld.pairs).collect()
+    assert {r.doc_id: r.text for r in found} == expected
+    assert all(r.n_lines - r.n_removed == len(r.text.split("\n")) for r in found)
+
+
+def test_pairs_of_equal_hash_and_odd_rows(docs_of):
+    pairs = [(1, "a\na\na\nb"), (2, "b\nc\n\n\n"), (3, None), (4, ""), (5, "x\na\na\ny"),
+             (6, "z\n\n\n"), (7, "b"), (7, "b"), (8, "q\nr"), (8, "q\nr"), (None, "q\nr")]
+    found = [(r.doc_id, r.text, r.n_removed) for r in ld.remove_repeated(
+        docs_of(pairs), hash_bits=1, cut=ld.pairs).collect()]
+    assert sorted(found, key=str) == sorted([
+        (1, "a\nb", 2), (2, "b\nc\n\n\n", 0), (3, None, 0), (4, "", 0), (5, "x\ny", 2),
+        (6, "z\n\n\n", 0), (7, "b", 0), (7, "b", 0), (8, "q\nr", 0), (8, "q\nr", 0),
+        (None, "", 2)], key=str)
