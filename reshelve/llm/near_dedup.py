@@ -9,7 +9,11 @@ link is lost.
 `groups` votes with the hashes of three-word shingles. `deduplicate` is meant for copies with a few
 words changed, five-word shingle similarity of 0.8 and more, which change too many of those: it
 votes with the words themselves, weighted by length and the root of their count, as long words
-are rare, and links two texts when any of three such fingerprints is within four bits.
+are rare, and links two texts when any of three such fingerprints is within four bits. An edit
+in one piece, such as a cut end, moves those further apart, so texts not linked yet meet again
+by min-hashes of their five-word shingles, and are linked when the exact similarity of their
+shingles is 0.8 or more. Texts of just 0.8 meet with a probability of 99.9 %, more similar ones
+with a higher one.
 
 Results in odd cases:
 
@@ -50,6 +54,14 @@ BLOCK = 2048
 PARTS = 3
 NEAR_RADIUS = 4
 STEP = 0x9E3779B97F4A7C15
+# The shingles compared exactly by `deduplicate`, the bands of min-hashes by which texts meet and
+# the min-hashes of a band, and texts of a bucket that one task compares with as many.
+ALIKE_WORDS = 5
+BANDS = 14
+BAND_ROWS = 4
+ALIKE_BLOCK = 512
+MINIMA = np.random.Generator(np.random.PCG64(SEED)).integers(
+    0, 1 << 64, (2, BANDS * BAND_ROWS, 1), np.uint64) | np.uint64(1)
 
 
 def simhash(text: str, words: int = WORDS, seed: int = SEED) -> int:
@@ -95,6 +107,40 @@ def word_prints(texts: pd.Series) -> pd.Series:
     return pd.Series([weighted_simhash(t).view(np.int64) for t in texts], dtype=object)
 
 
+def shingle_set(text: str) -> np.ndarray:
+    """The sorted hashes of the distinct five-word shingles, or of a shorter text's words."""
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    n = min(len(found), ALIKE_WORDS)
+    shingles = map(b" ".join, zip(*[islice(found, i, None) for i in range(n)]))
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64))
+
+
+def bands(shingles: np.ndarray) -> np.ndarray:
+    """A key per band of min-hashes; none for a text without words."""
+    if not shingles.size:
+        return np.empty(0, np.int64)
+    least = np.full(BANDS * BAND_ROWS, (1 << 64) - 1, np.uint64)
+    for at in range(0, shingles.size, 4096):
+        mixed = shingles[at:at + 4096] * MINIMA[0] + MINIMA[1]
+        mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(STEP)
+        np.minimum(least, (mixed ^ mixed >> np.uint64(29)).min(axis=1), out=least)
+    keys = np.zeros(BANDS, np.uint64)
+    for row in least.reshape(BANDS, BAND_ROWS).T:
+        keys = (keys ^ row) * np.uint64(STEP)
+        keys ^= keys >> np.uint64(32)
+    return keys.view(np.int64)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def shingle_bands(texts: pd.Series) -> pd.Series:
+    return pd.Series([bands(shingle_set(t)) for t in texts], dtype=object)
+
+
+@F.pandas_udf(T.BinaryType())
+def shingle_bytes(texts: pd.Series) -> pd.Series:
+    return pd.Series([shingle_set(t).tobytes() for t in texts], dtype=object)
+
+
 def covering_masks(radius: int = RADIUS) -> list[int]:
     """The masks that guarantee a collision within the radius."""
     vectors = (1 << (radius + 1)) - 1
@@ -121,17 +167,25 @@ def link_runs(run: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
         shift += 1
 
 
-def _linker(radius: int):
-    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows come sorted by bucket and block pair; a run that may go on waits for more rows."""
+def link_alike(nodes: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links of sets with a similarity of 0.8 or more that connect nodes not connected before."""
+    order = np.argsort([s.size for s in sets], kind="stable")
+    sets, nodes = [sets[i] for i in order], nodes[order]
+    sizes, group, found = np.array([s.size for s in sets]), nodes.copy(), []
+    for a in range(len(sets)):
+        end = np.searchsorted(sizes, sizes[a] * 5 // 4, "right")
+        for b in a + 1 + np.flatnonzero(group[a + 1:end] != group[a]):
+            if group[a] != group[b]:
+                both = np.intersect1d(sets[a], sets[b], assume_unique=True).size
+                if 9 * both >= 4 * (sizes[a] + sizes[b]):
+                    found.append((int(nodes[a]), int(nodes[b])))
+                    group[group == group[b]] = group[a]
+    return found
 
-        def linked(rows: pd.DataFrame, run: np.ndarray) -> pd.DataFrame:
-            prints = rows["fingerprint"].to_numpy().astype(np.int64)
-            nodes = rows["node"].to_numpy()
-            parent = link_runs(run, prints.view(np.uint64), radius)
-            other = nodes[parent] != nodes
-            return pd.DataFrame({"a": nodes[other], "b": nodes[parent[other]]})
 
+def _in_runs(linked):
+    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come sorted by bucket and block pair; a run that may go on waits for more rows."""
         held = None
         for rows in batches:
             rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
@@ -149,6 +203,37 @@ def _linker(radius: int):
     return link
 
 
+def _linker(radius: int):
+    def linked(rows: pd.DataFrame, run: np.ndarray) -> pd.DataFrame:
+        prints = rows["fingerprint"].to_numpy().astype(np.int64)
+        nodes = rows["node"].to_numpy()
+        parent = link_runs(run, prints.view(np.uint64), radius)
+        other = nodes[parent] != nodes
+        return pd.DataFrame({"a": nodes[other], "b": nodes[parent[other]]})
+
+    return _in_runs(linked)
+
+
+def _verified(rows: pd.DataFrame, run: np.ndarray) -> pd.DataFrame:
+    nodes, found = rows["node"].to_numpy(), []
+    starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
+    for start, end in zip(starts, [*starts[1:], len(run)]):
+        sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"].iloc[start:end]]
+        found += link_alike(nodes[start:end], sets)
+    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+
+def _in_blocks(rows: DataFrame, by: str, block: int, *columns: str) -> DataFrame:
+    """Each row once per pair of blocks of its bucket (t, k) of n rows."""
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    rows = rows.select("t", "k", *columns, blocks.alias("blocks"),
+                       F.pmod(F.xxhash64(by), blocks).cast("int").alias("own"))
+    rows = rows.select("t", "k", *columns, "own", F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return rows.select("t", "k", F.least("own", "other").alias("i"),
+                       F.greatest("own", "other").alias("j"), *columns)
+
+
 def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) that connect exactly the nodes connected by some part within the radius.
 
@@ -164,28 +249,60 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFr
     keyed = keyed.select("node", "fingerprint", "k", (
         F.col("part") * len(masks) + F.col("t")).alias("t"))
     shared = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    rows = keyed.join(shared, ["t", "k"]).select(
-        "t", "k", "node", "fingerprint", blocks.alias("blocks"),
-        F.pmod(F.xxhash64("node"), blocks).cast("int").alias("own"))
-    rows = rows.select("t", "k", "node", "fingerprint", "own", F.explode(
-        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("t", "k", F.least("own", "other").alias("i"),
-                       F.greatest("own", "other").alias("j"), "node", "fingerprint")
+    rows = _in_blocks(keyed.join(shared, ["t", "k"]), "node", block, "node", "fingerprint")
     return (rows.repartition("t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j")
             .mapInPandas(_linker(radius), "a long, b long"))
 
 
-def groups(docs: DataFrame, radius: int = RADIUS, prints=shingle_prints) -> DataFrame:
+def alike(docs: DataFrame, texts: DataFrame, block: int = ALIKE_BLOCK) -> DataFrame:
+    """Edges (a, b) that connect the nodes of texts with a shingle similarity of 0.8 or more.
+
+    `texts` has the node, mark and bands of every distinct text. Only texts that share a bucket
+    with another node are read again for their shingles.
+    """
+    keyed = texts.select("node", "mark", F.posexplode("bands").alias("t", "k"))
+    shared = keyed.groupBy("t", "k").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high"))
+    rows = stored(keyed.join(shared.where("low < high"), ["t", "k"]).select(
+        "t", "k", "n", "node", "mark"))
+    sets = docs.select(_mark(), text_or_empty("text").alias("text")).join(
+        rows.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
+    rows = _in_blocks(rows, "mark", block, "node", "mark").join(
+        sets.select("mark", shingle_bytes("text").alias("shingles")), "mark")
+    return (rows.select("t", "k", "i", "j", "node", "shingles").repartition("t", "k", "i", "j")
+            .sortWithinPartitions("t", "k", "i", "j").mapInPandas(
+                _in_runs(_verified), "a long, b long"))
+
+
+def _mark():
+    return F.md5(text_or_empty("text")).alias("mark")
+
+
+def _merged(named: DataFrame, edges: DataFrame) -> DataFrame:
+    """`named` with the components that the edges between its components make."""
+    linked = components(edges).select(F.col("node").alias("__node"),
+                                      F.col("component").alias("__component"))
+    return named.join(linked, F.col("component") == F.col("__node"), "left").withColumn(
+        "component", F.coalesce("__component", "component")).drop("__node", "__component")
+
+
+def groups(docs: DataFrame, radius: int = RADIUS, prints=shingle_prints,
+           exact: bool = False) -> DataFrame:
     """(doc_id, parts, component_id): the fingerprints as signed numbers, the group by its least
-    id. Texts with the same fingerprints are compared once."""
+    id. Texts with the same fingerprints are compared once. With `exact`, texts whose shingles
+    are alike are in one group, too."""
+    text = text_or_empty("text")
+    more = [_mark(), shingle_bands(text).alias("bands")] if exact else []
     found = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                               prints(text_or_empty("text")).alias("parts")))
+                               prints(text).alias("parts"), *more))
     distinct = found.groupBy("parts").agg(F.min("doc_id").alias("least"))
-    distinct = stored(distinct.withColumn("node", F.monotonically_increasing_id()))
-    linked = components(links(distinct, radius))
-    named = distinct.join(linked, "node", "left").select(
-        "parts", "least", F.coalesce("component", "node").alias("component"))
+    distinct = stored(distinct.withColumn("component", F.monotonically_increasing_id()))
+    named = _merged(distinct, links(distinct.withColumnRenamed("component", "node"), radius))
+    if exact:
+        named = stored(named)
+        texts = found.where("size(bands) > 0").select("parts", "mark", "bands").distinct().join(
+            named.select("parts", F.col("component").alias("node")), "parts")
+        named = _merged(named, alike(docs, texts))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(least, "component").select("parts", "component_id")
     return found.join(named, "parts").select("doc_id", "parts", "component_id")
@@ -193,7 +310,7 @@ def groups(docs: DataFrame, radius: int = RADIUS, prints=shingle_prints) -> Data
 
 def deduplicate(docs: DataFrame, radius: int = NEAR_RADIUS, prints=word_prints) -> DataFrame:
     """One document of each group, that with the least id, with all its columns."""
-    kept = groups(docs, radius, prints).where("doc_id = component_id").select(
+    kept = groups(docs, radius, prints, exact=True).where("doc_id = component_id").select(
         F.col("doc_id").alias("__kept")).distinct()
     found = docs.join(kept, docs["doc_id"] == kept["__kept"]).drop("__kept")
     return found.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -112,3 +113,43 @@ def test_trees_and_stars(spark):
     assert {r.node: r.component for r in found.collect()} == {
         n: c for n, c in expected.items() if n not in single}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def similarity(a, b):
+    a, b = (set(zip(*[t.lower().split()[i:] for i in range(5)])) for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_copies_changed_in_one_piece_are_found(spark, docs_of):
+    """Cut ends, added ends and a replaced middle, all of a shingle similarity of 0.8 and more."""
+    pick = random.Random(7)
+
+    def words(n):
+        return ["".join(pick.choice(["an", "er", "tion", "th", "ou", "st"]) for _ in range(4))
+                for _ in range(n)]
+
+    pairs = []
+    for i in range(60):
+        own = words(300)
+        for j, copy in enumerate((own, own[:255], own + words(50),
+                                  own[:150] + words(25) + own[175:])):
+            pairs.append((4 * i + j, " ".join(copy)))
+    texts = dict(pairs)
+    assert all(similarity(texts[i - i % 4], texts[i]) >= 0.8 for i in texts)
+    kept = {r.doc_id for r in nd.deduplicate(docs_of(pairs)).collect()}
+    assert kept >= set(range(0, 240, 4)) and len(kept) <= 60 + 2
+
+
+def test_shingles_decide_among_texts_that_meet(spark, docs_of):
+    """All texts in one bucket of small blocks: links are those of 0.8 and more."""
+    pick = random.Random(8)
+    base = [str(pick.random()) for _ in range(200)]
+    texts = [" ".join(base[:pick.randrange(60, 200)]) for _ in range(60)]
+    rows = spark.createDataFrame(
+        [(i, hashlib.md5(t.encode()).hexdigest(), [7]) for i, t in enumerate(texts)],
+        "node long, mark string, bands array<long>")
+    edges = nd.alike(docs_of(list(enumerate(texts))), rows, block=9).collect()
+    n = range(len(texts))
+    right = [(a, b) for a in n for b in n if a < b and similarity(texts[a], texts[b]) >= 0.8]
+    assert all((min(e), max(e)) in set(right) or texts[e.a] == texts[e.b] for e in edges)
+    assert grouped(n, [tuple(e) for e in edges]) == grouped(n, right)
