@@ -3,7 +3,10 @@
 A page is cut into flat blocks of text at every tag that is not inline. Scripts, styles, the
 head and comments hold no text. A block is described by its number of words and its share of
 words inside links, by those of the blocks before and after it, by whether it lies in an article,
-and by whether it lies in an element whose name, class, id or role tells of page furniture. The
+and by whether it lies in an element whose name, class, id or role tells of page furniture. Classes,
+ids and roles tell nothing on html, body and main, on an element that holds more than half of the
+page's words (of comments only if an h1, main or article stands in it), on an article unless
+they tell of comments or advertising, nor where they say what a layout has or lacks. The
 tree is grown on the blocks of a few hand-labelled pages below, in which `data-main` marks what
 belongs to the article.
 
@@ -47,6 +50,13 @@ FURNITURE_WORDS = frozenset(
     "alert popup modal overlay newsletter subscribe signup share social related recommended "
     "comment comments reply replies disqus respond breadcrumb breadcrumbs pagination pager widget "
     "toolbar copyright legal login search complementary contentinfo dialog".split())
+# Of these, those that tell of comments, and of comments or advertising.
+COMMENT_WORDS = frozenset("comment comments reply replies disqus".split())
+FOREIGN_WORDS = COMMENT_WORDS | frozenset(
+    "ad ads advert adverts advertisement adsense promo promotion sponsor sponsored related "
+    "recommended".split())
+# A class as has-sidebar or comments-open tells of the layout, not of what the element is.
+LAYOUT = re.compile(r"(?:has|no|with|without|hide|show)[-_].*|.*[-_](?:open|closed|enabled|disabled)")
 DEPTH = 6
 LEAST_LEAF = 2
 
@@ -108,16 +118,49 @@ class Block:
     main: bool
 
 
+@dataclass
+class Span:
+    """A nested element that is or may be page furniture, and the range of its blocks."""
+    name: str
+    sure: bool
+    hints: set[str]
+    start: int
+    end: int = -1
+    headed: bool = False  # an h1, main or article stands in it
+
+
 def _is_furniture(name: str, attributes: str) -> bool:
-    if name in FURNITURE:
-        return True
-    if not attributes:
-        return False
-    for found in HINTED.finditer(attributes):
-        value = (found[1] or found[2] or found[3] or "").lower()
-        if not FURNITURE_WORDS.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
-    return bool(HIDDEN.search(attributes))
+    return name in FURNITURE or bool(attributes and HIDDEN.search(attributes))
+
+
+def _hints(attributes: str) -> set[str]:
+    """The words in class, id and role that tell of page furniture."""
+    found: set[str] = set()
+    for value in HINTED.finditer(attributes):
+        for name in (value[1] or value[2] or value[3] or "").lower().split():
+            if not LAYOUT.fullmatch(name):
+                found |= FURNITURE_WORDS.intersection(re.split(r"[^a-z]+", name))
+    return found
+
+
+def _mark_furniture(found: list[Block], spans: list[Span]) -> None:
+    """Mark the blocks in spans that are sure, or whose hints count."""
+    before = [0]
+    for block in found:
+        before.append(before[-1] + block.words)
+    change = [0] * (len(found) + 1)
+    for s in spans:
+        large = 2 * (before[s.end] - before[s.start]) > before[-1]
+        if not s.sure and (s.name in ("html", "body", "main")
+                           or large and (s.headed or not s.hints & COMMENT_WORDS)
+                           or s.name == "article" and not s.hints & FOREIGN_WORDS):
+            continue
+        change[s.start] += 1
+        change[s.end] -= 1
+    depth = 0
+    for block, step in zip(found, change):
+        depth += step
+        block.furniture |= depth > 0
 
 
 def blocks(page: str) -> list[Block]:
@@ -125,8 +168,10 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     parts: list[str] = []
     links: list[str] = []
-    open_tags: list[tuple[str, bool]] = []
-    depth = {"article": 0, "furniture": 0, "link": 0}
+    open_tags: list[tuple[str, Span | None]] = []
+    spans: list[Span] = []
+    depth = {"article": 0, "link": 0}
+    hinted: list[Span] = []  # the open ones of the spans
     own = [False, False]  # the open block's element is furniture; is marked as main
 
     def close() -> None:
@@ -135,7 +180,7 @@ def blocks(page: str) -> list[Block]:
             linked = len(unescape(" ".join(links)).split())
             words = len(text.split(" "))
             found.append(Block(text, words, min(linked, words), depth["article"] > 0,
-                               depth["furniture"] > 0 or own[0], own[1]))
+                               own[0], own[1]))
         parts.clear()
         links.clear()
         own[:] = [False, False]
@@ -170,23 +215,37 @@ def blocks(page: str) -> list[Block]:
             if tag[1]:
                 if any(n == name for n, _ in open_tags):
                     while open_tags:
-                        n, furniture = open_tags.pop()
+                        n, span = open_tags.pop()
                         depth["article"] -= n == "article"
-                        depth["furniture"] -= furniture
+                        if span:
+                            hinted.pop().end = len(found)
+                            if hinted:
+                                hinted[-1].headed |= span.headed or n in ("main", "article")
                         if n == name:
                             break
             elif name not in VOID and not attributes.endswith("/"):
-                furniture = _is_furniture(name, attributes)
+                sure, hints = _is_furniture(name, attributes), _hints(attributes)
+                if hinted and name in ("h1", "main", "article"):
+                    hinted[-1].headed = True
                 if name in NESTED:
-                    open_tags.append((name, furniture))
+                    span = Span(name, sure, hints, len(found)) if sure or hints else None
+                    open_tags.append((name, span))
                     depth["article"] += name == "article"
-                    depth["furniture"] += furniture
-                own[:] = [furniture, "data-main" in attributes]
+                    if span:
+                        spans.append(span)
+                        hinted.append(span)
+                own[:] = [name not in NESTED and (sure or bool(hints)) and name != "html",
+                          "data-main" in attributes]
             if name in NESTED:
                 depth["link"] = 0
     if at < len(page):
         add(page[at:])
     close()
+    for span in reversed(hinted):
+        span.end = len(found)
+    for inner, outer in zip(hinted[:0:-1], hinted[-2::-1]):
+        outer.headed |= inner.headed
+    _mark_furniture(found, spans)
     return found
 
 

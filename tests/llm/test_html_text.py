@@ -65,3 +65,22 @@ def test_odd_pages(spark):
     assert texts[1] == texts[2] == texts[3] == texts[7] == ""
     assert texts[6] == "Only éné two" and texts[4] == ("many words in a row " * 30_000).strip()
     assert h.extract(table.limit(0)).count() == 0
+
+
+def test_layout_classes_do_not_hide_the_article():
+    tree = h.trained()
+    story = ("It took the team eleven months to build the telescope and three more to carry it up "
+             "the mountain on foot.", "On the first clear night they looked at Saturn and then "
+             "nobody wanted to go down to the tents again for hours.")
+    inside = "".join(f"<p>{p}</p>" for p in story)
+    side = "<div class=sidebar><p>Popular this week are these stories</p></div>"
+    for body, around in (('class="has-sidebar"', "<div>{}</div>"), ('class="no-sidebar"', "<div>{}</div>"),
+                         ("", '<div class="content with-sidebar">{}</div>'),
+                         ("", '<article class="post has-comments">{}</article>'),
+                         ("", "<div id='search-results'>{}</div>"),
+                         ("", '<main class="legal-notice">{}</main>'),
+                         ("", '<article class="legal-notice">{}</article>')):
+        page = f"<body {body}>{around.format(inside)}{side}</body>"
+        assert h.main_text(page, tree) == " ".join(story), page
+    assert h.main_text(f"<article>{inside}</article><div id=comments>{inside * 3}</div>",
+                       tree) == " ".join(story)
