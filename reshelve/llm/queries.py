@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from reshelve.llm.alignment import op13_align
 from reshelve.llm.chat import op9_chat
 from reshelve.llm.embedding_dedup import op3_embedding_dedup
 from reshelve.llm.fingerprint import op1_fingerprint
@@ -14,7 +15,7 @@ from reshelve.llm.quality import op5_quality
 from reshelve.llm.secret_scan import op10_secret_scan
 
 QUERIES = (op1_fingerprint, op2_near_dedup, op3_embedding_dedup, op4_line_dedup, op4_passages,
-           op5_quality, op6_mixing, op7_pieces, op8_html_text, op9_chat, op10_secret_scan)
+           op5_quality, op6_mixing, op7_pieces, op8_html_text, op9_chat, op10_secret_scan, op13_align)
 
 
 def registered():
