@@ -38,6 +38,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -48,12 +49,16 @@ FILE_A = "/opt/tokenizers/byte_bpe_50k.json"
 FILE_B = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 BREAK = re.compile(r"(?<=\S) ")
+# The rule by which byte-level files of this kind cut texts, and characters whose kind (letter,
+# digit, white space) is the same in all versions of Unicode; parts of these only may go the fast way.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PLAIN = re.compile("[\x00-\x7f\xa0-\u0233\u2010-\u2027\u2030-\u203e\u20ac]{0,1000}")
 LANE = 512
-# Characters of text aligned at once; parts remembered by a task, and their bytes.
-BATCH = 2 << 20
-MAX_PARTS, MAX_PART_BYTES = 500_000, 32 << 20
+# Bytes of text aligned at once; parts remembered by a task, and their bytes.
+BATCH = 1 << 20
+MAX_PARTS, MAX_PART_BYTES = 300_000, 16 << 20
 # A block ends at either.
-BLOCK_LINKS, BLOCK_ROWS = 4_000_000, 50_000
+BLOCK_LINKS, BLOCK_ROWS = 1_000_000, 20_000
 ARRAYS = ("a_ids", "b_ids", "cut_a", "cut_b", "link_a", "link_b")
 
 
@@ -106,11 +111,37 @@ class Encoder:
             for i, p in enumerate(pieces)]
         self.size_a = np.array(list(map(len, self.bytes_a)), np.int64)
         self.size_b = np.array(list(map(len, self.bytes_b)), np.int64)
+        self.fast = self._fast(rules)
         self.mark = self.b.piece_to_id(MARK)
         self.apart = before.get("use_regex", True) and rules["normalizer"] is None \
             and not any(MARK in p.lstrip(MARK) for p in pieces)
         self._forget()
 
+    def _fast(self, rules: dict):
+        """The same merges as a table of ranks, where ids follow the order of the merges."""
+        model, before = rules["model"], rules["pre_tokenizer"]
+        ids = model["vocab"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [ids[x + y] for x, y in merges]
+        if not before.get("use_regex", True) or rules["normalizer"] or made != sorted(made) \
+                or model.get("ignore_merges") or model.get("dropout") \
+                or len({ids[c] for c in byte_characters()} | set(made)) != 256 + len(made):
+            return None
+        from tiktoken import Encoding
+
+        ranks = {self.bytes_a[i]: i for i in [*(ids[c] for c in byte_characters()), *made]}
+        return Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks,
+                        special_tokens={}).encode_ordinary
+
+    def _ids_a(self, parts: list[str]) -> list[list[int]]:
+        found = [self.fast(" " + p) if PLAIN.fullmatch(p) else None for p in parts] \
+            if self.fast else [None] * len(parts)
+        others = [i for i, ids in enumerate(found) if ids is None]
+        for i, e in zip(others, self.a.encode_batch_fast([" " + parts[i] for i in others],
+                                                         add_special_tokens=False)):
+            found[i] = e.ids
+        return found
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = [np.empty(0, np.int32), np.empty(0, np.int32)]
@@ -121,13 +152,12 @@ class Encoder:
     def _learn(self, parts: list[str]) -> None:
         """Encode parts not known yet. B puts a space in front of a part of its own accord, but
         not of an empty one."""
-        of_a = [e.ids for e in self.a.encode_batch_fast([f" {p}" for p in parts],
-                                                        add_special_tokens=False)]
+        of_a = self._ids_a(parts)
         of_b = [ids if p else [self.mark]
                 for p, ids in zip(parts, self.b.encode(parts, num_threads=1))]
         texts = [f" {p}".encode() for p in parts]
         whole = [b"".join(map(self.bytes_a.__getitem__, x)) == t
-                 and b"".join(map(self.bytes_b.__getitem__, y)) == t
+                 == b"".join(map(self.bytes_b.__getitem__, y))
                  for x, y, t in zip(of_a, of_b, texts)]
         for side, found in enumerate((of_a, of_b)):
             sizes = np.fromiter(map(len, found), np.int64, len(found))
@@ -266,26 +296,31 @@ def _encoder(sent) -> Encoder:
     return _ENCODERS[key]
 
 
+def _linked(batches: Iterator[pa.RecordBatch], sent, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches whose last column is the text, with ARRAYS instead of it."""
+    encoder = _encoder(sent)
+    for batch in batches:
+        texts = batch.column(batch.num_columns - 1)
+        for start, end in _slices(pc.binary_length(texts).fill_null(0).to_pylist(), BATCH):
+            found = aligned(encoder, texts.slice(start, end - start).to_pylist())
+            rest = [c.slice(start, end - start) for c in batch.columns[:-1]]
+            yield pa.RecordBatch.from_arrays([*rest, *(_lists(*found[c]) for c in ARRAYS)],
+                                             names=names)
+
+
+def _text_last(docs: DataFrame, text: str, added: tuple[str, ...]) -> DataFrame:
+    return docs.select(*[c for c in docs.columns if c not in (*added, text)],
+                       F.col(text).cast("string").alias("__text"))
+
+
 def align(docs: DataFrame, files: Vocabularies, text: str = "text") -> DataFrame:
     """The columns but the text, with arrays: ids of both tokenizers, numbers of tokens up to each
     cut, and the two tokens of each link."""
     sent = docs.sparkSession.sparkContext.broadcast(files)
-    kept = docs.select(*[c for c in docs.columns if c not in (*ARRAYS, text)],
-                       F.col(text).cast("string").alias("__text"))
+    kept = _text_last(docs, text, ARRAYS)
     schema = T.StructType([*kept.schema.fields[:-1],
                            *(T.StructField(c, T.ArrayType(T.IntegerType())) for c in ARRAYS)])
-
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(sent)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for start, end in _slices([len(t or "") for t in texts], BATCH):
-                found = aligned(encoder, texts[start:end])
-                rest = [c.slice(start, end - start) for c in batch.columns[:-1]]
-                yield pa.RecordBatch.from_arrays([*rest, *(_lists(*found[c]) for c in ARRAYS)],
-                                                 names=[f.name for f in schema])
-
-    return kept.mapInArrow(linked, schema)
+    return kept.mapInArrow(lambda batches: _linked(batches, sent, schema.names), schema)
 
 
 def _numbers(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
@@ -387,13 +422,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.
 COUNTED = ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "count_sum")
 
 
-def summarise(links: DataFrame) -> DataFrame:
-    """The columns of `align` but its arrays, with numbers of tokens, groups and links, the digest
+def summarise(docs: DataFrame, files: Vocabularies, text: str = "text") -> DataFrame:
+    """The columns but the text, with numbers of tokens, groups and links of `align`, the digest
     of the groups, and how common the links are among all rows: `n_best` links have the highest
     count of their B id, `count_sum` sums the counts."""
-    spark = links.sparkSession
-    others = [f for f in links.schema if f.name not in (*ARRAYS, *COUNTED)]
-    links = links.select(*(f.name for f in others), *ARRAYS)
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(files)
+    kept = _text_last(docs, text, (*ARRAYS, *COUNTED))
+    others = kept.schema.fields[:-1]
     longs, integers = T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType())
     numbers = [T.StructField(c, T.LongType()) for c in COUNTED[:4]]
     digest = T.StructField("groups_sha256", T.StringType())
@@ -402,7 +438,8 @@ def summarise(links: DataFrame) -> DataFrame:
         T.StructField("__pair", integers), T.StructField("__times", integers),
         T.StructField("__key", longs), T.StructField("__total", longs)])
     folder = f"{shared_folder(spark)}/links-{uuid.uuid4().hex}"
-    links.mapInArrow(lambda batches: _blocks(batches, schema.names), schema) \
+    linked = [*(f.name for f in others), *ARRAYS]
+    kept.mapInArrow(lambda batches: _blocks(_linked(batches, sent, linked), schema.names), schema) \
         .write.option("compression", "zstd").parquet(folder)
     blocks, dictionaries = (spark.read.schema(schema).parquet(folder) for _ in range(2))
 
@@ -451,6 +488,6 @@ def op13_align(spark: SparkSession, folder: str, file_a: str = FILE_A,
                file_b: str = FILE_B) -> DataFrame:
     """How the tokens of two tokenizers meet in every document."""
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    found = summarise(align(docs, read_vocabularies(file_a, file_b)))
+    found = summarise(docs, read_vocabularies(file_a, file_b))
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
                         "groups_sha256")
