@@ -1,0 +1,157 @@
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from reshelve.llm import alignment
+from reshelve.llm.alignment import ARRAYS, Encoder, align, aligned, lockstep, read_vocabularies, \
+    summarise
+
+
+@pytest.fixture(scope="module")
+def files():
+    return read_vocabularies()
+
+
+@pytest.fixture(scope="module")
+def encoder(files):
+    return Encoder(files)
+
+
+def brute(encoder, text):
+    """Ids of whole texts by the libraries, every pair of tokens tried for an overlap."""
+    a = encoder.a.encode(f" {text}", add_special_tokens=False).ids if text else []
+    b = encoder.b.encode(text) if text else []
+    whole = f" {text}".encode()
+    if b"".join(encoder.bytes_a[i] for i in a) != whole or \
+            b"".join(encoder.bytes_b[i] for i in b) != whole:
+        a, b = [], []
+    spans = []
+    for ids, of in ((a, encoder.bytes_a), (b, encoder.bytes_b)):
+        ends = np.cumsum([len(of[i]) for i in ids], dtype=int).tolist()
+        spans.append(list(zip([0, *ends], ends)))
+    links = [(i, j) for i, (s, e) in enumerate(spans[0]) for j, (t, f) in enumerate(spans[1])
+             if s < f and t < e]
+    cuts = sorted({e for _, e in spans[0]} & {e for _, e in spans[1]})
+    cuts = [tuple(sum(e <= c for _, e in side) for side in spans) for c in cuts]
+    return a, b, cuts, links
+
+
+def parts_of(found, n):
+    at = dict.fromkeys(ARRAYS, 0)
+    for i in range(n):
+        row = {}
+        for name in ARRAYS:
+            size = int(found[name][1][i])
+            row[name] = found[name][0][at[name]:at[name] + size].tolist()
+            at[name] += size
+        yield (row["a_ids"], row["b_ids"], list(zip(row["cut_a"], row["cut_b"])),
+               list(zip(row["link_a"], row["link_b"])))
+
+
+def odd_texts(n=400):
+    signs = list("aZé \t\n  .,!19'▁  \x1c\x1f\x85　᠎漢😀\x00") + [
+        "'s", "<|endoftext|>", "<unk>", "<s>", "the ", "  ", "\r\n", "\n ", " \n"]
+    draw = random.Random(3)
+    return ["", "a ", " ", "  ", "a  b", "▁", "\n", "x " * 400] + [
+        "".join(draw.choice(signs) for _ in range(draw.randrange(1, 60))) for _ in range(n)]
+
+
+def test_odd_texts(encoder):
+    texts = odd_texts()
+    for text, row in zip(texts, parts_of(aligned(encoder, texts), len(texts))):
+        assert row == brute(encoder, text), repr(text)
+
+
+def test_whole_table(spark, folder, encoder, given):
+    texts = [t for _, t in given if len(t) < 3000]
+    for text, row in zip(texts, parts_of(aligned(encoder, texts), len(texts))):
+        assert row == brute(encoder, text)
+
+
+def test_fast_way_equals_the_library(encoder):
+    signs = [chr(c) for c in range(0x2100) if alignment.PLAIN.fullmatch(chr(c))]
+    draw = random.Random(1)
+    texts = [f" a{c}1{c}.{c} {c}b{c}{c}  {c}\n{c} '{c}ll{c}" for c in signs] + [
+        "".join(draw.choices(signs, k=draw.randrange(1, 30))) for _ in range(5000)] + [
+        t.decode() for t in encoder.bytes_a if t.decode("utf-8", "ignore").encode() == t]
+    texts = [t for t in texts if alignment.PLAIN.fullmatch(t)]
+    expected = [e.ids for e in encoder.a.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.fast and [encoder.fast(t) for t in texts] == expected
+
+
+@pytest.mark.parametrize("lane", [1, 3, 50])
+def test_lanes_change_nothing(lane):
+    draw = np.random.default_rng(lane)
+    size = 200
+    ends = [np.r_[np.flatnonzero(draw.random(size - 1) < 0.4) + 1, size] for _ in range(2)]
+    start = np.arange(0, size, lane)
+    stop = np.minimum(start + lane, size)
+    found = lockstep(*ends, start, stop)
+    whole = lockstep(*ends, np.array([0]), np.array([size]))
+    assert all((x == y).all() for x, y in zip(found, whole))
+    spans = [list(zip(np.r_[0, e].tolist(), e.tolist())) for e in ends]
+    assert list(zip(*(x.tolist() for x in whole[:2]))) == [
+        (i, j) for i, (s, e) in enumerate(spans[0]) for j, (t, f) in enumerate(spans[1])
+        if s < f and t < e]
+
+
+def expected_rows(encoder, rows):
+    found, count = [], Counter()
+    for key, text in rows:
+        a, b, cuts, links = brute(encoder, text)
+        pairs = [(a[i], b[j]) for i, j in links]
+        count.update(pairs)
+        groups = [",".join(map(str, a[s:e])) + "|" + ",".join(map(str, b[t:f]))
+                  for (s, t), (e, f) in zip([(0, 0), *cuts], cuts)]
+        found.append((key, len(a), len(b), len(cuts), pairs, ";".join(groups)))
+    most = defaultdict(int)
+    for (_, b), n in count.items():
+        most[b] = max(most[b], n)
+    return sorted(((key, a, b, cuts, len(pairs), sum(count[p] == most[p[1]] for p in pairs),
+                    sum(count[p] for p in pairs),
+                    hashlib.sha256(text.encode()).hexdigest() if pairs else "")
+                   for key, a, b, cuts, pairs, text in found), key=str)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_counts_over_all_rows(spark, files, encoder, docs_of, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(alignment, "BLOCK_LINKS", 50)
+        monkeypatch.setattr(alignment, "BATCH", 100)
+    rows = list(enumerate(odd_texts(60))) + [(None, "the same"), (None, "the same"), (7, None)]
+    found = summarise(docs_of(rows).select("doc_id", "text").repartition(3), files)
+    found = found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                         "groups_sha256")
+    assert sorted(map(tuple, found.collect()), key=str) == expected_rows(encoder, rows)
+
+
+def test_real_arrays_and_columns(spark, files, encoder, docs_of):
+    docs = docs_of([(1, "one two"), (2, None)], n_a="x", a_ids="y")
+    found = {r.doc_id: r for r in align(docs, files).collect()}
+    a, b, cuts, links = brute(encoder, "one two")
+    assert (found[1].a_ids, found[1].b_ids, found[1].n_a) == (a, b, "x")
+    assert list(zip(found[1].link_a, found[1].link_b)) == links and found[2].a_ids == []
+    assert set(summarise(docs, files).columns) == {
+        "doc_id", "lang", "source", "n_chars", *alignment.COUNTED}
+
+
+def test_very_long_text(spark, files, docs_of, encoder):
+    text = "Some words, more 'n less. " * 60_000 + "x" * 20_000
+    row = summarise(docs_of([(1, text)]), files).first()
+    a = encoder.a.encode(f" {text}", add_special_tokens=False).ids
+    assert (row.n_a, row.n_b) == (len(a), len(encoder.b.encode(text)))
+
+
+def test_empty_table(spark, files, docs_of):
+    assert align(docs_of([]), files).count() == summarise(docs_of([]), files).count() == 0
+
+
+def test_query(spark, folder, encoder, given):
+    found = sorted((tuple(r) for r in alignment.op13_align(spark, folder).collect()), key=str)
+    short = dict(t for t in given)
+    assert len(found) == len(short)
+    for row in found[:20]:
+        assert row[1:3] == tuple(map(len, brute(encoder, short[row[0]])[:2]))

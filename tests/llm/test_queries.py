@@ -6,7 +6,7 @@ from reshelve.llm import queries
 def test_every_operator_is_registered():
     import __spark_entry__ as entry
     found = entry.queries()
-    assert all(any(name.startswith(f"op{n}_") for name in found) for n in range(1, 11))
+    assert all(any(name.startswith(f"op{n}_") for name in found) for n in range(1, 14))
     assert "pipeline" in found and set(queries.statements()) <= set(found)
 
 
