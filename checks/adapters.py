@@ -111,6 +111,16 @@ def lookups(spark: SparkSession, folder: str) -> DataFrame:
         asked.alias("revenue_start"), (asked + 10).alias("revenue_end"))
 
 
+def wide_lookups(spark: SparkSession, folder: str) -> DataFrame:
+    """The same lookups with ranges of one id up to a hundred million. Some end before they
+    start."""
+    start = F.col("customer_id") - 5
+    end = (F.when(F.col("sample_id") % 50 == 0, start - 1 - F.col("sample_id") % 7)
+           .otherwise(start + F.pow(F.lit(10), F.col("sample_id") % 9).cast("bigint") - 1))
+    return lookups(spark, folder).withColumns({
+        "region_start": start, "region_end": end, "revenue_start": start, "revenue_end": end})
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -146,6 +146,19 @@ PARAMETERS = """p AS (
          user_id * 10 + event_id % 11 + 10 AS revenue_end
   FROM events)"""
 
+WIDE_START = "user_id * 10 + event_id % 11 - 5"
+WIDE_END = f"""CASE WHEN event_id % 50 = 0 THEN {WIDE_START} - 1 - event_id % 7
+               ELSE {WIDE_START} + CAST(10 ** (event_id % 9) AS BIGINT) - 1 END"""
+
+
+def _wide_ranges(sql: str) -> str:
+    """A statement with ranges of one id up to a hundred million."""
+    return sql.replace(PARAMETERS, PARAMETERS.replace("p AS (", "q AS (", 1) + f""",
+     w2 AS (SELECT event_id AS sample_id, {WIDE_START} AS low, {WIDE_END} AS high FROM events),
+     p AS (SELECT q.* REPLACE (low AS region_start, high AS region_end, low AS revenue_start,
+                               high AS revenue_end) FROM q JOIN w2 USING (sample_id))""")
+
+
 BATCH = "WITH " + PARAMETERS
 BATCH_BASE = BASE + ", " + PARAMETERS
 BATCH_WIDE = WIDE + ", " + PARAMETERS
@@ -611,10 +624,31 @@ SELECT sample_id, {head("r")} || string_agg('  ' || name || ', order ' || order_
        || {two("ANY_VALUE(grand_total)")} AS response
 FROM ({found["batch_r5_top"]}) t JOIN ({found["batch_r5"]}) r USING (sample_id)
 GROUP BY sample_id"""
+    for name in ("batch_r4", "batch_d4"):
+        found[f"{name}_wide"] = _wide_ranges(found[name])
+    found["batch_r5_wide"] = _wide_ranges(BATCH + f""", a AS (
+  SELECT customer_id, COUNT(order_id) AS orders, SUM(revenue) AS revenue
+  FROM ({ORDER_REVENUE}) GROUP BY customer_id)
+SELECT sample_id, revenue_start, revenue_end, CAST(COALESCE(SUM(orders), 0) AS BIGINT) AS orders,
+       {_cents("COALESCE(SUM(revenue), 0)")} AS grand_total
+FROM p LEFT JOIN a ON a.customer_id BETWEEN revenue_start AND revenue_end GROUP BY ALL""")
+    found["batch_parameters"] = _BATCH_PARAMETERS
     found["r2_lookup"] = f"SELECT * FROM ({found['r2_detail']}) WHERE customer_id = 7"
     return found
 
 
+# The ids of a lookup: its number times a fixed multiplier, by the fixed modulus 2 ** 40.
+_BATCH_PARAMETERS = """
+WITH m AS (SELECT MAX(c_custkey) AS n FROM customer),
+     i AS (SELECT UNNEST(RANGE(COUNT(*))) AS sample_id FROM customer),
+     s AS (SELECT sample_id, n, sample_id * 2654435761 % 1099511627776 AS spread FROM i, m),
+     d AS (SELECT sample_id, spread % n + 1 AS customer_id,
+                  (['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'])[sample_id % 5 + 1]
+                    AS region, (['R', 'A', 'N'])[sample_id % 3 + 1] AS return_flag,
+                  spread % GREATEST(n - 1000, 1) + 1 AS region_start,
+                  spread % GREATEST(n - 50, 1) + 1 AS revenue_start FROM s)
+SELECT *, region_start + 100 AS region_end, revenue_start + 10 AS revenue_end FROM d"""
+
 _LINES_AS_TEXT = """
 SELECT * REPLACE (CAST(ship_date AS VARCHAR) AS ship_date,
                   CAST(commit_date AS VARCHAR) AS commit_date,

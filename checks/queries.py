@@ -220,6 +220,11 @@ def _batch_tables(build):
     return lambda spark, folder: build(a.lookups(spark, folder), a.source_tables(spark, folder))
 
 
+def _wide_ranges(build):
+    return lambda spark, folder: build(a.wide_lookups(spark, folder),
+                                       a.source_tables(spark, folder))
+
+
 def _batch_docs(build):
     return lambda spark, folder: build(a.lookups(spark, folder), a.documents(spark, folder))
 
@@ -324,10 +329,14 @@ QUERIES: dict[str, Query] = {
     "batch_r4": _batch_tables(batch.r4),
     "batch_r5": _batch_tables(batch.r5),
     "batch_r5_top": _batch_tables(batch.r5_top),
+    "batch_r4_wide": _wide_ranges(batch.r4),
+    "batch_r5_wide": _wide_ranges(batch.r5),
+    "batch_parameters": _tables(lambda t: batch.parameters_for(t["customer"])),
     "batch_d1": _batch_docs(batch.d1),
     "batch_d2": _batch_docs(batch.d2),
     "batch_d3": _batch_docs(batch.d3),
     "batch_d4": _batch_docs(batch.d4),
+    "batch_d4_wide": lambda s, f: batch.d4(a.wide_lookups(s, f), a.documents(s, f)),
     "batch_d5": _batch_docs(batch.d5),
     "batch_k1": _batch_wide(batch.k1),
     "batch_k2": _batch_wide(batch.k2),

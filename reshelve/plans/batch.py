@@ -3,7 +3,8 @@
 A parameter table holds one row per lookup. Facts are first narrowed to the customers asked
 for by a semi join and aggregated per customer, then matched back to the lookups, so a
 customer asked for many times is aggregated once. Spark broadcasts the parameters when they
-are small and shuffles them otherwise.
+are small and shuffles them otherwise. Ranges are answered by running totals, or by bins of ids
+where the rows themselves are wanted; neither depends on how wide a range is.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from reshelve.functions.money import cents
 from reshelve.operators.document import Documents
 from reshelve.operators.narrow import checked_broadcast, lines_of
+from reshelve.operators.ranges import covered, range_totals, rows_in_ranges
 from reshelve.operators.wide import of_customers
 from reshelve.plans import document, relational, wide as wide_plan
 from reshelve.schema import REGIONS, RETURN_FLAGS
@@ -44,15 +46,21 @@ def parameters(spark: SparkSession, n: int, max_id: int) -> DataFrame:
             .withColumn("revenue_end", F.col("revenue_start") + REVENUE_WIDTH))
 
 
+def parameters_for(customers: DataFrame, n: int | None = None) -> DataFrame:
+    """``n`` lookups over the ids the customers have, one per customer if no number is given."""
+    found = customers.agg(F.max("c_custkey").alias("max_id"), F.count(F.lit(1)).alias("n")).first()
+    return parameters(customers.sparkSession, found.n if n is None else n, found.max_id or 0)
+
+
 def keys(params: DataFrame) -> DataFrame:
     """The customers asked for, once each."""
     return params.select(F.col("customer_id").cast("bigint").alias("customer_id")).distinct()
 
 
-def range_keys(params: DataFrame, start: str, end: str) -> DataFrame:
-    """The customers inside any of the ranges, once each."""
-    ids = F.explode(F.sequence(F.col(start).cast("bigint"), F.col(end).cast("bigint")))
-    return params.select(start, end).distinct().select(ids.alias("customer_id")).distinct()
+def range_keys(params: DataFrame, ids: DataFrame, start: str, end: str) -> DataFrame:
+    """Those of the given customers that are inside any of the ranges, once each."""
+    found = covered(ids.select(F.col("customer_id").alias("id")), params, start, end)
+    return found.withColumnRenamed("id", "customer_id")
 
 
 def narrow_customers(tables: dict[str, DataFrame], wanted: DataFrame) -> dict[str, DataFrame]:
@@ -80,13 +88,6 @@ def lookup(params: DataFrame, answers: DataFrame, fill: tuple[str, ...] = ()) ->
     return matched.fillna(0, list(fill)) if fill else matched
 
 
-def expand(params: DataFrame, start: str, end: str) -> DataFrame:
-    """One row per lookup and id of its range, so that a range lookup becomes an equi-join."""
-    return params.withColumn(
-        "customer_id", F.explode(F.sequence(F.col(start).cast("bigint"),
-                                            F.col(end).cast("bigint"))))
-
-
 def points(params: DataFrame, *columns: str) -> DataFrame:
     return params.select("sample_id", "customer_id", *columns)
 
@@ -94,22 +95,18 @@ def points(params: DataFrame, *columns: str) -> DataFrame:
 def _range_count(params: DataFrame, customers: DataFrame) -> DataFrame:
     """Customers found per lookup, 0 where there are none."""
     ranges = params.select("sample_id", "region", "region_start", "region_end")
-    found = (expand(ranges, "region_start", "region_end")
-             .join(customers.select("customer_id", F.col("region").alias("lives_in")),
-                   "customer_id", "left")
-             .groupBy("sample_id", "region", "region_start", "region_end")
-             .agg(F.count_if(F.col("lives_in") == F.col("region")).alias("customers")))
-    return found
+    values = customers.select("region", F.col("customer_id").cast("bigint").alias("id"),
+                              F.lit(1).cast("bigint").alias("customers"))
+    return range_totals(ranges, values, "region_start", "region_end", ["region"])
 
 
 def _range_revenue(params: DataFrame, per_customer: DataFrame) -> DataFrame:
     """Orders and revenue per lookup, from one row per customer."""
     ranges = params.select("sample_id", "revenue_start", "revenue_end")
-    return (expand(ranges, "revenue_start", "revenue_end")
-            .join(per_customer, "customer_id", "left")
-            .groupBy("sample_id", "revenue_start", "revenue_end")
-            .agg(F.coalesce(F.sum("orders"), F.lit(0)).alias("orders"),
-                 cents(F.coalesce(F.sum("revenue"), F.lit(0))).alias("grand_total")))
+    values = per_customer.select(F.col("customer_id").cast("bigint").alias("id"), "orders",
+                                 "revenue")
+    return (range_totals(ranges, values, "revenue_start", "revenue_end")
+            .withColumn("grand_total", cents(F.col("revenue"))).drop("revenue"))
 
 
 # Relational model
@@ -130,12 +127,12 @@ def r3(params: DataFrame, tables) -> DataFrame:
 
 
 def r4(params: DataFrame, tables) -> DataFrame:
-    wanted = range_keys(params, "region_start", "region_end")
-    return _range_count(params, relational.r4(narrow_customers(tables, wanted)))
+    return _range_count(params, relational.r4(tables))
 
 
 def _order_revenue(params: DataFrame, tables) -> DataFrame:
-    wanted = range_keys(params, "revenue_start", "revenue_end")
+    ids = tables["customer"].select(F.col("c_custkey").alias("customer_id"))
+    wanted = range_keys(params, ids, "revenue_start", "revenue_end")
     return relational.order_revenue(narrow_tables(tables, wanted))
 
 
@@ -155,8 +152,7 @@ def r5_top(params: DataFrame, tables, k: int = 5) -> DataFrame:
                 Window.partitionBy("customer_id").orderBy(*order)))
             .where(F.col("place") <= k).drop("place"))
     ranges = params.select("sample_id", "revenue_start", "revenue_end")
-    return (expand(ranges, "revenue_start", "revenue_end")
-            .join(best, "customer_id")
+    return (rows_in_ranges(ranges, best, "customer_id", "revenue_start", "revenue_end")
             .withColumn("place", F.row_number().over(
                 Window.partitionBy("sample_id").orderBy(*order)))
             .where(F.col("place") <= k)
@@ -179,16 +175,15 @@ def d3(params: DataFrame, docs: Documents) -> DataFrame:
 
 
 def d4(params: DataFrame, docs: Documents) -> DataFrame:
-    wanted = range_keys(params, "region_start", "region_end")
-    return _range_count(params, document.d4(docs.within(wanted)))
+    return _range_count(params, document.d4(docs))
 
 
 def d5(params: DataFrame, docs: Documents) -> DataFrame:
     """Net revenue and line count per lookup and customer."""
-    wanted = range_keys(params, "revenue_start", "revenue_end")
+    wanted = range_keys(params, document.d1(docs), "revenue_start", "revenue_end")
     ranges = params.select("sample_id", "revenue_start", "revenue_end")
-    return (expand(ranges, "revenue_start", "revenue_end")
-            .join(document.customer_revenue(docs.within(wanted)), "customer_id")
+    revenue = document.customer_revenue(docs.within(wanted))
+    return (rows_in_ranges(ranges, revenue, "customer_id", "revenue_start", "revenue_end")
             .select("sample_id", "customer_id", "name", "total_revenue", "total_orders"))
 
 
