@@ -7,6 +7,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reshelve.schema import LOG_COLUMNS
+from reshelve.sources.records import read_csv
 from reshelve.sources.tables import path_exists
 
 log = logging.getLogger(__name__)
@@ -23,23 +24,28 @@ def conform_log(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def read_log(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_log(spark: SparkSession, path: str, multi_line: bool = True,
+             split: bool = True) -> DataFrame:
     """Read a log; one that does not exist is reported and read as empty.
 
-    Quotes inside a value are doubled, and values may hold line breaks. For the latter a file is
-    read by one task; logs without line breaks in their messages are split with ``multi_line``
-    off, and large ones are best converted once by :func:`convert_log`.
+    Quotes inside a value are doubled, and values may hold line breaks. Files are split all the
+    same, see :mod:`reshelve.sources.records`; logs known to hold no such line breaks are read
+    once less with ``multi_line`` off. ``split`` off reads each file by one task, for files with
+    quotes inside values that have none around them.
     """
-    if path_exists(spark, path):
-        raw = spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
-    else:
+    if not path_exists(spark, path):
         log.warning("request log %s not found, going on without samples", path)
         headers = ", ".join(f"`{header}` string" for header in LOG_COLUMNS)
         raw = spark.createDataFrame([], headers)
+    elif multi_line and split:
+        raw = read_csv(spark, path)
+    else:
+        raw = spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
     return conform_log(raw)
 
 
-def convert_log(spark: SparkSession, path: str, target: str, multi_line: bool = True) -> DataFrame:
+def convert_log(spark: SparkSession, path: str, target: str, multi_line: bool = True,
+                split: bool = True) -> DataFrame:
     """Convert a log to Parquet once, and read that."""
-    read_log(spark, path, multi_line).write.mode("overwrite").parquet(target)
+    read_log(spark, path, multi_line, split).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
