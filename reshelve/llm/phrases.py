@@ -28,12 +28,13 @@ Results in odd cases:
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -45,94 +46,130 @@ FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t",
                        b"abcdefghijklmnopqrstuvwxyz\n\n\n\n\n\n\n\n\n ")
 SKIPPED, END = -2, -1
 # Bytes of text read at once, phrases and words a task holds, and a container before it bursts.
-BATCH, MAX_PHRASES, MAX_WORDS, BURST = 4 << 20, 400_000, 400_000, 4096
-RUN_ROWS = 20_000
+BATCH, MAX_PHRASES, MAX_WORDS, BURST = 4 << 20, 1_000_000, 400_000, 16_384
+# Phrases merged at once.
+MERGED = 1_000_000
 HOT_SHARE = 2048
 BITS_PER_PHRASE, MAX_BITS = 16, 1 << 27
 
 
-class Node:
-    """A trie node: counts of phrases that end with the next word, and subtrees below it."""
+# A container's key is up to two word ids behind a leading one, in 63 bits.
+ID_BITS = 31
+ONE, MASK = 1 << ID_BITS, (1 << ID_BITS) - 1
+TWO = ONE << ID_BITS
+
+
+class Node(dict):
+    """A trie node: the subtree of each next word, a node or a hash container, and the counts of
+    the phrases that end with it."""
 
     def __init__(self):
+        super().__init__()
         self.ends: dict[int, int] = {}
-        self.below: dict[int, Node | dict] = {}
 
 
 class Trie:
-    """Counts of phrases of word ids. A leaf is a hash container of the words that follow."""
+    """Counts of phrases of two word ids and more."""
 
     def __init__(self):
         self.root = Node()
         self.size = 0
 
-    def add(self, phrases: list[tuple], counts: list[int]) -> None:
-        root = self.root
-        for phrase, count in zip(phrases, counts):
-            node, at, last = root, 0, len(phrase) - 1
-            while at < last:
-                word = phrase[at]
-                child = node.below.get(word)
-                if child is None:
-                    child = node.below[word] = {}
-                at += 1
-                if type(child) is dict:
-                    rest = phrase[at:]
-                    held = child.get(rest)
-                    if held is None:
-                        self.size += 1
-                        child[rest] = count
-                        if len(child) > BURST and any(len(key) > 1 for key in child):
-                            node.below[word] = _burst(child)
-                    else:
-                        child[rest] = held + count
-                    break
-                node = child
-            else:
-                word = phrase[at]
-                if word not in node.ends:
-                    self.size += 1
-                node.ends[word] = node.ends.get(word, 0) + count
-
-    def spill(self, left: int) -> Iterator[list[tuple[tuple, int]]]:
-        """Take out the largest subtrees, whole, until at most `left` phrases stay."""
-        root = self.root
-        sizes = {word: _size(child) for word, child in root.below.items()}
-        if self.size > left and root.ends:
-            yield [((word,), count) for word, count in root.ends.items()]
-            self.size -= len(root.ends)
-            root.ends = {}
+    def add(self, phrases: np.ndarray, counts: np.ndarray) -> None:
+        """Phrases of one length, a row each, sorted."""
+        if len(phrases):
+            self._add(self.root, phrases, counts, 0)
+
+    def _add(self, node: Node, phrases: np.ndarray, counts: np.ndarray, depth: int) -> None:
+        rest = phrases.shape[1] - depth - 1
+        words, numbers = phrases[:, depth], counts.tolist()
+        if not rest:
+            before, ends = len(node.ends), node.ends
+            for word, count in zip(words.tolist(), numbers):
+                ends[word] = ends.get(word, 0) + count
+            self.size += len(ends) - before
+            return
+        starts = np.r_[0, np.flatnonzero(np.diff(words)) + 1]
+        keys = [] if rest > 2 else _packed(phrases[:, depth + 1:]).tolist()
+        stops = [*starts[1:].tolist(), len(words)]
+        for word, start, stop in zip(words[starts].tolist(), starts.tolist(), stops):
+            child = node.get(word)
+            if child is None:
+                child = node[word] = Node() if rest > 2 else {}
+            elif rest > 2 and type(child) is dict:
+                child = node[word] = _burst(child)
+            if type(child) is Node:
+                self._add(child, phrases[start:stop], counts[start:stop], depth + 1)
+                continue
+            before = len(child)
+            for key, count in zip(keys[start:stop], numbers[start:stop]):
+                child[key] = child.get(key, 0) + count
+            self.size += len(child) - before
+            if rest > 1 and len(child) > BURST:
+                node[word] = _burst(child)
+
+    def spill(self, left: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Take out the largest subtrees, whole, until at most `left` phrases stay: for each length
+        of phrase their word ids and counts."""
+        sizes = {word: _size(child) for word, child in self.root.items()}
+        taken = []
         for word in sorted(sizes, key=sizes.get, reverse=True):
             if self.size <= left:
                 break
-            yield list(_phrases(root.below.pop(word), (word,)))
+            taken += _containers(self.root.pop(word), (word,))
             self.size -= sizes[word]
+        return _phrases(taken)
+
+
+def _packed(words: np.ndarray) -> np.ndarray:
+    key = np.ones(len(words), np.int64)
+    for column in words.T:
+        key = key << ID_BITS | column
+    return key
 
 
 def _burst(container: dict) -> Node:
     node = Node()
-    for phrase, count in container.items():
-        if len(phrase) == 1:
-            node.ends[phrase[0]] = count
+    for key, count in container.items():
+        if key < TWO:
+            node.ends[key & MASK] = count
         else:
-            node.below.setdefault(phrase[0], {})[phrase[1:]] = count
+            node.setdefault(key >> ID_BITS & MASK, {})[ONE | key & MASK] = count
     return node
 
 
 def _size(child: Node | dict) -> int:
-    return len(child) if type(child) is dict else \
-        len(child.ends) + sum(map(_size, child.below.values()))
+    return len(child) if type(child) is dict else len(child.ends) + sum(map(_size, child.values()))
 
 
-def _phrases(child: Node | dict, before: tuple) -> Iterator[tuple[tuple, int]]:
+def _containers(child: Node | dict, path: tuple) -> list[tuple[tuple, dict]]:
+    """The containers below, each with the words that lead to it."""
     if type(child) is dict:
-        for rest, count in child.items():
-            yield before + rest, count
-        return
-    for word, count in child.ends.items():
-        yield (*before, word), count
-    for word, deeper in child.below.items():
-        yield from _phrases(deeper, (*before, word))
+        return [(path, child)]
+    found = [(path, {ONE | word: count for word, count in child.ends.items()})]
+    for word, deeper in child.items():
+        found += _containers(deeper, (*path, word))
+    return found
+
+
+def _phrases(containers: list[tuple[tuple, dict]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    lengths: dict[int, list] = {}
+    for depth in {len(path) for path, _ in containers}:
+        held = [(path, c) for path, c in containers if len(path) == depth and c]
+        if not held:
+            continue
+        sizes = [len(c) for _, c in held]
+        total = sum(sizes)
+        paths = np.repeat(np.array([path for path, _ in held], np.int64), sizes, axis=0)
+        keys = np.fromiter(chain.from_iterable(c for _, c in held), np.int64, total)
+        counts = np.fromiter(chain.from_iterable(c.values() for _, c in held), np.int64, total)
+        two = keys >= TWO
+        for rows, words in ((~two, [keys & MASK]), (two, [keys >> ID_BITS & MASK, keys & MASK])):
+            if rows.any():
+                lengths.setdefault(depth + len(words), []).append((
+                    np.column_stack([paths[rows], *(w[rows] for w in words)]), counts[rows]))
+    return [(np.concatenate([m for m, _ in parts]), np.concatenate([c for _, c in parts]))
+            for parts in lengths.values()]
 
 
 def word_hash(group: str, word: bytes) -> int:
@@ -206,6 +243,7 @@ class Counter:
 
     def clear(self) -> None:
         self.trie = Trie()
+        self.single = np.empty(0, np.int64)
         self.number: dict[bytes, int] = {b"": SKIPPED, b"\n": END}
         self.words: list[bytes] = []
         self.hashes = np.empty(0, np.uint64)
@@ -232,8 +270,8 @@ class Counter:
         if 1 in self.sizes:
             found = np.bincount(ids[ids >= 0], minlength=len(self.words))
             self.total += int(found.sum())
-            at = np.flatnonzero(found)
-            self.trie.add([(i,) for i in at.tolist()], found[at].tolist())
+            found[:len(self.single)] += self.single
+            self.single = found
         if self.sizes != (1,):
             self._longer(ids)
 
@@ -263,8 +301,17 @@ class Counter:
             _, first, group, count = np.unique(group << 32 | ids[at + size - 1], return_index=True,
                                                return_inverse=True, return_counts=True)
             if size in self.sizes:
-                phrases = ids[at[first][:, None] + np.arange(size)]
-                self.trie.add(list(map(tuple, phrases.tolist())), count.tolist())
+                self.trie.add(ids[at[first][:, None] + np.arange(size)], count)
+
+
+    def taken(self, left: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Word ids and counts of the phrases of some subtrees, and if nothing is to stay of all."""
+        found = self.trie.spill(left)
+        at = np.flatnonzero(self.single)
+        if not left and len(at):
+            found.append((at[:, None], self.single[at]))
+            self.single = np.empty(0, np.int64)
+        return found
 
 
 def _inside(ids: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
@@ -278,6 +325,7 @@ def counted(docs: DataFrame, sizes: tuple[int, ...], known: list[Known], hot: se
             least: int) -> DataFrame:
     """group, phrase, size and count of the phrases of some lengths that occur at least that often;
     with length 1 also a row with a null phrase, whose count is that of all words."""
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, Counter] = {}
@@ -289,27 +337,134 @@ def counted(docs: DataFrame, sizes: tuple[int, ...], known: list[Known], hot: se
             if sum(len(c.words) for c in counters.values()) > MAX_WORDS or \
                     sum(len(c.number) for c in counters.values()) > 2 * MAX_WORDS:
                 for counter in counters.values():
-                    yield from _runs(counter, 0, hot)
+                    yield from _runs(counter, counter.taken(), hot, parts)
                     counter.clear()
             while sum(c.trie.size for c in counters.values()) > MAX_PHRASES:
                 largest = max(counters.values(), key=lambda c: c.trie.size)
-                yield from _runs(largest, largest.trie.size // 2, hot)
+                yield from _runs(largest, largest.taken(max(1, largest.trie.size // 2)), hot, parts)
         for counter in counters.values():
-            yield from _runs(counter, 0, hot)
-        totals = [(g, None, c.total) for g, c in counters.items() if 1 in sizes]
-        if totals:
-            yield _batch(totals, hot)
+            yield from _runs(counter, counter.taken(), hot, parts)
+            if counter.total:
+                place = xxhash.xxh32_intdigest(counter.group.encode()) % parts
+                yield _rows([place], [counter.group], [None], [counter.total])
+
+    return docs.mapInArrow(runs, RUN).repartition("part").sortWithinPartitions("part").mapInArrow(
+        lambda batches: _merged(batches, least),
+        "group string, phrase string, size int, count long")
+
 
-    found = docs.mapInArrow(runs, RUN)
-    return (found.repartition("subtree").groupBy("subtree", "group", "phrase")
-            .agg(F.sum("count").alias("count"))
-            .where((F.col("count") >= least) | F.col("phrase").isNull())
-            .select("group", "phrase", F.size(F.split("phrase", " ")).alias("size"), "count"))
+RUN = "part long, group string, run binary, n long"
+RUN_SCHEMA = pa.schema([("part", pa.int64()), ("group", pa.string()), ("run", pa.binary()),
+                        ("n", pa.int64())])
 
 
-RUN = "subtree long, group string, phrase string, count long"
-RUN_SCHEMA = pa.schema([("subtree", pa.int64()), ("group", pa.string()), ("phrase", pa.string()),
+def _rows(part, group, run, n) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(v, f.type) for v, f in zip((part, group, run, n), RUN_SCHEMA)], schema=RUN_SCHEMA)
+
+
+def _runs(counter: Counter, taken: list[tuple[np.ndarray, np.ndarray]], hot: set,
+          parts: int) -> Iterator[pa.RecordBatch]:
+    """A sorted run for each prefix partition: phrases, their lengths in bytes and their counts."""
+    texts = pa.array(counter.words, pa.binary())
+    for ids, counts in taken:
+        used, number = np.unique(ids, return_inverse=True)
+        names = texts.take(pa.array(used))
+        rank = np.empty(len(used), np.int64)
+        rank[pc.array_sort_indices(names).to_numpy()] = np.arange(len(used))
+        ranks = rank[number.reshape(ids.shape)]
+        part = (_prefix(counter, ids, hot) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort([*ranks.T[::-1], part])
+        ids, counts, part = ids[order], counts[order], part[order]
+        phrase = pc.binary_join_element_wise(*(texts.take(pa.array(c)) for c in ids.T), b" ")
+        sizes = pc.binary_length(phrase).to_numpy().astype(np.int64)
+        ends = np.r_[0, sizes.cumsum()]
+        data = b"".join(phrase.to_pylist())
+        starts = np.r_[0, np.flatnonzero(np.diff(part)) + 1]
+        stops = np.r_[starts[1:], len(part)]
+        packed = [_pack(sizes[s:e], counts[s:e], data[ends[s]:ends[e]])
+                  for s, e in zip(starts.tolist(), stops.tolist())]
+        yield _rows(part[starts], [counter.group] * len(starts), packed, stops - starts)
+
+
+def _pack(sizes: np.ndarray, counts: np.ndarray, text: bytes) -> bytes:
+    whole = sizes.astype("<u4").tobytes() + counts.astype("<i8").tobytes() + text
+    return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+
+
+def _unpack(run: bytes, n: int) -> pa.Table:
+    size = int.from_bytes(run[:8], "little")
+    whole = pa.decompress(run[8:], size, codec="zstd", asbytes=True)
+    sizes = np.frombuffer(whole, "<u4", n)
+    counts = np.frombuffer(whole, "<i8", n, 4 * n)
+    ends = np.r_[0, sizes.cumsum(dtype=np.int64)]
+    phrases = pa.LargeStringArray.from_buffers(n, pa.py_buffer(ends.tobytes()),
+                                               pa.py_buffer(whole[12 * n:]))
+    return pa.table({"phrase": phrases, "count": pa.array(counts.astype(np.int64))})
+
+
+def _prefix(counter: Counter, ids: np.ndarray, hot: set) -> np.ndarray:
+    """A hash of what a phrase is dealt out by: its first word or two, or below a hot prefix all of
+    its words."""
+    hashes = [counter.hashes[c] for c in ids.T]
+    found = mixed(hashes[:max(1, min(2, len(hashes) - 1))])
+    for prefix in hot:
+        words = prefix[1].split(b" ")
+        numbers = [counter.number.get(w, END) for w in words]
+        if prefix[0] == counter.group and len(words) < ids.shape[1] and min(numbers) >= 0:
+            below = (ids[:, :len(words)] == numbers).all(axis=1)
+            if below.any():
+                found[below] = mixed([h[below] for h in hashes])
+    return found
+
+
+def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Merge the runs of each prefix partition; they come one partition after the other."""
+    schema = pa.schema([("group", pa.string()), ("phrase", pa.string()), ("size", pa.int32()),
                         ("count", pa.int64())])
+    held: dict[str, list[pa.Table]] = {}
+    totals: dict[str, int] = {}
+    size, at = 0, None
+
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        found = pa.concat_tables(tables).group_by("phrase", use_threads=False).aggregate(
+            [("count", "sum")])
+        return found.select(["phrase", "count_sum"]).rename_columns(["phrase", "count"])
+
+    def frequent() -> Iterator[pa.RecordBatch]:
+        for group, tables in held.items():
+            found = summed(tables)
+            found = found.filter(pc.greater_equal(found.column("count"), least))
+            n = found.num_rows
+            spaces = pc.count_substring(found.column("phrase"), " ")
+            yield from pa.table([pa.array([group] * n, pa.string()),
+                                 found.column("phrase").cast(pa.string()),
+                                 pc.add(spaces, 1).cast(pa.int32()), found.column("count")],
+                                schema=schema).to_batches()
+        if totals:
+            n = len(totals)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(totals)), pa.array([None] * n, pa.string()),
+                 pa.array([None] * n, pa.int32()), pa.array(list(totals.values()), pa.int64())],
+                schema=schema)
+        held.clear()
+        totals.clear()
+
+    for batch in batches:
+        for part, group, run, n in zip(*(c.to_pylist() for c in batch.columns)):
+            if part != at and size > MERGED:
+                yield from frequent()
+                size = 0
+            elif size > 4 * MERGED:  # one large partition: add up what there is of it so far
+                held = {g: [summed(tables)] for g, tables in held.items()}
+                size = sum(t[0].num_rows for t in held.values()) // 2
+            at = part
+            if run is None:
+                totals[group] = totals.get(group, 0) + n
+            else:
+                held.setdefault(group, []).append(_unpack(run, n))
+                size += n
+    yield from frequent()
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
@@ -336,38 +491,6 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
         yield group, b"\n".join(texts)
 
 
-def _runs(counter: Counter, left: int, hot: set) -> Iterator[pa.RecordBatch]:
-    words = counter.words
-    rows: list[tuple] = []
-    for subtree in counter.trie.spill(left):
-        run = sorted((b" ".join([words[i] for i in phrase]), n) for phrase, n in subtree)
-        rows += [(counter.group, phrase, n) for phrase, n in run]
-        while len(rows) >= RUN_ROWS:
-            yield _batch(rows[:RUN_ROWS], hot)
-            rows = rows[RUN_ROWS:]
-    if rows:
-        yield _batch(rows, hot)
-
-
-def _batch(rows: list[tuple], hot: set) -> pa.RecordBatch:
-    groups, phrases, counts = zip(*rows)
-    subtrees = [zlib.crc32(_prefix(p, g, hot), zlib.crc32(g.encode())) if p is not None else 0
-                for g, p in zip(groups, phrases)]
-    texts = [None if p is None else p.decode() for p in phrases]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(subtrees, pa.int64()), pa.array(groups), pa.array(texts, pa.string()),
-         pa.array(counts, pa.int64())], schema=RUN_SCHEMA)
-
-
-def _prefix(phrase: bytes, group: str, hot: set) -> bytes:
-    """What a phrase is dealt out by: its first word or two, or all of it below a hot prefix."""
-    words = phrase.split(b" ", 2)
-    if len(words) == 1:
-        return phrase
-    prefix = words[0] if len(words) == 2 else words[0] + b" " + words[1]
-    return phrase if (group, prefix) in hot or (group, words[0]) in hot else prefix
-
-
 def frequent_phrases(docs: DataFrame, text: str = "text", group: str = "lang",
                      longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """group, phrase, size and count of all phrases of up to `longest` words that occur at least
