@@ -3,11 +3,19 @@
 The patterns find what is certainly a secret by its form. The field tags the tokens of a text as
 the begin, inside or outside of a secret, by the shapes of a token and its neighbours, by the
 words around it that the training text shows near secrets, and by two features of the file. It is
-trained on windows around what the patterns find, with the outside everywhere else, and decoded by
-Viterbi. A tagged span that overlaps no pattern's span is added with the kind `crf`.
+decoded by Viterbi. A tagged span that overlaps no pattern's span is added with the kind `crf`.
 
-Trained on SAMPLE_ROWS documents that a pattern may match and as many of any kind, those with the
-least id hashes; only their windows reach the driver. All texts are scanned whole.
+It learns from windows around what the patterns find, with the outside everywhere else; from the
+same values between ordinary words, so that their shape alone must tell them; and from FORMS, a
+table of secrets the patterns do not know and of numbers, codes and names that are none. A third
+of the windows is kept from the fit and sets what a tag must have over the outside: the least shift
+by which PRECISION of the tagged tokens are right.
+
+The windows come from SAMPLE_ROWS documents that a pattern may match and as many of any kind, those
+with the least id hashes; of each at most MAX_WINDOWS windows reach the driver, of 2 * SIDE + 1
+tokens each: around its first secrets, its first NUMBERED tokens with digits and its middle. The
+field knows the MAX_WORDS most frequent words of up to MAX_WORD characters. All texts are scanned
+whole.
 
 Results in odd cases:
 
@@ -33,6 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reshelve.llm.columns import text_or_empty
+from reshelve.llm.memory import Remembered, per_process
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(
@@ -45,6 +54,7 @@ TOKEN = re.compile(r"[\w+/.\-]+|[^\w\s]")
 SAMPLE_ROWS = 1500
 SIDE = 8
 NUMBERED = 4
+MAX_WINDOWS = 40
 MAX_WORDS = 2000
 MAX_WORD = 24
 LEAST_SEEN = 5
@@ -53,6 +63,73 @@ OFFSETS = (-3, -2, -1, 0, 1)
 OUTSIDE, BEGIN, INSIDE = range(3)
 ROUNDS, RATE, DECAY, FORGET = 150, 0.2, 1e-4, 0.25
 MAX_CACHED = 300_000
+PRECISION, SHIFTS = 0.995, (0.0, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 6.0)
+
+LOWER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+ANY = LOWER + LOWER.upper() + DIGITS
+# Labelled forms: text before, letters of the value (a pattern of fixed and drawn ones), text after.
+# `*` draws a letter or digit, `+` one of base64, `x` in braces repeats: "ghp_*{36}".
+SECRET_FORMS = (
+    ("set gh to ", "ghp_*{36}", " for now"), ("deploy key ", "sk_live_*{24}", " keep it"),
+    ("Authorization: Bearer ", "eyJ+{20}.eyJ+{40}.+{43}", " sent"), ("pwd=", "*{14}", ";"),
+    ("client_key: ", "*{32}", ","), ("aws_secret_access_key = ", "+{40}", ""),
+    ("the login is admin / ", "*{12}", " as before"), ("credential ", "*{20}", " expires"),
+    ("auth_code='", "*{16}", "'"), ("signing key: ", "+{44}", "="), ("webhook ", "whsec_*{32}", ""),
+    ("private_key=", "-+{48}", ""), ("export KEY=", "*{28}", " and run"), ("DB_PASS=", "*{18}", ""),
+    ("slack ", "xoxp-0{12}-0{12}-*{24}", " bot"), ("license ", "*{5}-*{5}-*{5}-*{5}-*{5}", " paid"),
+)
+CLEAN_FORMS = (
+    ("see commit ", "#{7}", " for it"), ("fixed in ", "#{10}", " last week"), ("version ", "0.0{2}.0", ""),
+    ("call ", "0{3}-0{4}", " now"), ("card 0{4} ", "0{4}", " 0{4}"), ("order no. ", "0{8}", " shipped"),
+    ("invoice INV-", "0{4}-0{5}", " is due"), ("at https://host.example/", "a{6}/a{9}", " online"),
+    ("mail a.", "a{7}@a{6}.com", " please"), ("on ", "0{4}-0{2}-0{2}", " at noon"),
+    ("the file img_", "0{8}_0{6}.jpg", " is new"), ("isbn ", "0{3}-0-0{2}-0{6}-0", " by"),
+    ("server ", "srv0{2}.a{7}.net", " is down"), ("colour ", "#{6}", " looks fine"),
+    ("address 0{2}.0{3}.", "0{2}.0{3}", " is blocked"), ("part ", "AX-0{4}", " in stock"),
+    ("id ", "#{8}-#{4}-#{4}-#{4}-#{12}", " of the row"), ("in src/a{5}/", "a{8}_a{6}.py", " line 0{2}"),
+    ("flight ", "LH0{4}", " lands"), ("measured ", "0{3}.0{6}", " units"), ("called ", "a{14}", " by all"),
+    ("read ", "a{9}.a{5}.a{12}", " first"), ("room ", "A0{3}", " upstairs"), ("plate ", "AB 0{3} CD", ""),
+    ("password=", "", " is empty"), ("token: ", "a{4}", " next"), ("the secret ", "a{9}", " of it"),
+    ("page ", "0{3}", " of 0{3}"), ("sum ", "0{12}", " in all"), ("hash ", "#{16}", " of the file"),
+)
+DRAWS = 40
+FORM = re.compile(r"(.)(?:\{(\d+)\})?", re.S)
+KIND_OF = {"*": ANY, "+": ANY + "+/", "0": DIGITS, "#": DIGITS + "abcdef", "a": LOWER}
+
+
+def drawn(form: str, random: np.random.Generator) -> str:
+    """A text of a form: signs with a number in braces, and `*`, `+`, are drawn that many times."""
+    found = []
+    for sign, times in FORM.findall(form):
+        if times or sign in "*+":
+            letters = KIND_OF.get(sign, sign)
+            found += [letters[i] for i in random.integers(0, len(letters), int(times or 1))]
+        else:
+            found.append(sign)
+    return "".join(found)
+
+
+def examples(seed: int = 0) -> list[tuple[list[str], list[str], list[int], int]]:
+    """Windows of the labelled forms, each drawn DRAWS times among invented words."""
+    random = np.random.default_rng(seed)
+    found = []
+    for forms, secret in ((SECRET_FORMS, True), (CLEAN_FORMS, False)):
+        for before, value, after in forms:
+            for n in range(DRAWS):
+                words = [drawn(f"a{{{k}}}", random) for k in random.integers(2, 10, 10)]
+                middle = drawn(value, random)
+                # Long values stand without what is around them, too.
+                bare = n % 2 and (len(middle) >= 20 or not secret)
+                left = "" if n % 8 == 1 else " ".join(words[:5]) + " "
+                left += "" if bare else drawn(before, random)
+                text = left + middle + ("" if bare else drawn(after, random))
+                text += "" if n % 8 == 3 else " " + " ".join(words[5:])
+                tokens = TOKEN.findall(text)
+                own = tags(text, [(len(left), len(left) + len(middle))] if secret else [])
+                found.append(([t.lower() if len(t) <= MAX_WORD else "" for t in tokens],
+                              [shape(t) for t in tokens], own,
+                              file_kind([shape(t) for t in tokens] * 8)))
+    return found
 
 
 def patterns(text: str, words: set[str] | None = None) -> list[tuple[int, int, int]]:
@@ -64,7 +141,7 @@ def patterns(text: str, words: set[str] | None = None) -> list[tuple[int, int, i
     if "AKIA" in text:
         found += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text)
                   if m.end() - m.start() >= 20]
-    if words is None or any(len(w) >= 24 for w in words):  # none is found in shorter words
+    if words is None or max(map(len, words), default=0) >= 24:  # none is found in shorter words
         found += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
     return sorted(found, key=lambda s: (s[0], s[2]))
 
@@ -126,8 +203,23 @@ def windows(text: str) -> list[tuple[list[str], list[str], list[int], int]]:
     centres = {i for i, tag in enumerate(own) if tag == BEGIN} | {len(tokens) // 2}
     centres.update([i for i, s in enumerate(shapes) if "d" in s][:NUMBERED])
     kind = file_kind(shapes)
-    cuts = [(max(0, i - SIDE), i + SIDE + 1) for i in sorted(centres)]
-    return [(words[a:b], shapes[a:b], own[a:b], kind) for a, b in cuts]
+    cuts = [(max(0, i - SIDE), i + SIDE + 1) for i in sorted(centres)[:MAX_WINDOWS]]
+    found = [(words[a:b], shapes[a:b], own[a:b], kind) for a, b in cuts]
+    return found + _bare(found)
+
+
+def _bare(found: list[tuple[list[str], list[str], list[int], int]]) -> list:
+    """The long values of windows with a secret once more, in the middle of a clean window."""
+    clean = next((w for w in found if not any(w[2])), None)
+    bare = []
+    for words, shapes, own, kind in found if clean else ():
+        for i, tag in enumerate(own):
+            if tag == BEGIN and "d" in shapes[i] and not words[i]:
+                half = len(clean[0]) // 2
+                bare.append(([*clean[0][:half], "", *clean[0][half:]],
+                             [*clean[1][:half], shapes[i], *clean[1][half:]],
+                             [*clean[2][:half], BEGIN, *clean[2][half:]], kind))
+    return bare
 
 
 @dataclass
@@ -180,6 +272,30 @@ def _expected(score: np.ndarray, change: np.ndarray, used: np.ndarray):
     return single, (pairs * used[:, 1:, None, None]).sum(axis=(0, 1))
 
 
+def precise(found: list[tuple[list[str], list[str], list[int], int]], seed: int = 0) -> Field | None:
+    """Fit on two thirds of the windows and set the shift of the outside on the others."""
+    field = fit([w for i, w in enumerate(found) if i % 3], seed)
+    if field is None:
+        return None
+    kept = []
+    for words, shapes, own, kind in found[::3]:
+        word = np.array([field.words.get(w, 0) if w else 0 for w in words])
+        form = np.array([field.shapes.get(f, 0) for f in shapes])
+        score = np.repeat(field.by_file[[kind]], len(own), axis=0)
+        for o, offset in enumerate(OFFSETS):
+            score += field.by_word[o][_placed(word, offset)] + field.by_shape[o][_placed(form, offset)]
+        kept.append((score, np.array(own) != OUTSIDE))
+    for shift in SHIFTS:
+        moved = np.array([shift, 0, 0])
+        told = [np.array(viterbi(score + moved, field.change)) != OUTSIDE for score, _ in kept]
+        tagged = sum(int(t.sum()) for t in told)
+        right = sum(int((t & own).sum()) for t, (_, own) in zip(told, kept))
+        if right >= PRECISION * tagged:
+            break
+    field.by_file[:, OUTSIDE] += shift
+    return field
+
+
 def fit(found: list[tuple[list[str], list[str], list[int], int]], seed: int = 0) -> Field | None:
     """Train on windows by gradient ascent with per-weight rates; None without any secret."""
     if not any(tag != OUTSIDE for _, _, tags_, _ in found for tag in tags_):
@@ -233,41 +349,82 @@ def fit(found: list[tuple[list[str], list[str], list[int], int]], seed: int = 0)
 
 
 class Scanner:
-    """Decodes texts with a field; what is known of tokens and words is kept."""
+    """Decodes texts with a field; what is known of tokens and words is kept.
+
+    Words are of few classes: those whose tokens have the same weights. A class holds the most that
+    one of its tokens adds at each offset.
+    """
 
     def __init__(self, field: Field):
         self.field = field
-        self.known: dict[str, int] = {}
-        self.words: dict[str, frozenset[int]] = {}
         self.kinds: dict[tuple[int, int], int] = {(1, 1): 0}
         self.named: list[bool] = [False]
+        self.known = Remembered(self._kind, MAX_CACHED)
+        self.classes: dict[frozenset[int], int] = {}
+        self.alike: dict[tuple, int] = {}
+        self.alike_words: dict[tuple, int] = {}
+        self.words = Remembered(self._word, MAX_CACHED)
         self.table = np.empty((len(OFFSETS), 0, 3))
-        spare = float((field.change - field.change[OUTSIDE, OUTSIDE]).max())
-        # More than a change of tags and the file can add to a token of a span.
-        self.slack = 2 * max(0.0, spare) + _excess(field.by_file).max()
+        self.most = np.empty((0, len(OFFSETS)))
+        gain = field.change - field.change[OUTSIDE, OUTSIDE]
+        into, out, on = gain[OUTSIDE, BEGIN:].max(), gain[BEGIN:, OUTSIDE].max(), gain[1:, 1:].max()
+        # What the changes of tags add to a span is linear in its tokens, so no token is given more
+        # than in the shortest or the longest one. A span at an end of the text lacks one change.
+        self.slack = float(max(into + out, into, out, on) + _excess(field.by_file).max())
+        self.ends = _excess(self._weights()[:, 0])
 
     def _kind(self, token: str) -> int:
-        if len(self.known) >= MAX_CACHED:
-            self.known.clear()
+        """The kind of a token: its weights. Those of plain letters, with a full stop behind or
+        none, that the field does not know differ by length and case only."""
+        core = token[:-1] if token[-1] == "." else token
+        if core.isalpha() and (core.islower() or core.isupper()) and \
+                token.lower() not in self.field.words:
+            key = (bisect_right(SIZES, len(token)), core is token, core.islower(),
+                   len(token) == 1 or not core.strip("abcdef"), len(token) == 1)
+            found = self.alike.get(key)
+            if found is None:
+                found = self.alike[key] = self._new_kind(token)
+            return found
+        return self._new_kind(token)
+
+    def _new_kind(self, token: str) -> int:
         form = shape(token)
         kind = self.kinds.setdefault(self.field.numbers(token, form), len(self.kinds))
         if kind == len(self.named):
             self.named.append("d" in form)
-        self.known[token] = kind
         return kind
 
-    def _word(self, word: str) -> frozenset[int]:
-        if len(self.words) >= MAX_CACHED:
-            self.words.clear()
-        found = self.words[word] = frozenset(map(self._kind, TOKEN.findall(word)))
+    def _word(self, word: str) -> int:
+        """The class of a word. Words of plain letters that the field does not know, with a sign
+        behind or none, differ by length, case and sign only."""
+        core = word if word[-1].isalpha() else word[:-1]
+        sign = word[len(core):]
+        # In lower or upper case all letters count alike; mixed ones are looked at one by one.
+        if not (core.isalpha() and (core.islower() or core.isupper())) or \
+                len(sign) == 1 and sign not in ",.;:!?" or core.lower() in self.field.words or \
+                sign == "." and word.lower() in self.field.words:
+            return self._class(word)
+        key = (bisect_right(SIZES, len(core)), bisect_right(SIZES, len(word)), len(core) == 1,
+               core.islower(), not core.strip("abcdef"), sign)
+        found = self.alike_words.get(key)
+        if found is None:
+            found = self.alike_words[key] = self._class(word)
+        return found
+
+    def _class(self, word: str) -> int:
+        kinds = frozenset(map(self.known.__getitem__, TOKEN.findall(word)))
+        found = self.classes.get(kinds)
+        if found is None:
+            found = self.classes[kinds] = len(self.classes)
+            most = _excess(self._weights()[:, list(kinds)]).max(axis=1, initial=-np.inf)
+            self.most = np.vstack([self.most, most])
         return found
 
     def _can_hold(self, words: set[str]) -> bool:
         """Whether a token could outweigh the outside, were the best neighbours of the whole text
         next to the best token. Exact: a span whose tokens all cannot is never on the best path."""
-        known = self.words
-        kinds = {0}.union(*[known[w] if w in known else self._word(w) for w in words])
-        bound = _excess(self._weights()[:, list(kinds)]).max(axis=1).sum()
+        classes = list(set(map(self.words.__getitem__, words)))
+        bound = np.maximum(self.most[classes].max(axis=0), self.ends).sum()
         return bound + self.slack > 0
 
     def _weights(self) -> np.ndarray:
@@ -278,9 +435,7 @@ class Scanner:
 
     def score(self, tokens: list[str]) -> np.ndarray:
         """The weight of each tag at each token."""
-        known = self.known
-        kinds = np.fromiter((known[t] if t in known else self._kind(t) for t in tokens),
-                            np.int64, len(tokens))
+        kinds = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
         table = self._weights()
         size = min(7, max(len(tokens), 1).bit_length() // 2)
         numbers = int(np.asarray(self.named)[kinds].sum())
@@ -300,10 +455,13 @@ class Scanner:
     def spans(self, text: str, words: set[str] | None = None) -> list[tuple[int, int]]:
         """The spans the field tags in a text, whose distinct words may be at hand."""
         words = set(text.split()) if words is None else words
-        if not words or not self._can_hold(words):
+        if not words or len(words) > 1 and not self._can_hold(words):
+            return []
+        tokens = TOKEN.findall(text)
+        if not tokens:
             return []
-        score = self.score(TOKEN.findall(text))
-        if _excess(score).max() + self.slack <= 0:
+        score = self.score(tokens)
+        if len(tokens) > 1 and _excess(score).max() + self.slack <= 0:
             return []
         path = viterbi(score, self.field.change)
         found: list[tuple[int, int]] = []
@@ -364,7 +522,10 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field | None:
     found = (rows.join(F.broadcast(chosen), "doc_id").select("doc_id", F.posexplode(cut("text")))
              .orderBy("doc_id", "pos").select("col.words", "col.shapes", "col.tags", "col.file")
              .collect())
-    return fit([(r.words, r.shapes, r.tags, r.file) for r in found])
+    found = [(r.words, r.shapes, r.tags, r.file) for r in found]
+    if not any(tag != OUTSIDE for _, _, own, _ in found for tag in own):
+        return None
+    return precise(found + examples())
 
 
 def _told(spans: list[tuple[int, int, int]]) -> str:
@@ -374,10 +535,12 @@ def _told(spans: list[tuple[int, int, int]]) -> str:
 def scan(docs: DataFrame, field: Field | None) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_crf)."""
 
+    sent = docs.sparkSession.sparkContext.broadcast(field)  # weights of MAX_WORDS words
+
     @F.pandas_udf("n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
                   "n_crf long")
     def scanned(texts: pd.Series) -> pd.DataFrame:
-        scanner = Scanner(field) if field else None
+        scanner = per_process("secrets", sent, Scanner) if sent.value else None
         rows = []
         for text in texts:
             words = set(text.split())

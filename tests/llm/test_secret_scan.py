@@ -120,3 +120,81 @@ def test_odd_rows(spark, docs_of, field):
                                              (None, 1, 0, 0), (3, 0, 0, 0), (4, 1, 0, 0)], key=str)
     assert s.train(docs_of([(1, "nothing here"), (None, "password=abcdef1")])) is None
     assert s.scan(docs_of([]), None).count() == 0 and s.train(docs_of([])) is None
+
+
+# None of these forms stands in the training table. `V` is a drawn value of letters and digits.
+UNSEEN_SECRETS = [
+    "deploy with glpat-V{20} today", "NPM npm_V{36} done", "key AIzaSyV{33} here", "use hf_V{34} ok",
+    "SG.V{22}.V{43} mail", "bot xoxb-0{12}-0{12}-V{24} in", "Authorization: Basic V{30} sent",
+    "api secret V{24} given", "doctl dop_v1_V{64}", "ya29.V{40} given", "fcm AAAAV{7}:V{60} x",
+    "stripe rk_test_V{24} for tests", "mailgun key-V{32} is it", "square sq0csp-V{43} there",
+    "twilio SKV{32} noted", "shopify shpat_V{32} in use", "pypi-V{60} uploaded", "dckr_pat_V{27} push",
+    "new relic NRAK-V{27} agent", "linear lin_api_V{40} sync", "databricks dapiV{32} job",
+    "age secret AGE-SECRET-KEY-V{50}", "sentry sntrys_V{60} cli", "vault hvs.V{24} read",
+    "they typed V{26} into it", "cookie session=V{40} was", "refresh 1//0gV{50} kept",
+    "fly io FlyV1-V{40} box", "rubygems rubygems_V{48} gem", "grafana glsa_V{32}_V{8} view",
+]
+UNSEEN_CLEAN = [
+    "see issue 48213 in release 4.2.11", "image nginx:1.25.3-alpine pulled",
+    "https://www.example.org/wiki/Some_Page_2024?id=991", "tracking 1Z999 8812 0123 4567 84",
+    "IBAN DE44 5001 0517 5407 3249 31", "mac 00:1A:2B:3C:4D:5E seen", "at 2024-05-06T12:13:14Z sharp",
+    "chr7:55191822 T>G mutation", "user john_doe_1984 wrote", "C:\\Users\\ann\\report_final_v2.docx",
+    "call +49 30 901820 ext 12", "Xeon E5-2680v4 has 14 cores", "doi 10.1000/xyz123 cited",
+    "sha1 abcdef123456 of it", "fe80::1ff:fe23:4567:890a up", "GET /api/v2/users/88123 HTTP/1.1",
+    "rgb(12, 255, 7) and #a1b2c3", "ISO 9001:2015 and EN 60601-1-2", "the 3rd of 21 in 1999",
+    "x86_64-linux-gnu-gcc-12 built it", "vitamin B12 and omega3 oils", "NCC-1701-D flew",
+    "6ES7 214-1AG40-0XB0 controller", "RFC2616 obsoletes RFC2068", "room 4B12 on floor 3",
+    "score 3:2 after 90+4 minutes", "python3.11-venv installed", "GPT2 has 124439808 weights",
+    "the word password stands here", "no secret, no token and no key",
+]
+
+
+def written(form, pick):
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    return re.sub(r"([V0])\{(\d+)\}", lambda m: "".join(
+        pick.choice(letters if m[1] == "V" else "0123456789") for _ in range(int(m[2]))), form)
+
+
+@pytest.fixture(scope="module")
+def trained():
+    return s.precise([w for i in range(120) for w in s.windows(secret_text(i))] + s.examples())
+
+
+def test_unseen_forms(trained):
+    """Of thirty forms not trained on, each drawn ten times: nine tenths found, no clean one."""
+    scanner, pick = s.Scanner(trained), random.Random(11)
+    texts = [written(form, pick) for form in UNSEEN_SECRETS for _ in range(10)]
+    hits = sum(bool(scanner.spans(t)) for t in texts)
+    assert hits >= 0.9 * len(texts)
+    wrong = [t for t in UNSEEN_CLEAN if scanner.spans(t)]
+    assert len(wrong) <= 0.02 * hits
+
+
+def test_spans_are_added_where_planted_only(spark, docs_of, trained):
+    pick = random.Random(2)
+    prose = " ".join("".join(pick.choice("aeiourstln") for _ in range(6)) for _ in range(40))
+    planted = [(i, f"{prose} {written(form, pick)} {prose}") for i, form in enumerate(UNSEEN_SECRETS)]
+    clean = [(100 + i, f"{prose} {text} {prose}") for i, text in enumerate(UNSEEN_CLEAN)]
+    found = {r.doc_id: r for r in s.scan(docs_of(planted + clean), trained).collect()}
+    assert sum(found[i].n_crf > 0 for i, _ in planted) >= 25
+    assert sum(found[i].n_crf for i, _ in clean) == 0
+    assert all("crf:" in found[i].spans for i, _ in planted if found[i].n_crf)
+
+
+def test_pruning_loses_no_span_of_the_shipped_field(trained):
+    scanner, pick = s.Scanner(trained), random.Random(5)
+    texts = [secret_text(seed) for seed in range(300, 330)] + UNSEEN_CLEAN + [
+        written(form, pick) for form in UNSEEN_SECRETS] + [
+        "Alpha. BETA! gamma, delta: É. x", "a", "abcdef.", "x" * 50, "12", "?"]
+    for text in texts:
+        tokens = s.TOKEN.findall(text)
+        path = s.viterbi(scanner.score(tokens), trained.change)
+        assert bool(scanner.spans(text)) == any(path), text
+
+
+def test_plain_words_have_the_weights_of_their_shape(trained):
+    scanner = s.Scanner(trained)
+    for token in ["abc", "ABC", "beadfeed", "beadfeed.", "straße.", "été", "x", "a", "x.", "Z.", "漢字",
+                  "word", "W" * 30, "w" * 30 + ".", "Title", "ǅa", "aß", "ﬁn", "face."]:
+        kind = scanner.known[token]
+        assert list(scanner.kinds)[kind] == trained.numbers(token, s.shape(token)), token
