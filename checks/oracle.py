@@ -369,6 +369,9 @@ FROM lineitem""",
         "wide_clustered": WIDE + _wide_rows("w"),
         "wide_sink": WIDE + _wide_rows("w"),
         "wide_after_empty_load": WIDE + _wide_rows("w"),
+        "wide_killed_load": WIDE + _wide_rows("w"),
+        "wide_partial_load": WIDE + _wide_rows("""(SELECT * REPLACE (
+            CASE WHEN order_id % 3 = 0 THEN 'Z' ELSE status END AS status) FROM w)"""),
         "document_shape": _document_shape(False),
         "document_shape_without_empty": _document_shape(True),
         "document_converted": _flat_rows(),

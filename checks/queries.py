@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import adapters as a
@@ -128,6 +129,30 @@ def _wide_sink(spark, folder):
     return read_wide(spark, path).drop(BUCKET)
 
 
+def _wide_killed_load(spark, folder):
+    """A load of all rows, then one whose tasks fail at some of its rows."""
+    path = a.new_folder(spark, "wide")
+    rows = to_wide(a.enriched(spark, folder))
+    write_wide(rows, path, truncate=True, buckets=8)
+    broken = rows.withColumn("status", F.when(F.col("order_id") % 50 == 0, F.raise_error(F.lit(
+        "planned"))).otherwise("gone"))
+    try:
+        write_wide(broken, path)
+    except PySparkException:
+        return read_wide(spark, path).drop(BUCKET)
+    raise AssertionError("the load was meant to fail")
+
+
+def _wide_partial_load(spark, folder):
+    """A load of all rows, then one that changes a third of the orders and adds some."""
+    path = a.new_folder(spark, "wide")
+    rows = to_wide(a.enriched(spark, folder))
+    write_wide(rows.where("order_id % 5 != 0"), path, truncate=True, buckets=8)
+    write_wide(rows.where("order_id % 5 = 0 OR order_id % 3 = 0").withColumn(
+        "status", F.when(F.col("order_id") % 3 == 0, "Z").otherwise(F.col("status"))), path)
+    return read_wide(spark, path).drop(BUCKET)
+
+
 def _pipeline(spark, folder):
     """Staged tables to documents and wide table, then the lines of both counted."""
     path = a.new_folder(spark, "pipeline")
@@ -253,6 +278,8 @@ QUERIES: dict[str, Query] = {
     "wide_clustered": _wide(lambda w: cluster_by(w)),
     "wide_sink": _wide_sink,
     "wide_after_empty_load": _wide_after_nothing,
+    "wide_killed_load": _wide_killed_load,
+    "wide_partial_load": _wide_partial_load,
     # document model
     "document_shape": _document_shape,
     "document_shape_without_empty": lambda s, f: _document_shape(s, f, True),

@@ -8,7 +8,6 @@ from reshelve.functions.nulls import complete
 from reshelve.schema import WIDE_KEY, WIDE_SCHEMA
 
 BUCKET = "customer_bucket"
-LOAD = "load_id"
 
 
 def to_wide(enriched: DataFrame, schema: T.StructType = WIDE_SCHEMA) -> DataFrame:
@@ -36,27 +35,19 @@ def conform(df: DataFrame, schema: T.StructType = WIDE_SCHEMA) -> DataFrame:
     return checked.to(T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
 
 
-def upsert(df: DataFrame, keys=WIDE_KEY, newest: str | None = None) -> DataFrame:
-    """Keep one row per key: the newest by ``newest`` if given, then the greatest.
+def upsert(df: DataFrame, keys=WIDE_KEY) -> DataFrame:
+    """Keep one row per key, the greatest.
 
     Rows of one key are reduced before the shuffle, and the shuffle is on the whole key, so
     neither a large customer nor a much repeated key piles up in one task.
     """
-    first = [newest] if newest else []
-    others = [c for c in df.columns if c not in keys and c not in first]
+    others = [c for c in df.columns if c not in keys]
     return (df.groupBy(*keys)
-            .agg(F.max(F.struct(*first, *others)).alias("row"))
+            .agg(F.max(F.struct(*others)).alias("row"))
             .select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c)
                       for c in df.columns]))
 
 
-def latest(df: DataFrame) -> DataFrame:
-    """Resolve appended loads: the row of the last load wins. The bucket follows from the key and
-    stays a key, so that a filter on it still reaches the scan."""
-    keys = (BUCKET, *WIDE_KEY) if BUCKET in df.columns else WIDE_KEY
-    return upsert(df, keys, LOAD if LOAD in df.columns else None)
-
-
 # The multiplier and modulus that spread neighbouring ids over the buckets.
 SPREAD, SPREAD_MODULUS = 2_654_435_761, 2 ** 31
 

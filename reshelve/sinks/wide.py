@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-from reshelve.operators.wide import (
-    BUCKET, LOAD, buckets_for, cluster_by, conform, upsert, with_bucket)
+from reshelve.operators.wide import BUCKET, buckets_for, cluster_by, conform, upsert, with_bucket
 from reshelve.schema import WIDE_KEY, WIDE_SCHEMA
-from reshelve.sources.layout import claim_load, read_layout, write_layout
-from reshelve.sources.stores import read_wide
+from reshelve.session import stored
+from reshelve.sources.snapshots import (
+    Snapshot, commit, load_folder, read_snapshot, written_buckets)
+from reshelve.sources.stores import read_buckets, read_wide
+
+ATTEMPTS = 10
 
 
 def write_wide(df: DataFrame, path: str, fmt: str = "parquet", truncate: bool = False,
                buckets: int | None = None, partitions: int | None = None,
                connector: Mapping[str, str] | None = None,
                schema: T.StructType = WIDE_SCHEMA) -> None:
-    """Append rows to the wide table, or replace its content with ``truncate``.
+    """Upsert rows into the wide table, or replace its content with ``truncate``.
 
     Files are laid out by customer: a folder per bucket of customers, sorted by key inside. The
     number of buckets is set when the table is created, from the number of rows if it is not
-    given, and kept by later loads. Every load takes a number of its own before it writes; the
-    reader lets the last load of a key win, so repeating a load changes nothing. With
-    ``connector`` options the rows go to the store the format names, which does both itself.
+    given, and kept by later loads. A load writes folders of its own: the buckets it has rows for,
+    with the rows of the table it leaves in them. Other buckets are not touched, and readers need
+    not merge anything. The load is seen when its snapshot is committed; one that dies before
+    leaves the table as it was. With ``connector`` options the rows go to the store the format
+    names, which does all that itself.
     """
     rows = upsert(conform(df, schema))
     if connector is not None:
@@ -31,19 +37,46 @@ def write_wide(df: DataFrame, path: str, fmt: str = "parquet", truncate: bool =
          .mode("overwrite" if truncate else "append").options(**connector).save())
         return
     spark = df.sparkSession
-    loads = [] if truncate else read_layout(spark, path)
-    buckets = loads[0].buckets if loads else buckets or buckets_for(df.count())
-    load = claim_load(spark, path, buckets, schema.json()) if loads else 0
-    laid_out = cluster_by(with_bucket(rows.withColumn(LOAD, F.lit(load)), buckets),
-                          (BUCKET,), (BUCKET, *WIDE_KEY), partitions)
-    (laid_out.write.format(fmt).mode("append" if loads else "overwrite")
-     .option("partitionOverwriteMode", "static").partitionBy(BUCKET).save(path))
-    if not loads:
-        write_layout(spark, path, buckets, 0, schema.json())
+    seen = None if truncate else read_snapshot(spark, path)
+    if seen:
+        buckets = seen.buckets
+    elif buckets is None:
+        rows = stored(rows)
+        buckets = buckets_for(rows.count())
+
+    def write(part: DataFrame) -> str:
+        load = uuid.uuid4().hex
+        cluster_by(part, (BUCKET,), (BUCKET, *WIDE_KEY), partitions).write.format(
+            fmt).partitionBy(BUCKET).save(load_folder(path, load))
+        return load
+
+    load = write(with_bucket(rows, buckets))
+    mine = written_buckets(spark, load_folder(path, load), BUCKET)
+    for _ in range(ATTEMPTS):
+        seen = read_snapshot(spark, path)
+        version, own = (seen.version + 1 if seen else 0), dict.fromkeys(mine, load)
+        if seen and not truncate:
+            if seen.buckets != buckets:
+                raise RuntimeError(f"the table under {path} was replaced during a load")
+            both = mine & set(seen.loads)
+            if both:
+                own |= dict.fromkeys(both, write(_replaced(spark, path, seen, own, both, schema)))
+            own = {**seen.loads, **own}
+        if commit(spark, path, Snapshot(version, buckets, schema.json(), own)):
+            return
+    raise RuntimeError(f"other loads kept committing under {path}")
+
+
+def _replaced(spark: SparkSession, path: str, seen: Snapshot, own: dict[int, str],
+              wanted: set[int], schema: T.StructType) -> DataFrame:
+    """The rows of a load and those of the table it does not replace, in some buckets."""
+    new = read_buckets(spark, path, Snapshot(-1, seen.buckets, schema.json(), own), wanted)
+    old = read_buckets(spark, path, seen, wanted)
+    kept = old.join(new.select(BUCKET, *WIDE_KEY), [BUCKET, *WIDE_KEY], "left_anti")
+    return kept.select(*new.columns).unionByName(new)
 
 
 def compact_wide(spark: SparkSession, path: str, target: str) -> None:
-    """Write a table of several loads to another folder as one, so that reads need no merging."""
-    found = read_wide(spark, path)
-    buckets = read_layout(spark, path)[0].buckets
-    write_wide(found.drop(BUCKET), target, truncate=True, buckets=buckets)
+    """Write a table to another folder by one load."""
+    buckets = read_snapshot(spark, path).buckets
+    write_wide(read_wide(spark, path).drop(BUCKET), target, truncate=True, buckets=buckets)

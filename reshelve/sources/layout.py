@@ -1,8 +1,7 @@
-"""What a reader must know about a stored model: its loads and its number of buckets."""
+"""What a reader must know about stored documents: the number of buckets."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from reshelve.sources.tables import path_exists
@@ -12,7 +11,7 @@ SCHEMA = "load int, buckets int, schema string"
 
 
 def read_layout(spark: SparkSession, path: str) -> list:
-    """The loads of a stored model in order, a short list; empty if there is none."""
+    """The loads of a collection in order, a short list; empty if there is none."""
     if not path_exists(spark, f"{path}/{LAYOUT}"):
         return []
     return spark.read.schema(SCHEMA).json(f"{path}/{LAYOUT}/*").orderBy("load").collect()
@@ -20,19 +19,6 @@ def read_layout(spark: SparkSession, path: str) -> list:
 
 def write_layout(spark: SparkSession, path: str, buckets: int, load: int = 0, schema: str = "",
                  mode: str = "overwrite") -> None:
-    """Note a load; each has a folder of its own, which only one writer can create."""
+    """Note a load, in a folder of its own."""
     row = spark.createDataFrame([(load, buckets, schema)], SCHEMA).coalesce(1)
     row.write.mode(mode).json(f"{path}/{LAYOUT}/{load}")
-
-
-def claim_load(spark: SparkSession, path: str, buckets: int, schema: str, attempts: int = 10) -> int:
-    """Take the next load number; a number that another writer takes meanwhile is passed over."""
-    load = max((r.load for r in read_layout(spark, path)), default=-1)
-    for _ in range(attempts):
-        load += 1
-        try:
-            write_layout(spark, path, buckets, load, schema, "errorifexists")
-            return load
-        except AnalysisException:
-            continue
-    raise RuntimeError(f"no load number to be had under {path}")

@@ -7,9 +7,10 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from reshelve.operators.document import MARKS, Documents
-from reshelve.operators.wide import BUCKET, LOAD, latest
+from reshelve.operators.wide import BUCKET
 from reshelve.schema import WIDE_SCHEMA
 from reshelve.sources.layout import read_layout
+from reshelve.sources.snapshots import DATA, LOAD, Snapshot, read_snapshot
 from reshelve.sources.tables import read_if_present
 
 
@@ -34,18 +35,23 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "parquet", schema=
     return Documents(pieces, padded, layout[0].buckets if layout else None)
 
 
-def read_wide(spark: SparkSession, path: str, merged: bool | None = None) -> DataFrame:
-    """Read the wide table with the bucket of each row. Where it has several loads the newest row
-    of each key is kept, unless ``merged`` says otherwise."""
-    loads = read_layout(spark, path)
-    if not loads:
+def read_buckets(spark: SparkSession, path: str, snapshot: Snapshot,
+                 wanted: set[int] | None = None) -> DataFrame:
+    """The rows of some buckets of a snapshot of the wide table, or of all."""
+    schema = T.StructType.fromJson(json.loads(snapshot.schema))
+    columns = T.StructType([
+        T.StructField(f.name, f.dataType, True, {"buckets": snapshot.buckets})
+        if f.name == "customer_id" else f for f in schema])
+    folders = snapshot.folders(path, BUCKET, wanted)
+    if not folders:
+        return spark.createDataFrame([], T.StructType([*columns]).add(BUCKET, "integer"))
+    kept = T.StructType([*columns]).add(LOAD, "string").add(BUCKET, "integer")
+    return spark.read.schema(kept).option("basePath", f"{path}/{DATA}").parquet(*folders).drop(LOAD)
+
+
+def read_wide(spark: SparkSession, path: str) -> DataFrame:
+    """Read the wide table as it was last committed, with the bucket of each row."""
+    snapshot = read_snapshot(spark, path)
+    if snapshot is None:
         raise ValueError(f"there is no wide table under {path}")
-    schema = T.StructType.fromJson(json.loads(loads[0].schema))
-    stored = T.StructType([
-        T.StructField(f.name, f.dataType, True, {"buckets": loads[0].buckets})
-        if f.name == "customer_id" else f for f in schema]).add(LOAD, "integer").add(
-        BUCKET, "integer")
-    df = spark.read.schema(stored).parquet(path)
-    if len(loads) > 1 if merged is None else merged:
-        df = latest(df)
-    return df.select(*WIDE_SCHEMA.names, BUCKET)
+    return read_buckets(spark, path, snapshot).select(*WIDE_SCHEMA.names, BUCKET)

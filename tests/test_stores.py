@@ -19,7 +19,6 @@ from reshelve.session import BYTES_PER_SHUFFLE_TASK, configure, shared_folder
 from reshelve.sinks.documents import LoadCounts, write_documents
 from reshelve.sinks.staged import stage, write_report
 from reshelve.sinks.wide import compact_wide, write_wide
-from reshelve.sources import layout
 from reshelve.sources.stores import read_documents, read_wide
 from reshelve.sources.tables import (
     jdbc_options, probe_options, read_parquet_tables, read_staged, read_tables)
@@ -139,9 +138,7 @@ def test_loads_append_and_the_last_wins(spark, enriched, tmp_path):
     rows = to_wide(enriched)
     write_wide(rows, path, buckets=4)
     write_wide(rows, path, buckets=9)
-    assert spark.read.parquet(path).count() == 2 * rows.count()
     assert rows_of(read_wide(spark, path)) == rows_of(rows)
-    assert read_wide(spark, path, merged=False).count() == 2 * rows.count()
     t = tables(spark, [(1, "Ann", 1, "x")], [order(10, 1, "A")], [line(10, 1, 1.0)])
     write_wide(to_wide(enrich(t)), path)
     found = read_wide(spark, path)
@@ -149,7 +146,7 @@ def test_loads_append_and_the_last_wins(spark, enriched, tmp_path):
     assert (changed.status, changed.extended_price) == ("A", Decimal("1.00"))
     assert found.count() == rows.count()
     compact_wide(spark, path, str(tmp_path / "compact"))
-    assert rows_of(read_wide(spark, str(tmp_path / "compact"), merged=False)) == rows_of(found)
+    assert rows_of(read_wide(spark, str(tmp_path / "compact"))) == rows_of(found)
     write_wide(rows, path, truncate=True, buckets=4)
     assert rows_of(read_wide(spark, path)) == rows_of(rows)
     assert "SortAggregate" not in plan(read_wide(spark, path))
@@ -166,15 +163,6 @@ def test_append_after_an_empty_load(spark, enriched, tmp_path):
         read_wide(spark, str(tmp_path / "none"))
 
 
-def test_two_writers_take_different_loads(spark, tmp_path, monkeypatch):
-    """Both saw the same loads before they took a number."""
-    path = str(tmp_path)
-    layout.write_layout(spark, path, 8)
-    seen = layout.read_layout(spark, path)
-    monkeypatch.setattr(layout, "read_layout", lambda *a: seen)
-    assert [layout.claim_load(spark, path, 8, "") for _ in range(2)] == [1, 2]
-
-
 def test_a_lookup_reads_one_bucket(spark, enriched, tmp_path):
     """Of the wide table and of the documents, also where a load was appended."""
     rows = to_wide(enriched)
