@@ -47,7 +47,7 @@ FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t",
 SKIPPED, END = -2, -1
 # Bytes of text read at once, phrases and words a task holds, and a container before it bursts.
 BATCH, MAX_PHRASES, MAX_WORDS, BURST = 4 << 20, 1_000_000, 400_000, 16_384
-# Phrases merged at once.
+# Phrases merged at once, at least.
 MERGED = 1_000_000
 HOT_SHARE = 2048
 BITS_PER_PHRASE, MAX_BITS = 16, 1 << 27
@@ -231,6 +231,19 @@ def remember(frequent: DataFrame, length: int) -> Known:
     return empty
 
 
+class Numbers(dict):
+    """Numbers of words; new words get the next one and are noted."""
+
+    def __init__(self):
+        super().__init__({b"": SKIPPED, b"\n": END})
+        self.next, self.new = 0, []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = self.next + len(self.new)
+        self.new.append(word)
+        return number
+
+
 class Counter:
     """Phrases of one group in one task."""
 
@@ -244,28 +257,32 @@ class Counter:
     def clear(self) -> None:
         self.trie = Trie()
         self.single = np.empty(0, np.int64)
-        self.number: dict[bytes, int] = {b"": SKIPPED, b"\n": END}
+        self.number = Numbers()
         self.words: list[bytes] = []
         self.hashes = np.empty(0, np.uint64)
 
-    def _learn(self, new: list[bytes]) -> None:
-        """Number new words; rare ones end a phrase as a piece does."""
+    def _numbers(self, tokens: list[bytes]) -> np.ndarray:
+        """Word ids; rare words end a phrase as a piece does."""
+        ids = np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
+        new, first = self.number.new, self.number.next
+        if not new:
+            return ids
         hashes = np.array([word_hash(self.group, w) for w in new], np.uint64)
         if self.rare:
             kept = self.rare.has(mixed([hashes]))
-            self.number.update((w, END) for w, k in zip(new, kept) if not k)
+            final = np.where(kept, first + kept.cumsum() - 1, END)
+            self.number.update(zip(new, final.tolist()))
+            late = ids >= first
+            ids[late] = final[ids[late] - first]
             new, hashes = [w for w, k in zip(new, kept) if k], hashes[kept]
-        self.number.update(zip(new, range(len(self.words), len(self.words) + len(new))))
         self.words += new
         self.hashes = np.r_[self.hashes, hashes]
+        self.number.next, self.number.new = len(self.words), []
+        return ids
 
     def read(self, text: bytes) -> None:
         """Count the phrases of whole pieces of text, folded already."""
-        tokens = text.replace(b"\n", b" \n ").split(b" ")
-        new = set(tokens).difference(self.number)
-        if new:
-            self._learn(list(new))
-        ids = np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
+        ids = self._numbers(text.replace(b"\n", b" \n ").split(b" "))
         ids = ids[ids != SKIPPED]
         if 1 in self.sizes:
             found = np.bincount(ids[ids >= 0], minlength=len(self.words))
@@ -298,8 +315,13 @@ class Counter:
                 if length:
                     going &= good[at + size - length]
                 at, group = at[going], group[going]
-            _, first, group, count = np.unique(group << 32 | ids[at + size - 1], return_index=True,
-                                               return_inverse=True, return_counts=True)
+            key = group << 32 | ids[at + size - 1]
+            if size == 2 == longest:
+                pairs, count = np.unique(key, return_counts=True)
+                self.trie.add(np.column_stack([pairs >> 32, pairs & 0xFFFFFFFF]), count)
+                break
+            _, first, group, count = np.unique(key, return_index=True, return_inverse=True,
+                                               return_counts=True)
             if size in self.sizes:
                 self.trie.add(ids[at[first][:, None] + np.arange(size)], count)
 
@@ -325,7 +347,7 @@ def counted(docs: DataFrame, sizes: tuple[int, ...], known: list[Known], hot: se
             least: int) -> DataFrame:
     """group, phrase, size and count of the phrases of some lengths that occur at least that often;
     with length 1 also a row with a null phrase, whose count is that of all words."""
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, Counter] = {}
@@ -348,7 +370,7 @@ def counted(docs: DataFrame, sizes: tuple[int, ...], known: list[Known], hot: se
                 place = xxhash.xxh32_intdigest(counter.group.encode()) % parts
                 yield _rows([place], [counter.group], [None], [counter.total])
 
-    return docs.mapInArrow(runs, RUN).repartition("part").sortWithinPartitions("part").mapInArrow(
+    return docs.mapInArrow(runs, RUN).repartitionById(parts, F.col("part").cast("int")).mapInArrow(
         lambda batches: _merged(batches, least),
         "group string, phrase string, size int, count long")
 
@@ -410,7 +432,7 @@ def _prefix(counter: Counter, ids: np.ndarray, hot: set) -> np.ndarray:
     found = mixed(hashes[:max(1, min(2, len(hashes) - 1))])
     for prefix in hot:
         words = prefix[1].split(b" ")
-        numbers = [counter.number.get(w, END) for w in words]
+        numbers = [counter.number.get(w, END) for w in words]  # asks without noting new ones
         if prefix[0] == counter.group and len(words) < ids.shape[1] and min(numbers) >= 0:
             below = (ids[:, :len(words)] == numbers).all(axis=1)
             if below.any():
@@ -419,12 +441,13 @@ def _prefix(counter: Counter, ids: np.ndarray, hot: set) -> np.ndarray:
 
 
 def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Merge the runs of each prefix partition; they come one partition after the other."""
+    """Merge the runs of a prefix partition. Its distinct phrases are held, so their number is set by
+    the number of shuffle partitions."""
     schema = pa.schema([("group", pa.string()), ("phrase", pa.string()), ("size", pa.int32()),
                         ("count", pa.int64())])
     held: dict[str, list[pa.Table]] = {}
     totals: dict[str, int] = {}
-    size, at = 0, None
+    size, limit = 0, MERGED
 
     def summed(tables: list[pa.Table]) -> pa.Table:
         found = pa.concat_tables(tables).group_by("phrase", use_threads=False).aggregate(
@@ -447,23 +470,18 @@ def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
                 [pa.array(list(totals)), pa.array([None] * n, pa.string()),
                  pa.array([None] * n, pa.int32()), pa.array(list(totals.values()), pa.int64())],
                 schema=schema)
-        held.clear()
-        totals.clear()
 
     for batch in batches:
-        for part, group, run, n in zip(*(c.to_pylist() for c in batch.columns)):
-            if part != at and size > MERGED:
-                yield from frequent()
-                size = 0
-            elif size > 4 * MERGED:  # one large partition: add up what there is of it so far
-                held = {g: [summed(tables)] for g, tables in held.items()}
-                size = sum(t[0].num_rows for t in held.values()) // 2
-            at = part
+        for _, group, run, n in zip(*(c.to_pylist() for c in batch.columns)):
             if run is None:
                 totals[group] = totals.get(group, 0) + n
             else:
                 held.setdefault(group, []).append(_unpack(run, n))
                 size += n
+            if size > limit:  # add up what there is so far
+                held = {g: [summed(tables)] for g, tables in held.items()}
+                size = sum(t[0].num_rows for t in held.values())
+                limit = max(MERGED, 2 * size)
     yield from frequent()
 
 
