@@ -636,6 +636,9 @@ SELECT sample_id, revenue_start, revenue_end, CAST(COALESCE(SUM(orders), 0) AS B
        {_cents("COALESCE(SUM(revenue), 0)")} AS grand_total
 FROM p LEFT JOIN a ON a.customer_id BETWEEN revenue_start AND revenue_end GROUP BY ALL""")
     found["batch_parameters"] = _BATCH_PARAMETERS
+    found["collection_load_counts"] = found["document_load_counts"]
+    found["collection_rejects"] = found["document_rejects"]
+    found["collection_status"] = found["d3_status"]
     found["r2_lookup"] = f"SELECT * FROM ({found['r2_detail']}) WHERE customer_id = 7"
     return found
 

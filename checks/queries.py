@@ -5,17 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import adapters as a
 from reshelve.config import PipelineConfig, SourceConfig
 from reshelve.functions import text
 from reshelve.functions.convert import convert_values
-from reshelve.operators.document import MAX_ROWS, Documents, nest_documents, unwind_lines
+from reshelve.operators.document import MARKS, MAX_ROWS, Documents, nest_documents, unwind_lines
 from reshelve.operators.prepare import clean, enrich, locate
 from reshelve.operators.wide import BUCKET, cluster_by, conform, to_wide
 from reshelve.plans import batch, compare, document, latency, relational, wide
 from reshelve.plans.pipeline import STAGES, run
+from reshelve.sinks.collection import load_collection, read_collection
 from reshelve.sinks.documents import measured, split_by_size, write_documents
 from reshelve.sinks.staged import stage, write_report
 from reshelve.sinks.wide import write_wide
@@ -107,6 +108,22 @@ def _load_counts(spark, folder):
                                  "attempted long, inserted long, rejected long")
 
 
+def _collection_counts(spark, folder):
+    """The same load into a store that refuses large documents."""
+    counts = load_collection(a.documents(spark, folder), a.new_folder(spark, "collection"),
+                             8 * 1024, batch_size=100)
+    return spark.createDataFrame([(counts.attempted, counts.inserted, counts.rejected)],
+                                 "attempted long, inserted long, rejected long")
+
+
+def _collection(spark, folder, limit):
+    path = a.new_folder(spark, "collection")
+    docs = a.documents(spark, folder)
+    load_collection(docs, path, limit, batch_size=50)
+    fields = [f for f in convert_values(docs.pieces).schema if f.name not in MARKS]
+    return read_collection(spark, path, T.StructType(fields))
+
+
 def _staged(spark, folder):
     path = a.new_folder(spark, "staged")
     stage(a.source_tables(spark, folder), path)
@@ -291,6 +308,9 @@ QUERIES: dict[str, Query] = {
     "document_repeated_orders_in_pieces": lambda s, f: _repeated_orders(s, f, 3),
     "document_rejects": _document_rejects,
     "document_load_counts": _load_counts,
+    "collection_load_counts": _collection_counts,
+    "collection_rejects": lambda s, f: _collection(s, f, 16 * 1024)[1],
+    "collection_status": lambda s, f: document.d3(_collection(s, f, 2 ** 24)[0]),
     "document_sink": _documents_sink,
     "unwind_keep_empty": lambda s, f: unwind_lines(a.documents(s, f, True), keep_empty=True),
     "unwind_drop_empty": lambda s, f: unwind_lines(a.documents(s, f, True), keep_empty=False),

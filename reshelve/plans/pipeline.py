@@ -14,6 +14,7 @@ from reshelve.operators.prepare import enrich
 from reshelve.operators.wide import to_wide
 from reshelve.schema import LINE_FIELDS, ORDER_FIELDS
 from reshelve.session import build_session, configure
+from reshelve.sinks.collection import FORMAT, load_collection
 from reshelve.sinks.documents import LoadCounts, write_documents
 from reshelve.sinks.staged import stage
 from reshelve.sinks.wide import write_wide
@@ -71,10 +72,15 @@ def run(spark: SparkSession, config: PipelineConfig, stages: set[str]) -> LoadCo
     enriched = write_enriched(spark, config)
     counts = None
     if "documents" in stages:
-        counts = write_documents(
-            nest_documents(enriched, max_rows=rows_within(config.document_limit)),
-            config.documents_path, config.document_format, config.document_limit,
-            config.batch_size, config.document_connector)
+        docs = nest_documents(enriched, max_rows=rows_within(config.document_limit))
+        if config.document_format == FORMAT:
+            counts = load_collection(
+                docs, config.documents_path, config.document_limit,
+                config.batch_size or BATCH_SIZE, options=dict(config.document_connector or {}))
+        else:
+            counts = write_documents(
+                docs, config.documents_path, config.document_format, config.document_limit,
+                config.batch_size, config.document_connector)
     if "wide" in stages:
         write_wide(to_wide(enriched), config.wide_path, config.wide_format, config.truncate_wide,
                    config.wide_buckets, config.partitions, config.wide_connector)
@@ -93,7 +99,6 @@ def main(argv=None) -> int:
     choice = parser.add_mutually_exclusive_group()
     choice.add_argument("--stages", nargs="+", choices=STAGES, help="run only these")
     choice.add_argument("--skip", nargs="+", choices=STAGES, help="run all but these")
-    choice.add_argument("--all", action="store_true", help="run all (the default)")
     parser.add_argument("--staging", default="data/staging")
     parser.add_argument("--documents", default="data/documents")
     parser.add_argument("--wide", default="data/wide")
@@ -101,7 +106,8 @@ def main(argv=None) -> int:
                         help=f"documents per file ({BATCH_SIZE} if no number is given)")
     parser.add_argument("--input-bytes", type=int,
                         help="size of the sources, to size shuffles (measured if not given)")
-    parser.add_argument("--document-format", default=PipelineConfig.document_format)
+    parser.add_argument("--document-format", default=PipelineConfig.document_format,
+                        help=f"a file format, or {FORMAT} to load batch by batch")
     parser.add_argument("--document-limit", type=int, default=PipelineConfig.document_limit)
     parser.add_argument("--document-option", action="append", type=_option, metavar="KEY=VALUE",
                         help="an option of the document store's connector")

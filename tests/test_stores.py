@@ -1,6 +1,7 @@
 """Sources, sinks and the whole run."""
 
 from collections import Counter
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -16,6 +17,7 @@ from reshelve.plans import batch, document, pipeline, wide
 from reshelve.plans.pipeline import STAGES, StageError, check_stages, choose_stages
 from reshelve.schema import document_schema
 from reshelve.session import BYTES_PER_SHUFFLE_TASK, configure, shared_folder
+from reshelve.sinks.collection import FORMAT
 from reshelve.sinks.documents import LoadCounts, write_documents
 from reshelve.sinks.staged import stage, write_report
 from reshelve.sinks.wide import compact_wide, write_wide
@@ -227,6 +229,8 @@ def test_the_whole_run(spark, tmp_path):
     assert rows_of(read_wide(spark, config.wide_path)) == rows_of(to_wide(expected))
     assert rows_of(document.d5(read_documents(spark, config.documents_path))) == rows_of(
         document.d5(nest_documents(expected)))
+    loaded = replace(config, documents_path=f"{tmp_path}/collection", document_format=FORMAT)
+    assert pipeline.run(spark, loaded, set(STAGES) - {"stage", "wide"}) == LoadCounts(5, 5, 0)
 
 
 def test_transform_needs_staged_tables(spark, tmp_path, folder):
