@@ -396,12 +396,12 @@ def _runs(counter: Counter, taken: list[tuple[np.ndarray, np.ndarray]], hot: set
         rank[pc.array_sort_indices(names).to_numpy()] = np.arange(len(used))
         ranks = rank[number.reshape(ids.shape)]
         part = (_prefix(counter, ids, hot) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort([*ranks.T[::-1], part])
+        order = _sorted(ranks, part, len(used), parts)
         ids, counts, part = ids[order], counts[order], part[order]
         phrase = pc.binary_join_element_wise(*(texts.take(pa.array(c)) for c in ids.T), b" ")
         sizes = pc.binary_length(phrase).to_numpy().astype(np.int64)
         ends = np.r_[0, sizes.cumsum()]
-        data = b"".join(phrase.to_pylist())
+        data = memoryview(phrase.buffers()[2] or b"")
         starts = np.r_[0, np.flatnonzero(np.diff(part)) + 1]
         stops = np.r_[starts[1:], len(part)]
         packed = [_pack(sizes[s:e], counts[s:e], data[ends[s]:ends[e]])
@@ -409,8 +409,19 @@ def _runs(counter: Counter, taken: list[tuple[np.ndarray, np.ndarray]], hot: set
         yield _rows(part[starts], [counter.group] * len(starts), packed, stops - starts)
 
 
-def _pack(sizes: np.ndarray, counts: np.ndarray, text: bytes) -> bytes:
-    whole = sizes.astype("<u4").tobytes() + counts.astype("<i8").tobytes() + text
+def _sorted(ranks: np.ndarray, part: np.ndarray, words: int, parts: int) -> np.ndarray:
+    """The order of phrases by partition, then word by word."""
+    width = max(1, (words - 1).bit_length())
+    if width * ranks.shape[1] + parts.bit_length() > 62:
+        return np.lexsort([*ranks.T[::-1], part])
+    key = part
+    for column in ranks.T:
+        key = key << width | column
+    return key.argsort()
+
+
+def _pack(sizes: np.ndarray, counts: np.ndarray, text: memoryview) -> bytes:
+    whole = b"".join([sizes.astype("<u4").tobytes(), counts.astype("<i8").tobytes(), text])
     return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
 
 
