@@ -636,6 +636,19 @@ SELECT sample_id, revenue_start, revenue_end, CAST(COALESCE(SUM(orders), 0) AS B
        {_cents("COALESCE(SUM(revenue), 0)")} AS grand_total
 FROM p LEFT JOIN a ON a.customer_id BETWEEN revenue_start AND revenue_end GROUP BY ALL""")
     found["batch_parameters"] = _BATCH_PARAMETERS
+    found["document_converted_dates"] = BASE + """
+SELECT DISTINCT customer_id, order_id,
+       strftime(CAST(order_date AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS order_date
+FROM e WHERE order_id IS NOT NULL"""
+    found["wide_clustered_order"] = WIDE + " SELECT DISTINCT customer_id, 0 AS misplaced FROM w"
+    found["r5_top_order"] = f"""
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY revenue DESC, order_id) - 1 AS INTEGER) AS place,
+       customer_id, order_id, revenue
+FROM (SELECT customer_id, order_id, {_cents('revenue')} AS revenue FROM ({ORDER_REVENUE}))
+ORDER BY place LIMIT 50"""
+    found["d5_first_order"] = BASE + f"""
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY total_revenue DESC, customer_id) - 1 AS INTEGER) AS place,
+       customer_id, total_revenue, total_orders FROM ({D5}) ORDER BY place LIMIT 50"""
     found["collection_load_counts"] = found["document_load_counts"]
     found["collection_rejects"] = found["document_rejects"]
     found["collection_status"] = found["d3_status"]

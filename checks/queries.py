@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from checks import adapters as a
 from reshelve.config import PipelineConfig, SourceConfig
 from reshelve.functions import text
 from reshelve.functions.convert import convert_values
-from reshelve.operators.document import MARKS, MAX_ROWS, Documents, nest_documents, unwind_lines
+from reshelve.operators.document import MARKS, MAX_ROWS, Documents, nest_documents, unwind_lines, unwind_orders
 from reshelve.operators.prepare import clean, enrich, locate
 from reshelve.operators.wide import BUCKET, cluster_by, conform, to_wide
 from reshelve.plans import batch, compare, document, latency, relational, wide
@@ -108,6 +108,35 @@ def _load_counts(spark, folder):
                                  "attempted long, inserted long, rejected long")
 
 
+def _converted_dates(spark, folder):
+    """Orders with a time of day, which conversion takes off; the dates as full text."""
+    tables = a.source_tables(spark, folder)
+    orders = tables["orders"].withColumn("o_orderdate", F.col("o_orderdate") + F.make_interval(
+        hours=F.col("o_orderkey") % 24, mins=F.lit(59)))
+    path = a.new_folder(spark, "enriched")
+    enrich({**tables, "orders": orders}).write.parquet(path)
+    docs = Documents(convert_values(nest_documents(spark.read.parquet(path)).pieces))
+    return unwind_orders(docs).where("order_id IS NOT NULL").select(
+        "customer_id", "order_id", F.date_format("order_date", "yyyy-MM-dd HH:mm:ss").alias(
+            "order_date"))
+
+
+def _in_order(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a sorted result of a few rows, with the place they come in."""
+    listed = rows.coalesce(1).agg(F.collect_list(F.struct(*columns)).alias("rows"))
+    return listed.select(F.posexplode("rows").alias("place", "row")).select("place", "row.*")
+
+
+def _clustered_order(spark, folder):
+    """Rows of each customer that come after a row with a greater key; there should be none."""
+    rows = cluster_by(a.wide_table(spark, folder)).withColumn(
+        "at", F.monotonically_increasing_id())
+    key = F.struct("order_id", "line_number")
+    before = F.lag(key).over(Window.partitionBy("customer_id").orderBy("at"))
+    return rows.withColumn("late", before > key).groupBy("customer_id").agg(
+        F.count_if("late").alias("misplaced"))
+
+
 def _collection_counts(spark, folder):
     """The same load into a store that refuses large documents."""
     counts = load_collection(a.documents(spark, folder), a.new_folder(spark, "collection"),
@@ -293,6 +322,7 @@ QUERIES: dict[str, Query] = {
     "wide_conform": _enriched_prepared(lambda e: conform(to_wide(e))),
     "wide_upsert": a.wide_table,
     "wide_clustered": _wide(lambda w: cluster_by(w)),
+    "wide_clustered_order": _clustered_order,
     "wide_sink": _wide_sink,
     "wide_after_empty_load": _wide_after_nothing,
     "wide_killed_load": _wide_killed_load,
@@ -302,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "document_shape_without_empty": lambda s, f: _document_shape(s, f, True),
     "document_converted": _docs(
         lambda d: unwind_lines(Documents(convert_values(d.pieces)), keep_empty=True)),
+    "document_converted_dates": _converted_dates,
     "document_shape_in_pieces": lambda s, f: _document_shape(s, f, max_rows=5),
     "document_marks": _document_marks,
     "document_repeated_orders": lambda s, f: _repeated_orders(s, f, MAX_ROWS),
@@ -324,6 +355,8 @@ QUERIES: dict[str, Query] = {
     "r4_count": _tables(relational.r4_count),
     "r5_revenue": _tables(relational.r5),
     "r5_top": _tables(relational.r5_top),
+    "r5_top_order": _tables(lambda t: _in_order(
+        relational.r5_top(t, k=50), "customer_id", "order_id", "revenue")),
     "r5_total": _tables(relational.r5_total),
     # five questions, documents
     "d1_customer": _docs(document.d1),
@@ -334,6 +367,8 @@ QUERIES: dict[str, Query] = {
     "d4_region": _docs(lambda d: document.d4(d, REGION)),
     "d4_count": _docs(document.d4_count),
     "d5_revenue": _docs(document.d5),
+    "d5_first_order": _docs(lambda d: _in_order(
+        document.d5(d).limit(50), "customer_id", "total_revenue", "total_orders")),
     # five questions, wide rows
     "k1_customer": _wide(wide.k1),
     "k2_detail": _wide(wide.k2),

@@ -58,18 +58,52 @@ def probe_options(config: SourceConfig, table: str) -> dict[str, str]:
     }
 
 
-def jdbc_options(config: SourceConfig, table: str, low: int | None,
-                 high: int | None) -> dict[str, str]:
-    """Options of a read in strides of the key, of about ``keys_per_stride`` keys each.
+def jdbc_options(config: SourceConfig) -> dict[str, str]:
+    """Options of a read."""
+    return {**config.connection(), "fetchsize": "5000"}
 
-    The bounds set strides and filter nothing. An empty table, without a key range, is read as one.
-    """
-    options = {**config.connection(), "dbtable": table, "fetchsize": "5000"}
-    if low is None or high is None:
-        return options
-    strides = max(1, -(-(high + 1 - low) // config.keys_per_stride))
-    return {**options, "partitionColumn": TABLE_KEYS[table], "lowerBound": str(low),
-            "upperBound": str(high + 1), "numPartitions": str(strides)}
+
+BINS = 10_000
+# Bins that hold more than so many strides are looked into, so many of them at most at a time.
+HEAVY, LOOKS = 2, 100
+
+
+def histogram_options(config: SourceConfig, table: str, low: int, high: int) -> dict[str, str]:
+    """Options of the query that counts the rows of a range of keys in BINS bins at most."""
+    key, width = TABLE_KEYS[table], bin_width(low, high)
+    return {
+        **config.connection(),
+        "query": f"SELECT FLOOR(({key} - {low}) / {width}.0) AS bin, COUNT(*) AS n FROM {table} "
+                 f"WHERE {key} BETWEEN {low} AND {high} "
+                 f"GROUP BY FLOOR(({key} - {low}) / {width}.0)",
+    }
+
+
+def bin_width(low: int, high: int) -> int:
+    return max(1, -(-(high + 1 - low) // BINS))
+
+
+def cut_points(ranges: list[tuple[int, int, int]], rows: int) -> list[int]:
+    """Keys that part a table so that about that many rows lie between two of them: at the starts
+    of ranges of keys (start, width, rows), and inside one with more rows than that in equal
+    widths."""
+    cuts, held = [], 0
+    for start, width, n in sorted(ranges):
+        if held and held + n > rows:
+            cuts.append(start)
+            held = 0
+        pieces = max(1, min(width, -(-n // rows)))
+        cuts += [start + width * k // pieces for k in range(1, pieces)]
+        held = held + n if pieces == 1 else n // pieces
+    return cuts
+
+
+def stride_predicates(key: str, cuts: list[int]) -> list[str]:
+    """Conditions that every row of a table meets exactly one of, rows without a key included."""
+    if not cuts:
+        return ["1 = 1"]
+    between = [f"{key} >= {low} AND {key} < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"{key} < {cuts[0]} OR {key} IS NULL", *between, f"{key} >= {cuts[-1]}"]
 
 
 def key_range(spark: SparkSession, config: SourceConfig, table: str) -> tuple:
@@ -78,10 +112,47 @@ def key_range(spark: SparkSession, config: SourceConfig, table: str) -> tuple:
     return tuple(None if value is None else int(value) for value in found)
 
 
+def key_histogram(spark: SparkSession, config: SourceConfig, table: str, low: int,
+                  high: int) -> dict[int, int]:
+    """Rows per bin of the key, counted by the database; BINS rows at most."""
+    found = spark.read.format("jdbc").options(**histogram_options(config, table, low, high)).load()
+    return {int(bin_): int(n) for bin_, n in found.collect()}
+
+
+def _ranges(spark: SparkSession, config: SourceConfig, table: str, low: int,
+            high: int) -> list[tuple[int, int, int]]:
+    """Ranges of keys with the rows in each; those that hold very many are parted again, as keys
+    between gaps are close together."""
+    width = bin_width(low, high)
+    bins = key_histogram(spark, config, table, low, high)
+    most = HEAVY * config.keys_per_stride
+    heavy = sorted((b for b, n in bins.items() if n > most and width > 1),
+                   key=lambda b: (-bins[b], b))[:LOOKS]
+    found = [(low + b * width, width, n) for b, n in bins.items() if b not in set(heavy)]
+    for b in heavy:
+        start = low + b * width
+        found += _ranges(spark, config, table, start, start + width - 1)
+    return found
+
+
+def strides(spark: SparkSession, config: SourceConfig, table: str) -> list[str]:
+    """The conditions by which a table is read: one for a small or empty table; else one per
+    ``keys_per_stride`` rows, wherever its keys lie."""
+    low, high = key_range(spark, config, table)
+    if low is None or high + 1 - low <= config.keys_per_stride:
+        return stride_predicates(TABLE_KEYS[table], [])
+    cuts = cut_points(_ranges(spark, config, table, low, high), config.keys_per_stride)
+    return stride_predicates(TABLE_KEYS[table], cuts)
+
+
 def read_jdbc_tables(spark: SparkSession, config: SourceConfig, names=TABLES) -> Tables:
-    """Read tables in strides of their real key ranges, so that no stride takes the rest."""
-    return {name: spark.read.format("jdbc").options(
-        **jdbc_options(config, name, *key_range(spark, config, name))).load() for name in names}
+    """Read tables in strides of about as many rows each."""
+    found = {}
+    for name in names:
+        options = jdbc_options(config)
+        found[name] = spark.read.jdbc(options.pop("url"), name, properties=options,
+                                      predicates=strides(spark, config, name))
+    return found
 
 
 def read_tables(spark: SparkSession, config: SourceConfig) -> Tables:

@@ -4,6 +4,7 @@ from collections import Counter
 from dataclasses import replace
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql.types import DoubleType
 from fixtures import line, odd_tables, order, tables
@@ -23,7 +24,7 @@ from reshelve.sinks.staged import stage, write_report
 from reshelve.sinks.wide import compact_wide, write_wide
 from reshelve.sources.stores import read_documents, read_wide
 from reshelve.sources.tables import (
-    jdbc_options, probe_options, read_parquet_tables, read_staged, read_tables)
+    histogram_options, jdbc_options, probe_options, read_parquet_tables, read_staged, read_tables)
 
 
 def rows_of(df):
@@ -58,13 +59,11 @@ def test_source_settings_come_from_the_environment(spark, folder):
     ("jdbc:db://h/t?a=b", "jdbc:db://h/t?a=b&useCursorFetch=true")])
 def test_jdbc_options(url, expected):
     config = SourceConfig(use_jdbc=True, jdbc_url=url, jdbc_user="u", jdbc_password="p")
-    options = jdbc_options(config, "lineitem", 1, 60_000_000)
-    assert options["url"] == expected
-    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"],
-            options["numPartitions"], options["fetchsize"]) == (
-        "l_orderkey", "1", "60000001", "200", "5000")
-    assert "partitionColumn" not in jdbc_options(config, "part", None, None)
-    assert jdbc_options(config, "nation", 0, 24)["numPartitions"] == "1"
+    options = jdbc_options(config)
+    assert (options["url"], options["fetchsize"]) == (expected, "5000")
+    assert histogram_options(config, "part", 5, 50_004)["query"] == (
+        "SELECT FLOOR((p_partkey - 5) / 5.0) AS bin, COUNT(*) AS n FROM part "
+        "WHERE p_partkey BETWEEN 5 AND 50004 GROUP BY FLOOR((p_partkey - 5) / 5.0)")
     assert probe_options(config, "part")["query"] == (
         "SELECT MIN(p_partkey) AS low, MAX(p_partkey) AS high FROM part")
 
@@ -260,14 +259,44 @@ def test_stored_documents_are_read_by_column(spark, enriched, tmp_path):
     assert "EqualTo(customer_id,1)" in plan(document.d2(docs, 1))
 
 
-def test_strides_follow_the_probed_keys(spark, monkeypatch):
-    """A table far above any assumed size gets as many strides as its keys need."""
+KEYS = {
+    "dense": list(range(1, 5001)),
+    "gap": list(range(1, 3000)) + list(range(10 ** 12, 10 ** 12 + 3000)),
+    "far": list(range(2000)) + [-10 ** 15, 10 ** 15],
+    "hot": [7] * 4000 + list(range(100)),
+    "cluster": [10 ** 9 + i for i in range(4000)] + [0],
+    "one": [3], "none": [],
+}
+
+
+@pytest.mark.parametrize("kind", sorted(KEYS))
+def test_strides_hold_every_key_once(spark, monkeypatch, kind):
+    """The conditions on keys with gaps, hot keys and rows without a key; the histogram is that
+    which the database would give."""
+    from reshelve.sources import tables as source
+    keys = KEYS[kind]
+    low, high = (min(keys), max(keys)) if keys else (None, None)
+    monkeypatch.setattr(source, "key_range", lambda *_: (low, high))
+    monkeypatch.setattr(source, "key_histogram", lambda s, c, t, lo, hi: Counter(
+        (k - lo) // source.bin_width(lo, hi) for k in keys if lo <= k <= hi))
+    config = SourceConfig(keys_per_stride=500)
+    found = source.strides(spark, config, "orders")
+    rows = duckdb.sql("SELECT UNNEST(?::BIGINT[]) AS o_orderkey", params=[keys + [None] * 3])
+    hits = [rows.filter(condition).fetchall() for condition in found]
+    assert sum(map(len, hits)) == len(keys) + 3
+    distinct = [set(h) for h in hits]
+    assert sum(map(len, distinct)) == len(set().union(*distinct))
+    if kind in ("dense", "gap", "far", "cluster"):
+        assert max(map(len, hits)) <= 2 * 500 + 3 and len(found) >= len(keys) // 500
+
+
+def test_tables_are_read_by_their_strides(spark, monkeypatch):
     from reshelve.sources import tables as source
-    asked = []
-    monkeypatch.setattr(source, "key_range", lambda s, c, table: asked.append(table) or (
-        5, 6_000_000_004))
+    asked = {}
+    monkeypatch.setattr(source, "strides", lambda s, c, table: [f"{table} 1", f"{table} 2"])
+    monkeypatch.setattr(type(spark.read), "jdbc", lambda self, url, table, **given:
+                        asked.setdefault(table, (url, given["predicates"])))
     config = SourceConfig(use_jdbc=True, jdbc_url="jdbc:x", jdbc_user="u", jdbc_password="p")
-    options = jdbc_options(config, "orders", *source.key_range(spark, config, "orders"))
-    assert asked == ["orders"]
-    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
-        "5", "6000000005", "20000")
+    source.read_tables(spark, config)
+    assert set(asked) == set(source.TABLES)
+    assert asked["part"] == ("jdbc:x?useCursorFetch=true", ["part 1", "part 2"])
