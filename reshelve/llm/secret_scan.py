@@ -250,26 +250,32 @@ def _placed(numbers: np.ndarray, offset: int) -> np.ndarray:
     return found
 
 
-def _log_sum(values: np.ndarray, axis: int) -> np.ndarray:
-    top = values.max(axis=axis, keepdims=True)
-    return np.log(np.exp(values - top).sum(axis=axis)) + top.squeeze(axis)
-
-
 def _expected(score: np.ndarray, change: np.ndarray, used: np.ndarray):
-    """Tag probabilities of each position and expected tag changes, by forward and backward."""
-    count, length, _ = score.shape
-    forward, backward = score.copy(), np.zeros_like(score)
-    for t in range(1, length):
-        step = _log_sum(forward[:, t - 1, :, None] + change, axis=1) + score[:, t]
-        forward[:, t] = np.where(used[:, t, None], step, forward[:, t - 1])
-    for t in range(length - 2, -1, -1):
-        step = _log_sum(change + (score[:, t + 1] + backward[:, t + 1])[:, None, :], axis=2)
-        backward[:, t] = np.where(used[:, t + 1, None], step, 0)
-    total = _log_sum(forward[:, -1], axis=1)
-    single = np.exp(forward + backward - total[:, None, None]) * used[..., None]
-    pairs = np.exp(forward[:, :-1, :, None] + change
-                   + (score[:, 1:] + backward[:, 1:])[:, :, None, :] - total[:, None, None, None])
-    return single, (pairs * used[:, 1:, None, None]).sum(axis=(0, 1))
+    """Tag probabilities of each position and expected tag changes, by forward and backward sums
+    that are scaled to one at each position."""
+    one = np.ones(3)
+    step = np.exp(change - change.max())
+    own = np.exp(score - np.maximum(np.maximum(score[..., 0], score[..., 1]), score[..., 2])[..., None])
+    forward, backward = own.copy(), np.ones_like(own)
+    forward[:, 0] /= (forward[:, 0] @ one)[:, None]
+    for t in range(1, score.shape[1]):
+        found = (forward[:, t - 1] @ step) * own[:, t]
+        forward[:, t] = np.where(used[:, t, None], found / (found @ one)[:, None],
+                                 forward[:, t - 1])
+    for t in range(score.shape[1] - 2, -1, -1):
+        found = (own[:, t + 1] * backward[:, t + 1]) @ step.T
+        backward[:, t] = np.where(used[:, t + 1, None], found / (found @ one)[:, None], 1.0)
+    single = forward * backward
+    single *= (used / (single @ one))[..., None]
+    left, right = forward[:, :-1], (own * backward)[:, 1:]
+    share = used[:, 1:] / ((left @ step * right) @ one)
+    return single, step * np.einsum("nti,ntj->ij", left * share[..., None], right, optimize=True)
+
+
+def _summed(numbers: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """For each number the sums of its values, tag by tag."""
+    flat = numbers.ravel()
+    return np.stack([np.bincount(flat, values[..., t].ravel(), n) for t in range(3)], axis=1)
 
 
 def precise(found: list[tuple[list[str], list[str], list[int], int]], seed: int = 0) -> Field | None:
@@ -334,12 +340,11 @@ def fit(found: list[tuple[list[str], list[str], list[int], int]], seed: int = 0)
             score += weight["by_shape"][o][_placed(form, offset)]
         single, pairs = _expected(score, weight["change"], used)
         off = target - single
-        slope = {"change": steps - pairs, "by_file": np.zeros(sizes["by_file"]),
+        slope = {"change": steps - pairs, "by_file": _summed(file, off.sum(axis=1), 16),
                  "by_word": np.zeros(sizes["by_word"]), "by_shape": np.zeros(sizes["by_shape"])}
-        np.add.at(slope["by_file"], file, off.sum(axis=1))
         for o, offset in enumerate(OFFSETS):
-            np.add.at(slope["by_word"][o], _placed(heard, offset).ravel(), off.reshape(-1, 3))
-            np.add.at(slope["by_shape"][o], _placed(form, offset).ravel(), off.reshape(-1, 3))
+            slope["by_word"][o] = _summed(_placed(heard, offset), off, len(words) + 2)
+            slope["by_shape"][o] = _summed(_placed(form, offset), off, len(shapes) + 2)
         for name in weight:
             step = slope[name] - DECAY * len(found) * weight[name]
             square[name] += step ** 2
