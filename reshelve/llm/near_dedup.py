@@ -21,7 +21,9 @@ Results in odd cases:
 * Repeated rows give repeated rows of the result, in the same group.
 * A row with a null id has a fingerprint; its group is named by the least id that is not null,
   and is null when there is none.
-* `deduplicate` keeps one row of a repeated id, and all rows without an id.
+* `deduplicate` keeps one row of each group, with or without an id; rows that share an id but are no
+  near copies are of different groups, so all stay. The same text under the same id stays once.
+* Very long texts are shingled whole. Ties in id go to the text with the least hash.
 * An empty table gives an empty result.
 * Other columns are dropped by `groups` and kept by `deduplicate`; the columns added there have
   names of their own.
@@ -304,16 +306,23 @@ def groups(docs: DataFrame, radius: int = RADIUS, prints=shingle_prints,
             named.select("parts", F.col("component").alias("node")), "parts")
         named = _merged(named, alike(docs, texts))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("parts", "component_id")
-    return found.join(named, "parts").select("doc_id", "parts", "component_id")
+    named = named.join(least, "component").select("parts", "component", "component_id")
+    return found.join(named, "parts").select(
+        "doc_id", "parts", "component_id", *(["component", "mark"] if exact else []))
 
 
 def deduplicate(docs: DataFrame, radius: int = NEAR_RADIUS, prints=word_prints) -> DataFrame:
-    """One document of each group, that with the least id, with all its columns."""
-    kept = groups(docs, radius, prints, exact=True).where("doc_id = component_id").select(
-        F.col("doc_id").alias("__kept")).distinct()
-    found = docs.join(kept, docs["doc_id"] == kept["__kept"]).drop("__kept")
-    return found.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    """One document of each group with all its columns: that with the least id, those without one
+    last; of several texts with that id the one with the least hash. Different texts of one id
+    that are no near copies all stay."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "mark"))
+    kept = groups(docs, radius, prints, exact=True).groupBy("component").agg(
+        first.alias("first")).select(F.col("first.doc_id").alias("__id"),
+                                     F.col("first.mark").alias("__mark"))
+    marked = docs.withColumn("__text", _mark())
+    found = marked.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+                        & (F.col("__text") == F.col("__mark")))
+    return found.dropDuplicates(["__id", "__mark"]).select(*docs.columns)
 
 
 def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

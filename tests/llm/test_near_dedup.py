@@ -76,10 +76,20 @@ def test_odd_rows(spark, docs_of):
                             (None, None), (6, 6)], key=str)
     kept = nd.deduplicate(rows)
     assert kept.columns == rows.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "5", "6", "None", "None"]
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "5", "6", "None"]
     assert nd.groups(docs_of([])).count() == 0 and nd.deduplicate(docs_of([])).count() == 0
 
 
+def test_different_texts_of_one_id_stay(spark, docs_of):
+    pick = random.Random(9)
+    texts = [" ".join(str(pick.random()) for _ in range(30)) for _ in range(5)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[0]), (None, texts[2]), (None, texts[2]),
+            (None, texts[3]), (2, texts[1]), (2, texts[4]), (None, texts[4])]
+    kept = sorted(((r.doc_id, r.text) for r in nd.deduplicate(docs_of(rows)).collect()), key=str)
+    assert kept == sorted([(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]),
+                           (2, texts[4])], key=str)
+
+
 def test_copies_with_changed_words_are_found(spark, docs_of):
     pick = random.Random(5)
 
