@@ -636,6 +636,16 @@ SELECT sample_id, revenue_start, revenue_end, CAST(COALESCE(SUM(orders), 0) AS B
        {_cents("COALESCE(SUM(revenue), 0)")} AS grand_total
 FROM p LEFT JOIN a ON a.customer_id BETWEEN revenue_start AND revenue_end GROUP BY ALL""")
     found["batch_parameters"] = _BATCH_PARAMETERS
+    counted = """b AS (SELECT *, greatest(length(bin(elapsed)) - 8, 0) AS s FROM x),
+     m AS (SELECT label, failed, end_ms, CAST((elapsed >> s << s) + ((1::BIGINT << s) - 1) // 2
+                                              AS BIGINT) AS elapsed FROM b)"""
+    found["log_stored_percentiles"] = LOG + f""", {counted}
+SELECT label, {PERCENTILES}
+FROM (SELECT label, list(elapsed ORDER BY elapsed) AS xs, COUNT(*) AS n FROM m GROUP BY label)"""
+    found["log_stored_mornings"] = LOG + f""", {counted}
+SELECT failed, {PERCENTILES}
+FROM (SELECT failed, list(elapsed ORDER BY elapsed) AS xs, COUNT(*) AS n FROM m
+      WHERE (end_ms - end_ms % 60000) % {DAY} < {DAY // 2} GROUP BY failed)"""
     found["document_converted_dates"] = BASE + """
 SELECT DISTINCT customer_id, order_id,
        strftime(CAST(order_date AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS order_date

@@ -15,6 +15,7 @@ from reshelve.operators.document import MARKS, MAX_ROWS, Documents, nest_documen
 from reshelve.operators.prepare import clean, enrich, locate
 from reshelve.operators.wide import BUCKET, cluster_by, conform, to_wide
 from reshelve.plans import batch, compare, document, latency, relational, wide
+from reshelve.plans.latency_table import append_counts, percentiles_of, read_counts
 from reshelve.plans.pipeline import STAGES, run
 from reshelve.sinks.collection import load_collection, read_collection
 from reshelve.sinks.documents import measured, split_by_size, write_documents
@@ -267,6 +268,14 @@ def _orders_text(spark, folder):
         F.col("grand_total")).alias("response"))
 
 
+def _stored_counts(spark, folder):
+    """The counts of the log, stored in two parts."""
+    path, log = a.new_folder(spark, "counts"), a.request_log(spark, folder)
+    for k in range(2):
+        append_counts(log.where(F.col("start_ms") % 2 == k), path)
+    return read_counts(spark, path)
+
+
 def _enriched_prepared(build):
     return lambda spark, folder: build(a.enriched(spark, folder))
 
@@ -434,6 +443,9 @@ QUERIES: dict[str, Query] = {
     "log_totals": _log(latency.totals),
     "log_percentiles": _log(lambda g: latency.percentiles(g, ["label"])),
     "log_statistics": _log(latency.statistics),
+    "log_stored_percentiles": lambda s, f: percentiles_of(_stored_counts(s, f), ["label"]),
+    "log_stored_mornings": lambda s, f: percentiles_of(
+        _stored_counts(s, f).where(F.pmod("bucket_ms", F.lit(DAY)) < DAY // 2), ["failed"]),
     "log_error_types": _log(latency.error_types),
     "log_top_errors": _log(latency.top_errors),
     "log_apdex": _log(latency.apdex),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 from functools import cache
 
@@ -49,7 +51,9 @@ def build_session(app_name: str = "reshelve", master: str | None = None,
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="reshelve-")
+    folder = tempfile.mkdtemp(prefix="reshelve-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
