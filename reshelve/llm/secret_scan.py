@@ -35,6 +35,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -356,8 +357,8 @@ def fit(found: list[tuple[list[str], list[str], list[int], int]], seed: int = 0)
 class Scanner:
     """Decodes texts with a field; what is known of tokens and words is kept.
 
-    Words are of few classes: those whose tokens have the same weights. A class holds the most that
-    one of its tokens adds at each offset.
+    Words are of few classes: those whose tokens have the same weights. A class has the kinds of its
+    tokens in order and the most that one of them adds at each offset.
     """
 
     def __init__(self, field: Field):
@@ -365,7 +366,8 @@ class Scanner:
         self.kinds: dict[tuple[int, int], int] = {(1, 1): 0}
         self.named: list[bool] = [False]
         self.known = Remembered(self._kind, MAX_CACHED)
-        self.classes: dict[frozenset[int], int] = {}
+        self.classes: dict[tuple[int, ...], int] = {}
+        self.forms: list[tuple[int, ...]] = []
         self.alike: dict[tuple, int] = {}
         self.alike_words: dict[tuple, int] = {}
         self.words = Remembered(self._word, MAX_CACHED)
@@ -417,12 +419,15 @@ class Scanner:
         return found
 
     def _class(self, word: str) -> int:
-        kinds = frozenset(map(self.known.__getitem__, TOKEN.findall(word)))
+        kinds = tuple(map(self.known.__getitem__, TOKEN.findall(word)))
         found = self.classes.get(kinds)
         if found is None:
-            found = self.classes[kinds] = len(self.classes)
-            most = _excess(self._weights()[:, list(kinds)]).max(axis=1, initial=-np.inf)
-            self.most = np.vstack([self.most, most])
+            found = self.classes[kinds] = len(self.forms)
+            self.forms.append(kinds)
+            if found == len(self.most):
+                self.most = np.vstack([self.most, np.empty((found + 1024, len(OFFSETS)))])
+            self.most[found] = _excess(self._weights()[:, list(kinds)]).max(
+                axis=1, initial=-np.inf)
         return found
 
     def _can_hold(self, words: set[str]) -> bool:
@@ -440,12 +445,14 @@ class Scanner:
 
     def score(self, tokens: list[str]) -> np.ndarray:
         """The weight of each tag at each token."""
-        kinds = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+        return self._score(np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens)))
+
+    def _score(self, kinds: np.ndarray) -> np.ndarray:
         table = self._weights()
-        size = min(7, max(len(tokens), 1).bit_length() // 2)
+        size = min(7, max(len(kinds), 1).bit_length() // 2)
         numbers = int(np.asarray(self.named)[kinds].sum())
-        found = np.repeat(self.field.by_file[[size * 2 + (numbers * 20 > len(tokens))]],
-                          len(tokens), axis=0)
+        found = np.repeat(self.field.by_file[[size * 2 + (numbers * 20 > len(kinds))]],
+                          len(kinds), axis=0)
         for o, offset in enumerate(OFFSETS):
             placed = np.zeros_like(kinds)
             if offset < 0:
@@ -462,11 +469,13 @@ class Scanner:
         words = set(text.split()) if words is None else words
         if not words or len(words) > 1 and not self._can_hold(words):
             return []
-        tokens = TOKEN.findall(text)
-        if not tokens:
+        # Tokens hold no white space, so those of a text are those of its words.
+        kinds = np.fromiter(chain.from_iterable(map(self.forms.__getitem__, map(
+            self.words.__getitem__, text.split()))), np.int64)
+        if not len(kinds):
             return []
-        score = self.score(tokens)
-        if len(tokens) > 1 and _excess(score).max() + self.slack <= 0:
+        score = self._score(kinds)
+        if len(kinds) > 1 and _excess(score).max() + self.slack <= 0:
             return []
         path = viterbi(score, self.field.change)
         found: list[tuple[int, int]] = []
