@@ -24,22 +24,33 @@ def conform(df: DataFrame, schema: T.StructType = WIDE_SCHEMA) -> DataFrame:
 
     A missing or mistyped column fails at once, a null key when the rows are written.
     """
+    return refuse_null_keys(typed(df, schema), schema)
+
+
+def typed(df: DataFrame, schema: T.StructType = WIDE_SCHEMA) -> DataFrame:
+    """The columns of the table in their types; a missing or mistyped one fails at once."""
     missing = [name for name in schema.names if name not in df.columns]
     if missing:
         raise ValueError(f"columns missing: {', '.join(missing)}")
+    return df.to(T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
+
+
+def refuse_null_keys(df: DataFrame, schema: T.StructType = WIDE_SCHEMA) -> DataFrame:
+    """The same rows; a null in a key is an error when they are written. The keys become
+    expressions, which hides how rows are partitioned, so this comes after steps that use it."""
     keys = {f.name for f in schema if not f.nullable}
-    checked = df.select(*[
+    return df.select(*[
         F.when(F.col(c).isNull(), F.raise_error(F.lit(f"null in key column {c}")))
         .otherwise(F.col(c)).alias(c) if c in keys else F.col(c)
         for c in df.columns])
-    return checked.to(T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
 
 
 def upsert(df: DataFrame, keys=WIDE_KEY) -> DataFrame:
     """Keep one row per key, the greatest.
 
     Rows of one key are reduced before the shuffle, and the shuffle is on the whole key, so
-    neither a large customer nor a much repeated key piles up in one task.
+    neither a large customer nor a much repeated key piles up in one task. Rows that a join left
+    partitioned by a part of the key, as the lines of orders are, are not shuffled again.
     """
     others = [c for c in df.columns if c not in keys]
     return (df.groupBy(*keys)

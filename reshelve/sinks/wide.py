@@ -5,9 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from reshelve.operators.wide import BUCKET, buckets_for, cluster_by, conform, upsert, with_bucket
+from reshelve.operators.wide import (
+    BUCKET, buckets_for, cluster_by, refuse_null_keys, typed, upsert, with_bucket)
 from reshelve.schema import WIDE_KEY, WIDE_SCHEMA
 from reshelve.session import stored
 from reshelve.sources.snapshots import (
@@ -15,6 +16,8 @@ from reshelve.sources.snapshots import (
 from reshelve.sources.stores import read_buckets, read_wide
 
 ATTEMPTS = 10
+# Rows of a bucket that one task merges, about a hundred megabytes.
+ROWS_PER_PIECE = 500_000
 
 
 def write_wide(df: DataFrame, path: str, fmt: str = "parquet", truncate: bool = False,
@@ -26,12 +29,12 @@ def write_wide(df: DataFrame, path: str, fmt: str = "parquet", truncate: bool =
     Files are laid out by customer: a folder per bucket of customers, sorted by key inside. The
     number of buckets is set when the table is created, from the number of rows if it is not
     given, and kept by later loads. A load writes folders of its own: the buckets it has rows for,
-    with the rows of the table it leaves in them. Other buckets are not touched, and readers need
-    not merge anything. The load is seen when its snapshot is committed; one that dies before
+    which are counted first, with the rows of the table it leaves in them. Other buckets are not
+    touched, and readers need not merge anything. The load is seen when its snapshot is committed; one that dies before
     leaves the table as it was. With ``connector`` options the rows go to the store the format
     names, which does all that itself.
     """
-    rows = upsert(conform(df, schema))
+    rows = refuse_null_keys(upsert(typed(df, schema)), schema)
     if connector is not None:
         (cluster_by(rows, partitions=partitions).write.format(fmt)
          .mode("overwrite" if truncate else "append").options(**connector).save())
@@ -44,36 +47,64 @@ def write_wide(df: DataFrame, path: str, fmt: str = "parquet", truncate: bool =
         rows = stored(rows)
         buckets = buckets_for(rows.count())
 
-    def write(part: DataFrame) -> str:
+    def write(laid_out: DataFrame) -> tuple[str, set[int]]:
         load = uuid.uuid4().hex
-        cluster_by(part, (BUCKET,), (BUCKET, *WIDE_KEY), partitions).write.format(
-            fmt).partitionBy(BUCKET).save(load_folder(path, load))
-        return load
+        laid_out.write.format(fmt).partitionBy(BUCKET).save(load_folder(path, load))
+        return load, written_buckets(spark, load_folder(path, load), BUCKET)
 
-    load = write(with_bucket(rows, buckets))
-    mine = written_buckets(spark, load_folder(path, load), BUCKET)
+    new, counts, mine, load = with_bucket(rows, buckets), None, set(), None
     for _ in range(ATTEMPTS):
         seen = read_snapshot(spark, path)
-        version, own = (seen.version + 1 if seen else 0), dict.fromkeys(mine, load)
-        if seen and not truncate:
-            if seen.buckets != buckets:
-                raise RuntimeError(f"the table under {path} was replaced during a load")
-            both = mine & set(seen.loads)
-            if both:
-                own |= dict.fromkeys(both, write(_replaced(spark, path, seen, own, both, schema)))
-            own = {**seen.loads, **own}
+        held = set(seen.loads) if seen and not truncate else set()
+        if held and seen.buckets != buckets:
+            raise RuntimeError(f"the table under {path} was replaced during a load")
+        if held and counts is None:
+            counts = _rows_per_bucket(with_bucket(typed(df, schema).select("customer_id"), buckets))
+            mine |= set(counts)
+        both = mine & held
+        if both:
+            load, found = write(_replaced(spark, path, seen, new, counts, both))
+        elif load is None or not found:
+            load, found = write(cluster_by(new, (BUCKET,), (BUCKET, *WIDE_KEY), partitions))
+        if (found & held) - both:  # rows that came out otherwise than when they were counted
+            mine |= found
+            continue
+        own = {**(seen.loads if held else {}), **dict.fromkeys(found, load)}
+        version = seen.version + 1 if seen else 0
         if commit(spark, path, Snapshot(version, buckets, schema.json(), own)):
             return
     raise RuntimeError(f"other loads kept committing under {path}")
 
 
-def _replaced(spark: SparkSession, path: str, seen: Snapshot, own: dict[int, str],
-              wanted: set[int], schema: T.StructType) -> DataFrame:
-    """The rows of a load and those of the table it does not replace, in some buckets."""
-    new = read_buckets(spark, path, Snapshot(-1, seen.buckets, schema.json(), own), wanted)
-    old = read_buckets(spark, path, seen, wanted)
-    kept = old.join(new.select(BUCKET, *WIDE_KEY), [BUCKET, *WIDE_KEY], "left_anti")
-    return kept.select(*new.columns).unionByName(new)
+def _rows_per_bucket(rows: DataFrame) -> dict[int, int]:
+    """The number of rows in each bucket, a few thousand numbers at most."""
+    return {r[BUCKET]: r["count"] for r in rows.groupBy(BUCKET).count().collect()}
+
+
+def _replaced(spark: SparkSession, path: str, seen: Snapshot, new: DataFrame,
+              counts: Mapping[int, int], both: set[int]) -> DataFrame:
+    """The rows of a load with those of the table it leaves in its buckets, laid out.
+
+    All rows are shuffled once, to pieces of a bucket by key: as many as its rows need, so that a
+    bucket with a large customer has more. New and old rows of a key meet there, and the new one
+    stays.
+    """
+    old = read_buckets(spark, path, seen, both)
+    held = _rows_per_bucket(old)
+    pieces = spark.createDataFrame(
+        [(b, max(1, -(-(counts.get(b, 0) + held.get(b, 0)) // ROWS_PER_PIECE)))
+         for b in set(counts) | set(held)], f"{BUCKET} int, pieces int")
+    rows = (old.select(*new.columns, F.lit(False).alias("later"))
+            .unionByName(new.withColumn("later", F.lit(True)))
+            .join(F.broadcast(pieces), BUCKET, "left"))
+    piece = F.pmod(F.xxhash64(*WIDE_KEY), F.coalesce("pieces", F.lit(1)))
+    others = [c for c in new.columns if c not in (BUCKET, *WIDE_KEY)]
+    last = (rows.withColumn("piece", piece).repartition(BUCKET, "piece")
+            .groupBy(BUCKET, *WIDE_KEY, "piece")
+            .agg(F.max(F.struct("later", *others)).alias("row")))
+    return (last.select(*[F.col(f"row.{c}").alias(c) if c in others else F.col(c)
+                          for c in new.columns])
+            .sortWithinPartitions(BUCKET, *WIDE_KEY))
 
 
 def compact_wide(spark: SparkSession, path: str, target: str) -> None:
