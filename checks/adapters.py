@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from reshelve.operators.document import MAX_ROWS, Documents, nest_documents
+from reshelve.operators.document import MAX_ROWS, Documents, nest_tables
 from reshelve.operators.prepare import enrich
 from reshelve.operators.wide import to_wide, upsert
 from reshelve.schema import JOINED_TABLES, LOG_COLUMNS, REGIONS, RETURN_FLAGS
@@ -44,10 +44,14 @@ def enriched(spark: SparkSession, folder: str) -> DataFrame:
 
 def documents(spark: SparkSession, folder: str, drop_empty: bool = False,
               max_rows: int = MAX_ROWS) -> Documents:
-    """Documents of the enriched rows, which are stored as they are read twice."""
-    path = new_folder(spark, "enriched")
-    enriched(spark, folder).write.parquet(path)
-    return nest_documents(spark.read.parquet(path), drop_empty, max_rows)
+    return nest_tables(source_tables(spark, folder), drop_empty, max_rows)
+
+
+def kept_documents(spark: SparkSession, folder: str) -> Documents:
+    """Documents stored as they are, for questions that read them twice."""
+    docs, path = documents(spark, folder), new_folder(spark, "pieces")
+    docs.pieces.write.parquet(path)
+    return Documents(spark.read.parquet(path))
 
 
 def wide_table(spark: SparkSession, folder: str) -> DataFrame:

@@ -239,7 +239,7 @@ def _range_text(spark, folder):
 
 
 def _rows_text(spark, folder):
-    docs = a.documents(spark, folder)
+    docs = a.kept_documents(spark, folder)
     sample = document.d2_sample(docs).groupBy("customer_id").agg(
         F.sort_array(F.collect_list(F.struct("position", "document"))).alias("sample"))
     return document.d2_count(docs).join(sample, "customer_id").select(
@@ -252,7 +252,7 @@ def _customers_text(spark, folder):
     params = a.lookups(spark, folder)
     line = F.struct((-F.col("total_revenue")).alias("order"), "customer_id", "name",
                     "total_revenue", "total_orders")
-    gathered = batch.d5(params, a.documents(spark, folder)).groupBy("sample_id").agg(
+    gathered = batch.d5(params, a.kept_documents(spark, folder)).groupBy("sample_id").agg(
         F.sort_array(F.collect_list(line)).alias("customers"))
     return params.join(gathered, "sample_id").select("sample_id", text.customers_text(
         F.col("revenue_start"), F.col("revenue_end"), F.col("customers")).alias("response"))
@@ -428,7 +428,7 @@ QUERIES: dict[str, Query] = {
     "batch_d3": _batch_docs(batch.d3),
     "batch_d4": _batch_docs(batch.d4),
     "batch_d4_wide": lambda s, f: batch.d4(a.wide_lookups(s, f), a.documents(s, f)),
-    "batch_d5": _batch_docs(batch.d5),
+    "batch_d5": lambda s, f: batch.d5(a.lookups(s, f), a.kept_documents(s, f)),
     "batch_k1": _batch_wide(batch.k1),
     "batch_k2": _batch_wide(batch.k2),
     "batch_k3": _batch_wide(batch.k3),

@@ -6,6 +6,9 @@ pieces by a hash of the order, and the lines of an order that is too large by it
 of their own by a hash of the line. So neither a hot customer nor a hot order ever meets in one
 task, and no answer depends on where the cuts are: one piece of a customer is marked as its
 first, and pieces that carry on an order are marked, so that orders are counted once.
+
+:func:`nest_documents` nests rows that are already joined. :func:`nest_tables` starts from the
+source tables and joins nested orders instead, so that lines are shuffled flat once and nested once.
 """
 
 from __future__ import annotations
@@ -15,8 +18,11 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reshelve.config import DOCUMENT_LIMIT_BYTES
+from reshelve.operators.narrow import checked_broadcast
+from reshelve.operators.prepare import clean, enrich, locate
 from reshelve.operators.wide import of_customer, of_customers
 from reshelve.schema import CUSTOMER_FIELDS, LINE_FIELDS, ORDER_FIELDS
+from reshelve.session import stored
 
 # No order or line takes fewer bytes as JSON; the field names alone take most of them. So a
 # customer with more rows than this is above the size limit whatever the values are.
@@ -145,6 +151,95 @@ def nest_documents(enriched: DataFrame, drop_empty: bool = False,
     return Documents(nest(flat_rows(enriched), drop_empty, max_rows), not drop_empty)
 
 
+def _too_large(t: dict[str, DataFrame], max_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The customers that have more than ``max_rows`` joined rows and the orders that have more
+    lines, whether or not there is such an order. Only keys are counted."""
+    lines = t["lineitem"].groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+    sums = (t["orders"].select("customer_id", "order_id").join(lines, "order_id", "left")
+            .groupBy("customer_id").agg(F.sum(F.coalesce("n", F.lit(1))).alias("rows")))
+    copies = locate(t["customer"], t["nation"], t["region"]).groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("copies"))
+    rows = F.col("copies") * F.coalesce("rows", F.lit(1))
+    large = copies.join(sums, "customer_id", "left").where(rows > max_rows)
+    hot = lines.where(F.col("n") > max_rows)
+    found = stored(large.select("customer_id", F.lit(None).cast("bigint").alias("order_id"))
+                   .unionByName(hot.select("order_id"), allowMissingColumns=True))
+    return (found.where("customer_id IS NOT NULL").select("customer_id"),
+            found.where("order_id IS NOT NULL").select("order_id"))
+
+
+def _nest_small(t: dict[str, DataFrame], drop_empty: bool) -> DataFrame:
+    """One piece per customer, where no customer or order has more rows than a piece.
+
+    Lines meet their orders, and the nested orders go to their customers, whose fields are added
+    last. Rows of customers or orders that repeat a key count as often as they would if joined.
+    """
+    line = F.struct(*LINE_FIELDS)
+    orders = t["orders"].select("customer_id", *ORDER_FIELDS)
+    by_order = (orders.join(t["lineitem"], "order_id", "left").groupBy("order_id", "customer_id")
+                .agg(*[F.min(f).alias(f) for f in ORDER_FIELDS[1:]],
+                     F.sort_array(F.collect_list(line)).alias("lineitems")))
+    nested = F.struct(*ORDER_FIELDS, "lineitems")
+    gathered = (by_order.repartition("customer_id").groupBy("customer_id")
+                .agg(F.sort_array(F.collect_list(nested)).alias("orders")))
+    own = F.struct("name", F.col("nation_name").alias("nation"), F.col("region_name").alias("region"))
+    customers = (locate(t["customer"], t["nation"], t["region"]).groupBy("customer_id")
+                 .agg(F.collect_list(own).alias("own")))
+    kinds = {f.name: f.dataType for f in by_order.schema}
+    empty = F.array(F.struct(
+        *[F.lit(None).cast(kinds[f]).alias(f) for f in ORDER_FIELDS],
+        F.array(F.struct(*[F.lit(None).cast(f.dataType).alias(f.name)
+                           for f in kinds["lineitems"].elementType])).alias("lineitems")))
+    held = F.coalesce("orders", empty)
+    pieces = customers.join(gathered, "customer_id", "left").select(
+        "customer_id", *[F.array_min(F.transform("own", lambda c: c[f])).alias(f)
+                         for f in CUSTOMER_FIELDS[1:]],
+        F.when(F.size("own") == 1, held).otherwise(_repeated(held)).alias("orders"))
+    if drop_empty:
+        pieces = pieces.withColumn("orders", F.transform(
+            F.filter("orders", lambda o: o["order_id"].isNotNull()),
+            lambda o: o.withField("lineitems", F.filter(
+                o["lineitems"], lambda item: item["line_number"].isNotNull()))))
+    return pieces.withColumns({"whole": F.lit(True), "first": F.lit(True), "carried": F.lit(False)})
+
+
+def _repeated(orders: Column) -> Column:
+    """The orders of a customer that has several rows (``own``): each once per different row, with
+    its lines as often as that row is there."""
+    times = F.transform(F.array_distinct("own"), lambda c: F.size(
+        F.filter("own", lambda other: other.eqNullSafe(c))))
+    return F.sort_array(F.flatten(F.transform(orders, lambda o: F.transform(
+        times, lambda n: o.withField("lineitems", F.sort_array(F.flatten(
+            F.array_repeat(o["lineitems"], n))))))))
+
+
+def nest_tables(tables: dict[str, DataFrame], drop_empty: bool = False,
+                max_rows: int = MAX_ROWS) -> Documents:
+    """Documents from the source tables, the same as those of the enriched rows.
+
+    Customers with more than ``max_rows`` rows, usually none, are looked for first and are joined
+    and nested in pieces by :func:`nest`, as are all orders of that size.
+    """
+    t = clean(tables)
+    large, hot = _too_large(t, max_rows)
+    some, many = not large.isEmpty(), not hot.isEmpty()
+    ids = checked_broadcast(large) if some else None
+    small = dict(t)
+    if some:
+        for name in ("customer", "orders"):
+            small[name] = t[name].join(ids, "customer_id", "left_anti")
+    if many:
+        small["lineitem"] = t["lineitem"].join(checked_broadcast(hot), "order_id", "left_anti")
+    pieces = _nest_small(small, drop_empty)
+    if some:
+        kept = {name: t[name].join(ids, "customer_id", "left_semi") for name in ("customer", "orders")}
+        wanted = checked_broadcast(kept["orders"].select("order_id").distinct())
+        lines = t["lineitem"].join(wanted, "order_id", "left_semi")
+        rows = stored(flat_rows(enrich({**t, **kept, "lineitem": lines}, cleaned=True)))
+        pieces = pieces.unionByName(nest(rows, drop_empty, max_rows))
+    return Documents(pieces, not drop_empty)
+
+
 def unwind_orders(docs: Documents, keep_empty: bool = False) -> DataFrame:
     """One row per order, without its lines."""
     unwound = F.explode_outer("orders") if keep_empty else F.explode("orders")

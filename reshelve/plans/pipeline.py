@@ -6,13 +6,12 @@ import argparse
 import sys
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from reshelve.config import BATCH_SIZE, PipelineConfig, SourceConfig
-from reshelve.operators.document import nest_documents, rows_within
+from reshelve.operators.document import nest_tables, rows_within
 from reshelve.operators.prepare import enrich
 from reshelve.operators.wide import to_wide
-from reshelve.schema import LINE_FIELDS, ORDER_FIELDS
 from reshelve.session import build_session, configure
 from reshelve.sinks.collection import FORMAT, load_collection
 from reshelve.sinks.documents import LoadCounts, write_documents
@@ -20,7 +19,6 @@ from reshelve.sinks.staged import stage
 from reshelve.sinks.wide import write_wide
 from reshelve.sources.tables import read_staged, read_tables, stored_bytes
 
-ENRICHED_FIELDS = ("customer_id", "name", "nation_name", "region_name", *ORDER_FIELDS, *LINE_FIELDS)
 STAGES = ("extract", "stage", "transform", "documents", "wide")
 
 
@@ -45,15 +43,6 @@ def check_stages(stages: set[str]) -> None:
         raise StageError("loading needs the transform stage")
 
 
-def write_enriched(spark: SparkSession, config: PipelineConfig) -> DataFrame:
-    """Join the staged tables once and keep the columns both models need as a table, from which
-    they are built and large orders counted."""
-    path = f"{config.staging_path}/enriched"
-    rows = enrich(read_staged(spark, config.staging_path)).select(*ENRICHED_FIELDS)
-    rows.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def run(spark: SparkSession, config: PipelineConfig, stages: set[str]) -> LoadCounts | None:
     """Run the stages in their fixed order. Without the stage step the transform reads what
     an earlier run staged. Returns the document counts if documents were loaded."""
@@ -69,10 +58,10 @@ def run(spark: SparkSession, config: PipelineConfig, stages: set[str]) -> LoadCo
         return None
     if config.input_bytes is None and config.source.use_jdbc:
         configure(spark, stored_bytes(spark, config.staging_path))
-    enriched = write_enriched(spark, config)
+    staged = read_staged(spark, config.staging_path)
     counts = None
     if "documents" in stages:
-        docs = nest_documents(enriched, max_rows=rows_within(config.document_limit))
+        docs = nest_tables(staged, max_rows=rows_within(config.document_limit))
         if config.document_format == FORMAT:
             counts = load_collection(
                 docs, config.documents_path, config.document_limit,
@@ -82,7 +71,7 @@ def run(spark: SparkSession, config: PipelineConfig, stages: set[str]) -> LoadCo
                 docs, config.documents_path, config.document_format, config.document_limit,
                 config.batch_size, config.document_connector)
     if "wide" in stages:
-        write_wide(to_wide(enriched), config.wide_path, config.wide_format, config.truncate_wide,
+        write_wide(to_wide(enrich(staged)), config.wide_path, config.wide_format, config.truncate_wide,
                    config.wide_buckets, config.partitions, config.wide_connector)
     return counts
 

@@ -21,20 +21,23 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
 }
 
-BYTES_PER_SHUFFLE_TASK = 200 * 1024 * 1024
+# Bytes of compressed input; as shuffled rows they are several times as many.
+BYTES_PER_SHUFFLE_TASK = 20 * 1024 * 1024
 
 
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply the runtime settings to a session that already exists.
 
     ``input_bytes`` are the bytes of the input files; the pipeline measures them. Adaptive execution merges small shuffle partitions but never adds partitions to a
-    balanced shuffle, so the starting number is sized from the input when it is known.
+    balanced shuffle, so the starting number is sized from the input when it is known; a greater
+    number that the session has already stays.
     """
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     if input_bytes is not None:
         wanted = math.ceil(input_bytes / BYTES_PER_SHUFFLE_TASK)
-        spark.conf.set("spark.sql.shuffle.partitions", str(max(wanted, 8)))
+        given = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(wanted, given, 8)))
     return spark
 
 

@@ -17,6 +17,7 @@ import importlib
 import json
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyarrow import fs
@@ -30,6 +31,9 @@ from reshelve.operators.document import MARKS, Documents
 from reshelve.sinks.documents import SIZE, TOO_LARGE, TOO_MANY_ROWS, LoadCounts
 
 FORMAT = "document_store"
+
+# Documents that a task is handed at a time at most, however many a batch holds.
+ARROW_ROWS = 200
 ROW = "customer_id long, document string, whole boolean, first boolean"
 REJECTED = "customer_id long, document_bytes int, reason string"
 
@@ -195,6 +199,18 @@ class StoreSource(DataSource):
         return StoreWriter({k.lower(): v for k, v in self.options.items()})
 
 
+@contextmanager
+def _arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand tasks so many rows at a time, which they hold as Arrow and as Python objects."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def load_collection(docs: Documents, path: str, limit: int = DOCUMENT_LIMIT_BYTES,
                     batch_size: int = BATCH_SIZE, store: str | None = None,
                     options: dict[str, str] | None = None) -> LoadCounts | None:
@@ -213,7 +229,8 @@ def load_collection(docs: Documents, path: str, limit: int = DOCUMENT_LIMIT_BYTE
                          text.alias("document"), "whole", "first")
     given = {"path": path, "load": uuid.uuid4().hex, "limit": str(limit),
              "batchSize": str(batch_size), **({"store": store} if store else {}), **(options or {})}
-    rows.write.format(FORMAT).options(**given).mode("overwrite").save()
+    with _arrow_rows(spark, min(batch_size, ARROW_ROWS)):
+        rows.write.format(FORMAT).options(**given).mode("overwrite").save()
     return None if "store" in given else collection_counts(path)
 
 
