@@ -21,6 +21,12 @@ def checked_broadcast(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
+def short(keys: DataFrame) -> DataFrame | None:
+    """The keys with a hint to broadcast them, or None if they are too many for that."""
+    keys = stored(keys)
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else None
+
+
 def lines_of(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """The lines of some orders."""
     wanted = checked_broadcast(orders.select(F.col("o_orderkey").alias("l_orderkey")))
