@@ -20,8 +20,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyarrow import fs
 from pyspark import TaskContext
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
@@ -230,7 +232,10 @@ def load_collection(docs: Documents, path: str, limit: int = DOCUMENT_LIMIT_BYTE
     given = {"path": path, "load": uuid.uuid4().hex, "limit": str(limit),
              "batchSize": str(batch_size), **({"store": store} if store else {}), **(options or {})}
     with _arrow_rows(spark, min(batch_size, ARROW_ROWS)):
-        rows.write.format(FORMAT).options(**given).mode("overwrite").save()
+        try:
+            rows.write.format(FORMAT).options(**given).mode("overwrite").save()
+        except Py4JJavaError as error:  # several stages failed at once, which has no class of its own
+            raise PySparkException(str(error.java_exception)) from error
     return None if "store" in given else collection_counts(path)
 
 

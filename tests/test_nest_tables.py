@@ -8,6 +8,7 @@ from fixtures import line, odd_tables, order, tables
 
 from reshelve.operators.document import nest_documents, nest_tables
 from reshelve.operators.prepare import enrich
+from reshelve.sinks import collection
 from test_plans import NO_BROADCAST, settings
 
 
@@ -58,3 +59,16 @@ def test_lines_are_shuffled_flat_once(spark):
     # Orders, lines, nested orders, customers and their two dimensions; no counts, no padding.
     assert text.count("Exchange hashpartitioning") <= 8
     assert "LeftAnti" not in text and "Union" not in text
+
+
+def test_tasks_are_handed_few_documents_at_a_time(spark, tmp_path, monkeypatch):
+    name, asked = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, real = spark.conf.get(name), collection._arrow_rows
+    monkeypatch.setattr(collection, "_arrow_rows",
+                        lambda s, rows: asked.append(rows) or real(s, rows))
+    docs = nest_tables(odd_tables(spark))
+    for batch_size in (3, 5000):
+        assert collection.load_collection(docs, str(tmp_path), batch_size=batch_size).inserted == 5
+    assert asked == [3, collection.ARROW_ROWS] and spark.conf.get(name) == before
+    with real(spark, 7):
+        assert spark.conf.get(name) == "7"
