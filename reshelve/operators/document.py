@@ -13,7 +13,9 @@ source tables and joins nested orders instead, so that lines are shuffled flat o
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,6 +30,9 @@ from reshelve.session import stored
 # customer with more rows than this is above the size limit whatever the values are.
 MIN_ROW_BYTES = 96
 
+# Lines that share a count, on average, where it is only asked whether any order has very many.
+LINES_PER_SLOT = 256
+
 # Marks of a piece: it is the whole document, the first piece of its customer, it carries on
 # an order of another piece.
 MARKS = ("whole", "first", "carried")
@@ -151,6 +156,22 @@ def nest_documents(enriched: DataFrame, drop_empty: bool = False,
     return Documents(nest(flat_rows(enriched), drop_empty, max_rows), not drop_empty)
 
 
+def _most_rows(tables: dict[str, DataFrame]) -> int:
+    """A number of joined rows that no customer and no order has more of: the product of the most
+    rows per key of each table. Only keys are read, of rows that are cleaned away, too. Lines are
+    counted by a hash that some orders share, which keeps the counts few and none too low."""
+    lines = tables["lineitem"]
+    slots = F.lit(lines.count() // LINES_PER_SLOT + 1)
+    keys = {name: tables[name].where(F.col(key).isNotNull()).select(F.col(key).alias("key"))
+            for name, key in (("orders", "o_custkey"), ("customer", "c_custkey"),
+                              ("nation", "n_nationkey"), ("region", "r_regionkey"))}
+    keys["lineitem"] = lines.where("l_orderkey IS NOT NULL").select(
+        F.pmod(F.xxhash64("l_orderkey"), slots).alias("key"))
+    most = [rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"))
+            for rows in keys.values()]
+    return math.prod(r.most or 1 for r in reduce(DataFrame.unionByName, most).collect())
+
+
 def _too_large(t: dict[str, DataFrame], max_rows: int) -> tuple[DataFrame, DataFrame]:
     """The customers that have more than ``max_rows`` joined rows and the orders that have more
     lines, whether or not there is such an order. Only keys are counted."""
@@ -171,25 +192,33 @@ def _too_large(t: dict[str, DataFrame], max_rows: int) -> tuple[DataFrame, DataF
 def _nest_small(t: dict[str, DataFrame], drop_empty: bool) -> DataFrame:
     """One piece per customer, where no customer or order has more rows than a piece.
 
-    Lines meet their orders, and the nested orders go to their customers, whose fields are added
-    last. Rows of customers or orders that repeat a key count as often as they would if joined.
+    Lines are gathered per order and meet their orders, and the nested orders go to their
+    customers, whose fields are added last. Rows of customers or orders that repeat a key count as
+    often as they would if joined. Rows are sorted once after each shuffle, so that they are
+    gathered and joined as they come, with one group in memory at a time.
     """
     line = F.struct(*LINE_FIELDS)
-    orders = t["orders"].select("customer_id", *ORDER_FIELDS)
-    by_order = (orders.join(t["lineitem"], "order_id", "left").groupBy("order_id", "customer_id")
-                .agg(*[F.min(f).alias(f) for f in ORDER_FIELDS[1:]],
-                     F.sort_array(F.collect_list(line)).alias("lineitems")))
+    lines = (_together(t["lineitem"], "order_id").groupBy("order_id")
+             .agg(F.sort_array(F.collect_list(line)).alias("lineitems")))
+    orders = (_together(t["orders"], "order_id", "customer_id").groupBy("order_id", "customer_id")
+              .agg(*[F.min(f).alias(f) for f in ORDER_FIELDS[1:]], F.count(F.lit(1)).alias("n")))
+    kinds = {f.name: f.dataType for f in orders.schema} | {
+        "lineitems": lines.schema["lineitems"].dataType}
+    no_lines = F.array(F.struct(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                  for f in kinds["lineitems"].elementType]))
+    held_lines = F.coalesce("lineitems", no_lines)
+    by_order = orders.join(lines, "order_id", "left").select(
+        "customer_id", *ORDER_FIELDS, F.when(F.col("n") == 1, held_lines).otherwise(
+            F.sort_array(F.flatten(F.array_repeat(held_lines, F.col("n").cast("int")))))
+        .alias("lineitems"))
     nested = F.struct(*ORDER_FIELDS, "lineitems")
-    gathered = (by_order.repartition("customer_id").groupBy("customer_id")
+    gathered = (_together(by_order, "customer_id").groupBy("customer_id")
                 .agg(F.sort_array(F.collect_list(nested)).alias("orders")))
     own = F.struct("name", F.col("nation_name").alias("nation"), F.col("region_name").alias("region"))
     customers = (locate(t["customer"], t["nation"], t["region"]).groupBy("customer_id")
                  .agg(F.collect_list(own).alias("own")))
-    kinds = {f.name: f.dataType for f in by_order.schema}
-    empty = F.array(F.struct(
-        *[F.lit(None).cast(kinds[f]).alias(f) for f in ORDER_FIELDS],
-        F.array(F.struct(*[F.lit(None).cast(f.dataType).alias(f.name)
-                           for f in kinds["lineitems"].elementType])).alias("lineitems")))
+    empty = F.array(F.struct(*[F.lit(None).cast(kinds[f]).alias(f) for f in ORDER_FIELDS],
+                             no_lines.alias("lineitems")))
     held = F.coalesce("orders", empty)
     pieces = customers.join(gathered, "customer_id", "left").select(
         "customer_id", *[F.array_min(F.transform("own", lambda c: c[f])).alias(f)
@@ -203,6 +232,11 @@ def _nest_small(t: dict[str, DataFrame], drop_empty: bool) -> DataFrame:
     return pieces.withColumns({"whole": F.lit(True), "first": F.lit(True), "carried": F.lit(False)})
 
 
+def _together(rows: DataFrame, key: str, *then: str) -> DataFrame:
+    """Rows of a key in one partition and next to each other."""
+    return rows.repartition(key).sortWithinPartitions(key, *then)
+
+
 def _repeated(orders: Column) -> Column:
     """The orders of a customer that has several rows (``own``): each once per different row, with
     its lines as often as that row is there."""
@@ -218,9 +252,12 @@ def nest_tables(tables: dict[str, DataFrame], drop_empty: bool = False,
     """Documents from the source tables, the same as those of the enriched rows.
 
     Customers with more than ``max_rows`` rows, usually none, are looked for first and are joined
-    and nested in pieces by :func:`nest`, as are all orders of that size.
+    and nested in pieces by :func:`nest`, as are all orders of that size. They are not looked for
+    where the most rows per key of the tables tell that there are none.
     """
     t = clean(tables)
+    if _most_rows(tables) <= max_rows:
+        return Documents(_nest_small(t, drop_empty), not drop_empty)
     large, hot = _too_large(t, max_rows)
     some, many = not large.isEmpty(), not hot.isEmpty()
     ids = checked_broadcast(large) if some else None

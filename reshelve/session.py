@@ -11,12 +11,14 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings. Skewed joins are left to adaptive execution, which must be allowed to
-# add a shuffle where a later step wanted to reuse the skewed partitioning.
+# add a shuffle where a later step wanted to reuse the skewed partitioning. Rows that come sorted
+# by the keys of a group are aggregated in one pass.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }

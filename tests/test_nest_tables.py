@@ -6,6 +6,7 @@ import pytest
 from conftest import plan
 from fixtures import line, odd_tables, order, tables
 
+from reshelve.operators import document
 from reshelve.operators.document import nest_documents, nest_tables
 from reshelve.operators.prepare import enrich
 from reshelve.sinks import collection
@@ -61,6 +62,36 @@ def test_lines_are_shuffled_flat_once(spark):
     assert "LeftAnti" not in text and "Union" not in text
 
 
+def test_rows_are_gathered_in_one_pass(spark):
+    with settings(spark, **NO_BROADCAST):
+        text = plan(nest_tables(odd_tables(spark)).pieces)
+    # Only the fields of customers, which come unsorted, are gathered before and after a shuffle.
+    assert text.count("partial_collect_list") == 1
+
+
+def test_large_customers_are_looked_for_only_where_there_may_be_some(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("counted")
+
+    t = odd_tables(spark)
+    expected = pieces_of(nest_documents(enrich(t)))
+    monkeypatch.setattr(document, "_too_large", refuse)
+    assert pieces_of(nest_tables(t)) == expected
+    with pytest.raises(AssertionError, match="counted"):
+        nest_tables(t, max_rows=2)
+
+
+@pytest.mark.parametrize("slot", [1, 256])
+@pytest.mark.parametrize("build", [odd_tables, repeated])
+def test_no_customer_or_order_has_more_than_the_most_rows(spark, build, slot, monkeypatch):
+    monkeypatch.setattr(document, "LINES_PER_SLOT", slot)
+    t = build(spark)
+    rows = enrich(t)
+    found = document._most_rows(t)
+    assert all(found >= r["count"] for r in rows.groupBy("customer_id").count().collect())
+    assert all(found >= r["count"] for r in t["lineitem"].groupBy("l_orderkey").count().collect())
+
+
 def test_tasks_are_handed_few_documents_at_a_time(spark, tmp_path, monkeypatch):
     name, asked = "spark.sql.execution.arrow.maxRecordsPerBatch", []
     before, real = spark.conf.get(name), collection._arrow_rows
