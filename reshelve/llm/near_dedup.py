@@ -185,6 +185,16 @@ def link_alike(nodes: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int
     return found
 
 
+def _forest(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """Edges that connect the same nodes, each to the least one it is connected with. Tasks that
+    see other parts of a large group mostly name the same few nodes, so equal edges abound."""
+    nodes, ends = np.unique(np.r_[a, b], return_inverse=True)
+    parent = np.arange(len(nodes))
+    unite(parent, ends[:len(a)], ends[len(a):])
+    other = parent != np.arange(len(nodes))
+    return pd.DataFrame({"a": nodes[other], "b": nodes[parent[other]]}, dtype=np.int64)
+
+
 def _in_runs(linked):
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted by bucket and block pair; a run that may go on waits for more rows."""
@@ -193,7 +203,7 @@ def _in_runs(linked):
             rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
             if not len(rows):
                 continue
-            keys = rows[["t", "k", "i", "j"]].to_numpy()
+            keys = rows[["k", "i", "j"]].to_numpy()
             run = np.r_[0, np.cumsum((keys[1:] != keys[:-1]).any(axis=1))]
             start = int(np.searchsorted(run, run[-1]))
             held = rows.iloc[start:]
@@ -211,7 +221,7 @@ def _linker(radius: int):
         nodes = rows["node"].to_numpy()
         parent = link_runs(run, prints.view(np.uint64), radius)
         other = nodes[parent] != nodes
-        return pd.DataFrame({"a": nodes[other], "b": nodes[parent[other]]})
+        return _forest(nodes[other], nodes[parent[other]])
 
     return _in_runs(linked)
 
@@ -226,13 +236,13 @@ def _verified(rows: pd.DataFrame, run: np.ndarray) -> pd.DataFrame:
 
 
 def _in_blocks(rows: DataFrame, by: str, block: int, *columns: str) -> DataFrame:
-    """Each row once per pair of blocks of its bucket (t, k) of n rows."""
+    """Each row once per pair of blocks of its bucket k of n rows."""
     blocks = F.ceil(F.col("n") / block).cast("int")
-    rows = rows.select("t", "k", *columns, blocks.alias("blocks"),
+    rows = rows.select("k", *columns, blocks.alias("blocks"),
                        F.pmod(F.xxhash64(by), blocks).cast("int").alias("own"))
-    rows = rows.select("t", "k", *columns, "own", F.explode(
+    rows = rows.select("k", *columns, "own", F.explode(
         F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    return rows.select("t", "k", F.least("own", "other").alias("i"),
+    return rows.select("k", F.least("own", "other").alias("i"),
                        F.greatest("own", "other").alias("j"), *columns)
 
 
@@ -242,17 +252,17 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFr
     `prints` has a row per node with its `parts`, one fingerprint or several. Buckets with one
     node are dropped by a count. A bucket is cut into blocks, and each pair of blocks is compared
     where it lands, so no task holds more than two blocks of a bucket however large it is. A task
-    returns a forest of its links, not all pairs.
+    returns a forest of its links, not all pairs. A bucket is named by a hash of its table and
+    key; two with the same hash would be compared as one, which links nothing else.
     """
     masks = [signed(m) for m in covering_masks(radius)]
     keyed = prints.select("node", F.posexplode("parts").alias("part", "fingerprint")).select(
         "node", "part", "fingerprint", F.posexplode(F.array(
             *[F.col("fingerprint").bitwiseAND(F.lit(m)) for m in masks])).alias("t", "k"))
-    keyed = keyed.select("node", "fingerprint", "k", (
-        F.col("part") * len(masks) + F.col("t")).alias("t"))
-    shared = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = _in_blocks(keyed.join(shared, ["t", "k"]), "node", block, "node", "fingerprint")
-    return (rows.repartition("t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j")
+    keyed = keyed.select("node", "fingerprint", F.xxhash64("part", "t", "k").alias("k"))
+    shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = _in_blocks(keyed.join(shared, "k"), "node", block, "node", "fingerprint")
+    return (rows.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
             .mapInPandas(_linker(radius), "a long, b long"))
 
 
@@ -262,17 +272,17 @@ def alike(docs: DataFrame, texts: DataFrame, block: int = ALIKE_BLOCK) -> DataFr
     `texts` has the node, mark and bands of every distinct text. Only texts that share a bucket
     with another node are read again for their shingles.
     """
-    keyed = texts.select("node", "mark", F.posexplode("bands").alias("t", "k"))
-    shared = keyed.groupBy("t", "k").agg(
+    keyed = texts.select("node", "mark", F.posexplode("bands").alias("t", "k")).select(
+        "node", "mark", F.xxhash64("t", "k").alias("k"))
+    shared = keyed.groupBy("k").agg(
         F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high"))
-    rows = stored(keyed.join(shared.where("low < high"), ["t", "k"]).select(
-        "t", "k", "n", "node", "mark"))
+    rows = stored(keyed.join(shared.where("low < high"), "k").select("k", "n", "node", "mark"))
     sets = docs.select(_mark(), text_or_empty("text").alias("text")).join(
         rows.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
     rows = _in_blocks(rows, "mark", block, "node", "mark").join(
         sets.select("mark", shingle_bytes("text").alias("shingles")), "mark")
-    return (rows.select("t", "k", "i", "j", "node", "shingles").repartition("t", "k", "i", "j")
-            .sortWithinPartitions("t", "k", "i", "j").mapInPandas(
+    return (rows.select("k", "i", "j", "node", "shingles").repartition("k", "i", "j")
+            .sortWithinPartitions("k", "i", "j").mapInPandas(
                 _in_runs(_verified), "a long, b long"))
 
 
@@ -317,12 +327,17 @@ def deduplicate(docs: DataFrame, radius: int = NEAR_RADIUS, prints=word_prints)
     that are no near copies all stay."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "mark"))
     kept = groups(docs, radius, prints, exact=True).groupBy("component").agg(
-        first.alias("first")).select(F.col("first.doc_id").alias("__id"),
-                                     F.col("first.mark").alias("__mark"))
-    marked = docs.withColumn("__text", _mark())
-    found = marked.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-                        & (F.col("__text") == F.col("__mark")))
-    return found.dropDuplicates(["__id", "__mark"]).select(*docs.columns)
+        first.alias("first"))
+    # No part of the key is null, so repeated rows are dropped where the join has put them and
+    # texts are shuffled once.
+    key = ["__without", "__id", "__mark"]
+    kept = kept.select(F.col("first.without").alias("__without"),
+                       F.coalesce("first.doc_id", F.lit(0)).alias("__id"),
+                       F.col("first.mark").alias("__mark"))
+    own = F.col("doc_id").cast("long")
+    marked = docs.withColumns({"__without": own.isNull(), "__id": F.coalesce(own, F.lit(0)),
+                               "__mark": _mark()})
+    return marked.join(kept, key).dropDuplicates(key).select(*docs.columns)
 
 
 def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

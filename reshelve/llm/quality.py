@@ -7,7 +7,7 @@ one, and a linear hinge-loss model is fitted by dual coordinate descent. Two num
 margin into a probability.
 
 The fit uses the SAMPLE_ROWS labelled rows with the least id hashes, 12,000 unless set; only
-their n-gram numbers reach the driver. Scores use the text alone.
+their n-gram numbers reach the driver, four bytes each. Scores use the text alone.
 
 Results in odd cases:
 
@@ -110,9 +110,11 @@ def _log_ratio(texts: list[np.ndarray], good: np.ndarray) -> np.ndarray:
     counts = np.ones((2, BUCKETS))
     for grams, label in zip(texts, good):
         counts[int(label), grams] += 1
-    shares = counts / counts.sum(axis=1, keepdims=True)
-    ratio = np.log(shares[1] / shares[0])
-    ratio[counts.sum(axis=0) <= 3] = 0  # n-grams of a single text say nothing of others
+    rare = counts.sum(axis=0) <= 3  # n-grams of a single text say nothing of others
+    counts /= counts.sum(axis=1, keepdims=True)
+    ratio = np.divide(counts[1], counts[0])
+    np.log(ratio, out=ratio)
+    ratio[rare] = 0
     return ratio
 
 
@@ -124,12 +126,15 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 0) -> Model:
         offset = 0.0 if not len(good) else 500.0 if good.all() else -500.0
         return Model(flat, flat, 0.0, 0.0, offset)
     ratio = _log_ratio(texts, good)
-    rows = []
-    for grams in texts:
-        grams = grams[ratio[grams] != 0]
-        value = ratio[grams]
+    ends = np.cumsum([np.count_nonzero(ratio[grams]) for grams in texts])
+    numbers, values = np.empty(ends[-1], np.int32), np.empty(ends[-1])
+    rows = list(zip(np.split(numbers, ends[:-1]), np.split(values, ends[:-1])))
+    for grams, (own, value) in zip(texts, rows):
+        own[:] = grams[ratio[grams] != 0]
+        value[:] = ratio[own]
         length = np.linalg.norm(value)
-        rows.append((grams, value / length if length else value))
+        if length:
+            value /= length
     sign = np.where(good, 1.0, -1.0)
     limit = COST * np.where(good, len(good) / (2 * good.sum()), len(good) / (2 * (~good).sum()))
     square = np.array([v @ v + 1 for _, v in rows])  # the bias is one more indicator
@@ -181,14 +186,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     rows = docs.select("doc_id", text_or_empty("text").alias("__text")).join(
         F.broadcast(chosen), "doc_id")  # sample_rows ids at most
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def numbers(texts: pd.Series) -> pd.Series:
         grams = Grams()
-        return pd.Series([np.sort(grams.of(t)).astype(np.int32) for t in texts], dtype=object)
-
-    found = rows.select("doc_id", "__quality", numbers("__text").alias("grams")).toPandas()
-    found = found.sort_values("doc_id", kind="stable")
-    return fit([np.asarray(g, np.int64) for g in found["grams"]], found["__quality"].to_numpy())
+        return pd.Series([np.sort(grams.of(t)).astype("<i4").tobytes() for t in texts],
+                         dtype=object)
+
+    # As bytes, since the driver's JVM and Python would make an object of every number of an array.
+    found = rows.select("doc_id", "__quality", numbers("__text").alias("grams")).collect()
+    found.sort(key=lambda row: row["doc_id"])
+    return fit([np.frombuffer(row["grams"], "<i4") for row in found],
+               np.array([row["__quality"] for row in found]))
 
 
 def scorer(model: Model):

@@ -163,3 +163,30 @@ def test_shingles_decide_among_texts_that_meet(spark, docs_of):
     right = [(a, b) for a in n for b in n if a < b and similarity(texts[a], texts[b]) >= 0.8]
     assert all((min(e), max(e)) in set(right) or texts[e.a] == texts[e.b] for e in edges)
     assert grouped(n, [tuple(e) for e in edges]) == grouped(n, right)
+
+
+def test_links_of_a_large_group_are_few(spark):
+    """Equal edges of a group's buckets collapse, so that a node has a few, not one per bucket."""
+    pick = random.Random(8)
+    middle = pick.getrandbits(62)
+    values = sorted({middle ^ sum(1 << b for b in pick.sample(range(60), pick.choice((1, 2))))
+                     for _ in range(900)})
+    rows = spark.createDataFrame([(i, [v]) for i, v in enumerate(values)],
+                                 "node long, parts array<long>")
+    edges = nd.links(rows, 4).distinct()
+    assert set(r.component for r in components(edges).collect()) == {0}
+    assert edges.count() <= 8 * len(values)
+
+
+def test_texts_are_shuffled_once(spark, docs_of):
+    """Repeated rows are dropped where the join of documents and kept keys has put them."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = docs_of([(1, "a b c"), (1, "a b c"), (None, "x y z"), (None, "x y z"), (0, "x y z")])
+        found = nd.deduplicate(docs)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("SortMergeJoin") < plan.index("Exchange")
+        assert sorted((r.doc_id, r.text) for r in found.collect()) == [(0, "x y z"), (1, "a b c")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

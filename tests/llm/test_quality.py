@@ -1,3 +1,5 @@
+import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -68,3 +70,23 @@ def test_shapes_and_grams():
     assert q.THRICE in grams.of("no no no")
     assert len(grams.of("")) == 0 and len(grams.of(" \n\t")) == 0
     assert set(grams.of("a b " * 100_000)) >= set(grams.of("a b a"))
+
+
+def test_an_ngram_takes_few_bytes_of_the_driver(spark, docs_of):
+    """The driver's Python holds numbers of n-grams as bytes, not as objects."""
+    pick = random.Random(5)
+    words = [f"w{i}" for i in range(4000)]
+    pairs = [(i, " ".join(pick.sample(words, 500))) for i in range(1500)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in pairs], "doc_id long, quality int")
+    peaks = []
+    for n in (200, 1200):
+        docs = docs_of(pairs[:n] + [(None, None), (-1, "")]).repartition(4).cache()
+        docs.count()
+        learned = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(n))
+        tracemalloc.start()
+        q.train(docs, labels)
+        peaks.append((learned, tracemalloc.get_traced_memory()[1]))
+        tracemalloc.stop()
+        docs.unpersist()
+    (few, low), (many, high) = peaks
+    assert (high - low) / ((many - few) * 500) < 28
