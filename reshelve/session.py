@@ -6,6 +6,8 @@ import atexit
 import math
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,6 +77,24 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries begun in here remove their shuffle files when they end.
+
+    Else the files go when the driver collects garbage, which may be long after. For queries whose
+    rows nothing reads again, such as writes.
+    """
+    before = spark.conf.get(REMOVE_SHUFFLES, "false")
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(REMOVE_SHUFFLES, before)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows of a frame written to the shared folder and read from there.
 
